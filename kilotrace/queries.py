@@ -1,0 +1,4 @@
+"""The registered queries and their SQL counterparts."""
+
+QUERIES: dict = {}
+SQL: dict = {}
