@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from kilotrace.llm.ann import op7_nearest_neighbours
 from kilotrace.llm.exact import OP5_SQL, op5_exact_dedup
+from kilotrace.llm.langid import op8_language_id
+from kilotrace.llm.lines import OP10_SQL, op10_line_dedup
+from kilotrace.llm.lm import op9_lm_scoring
 from kilotrace.llm.packing import op6_best_fit_packing
 from kilotrace.llm.simhash import op2_simhash
 
@@ -10,8 +14,13 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_language_id": op8_language_id,
+    "op9_lm_scoring": op9_lm_scoring,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 SQL = {
     "op5_exact_dedup": OP5_SQL,
+    "op10_line_dedup": OP10_SQL,
 }
