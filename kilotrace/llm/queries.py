@@ -8,10 +8,12 @@ from kilotrace.llm.langid import op8_language_id
 from kilotrace.llm.lines import OP10_SQL, op10_line_dedup
 from kilotrace.llm.lm import op9_lm_scoring
 from kilotrace.llm.packing import op6_best_fit_packing
+from kilotrace.llm.passages import op3_repeated_passages
 from kilotrace.llm.simhash import op2_simhash
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_repeated_passages": op3_repeated_passages,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_nearest_neighbours": op7_nearest_neighbours,
