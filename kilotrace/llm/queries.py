@@ -5,6 +5,7 @@ from __future__ import annotations
 from kilotrace.llm.ann import op7_nearest_neighbours
 from kilotrace.llm.exact import OP5_SQL, op5_exact_dedup
 from kilotrace.llm.langid import op8_language_id
+from kilotrace.llm.licenses import op4_license_scan
 from kilotrace.llm.lines import OP10_SQL, op10_line_dedup
 from kilotrace.llm.lm import op9_lm_scoring
 from kilotrace.llm.packing import op6_best_fit_packing
@@ -14,6 +15,7 @@ from kilotrace.llm.simhash import op2_simhash
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_repeated_passages": op3_repeated_passages,
+    "op4_license_scan": op4_license_scan,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_nearest_neighbours": op7_nearest_neighbours,
