@@ -6,39 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kilotrace.sources.domain import VIEWS
+from kilotrace.sources.domain import VIEWS, named
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def with_views(sql: str) -> str:
-    """``sql`` after the definitions of the domain views it names."""
+    """``sql`` after the definitions of the domain views it reads."""
     needed: list[str] = []
 
     def add(text: str) -> None:
-        for name, body in VIEWS.items():
-            if name not in needed and any(w == name for w in _names(text)):
-                add(body)
+        for name in named(text):
+            if name in VIEWS and name not in needed:
+                add(VIEWS[name])
                 needed.append(name)
 
     add(sql)
-    if not needed:
-        return sql
     head = ", ".join(f"{n} AS ({VIEWS[n]})" for n in needed)
-    body = sql.strip()
-    return f"WITH {head}, {body[5:]}" if body[:5].upper() == "WITH " else f"WITH {head} {body}"
-
-
-def _names(text: str) -> list[str]:
-    word, out = "", []
-    for c in text + " ":
-        if c.isalnum() or c == "_":
-            word += c
-        elif word:
-            out.append(word)
-            word = ""
-    return out
+    return f"WITH {head} {sql}" if needed else sql
 
 
 def query(name: str, sql: str | None = None):

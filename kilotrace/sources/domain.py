@@ -7,6 +7,8 @@ views are projections, filters and key joins: they add no work that grows faster
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -92,19 +94,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return sql(spark, sf_dir, VIEWS[name])
 
 
+def named(text: str) -> list[str]:
+    """The tables and views that ``text`` reads: names after FROM or JOIN."""
+    found = re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", text)
+    return [n for n in dict.fromkeys(found) if n in TABLES or n in VIEWS]
+
+
 def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """``text`` over given tables and views."""
-    from kilotrace.queries.registry import _names
-
-    found = {w for w in _names(text) if w in TABLES or w in VIEWS}
-    parts = {n: table(spark, sf_dir, n) for n in found}
-    for n in sorted(found, key=len, reverse=True):
-        text = _braced(text, n)
+    parts = {n: table(spark, sf_dir, n) for n in named(text)}
+    for n in parts:
+        text = re.sub(rf"\b(FROM|JOIN)\s+{n}\b", rf"\1 {{{n}}}", text)
     return spark.sql(text, **parts)
-
-
-def _braced(text: str, name: str) -> str:
-    """Marks a table's name after FROM or JOIN as one of spark.sql's arguments."""
-    import re
-
-    return re.sub(rf"\b(FROM|JOIN)\s+{name}\b", rf"\1 {{{name}}}", text)
