@@ -1,6 +1,6 @@
 """The registered queries, one for each operator, and their SQL counterparts."""
 
-from kilotrace.queries import cleaning, gold  # noqa: F401
+from kilotrace.queries import cleaning, gold, rules  # noqa: F401
 from kilotrace.queries.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

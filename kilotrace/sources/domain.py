@@ -66,7 +66,7 @@ VIEWS = {
         FROM lineas GROUP BY placa, l_suppkey % 2, anio, mes""",
     "compras6": """
         SELECT concat(CAST(l_orderkey AS string), '-', CAST(l_linenumber AS string)) AS factura_id, min(fecha) AS fecha,
-               min(l_suppkey) % 50 AS proveedor, min(placa) AS unidad_id, min(scop) AS codigo_scop, sum(l_quantity) AS kg,
+               min(l_suppkey) % 50 AS proveedor_id, min(placa) AS unidad_id, min(scop) AS codigo_scop, sum(l_quantity) AS kg,
                min(l_extendedprice) / min(l_quantity) AS precio_usd_kg,
                CASE WHEN min(l_partkey) % 3 = 0 THEN min(l_extendedprice) / min(l_quantity) * (0.9 + min(l_partkey) % 20 / 100.0) END AS precio_pactado_usd_kg,
                3.3 + (min(l_partkey) % 100) / 1000.0 AS tipo_cambio
