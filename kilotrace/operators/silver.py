@@ -17,3 +17,117 @@ def movements(purchases: DataFrame, sales: DataFrame) -> DataFrame:
     })
     v = sales.withColumns({"tipo_mov": F.lit("venta"), "kg_comprados": none, "kg_despachados": none, "kg_vendidos": F.col("kg")})
     return c.select(*MOVEMENT).unionByName(v.select(*MOVEMENT)).filter("placa_norm is not null")
+
+
+def purchases(raw: DataFrame, years: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of purchases: plates, divergence, state and order code; dates out of scope go first, then
+    repeated documents among what is left. raw: documento, placa_cargada_raw, placa_facturada_raw, fecha, kg,
+    codigo_scop, estado, orden (a total order)."""
+    from kilotrace.functions import clean as C
+    from kilotrace.operators import quality as Q
+
+    loaded, _ = C.plate(F.col("placa_cargada_raw"))
+    billed, dated = C.plate(F.col("placa_facturada_raw"))
+    df = raw.withColumns({"placa_cargada": loaded, "placa_facturada": billed, "fecha_en_placa": dated, "estado": C.state(F.col("estado")), "codigo_scop": C.some(F.col("codigo_scop"))})
+    df = df.withColumn("flag_placa_divergente", F.coalesce(F.col("placa_cargada") != F.col("placa_facturada"), F.lit(False)))
+    good, late = Q.split_rejects(df, [("fecha_fuera_de_alcance", Q.date_in_scope(F.col("fecha"), *years))])
+    good, twice = Q.split_rejects(Q.first_of(good, ["documento"], ["orden"]), [("duplicado", F.col("unico"))])
+    good = good.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
+    return good.drop("placa_cargada_raw", "placa_facturada_raw", "unico"), late.select("documento", "motivo").union(twice.select("documento", "motivo"))
+
+
+def sales(raw: DataFrame, years: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of sale lines, with a flag on odd prices. raw: documento, linea, placa_raw, fecha, kg, precio,
+    canal, id_producto, codigo_scop, orden."""
+    from kilotrace.functions import clean as C
+    from kilotrace.operators import quality as Q
+
+    df = raw.withColumns({"placa_norm": C.plate(F.col("placa_raw"))[0], "codigo_scop": C.some(F.col("codigo_scop"))})
+    good, late = Q.split_rejects(df, [("fecha_fuera_de_alcance", Q.date_in_scope(F.col("fecha"), *years))])
+    good, twice = Q.split_rejects(Q.first_of(good, ["documento", "linea"], ["orden"]), [("duplicado", F.col("unico"))])
+    good = Q.price_in_range(good.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")}), name="_ok")
+    good = good.withColumn("flag_precio_atipico", ~F.col("_ok"))
+    return good.drop("placa_raw", "unico", "_ok"), late.select("documento", "motivo").union(twice.select("documento", "motivo"))
+
+
+def fleet(raw: DataFrame, salt: str) -> DataFrame:
+    """One row a valid plate, the first in ``orden``; drivers as pseudonyms."""
+    from kilotrace.functions import clean as C
+    from kilotrace.operators import quality as Q
+
+    df = raw.withColumns({"placa_norm": C.plate(F.col("placa_raw"))[0], "conductor_hash": C.pseudonym(F.col("conductor"), salt)}).filter("placa_norm is not null")
+    return Q.first_of(df, ["placa_norm"], ["orden"]).filter("unico").select("placa_norm", "capacidad_kg", "habilitada", "conductor_hash")
+
+
+def customers(raw: DataFrame, salt: str) -> DataFrame:
+    """One row a customer: document class, tax number, pseudonym and state."""
+    from kilotrace.functions import clean as C
+    from kilotrace.operators import quality as Q
+
+    doc, kind = C.document(F.col("documento_raw"))
+    df = raw.withColumns({"documento_norm": doc, "clase_documento": kind, "estado": C.state(F.col("estado"))})
+    df = df.withColumns({"ruc": F.when(F.col("clase_documento") == "RUC", F.col("documento_norm")), "ruc_valido": F.col("clase_documento") == "RUC", "documento_hash": C.pseudonym(F.col("documento_norm"), salt)})
+    return Q.first_of(df, ["card_code"], ["orden"]).filter("unico").select("card_code", "ruc", "ruc_valido", "clase_documento", "documento_hash", "capacidad_kg", "canal", "estado")
+
+
+# the newer tables, from sheet rows whose cells are text
+
+def _text(c: str):
+    from kilotrace.functions import clean as C
+
+    return F.upper(C.cell_text(F.lit("s"), F.col(c)))
+
+
+def _num(c: str):
+    from kilotrace.functions import clean as C
+
+    return C.to_kg(F.col(c))
+
+
+def invoices(raw: DataFrame, salt: str) -> DataFrame:
+    """Purchase invoices: swapped dates, kilos (or the sum of both kinds), plate or cost centre, rate flag."""
+    from kilotrace.functions import clean as C
+
+    date, how = C.unswapped(C.to_date(F.lit("s"), F.col("fecha_factura")), F.col("_anio"), F.col("_mes"))
+    plate, _, centre = C.plate6(F.col("placa"))
+    df = raw.select("_anio", "_mes", _text("proveedor").alias("proveedor"), C.some(C.digits(F.col("nro_scop"))).alias("nro_scop"), date.alias("fecha_factura"), how.alias("estado_fecha"), _text("numero").alias("numero"),
+                    _num("kg_glp_e").alias("kg_glp_e"), _num("kg_glp_g").alias("kg_glp_g"), plate.alias("placa_norm"), centre.alias("centro_costo"), _num("tipo_cambio").alias("tipo_cambio"), C.pseudonym(F.col("conductor"), salt).alias("conductor_hash"))
+    both = F.col("kg_glp_e").isNull() & F.col("kg_glp_g").isNull()
+    kg = F.when(~both, F.coalesce("kg_glp_e", F.lit(0.0)) + F.coalesce("kg_glp_g", F.lit(0.0)))
+    return df.withColumns({"kg": kg, "tc_valido": C.rate_valid(F.col("tipo_cambio"))}).withColumnsRenamed({"_anio": "anio", "_mes": "mes"})
+
+
+def orders(raw: DataFrame) -> DataFrame:
+    from kilotrace.functions import clean as C
+
+    loaded, _, _ = C.plate6(F.col("placa_cargada"))
+    billed, dated, _ = C.plate6(F.col("placa_facturada"))
+    df = raw.select(C.to_date(F.lit("s"), F.col("fecha")).alias("fecha"), C.some(C.digits(F.col("nro_scop"))).alias("nro_scop"), _text("producto").alias("producto"), loaded.alias("placa_cargada"), billed.alias("placa_facturada"), dated.alias("fecha_en_placa"), _text("estado").alias("estado"))
+    return df.withColumn("flag_placa_divergente", F.coalesce(F.col("placa_cargada") != F.col("placa_facturada"), F.lit(False)))
+
+
+def units(raw: DataFrame) -> DataFrame:
+    """Vehicle masters; rows without a valid plate are kept."""
+    from kilotrace.functions import clean as C
+
+    return raw.select(F.coalesce(_text("empresa"), "_empresa").alias("empresa"), _text("placa").alias("placa_texto"), C.plate6(F.col("placa"))[0].alias("placa_norm"), _text("clase").alias("clase"), _num("capacidad").alias("capacidad_glp_kg"), C.to_bool(F.col("traslada_gas")).alias("traslada_gas"))
+
+
+def unit_months(raw: DataFrame, salt: str) -> DataFrame:
+    from kilotrace.functions import clean as C
+
+    plate, _, centre = C.plate6(F.col("proyecto"))
+    return raw.select(F.col("_anio").alias("anio"), C.month_number(F.col("mes_texto")).alias("mes"), _text("proyecto").alias("proyecto"), plate.alias("placa_norm"), centre.alias("centro_costo"), _text("articulo").alias("articulo"), _num("kg").alias("kg"), C.pseudonym(F.col("vendedor"), salt).alias("vendedor_hash"))
+
+
+def sale_details(raw: DataFrame, salt: str) -> DataFrame:
+    """Sale lines with kilos as registered, else derived from units, and where they come from."""
+    from kilotrace.functions import clean as C
+
+    date = C.to_date(F.lit("s"), F.col("fecha"))
+    df = raw.select(date.alias("fecha"), C.plate6(F.col("proyecto"))[0].alias("placa_norm"), _text("articulo").alias("articulo"), _text("unidad_medida").alias("unidad_medida"), _num("cantidad").alias("cantidad"), _num("kg").alias("_kg"), C.pseudonym(F.col("cliente"), salt).alias("cliente_id"))
+    lpg = C.is_lpg(F.col("articulo"))
+    derived = F.when(lpg, C.units_to_kg(F.col("unidad_medida"), F.col("cantidad"), F.col("articulo")))
+    stated = F.when(lpg, F.col("_kg"))
+    origin = F.when(stated.isNotNull(), "registrado").when(derived.isNotNull(), "derivado").when(lpg, "sin_conversion").otherwise("no_glp")
+    return df.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha"), "es_glp": lpg, "kg": F.coalesce(stated, derived), "kg_origen": origin}).drop("_kg")

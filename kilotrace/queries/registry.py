@@ -24,7 +24,10 @@ def with_views(sql: str) -> str:
 
     add(sql)
     head = ", ".join(f"{n} AS ({VIEWS[n]})" for n in needed)
-    return f"WITH {head} {sql}" if needed else sql
+    body = sql.strip()
+    if not needed:
+        return body
+    return f"WITH {head}, {body[5:]}" if body.startswith("WITH ") else f"WITH {head} {body}"
 
 
 def query(name: str, sql: str | None = None):
