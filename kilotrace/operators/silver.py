@@ -88,7 +88,8 @@ def invoices(raw: DataFrame, salt: str) -> DataFrame:
     """Purchase invoices: swapped dates, kilos (or the sum of both kinds), plate or cost centre, rate flag."""
     from kilotrace.functions import clean as C
 
-    date, how = C.unswapped(C.to_date(F.lit("s"), F.col("fecha_factura")), F.col("_anio"), F.col("_mes"))
+    raw = raw.withColumn("_fecha", C.to_date(F.lit("s"), F.col("fecha_factura")))
+    date, how = C.unswapped(F.col("_fecha"), F.col("_anio"), F.col("_mes"))
     plate, _, centre = C.plate6(F.col("placa"))
     df = raw.select("_anio", "_mes", _text("proveedor").alias("proveedor"), C.some(C.digits(F.col("nro_scop"))).alias("nro_scop"), date.alias("fecha_factura"), how.alias("estado_fecha"), _text("numero").alias("numero"),
                     _num("kg_glp_e").alias("kg_glp_e"), _num("kg_glp_g").alias("kg_glp_g"), plate.alias("placa_norm"), centre.alias("centro_costo"), _num("tipo_cambio").alias("tipo_cambio"), C.pseudonym(F.col("conductor"), salt).alias("conductor_hash"))
