@@ -52,7 +52,8 @@ def exact_groups(docs: DataFrame, first: int = 64, growth: int = 16) -> DataFram
         best = F.max(F.struct("chars", (-F.col("doc_id")).alias("d"), (-F.col("row")).alias("r")))
         groups = cut.groupBy(*KEYS).agg(F.count("*").alias("n"), best.alias("best")).filter("n > 1")
         shared = scratch.keep(groups.select(*KEYS, "n", (-F.col("best.d")).alias("keep_id"), (-F.col("best.r")).alias("keep_row")))
-        split = cut.join(shared, KEYS, "left").select(
+        # sort-merge at every size: the plan, and so the shuffle, stays in proportion to the input
+        split = cut.join(shared.hint("merge"), KEYS, "left").select(
             "doc_id", "row", "chars", "text_sha256",
             F.coalesce("keep_row", "row").alias("grp"),
             F.when(F.col("n").isNotNull() & ~F.col("ended"), F.col("rest")).alias("rest"),
