@@ -10,9 +10,11 @@ from kilotrace.llm.lines import OP10_SQL, op10_line_dedup
 from kilotrace.llm.lm import op9_lm_scoring
 from kilotrace.llm.packing import op6_best_fit_packing
 from kilotrace.llm.passages import op3_repeated_passages
+from kilotrace.llm.sentencepiece import op1_sentencepiece
 from kilotrace.llm.simhash import op2_simhash
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash": op2_simhash,
     "op3_repeated_passages": op3_repeated_passages,
     "op4_license_scan": op4_license_scan,
