@@ -36,7 +36,9 @@ def rows(grid: DataFrame, row: int, titles: dict[str, str]) -> DataFrame:
     """(sheet, fila, a column for each declared name) below the header; blank rows stay, with nulls."""
     heads = header_map(grid, row, titles).groupBy(*SHEET).agg(F.map_from_entries(F.collect_list(F.struct("nombre", "pos"))).alias("m"))
     at = lambda n: F.get("celdas", F.try_element_at("m", F.lit(n)))["v"]
-    return grid.filter(F.col("fila") > row).join(heads, SHEET).select(*SHEET, "fila", *[F.when(~C.blank(at(n)), at(n)).alias(n) for n in dict.fromkeys(titles.values())])
+    names = list(dict.fromkeys(titles.values()))
+    raw = grid.filter(F.col("fila") > row).join(heads, SHEET).select(*SHEET, "fila", *[at(n).alias(n) for n in names])
+    return raw.select(*SHEET, "fila", *[F.when(~C.blank(F.col(n)), F.col(n)).alias(n) for n in names])
 
 
 def cut_empty(data: DataFrame, names: list[str], longest: int = 3000) -> DataFrame:

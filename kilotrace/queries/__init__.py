@@ -1,6 +1,6 @@
 """The registered queries, one for each operator, and their SQL counterparts."""
 
-from kilotrace.queries import cleaning, evaluation, gold, quality, rules, silver  # noqa: F401
+from kilotrace.queries import cleaning, evaluation, files, gold, grid, quality, rules, silver  # noqa: F401
 from kilotrace.queries.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -19,9 +19,9 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFra
     return spark.read.schema(schema).option("header", True).option("nullValue", "").option("enforceSchema", False).csv(path)
 
 
-def read_rates(spark: SparkSession, path: str) -> DataFrame:
+def read_rates(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """(fecha, tc_oficial, anio, mes) of a rate service's JSON; days without a rate are left out."""
-    periods = spark.read.schema(RATES).option("multiLine", True).json(path).select(F.explode("periods").alias("p"))
+    periods = spark.read.schema(RATES).option("multiLine", multi_line).json(path).select(F.explode("periods").alias("p"))
     number = F.create_map(*[F.lit(x) for i, m in enumerate(RATE_MONTHS, 1) for x in (m, i)])
     part = lambda i: F.regexp_extract("p.name", r"^(\d{1,2})\.(\w{3})\.(\d{2})$", i)
     year = part(3).try_cast("int")
@@ -136,3 +136,15 @@ def create_external(spark: SparkSession, name: str, path: str, schema: StructTyp
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(by)}) LOCATION '{path}'")
     spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share: under ``spark.checkpoint.dir``, or where that is unset one of our own."""
+    import tempfile
+    import uuid
+
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="kilotrace-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
