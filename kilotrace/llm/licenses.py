@@ -101,7 +101,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     """(doc_id, license, start_word, end_word, matched, template_words, coverage), a row for each place in a text.
 
     Words are numbered from 0 among the text's space-separated words; the end is exclusive. The inverted index of the
-    templates' fingerprints goes to every task (its size depends on the templates alone); a text takes one pass.
+    templates' fingerprints goes to every task (its size depends on the templates alone); a text takes one pass. The alignment's band is a sixth of the template and
+    one word, ``band`` at most, so that a short template's alignment doesn't reach into the next copy.
     A template must have ``run + window - 1`` words at least, so that every text that holds it shares a fingerprint.
     """
     chosen = TEMPLATES if templates is None else templates
@@ -120,12 +121,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
         seen: dict[int, list[int]] = {}
         for key, at in anchors:
             for t, place in index[key]:
-                shift = at - place
-                if any(abs(shift - s) <= band // 2 for s in seen.get(t, [])[-4:]):
+                shift, own = at - place, min(band, 1 + len(bodies[t]) // 6)
+                if any(abs(shift - s) <= own // 2 for s in seen.get(t, [])[-4:]):
                     continue
                 seen.setdefault(t, []).append(shift)
-                low = max(0, shift - band)
-                m, a, b = align(words[low : shift + len(bodies[t]) + band], bodies[t], shift - low, band)
+                low = max(0, shift - own)
+                m, a, b = align(words[low : shift + len(bodies[t]) + own], bodies[t], shift - low, own)
                 if m >= coverage * len(bodies[t]):
                     if (t, low + a) not in found or found[t, low + a][3] < m:
                         found[t, low + a] = (t, low + a, low + b, m)
