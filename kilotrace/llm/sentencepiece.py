@@ -13,6 +13,7 @@ one eighth block, which marks spaces, as a space). Repeated rows are encoded ali
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 import zlib
@@ -125,8 +126,8 @@ def _blocks(docs: DataFrame, model: str, block_bytes: int, words_only: bool) ->
             if words_only:
                 return pa.RecordBatch.from_arrays([pa.array(np.full(len(known), block)), pa.array(np.arange(len(known), dtype=np.int32)), pa.array(list(known), pa.string())], names=["block", "at", "word"])
             every = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
-            cells = [block, np.array(ids, np.int64).tobytes(), np.array(lengths, np.int32).tobytes(), packer.compress(every.tobytes())]
-            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, [pa.int64(), *[pa.binary()] * 3], strict=True)], names=["block", "ids", "lengths", "tokens"])
+            cells = [block, np.array(ids, np.int64).tobytes(), np.array(lengths, np.int32).tobytes(), packer.compress(every.tobytes()), list(known)]
+            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, [pa.int64(), *[pa.binary()] * 3, pa.list_(pa.string())], strict=True)], names=["block", "ids", "lengths", "tokens", "words"])
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -145,66 +146,65 @@ def _blocks(docs: DataFrame, model: str, block_bytes: int, words_only: bool) ->
         if size or ids:
             yield flush()
 
-    kinds = "block long, at int, word string" if words_only else "block long, ids binary, lengths binary, tokens binary"
+    kinds = "block long, at int, word string" if words_only else "block long, ids binary, lengths binary, tokens binary, words array<string>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, kinds)
 
 
-def _folded(edges: Column, length: Column) -> Column:
-    """The ids of a word from its lattice (rank, start, ends, inner, id, late), in the order of merges.
+#: A lattice edge is one long: rank, start, end and whether it is late, from the highest bits down.
+RANK, START, END = 1 << 20, 1 << 10, 1 << 2
 
-    An edge merges two pieces if both its ends are boundaries and one boundary lies between. One pass over the edges is
-    exact unless a piece can also be made of pieces that come later; with such an edge, each merge looks anew.
-    """
-    ends_met = lambda b, e: b.bitwiseAND(e["ends"]) == e["ends"]
-    inside = lambda b, e: F.bit_count(b.bitwiseAND(e["inner"]))
-    fits = lambda b, e: ends_met(b, e) & (inside(b, e) == 1)
-    start = F.call_function("shiftleft", F.lit(1).cast("long"), length + 1) - 1
-    several = F.filter(edges, lambda e: e["inner"] != 0)
-    once = F.aggregate(several, start, lambda b, e: F.when(fits(b, e), b.bitwiseAND(F.bitwise_not(e["inner"]))).otherwise(b))
 
-    def step(b: Column) -> Column:
-        best = F.get(F.filter(several, lambda e: fits(b, e)), F.lit(0))
-        return F.coalesce(b.bitwiseAND(F.bitwise_not(best["inner"])), b)
+def _folded(edges: Column, length: Column) -> Column:
+    """The mask of a word's boundaries (bit i: before character i) after all merges of its lattice.
 
-    again = F.aggregate(F.sequence(F.lit(1), length), start, lambda b, _: step(b))
-    return F.when(F.exists(edges, lambda e: e["late"]), again).otherwise(once)
+    ``edges`` are sorted by rank, then start. An edge merges two pieces if both its ends are boundaries and one boundary
+    lies between. One pass over the edges is exact unless a piece can also be made of pieces that come later; with
+    such an edge, each merge looks anew for the best one.
+    """
+    one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.cast("int"))
+    start, end = lambda x: F.shiftright(x, 10).bitwiseAND(F.lit(1023)), lambda x: F.shiftright(x, 2).bitwiseAND(F.lit(255))
+    masks = F.transform(edges, lambda x: F.struct((one(start(x)) + one(end(x))).alias("ends"), (one(end(x)) - one(start(x) + 1)).alias("inner")))
+    fits = lambda b, e: (b.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(b.bitwiseAND(e["inner"])) == 1)
+    merge = lambda b, e: b.bitwiseAND(F.bitwise_not(e["inner"]))
+    every = one(length + 1) - 1
+    once = F.aggregate(masks, every, lambda b, e: F.when(fits(b, e), merge(b, e)).otherwise(b))
+    anew = F.aggregate(F.sequence(F.lit(1), length), every, lambda b, _: F.coalesce(merge(b, F.get(F.filter(masks, lambda e: fits(b, e)), F.lit(0))), b))
+    return F.when(F.exists(edges, lambda x: x % 2 == 1), anew).otherwise(once)
 
 
-def word_ids(words: DataFrame, model: str) -> DataFrame:
-    """(word, ids) of distinct ``words`` (word), of up to LONGEST characters, that have any piece.
+def word_masks(words: DataFrame, model: str) -> DataFrame:
+    """(word, cuts) of distinct ``words`` (word) of up to LONGEST characters: the mask of piece boundaries. Words that
+    no merge applies to are left out.
 
     The piece table has as many rows as the vocabulary and is broadcast. Words are spread by hash once; exploding,
     joining and grouping stay within that partitioning.
     """
     pieces = load(model)
     spark = words.sparkSession
-    rows = [(p, pieces.ranks[p], i, p in pieces.late) for p, i in pieces.ids.items()]
-    table = F.broadcast(spark.createDataFrame(rows, "piece string, rank int, id int, late boolean"))
-    one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x)
-    each = words.select("word").filter(F.length("word") <= LONGEST).distinct().withColumn("n", F.length("word"))
-    starts = each.select("word", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
-    spans = starts.select("word", "n", "s", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("n"), F.col("s") + pieces.longest))).alias("e"))
+    rows = [(p, pieces.ranks[p] * RANK + (p in pieces.late)) for p in pieces.ids if len(p) > 1]
+    table = F.broadcast(spark.createDataFrame(rows, "piece string, rank long"))
+    each = words.select("word").filter(F.length("word") <= LONGEST).distinct().select("word", F.xxhash64("word").alias("h"), F.length("word").alias("n")).filter("n > 1")
+    starts = each.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 2)).alias("s"))
+    spans = starts.select("*", F.explode(F.sequence(F.col("s") + 2, F.least(F.col("n"), F.col("s") + pieces.longest))).alias("e"))
     lattice = spans.withColumn("piece", F.substring("word", F.col("s") + 1, F.col("e") - F.col("s"))).join(table, "piece")
-    edge = F.struct("rank", "s", (one(F.col("s")) + one(F.col("e"))).alias("ends"), (one(F.col("e")) - one(F.col("s") + 1)).alias("inner"), "id", "late")
-    grouped = lattice.groupBy("word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    cut = grouped.withColumn("b", _folded(F.col("edges"), F.col("n")))
-    b = F.col("b")
-    used = F.filter("edges", lambda e: (b.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(b.bitwiseAND(e["inner"])) == 0))
-    return cut.select("word", F.transform(F.array_sort(F.transform(used, lambda e: F.struct(e["s"].alias("s"), e["id"].alias("id")))), lambda e: e["id"]).alias("ids"))
+    edge = F.col("rank") + F.col("s") * START + F.col("e") * END
+    grouped = lattice.groupBy("h", "word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    return grouped.select("word", _folded(F.col("edges"), F.col("n")).alias("cuts"))
 
 
-def encode(docs: DataFrame, model: str, block_bytes: int = 32 << 20) -> DataFrame:
+def encode(docs: DataFrame, model: str, block_bytes: int = 16 << 20, then=None) -> DataFrame:
     """(doc_id, ids array<int>) of ``docs`` (doc_id, text), as the library encodes.
 
-    Documents are taken in blocks of bounded size. Only a block's distinct words and its compressed word numbers are
-    shuffled; the corpus's distinct words are encoded once.
+    Documents are taken in blocks of bounded size. Only a block's distinct words, their masks and the compressed word
+    numbers are shuffled; the corpus's distinct words are encoded once. ``then``: a (function of record batches, schema)
+    that the same tasks apply to the result.
     """
     scratch = Scratch(docs.sparkSession, "pieces")
     words = scratch.keep(_blocks(docs, model, block_bytes, True))
-    known = scratch.keep(word_ids(words, model))
-    spelt = words.join(known.hint("merge"), "word").groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("spelt"))
-    rest = words.join(known.hint("merge"), "word", "left_anti").groupBy("block").agg(F.collect_list(F.struct("at", "word")).alias("rest"))
-    ready = _blocks(docs, model, block_bytes, False).join(spelt, "block", "left").join(rest, "block", "left")
+    known = scratch.keep(word_masks(words, model))
+    cuts = words.join(known.hint("merge"), "word").groupBy("block").agg(F.collect_list(F.struct("at", "cuts")).alias("cuts"))
+    ready = _blocks(docs, model, block_bytes, False).join(cuts, "block", "left")
+    after, kinds = then or (lambda x: x, "doc_id long, ids array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
@@ -212,30 +212,49 @@ def encode(docs: DataFrame, model: str, block_bytes: int = 32 << 20) -> DataFram
             for i in range(batch.num_rows):
                 ids, lengths = np.frombuffer(batch.column(1)[i].as_py(), np.int64), np.frombuffer(batch.column(2)[i].as_py(), np.int32)
                 tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(3)[i].as_py()), np.int32)
-                at, flat, sizes = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
-                if batch.column(4)[i].is_valid:
-                    found = batch.column(4)[i].values
-                    lists = found.field("ids")
-                    at, sizes = found.field("at").to_numpy().astype(np.int64), np.diff(lists.offsets.to_numpy().astype(np.int64))
-                    flat = lists.flatten().to_numpy()
-                more = [(r["at"], pieces.merged(r["word"])) for r in (batch.column(5)[i].as_py() or [])]
-                at = np.concatenate([at, np.array([a for a, _ in more], np.int64)])
-                flat = np.concatenate([flat, np.array([x for _, w in more for x in w], np.int32)])
-                sizes = np.concatenate([sizes, np.array([len(w) for _, w in more], np.int64)])
+                every = batch.column(4)[i].as_py()
+                masks = np.zeros(len(every), np.int64)
+                if batch.column(5)[i].is_valid:
+                    found = batch.column(5)[i].values
+                    masks[found.field("at").to_numpy()] = found.field("cuts").to_numpy()
+                flat, sizes = [], np.empty(len(every), np.int64)
+                for k, (word, mask) in enumerate(zip(every, masks.tolist(), strict=True)):
+                    before = len(flat)
+                    if len(word) > LONGEST:
+                        flat += pieces.merged(word)
+                    elif mask:
+                        a, mask = 0, mask >> 1
+                        while mask:
+                            b = a + (mask & -mask).bit_length()
+                            flat += pieces.spelt(word[a:b])
+                            mask >>= b - a
+                            a = b
+                    else:
+                        for c in word:
+                            flat += pieces.spelt(c)
+                    sizes[k] = len(flat) - before
+                flat = np.array(flat, np.int32)
                 starts = np.cumsum(sizes) - sizes
-                size_of, start_of = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-                size_of[at], start_of[at] = sizes, starts
                 ends = np.concatenate([[0], np.cumsum(lengths.astype(np.int64))])
-                for a in range(0, len(ids), 1000):  # a thousand documents at a time
-                    b = min(a + 1000, len(ids))
+                for a in range(0, len(ids), 500):  # so many documents at a time
+                    b = min(a + 500, len(ids))
                     own = tokens[ends[a] : ends[b]]
-                    n = size_of[own]
+                    n = sizes[own]
                     total = np.concatenate([[0], np.cumsum(n)])
-                    out = flat[np.repeat(start_of[own] - total[:-1], n) + np.arange(total[-1])]
+                    out = flat[np.repeat(starts[own] - total[:-1], n) + np.arange(total[-1])]
                     offsets = total[ends[a : b + 1] - ends[a]]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[a:b]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))], names=["doc_id", "ids"])
+                    yield after(pa.RecordBatch.from_arrays([pa.array(ids[a:b]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))], names=["doc_id", "ids"]))
 
-    return ready.select("block", "ids", "lengths", "tokens", "spelt", "rest").mapInArrow(run, "doc_id long, ids array<int>")
+    return ready.select("block", "ids", "lengths", "tokens", "words", "cuts").mapInArrow(run, kinds)
+
+
+def spelling(ids: pa.Array, pieces: Pieces) -> list[bytes | None]:
+    """The UTF-8 bytes that lists of ids spell, without the space that encoding puts first."""
+    spell, out = pieces.spelling.__getitem__, []
+    for x in ids:
+        raw = b"".join(map(spell, x.values.to_pylist())) if x.is_valid else None
+        out.append(raw[1:] if raw and raw[:1] == b" " else raw)
+    return out
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
@@ -243,13 +262,8 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     names, at = encoded.columns, encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = load(model).spelling.__getitem__
         for batch in batches:
-            out = []
-            for x in batch.column(at):
-                raw = b"".join(map(spell, x.values.to_pylist())) if x.is_valid else None
-                out.append(raw[1:] if raw and raw[:1] == b" " else raw)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spelling(batch.column(at), load(model)), pa.binary())], names=[*names, "decoded"])
 
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))
 
@@ -260,10 +274,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     model = public_tokenizers.path("piece_bpe_32k.model")
 
-    def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in batch.column(1)], pa.int64()), pa.array(sums, pa.int64()), batch.column(2)], names=["doc_id", "n_ids", "ids_crc32", "decoded"])
+    def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = batch.column(1)
+        sums = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) for x in ids]
+        back = [hashlib.sha256(x).hexdigest() for x in spelling(ids, load(model))]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(sums, pa.int64()), pa.array(back)], names=["doc_id", "n_ids", "ids_crc32", "decoded_sha256"])
 
-    out = decode(encode(documents(spark, sf_dir), model), model).mapInArrow(crc, "doc_id long, n_ids long, ids_crc32 long, decoded binary")
-    return out.select("doc_id", "n_ids", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode(documents(spark, sf_dir), model, then=(digest, "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string"))
