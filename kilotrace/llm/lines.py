@@ -94,7 +94,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
     Equal lines are counted once, under a digest of their words combined before the shuffle, so a line in a third of
     all documents is one row. Only lines that share an end with another go on to the deletion neighbourhood; the keys
     of a place's variants put all lines that differ there into one group, and each is linked with the group's earliest
-    alone. Links join words with words for the exact check. Both text shuffles are by document.
+    alone. Links join words with words for the exact check. Joins are sort-merge at every size, so that the shuffle stays
+    in proportion to the input.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
@@ -107,24 +108,24 @@ def dedup_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
 
     ends = firsts.select("place", F.explode("halves").alias("half"))
     shared = scratch.keep(ends.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"))
-    some = scratch.keep(ends.join(shared, "half").select("place._row", "place.pos").distinct())
-    lines = each.join(some, ["_row", "pos"]).select(place.alias("place"), _words(line).alias("words"))
+    some = scratch.keep(ends.join(shared.hint("merge"), "half").select("place._row", "place.pos").distinct())
+    lines = each.join(some.hint("merge"), ["_row", "pos"]).select(place.alias("place"), _words(line).alias("words"))
     lines = scratch.keep(_hashed(lines))
 
     replaced = scratch.keep(lines.select("place", F.explode(_replaced()).alias("key")))
     first = scratch.keep(replaced.groupBy("key").agg(F.min("place").alias("early"), F.count("*").alias("n")).filter("n > 1").select("key", "early"))
-    pairs = replaced.join(first, "key").select(F.col("place").alias("late"), "early").filter("late != early").distinct()
+    pairs = replaced.join(first.hint("merge"), "key").select(F.col("place").alias("late"), "early").filter("late != early").distinct()
     whole = lines.select(F.col("place").alias("whole"), _whole().alias("key"))
     cut = lines.select(F.col("place").alias("cut"), F.explode(_shorter()).alias("key"))
-    pairs = pairs.union(whole.join(cut, "key").select(F.greatest("whole", "cut"), F.least("whole", "cut")).distinct())
+    pairs = pairs.union(whole.hint("merge").join(cut, "key").select(F.greatest("whole", "cut"), F.least("whole", "cut")).distinct())
     pairs = scratch.keep(pairs)
-    word = lambda name, as_: lines.select(F.col("place").alias(name), F.col("words").alias(as_))
+    word = lambda name, as_: lines.select(F.col("place").alias(name), F.col("words").alias(as_)).hint("merge")
     near = pairs.join(word("late", "a"), "late").join(word("early", "b"), "early").filter(_within_one(F.col("a"), F.col("b")))
     near = scratch.keep(near.select(F.col("late").alias("place")).distinct())
     scratch.drop(replaced, first, lines, pairs)
 
-    stay = scratch.keep(firsts.join(near, "place", "left_anti").groupBy(F.col("place._row").alias("_row")).agg(F.collect_list("place.pos").alias("stay")))
-    whole = numbered.join(stay, "_row", "left").withColumn("_all", _split(F.col("text")))
+    stay = scratch.keep(firsts.join(near.hint("merge"), "place", "left_anti").groupBy(F.col("place._row").alias("_row")).agg(F.collect_list("place.pos").alias("stay")))
+    whole = numbered.join(stay.hint("merge"), "_row", "left").withColumn("_all", _split(F.col("text")))
     blank = F.filter(F.sequence(F.lit(0), F.size("_all") - 1), lambda i: _blank(F.get("_all", i)))
     stay = F.coalesce("stay", F.array().cast("array<int>"))
     whole = whole.withColumns({"_blank": blank, "_stay": stay})
