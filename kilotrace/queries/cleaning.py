@@ -196,6 +196,16 @@ def is_total_row_is_lpg(spark, sf_dir):
     return sql(spark, sf_dir, RAW_LINE).select("p_partkey", C.is_total(F.col("celda")).alias("total"), C.is_lpg(F.col("celda")).alias("glp"))
 
 
+@query("is_total_row", f"SELECT p_partkey, regexp_matches(upper(strip_accents(trim(celda))), '^(TOTAL|SUBTOTAL|SUMA )') AS total FROM ({RAW_LINE})")
+def is_total_row(spark, sf_dir):
+    return sql(spark, sf_dir, RAW_LINE).select("p_partkey", C.is_total(F.col("celda")).alias("total"))
+
+
+@query("is_lpg", rf"SELECT p_partkey, regexp_matches(upper(strip_accents(celda)), '\bGLP\b') AS glp FROM ({RAW_LINE})")
+def is_lpg(spark, sf_dir):
+    return sql(spark, sf_dir, RAW_LINE).select("p_partkey", C.is_lpg(F.col("celda")).alias("glp"))
+
+
 RAW_NAME = "SELECT p_partkey, concat('Código  N° ', p_name, ' / ', lower(p_type), '#.v', CAST(p_size AS string)) AS celda FROM part"
 
 

@@ -56,6 +56,16 @@ def filter_years_product(spark, sf_dir):
     return G.sums(mov)
 
 
+@query("filter_years", f"SELECT documento, linea, anio, kg_comprados FROM mov WHERE anio IN ({PILOT - 1}, {PILOT})")
+def filter_years(spark, sf_dir):
+    return table(spark, sf_dir, "mov").filter(F.col("anio").isin(PILOT - 1, PILOT)).select("documento", "linea", "anio", "kg_comprados")
+
+
+@query("filter_product", "SELECT documento, linea, id_producto, kg_vendidos FROM mov WHERE id_producto = 'ECONOMY'")
+def filter_product(spark, sf_dir):
+    return table(spark, sf_dir, "mov").filter(F.col("id_producto") == "ECONOMY").select("documento", "linea", "id_producto", "kg_vendidos")
+
+
 @query("scan_declared_parquet", f"SELECT placa_norm, fecha, kg_comprados, kg_vendidos FROM mov WHERE anio IN ({PILOT}, {PILOT + 1})")
 def scan_declared_parquet(spark, sf_dir):
     return table(spark, sf_dir, "mov").filter(F.col("anio").isin(PILOT, PILOT + 1)).select("placa_norm", "fecha", "kg_comprados", "kg_vendidos")
@@ -296,6 +306,17 @@ def top_n(spark, sf_dir):
     return table(spark, sf_dir, "ventas").orderBy(F.desc("kg"), "documento", "linea", "fecha", "placa_norm", "precio").limit(20).select("documento", "linea", "placa_norm", "kg", "fecha")
 
 
+@query("inspect", "SELECT documento, linea, fecha, kg FROM ventas ORDER BY fecha, documento, linea, kg, precio LIMIT 5")
+def inspect(spark, sf_dir):
+    return table(spark, sf_dir, "ventas").orderBy("fecha", "documento", "linea", "kg", "precio").limit(5).select("documento", "linea", "fecha", "kg")
+
+
+@query("price_notes", "SELECT CAST(year(ts) AS int) AS anio, CAST(month(ts) AS int) AS mes, event_type, count(*) AS notas, round(avg(value), 4) AS media FROM events GROUP BY ALL")
+def price_notes(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.groupBy(F.year("ts").alias("anio"), F.month("ts").alias("mes"), "event_type").agg(F.count("*").alias("notas"), F.round(F.avg("value"), 4).alias("media"))
+
+
 @query("valid_plate_only", "SELECT count(*) AS filas FROM mov WHERE placa_norm IS NOT NULL")
 def valid_plate_only(spark, sf_dir):
     return table(spark, sf_dir, "mov").filter("placa_norm is not null").agg(F.count("*").alias("filas"))

@@ -67,6 +67,17 @@ def dup_first_dup_all(spark, sf_dir):
     return out.select(*key, "l_partkey", (~F.col("unico")).alias("posterior"), "repetida")
 
 
+@query("dup_first", f"SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {ORDER}) AS r FROM lineas) WHERE r > 1")
+def dup_first(spark, sf_dir):
+    return Q.first_of(table(spark, sf_dir, "lineas"), ["l_orderkey", "l_linenumber"], ORDER.split(", ")).filter("not unico").select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("dup_all", "SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineas) WHERE n > 1")
+def dup_all(spark, sf_dir):
+    key = ["l_orderkey", "l_linenumber"]
+    return Q.repeated(table(spark, sf_dir, "lineas"), key).filter("llave_repetida").select(*key, "l_partkey")
+
+
 REGISTRY = f"SELECT DISTINCT {DIGITS} AS ruc FROM maestro WHERE CAST(card_code AS int) % 2 = 1"
 
 
