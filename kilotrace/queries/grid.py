@@ -118,6 +118,6 @@ def header_warnings(spark, sf_dir):
     return R.header_warnings(R.headers(grid(spark, sf_dir)))
 
 
-@query("inventory_summary", f"SELECT count(DISTINCT archivo) AS archivos, count(DISTINCT (archivo, hoja)) AS hojas, 0 AS dudosas FROM ({BASE})")
+@query("inventory_summary", f"SELECT count(DISTINCT archivo) AS archivos, count(DISTINCT (archivo, hoja)) AS hojas, 0::BIGINT AS dudosas FROM ({BASE})")
 def inventory_summary(spark, sf_dir):
     return R.pick_header(grid(spark, sf_dir)).agg(F.count_distinct("archivo").alias("archivos"), F.count("*").alias("hojas"), F.count_if("dudoso").alias("dudosas"))

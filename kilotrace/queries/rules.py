@@ -12,7 +12,7 @@ from kilotrace.sources.domain import PILOT, table
 P = PILOT
 
 
-def alert_sql(signal: str, plate: str, source: str, score: str = "1.0") -> str:
+def alert_sql(signal: str, plate: str, source: str, score: str = "1e0") -> str:
     return f"""SELECT substr(md5(concat_ws('|', '{signal}', documento, coalesce({plate}, 'None'))), 1, 12) AS id_alerta, '{signal}' AS senal, 'regla' AS tipo, fecha,
       {plate} AS placa_norm, documento, kg, kg * 2.1 AS valor_soles, round({score}, 6) AS puntaje, '{S.CATALOGUE[signal][1]}' AS grado_evidencia, 'pendiente' AS estado_revision, anio, mes FROM {source}"""
 
@@ -94,13 +94,13 @@ OCTOBER = f"fecha BETWEEN DATE '{P - 1}-10-01' AND DATE '{P - 1}-10-31'"
 YEAR = f"anio = {P}"
 
 
-def emit_sql(signal: str, source: str, reason: str, score: str = "1.0", kind: str = "'regla'", kg: str = "kg", bill: bool = True, unit: bool = True, value: str = "CAST(NULL AS DOUBLE)", date: str = "fecha", role: bool = False) -> str:
+def emit_sql(signal: str, source: str, reason: str, score: str = "1e0", kind: str = "'regla'", kg: str = "kg", bill: bool = True, unit: bool = True, value: str = "CAST(NULL AS DOUBLE)", date: str = "fecha", role: bool = False) -> str:
     res, grade, sources = S.RULES[signal]
     unit_key = "concat('\"', unidad_id, '\"')" if unit else "'null'"
     bill_key = "concat('\"', factura_id, '\"')" if bill else "'null'"
     return f"""SELECT substr(sha256(concat('["{signal}", "', tipo_, '", "{res}", "', CAST({date} AS string), ' 00:00:00", ', {unit_key}, ', ', {bill_key}, ', "', motivo_, '"]')), 1, 24) AS id_alerta,
-      '{signal}' AS senal, tipo_ AS tipo, '{res}' AS resolucion, {date} AS fecha, {'unidad_id' if unit else 'NULL'} AS unidad_id, {'rol' if role else 'NULL'} AS rol, {'factura_id' if bill else 'NULL'} AS factura_id,
-      {'codigo_scop' if bill and unit else 'NULL'} AS codigo_scop, {kg} AS kg, {value} AS valor_soles, round({score}, 6) AS puntaje, '{grade}' AS grado_evidencia, 'pendiente' AS estado_revision, motivo_ AS motivo, '{sources}' AS fuentes,
+      '{signal}' AS senal, tipo_ AS tipo, '{res}' AS resolucion, {date} AS fecha, {'unidad_id' if unit else 'CAST(NULL AS VARCHAR)'} AS unidad_id, {'rol' if role else 'CAST(NULL AS VARCHAR)'} AS rol, {'factura_id' if bill else 'CAST(NULL AS VARCHAR)'} AS factura_id,
+      {'codigo_scop' if bill and unit else 'CAST(NULL AS VARCHAR)'} AS codigo_scop, {kg} AS kg, {value} AS valor_soles, round({score}, 6) AS puntaje, '{grade}' AS grado_evidencia, 'pendiente' AS estado_revision, motivo_ AS motivo, '{sources}' AS fuentes,
       CAST(year({date}) AS INT) AS anio, CAST(month({date}) AS INT) AS mes FROM (SELECT *, {kind} AS tipo_, {reason} AS motivo_ FROM {source})"""
 
 
