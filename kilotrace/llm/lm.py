@@ -75,10 +75,9 @@ class Filter:
         for i in range(self.probes):
             yield starts + (first + np.uint64(i) * step) % sizes
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        """The middle of the counts of each key's highest level; 0 where level 1 is missing."""
+    def count(self, keys: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        """The middle of the counts of each key's highest level in its slice; 0 where level 1 is missing."""
         out, left, level = np.zeros(len(keys)), np.arange(len(keys)), 1
-        parts = (keys % np.uint64(len(self.sizes))).astype(np.int64)
         while len(left):
             there = np.ones(len(left), bool)
             for at in self._places(keys[left], parts[left], level):
@@ -89,43 +88,72 @@ class Filter:
         return out
 
 
-BLOCK = "block long, ids binary, held binary, lengths binary, tokens binary, hashes binary, words array<binary>, learnt array<long>"
+BLOCK = "block long, ids binary, held binary, lengths binary, tokens binary, words array<binary>, learnt array<long>"
+#: Bits of a pair's key within its slice. Slices have bounded numbers of keys, so at any size few keys meet by chance.
+KEY = np.uint64((1 << 40) - 1)
 
 
-def _blocks(docs: DataFrame, rows: int) -> DataFrame:
+#: Above every count of a word.
+COUNT = 1 << 42
+#: Tokens scored at once.
+CHUNK = 1 << 19
+
+
+def _packed(tokens: np.ndarray) -> bytes:
+    """Word numbers, byte plane by byte plane: the high bytes of frequent words' small numbers cost next to nothing."""
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(tokens.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+
+
+def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Blocks of documents, dictionary-coded: each distinct word once, and the texts as compressed word numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, made = zstandard.ZstdCompressor(level=1), 0
+        made = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)) // block_bytes
+            cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1), batch.num_rows]
+            for at, to in zip(cuts, cuts[1:], strict=False):
+                part = batch.slice(at, to - at)
                 lists = pc.ascii_split_whitespace(pc.ascii_lower(part.column(1)))
                 words, ends = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
                 filled = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # ends of a text give empty words
                 before = np.concatenate([[0], np.cumsum(filled)])[ends - ends[0]]
                 coded = words.filter(pa.array(filled)).dictionary_encode()
-                known = [END, *(w.encode() for w in coded.dictionary.to_pylist())]
+                indices = coded.indices.to_numpy()
+                order = np.argsort(-np.bincount(indices, minlength=len(coded.dictionary)), kind="stable")  # frequent words first
+                rank = np.empty(len(order), np.int32)
+                rank[order] = np.arange(1, len(order) + 1)
+                known = [END, *(w.encode() for w in coded.dictionary.take(pa.array(order)).to_pylist())]
                 lengths = np.diff(before) + 1
                 closing = np.zeros(lengths.sum(), bool)
                 closing[np.cumsum(lengths) - 1] = True
                 tokens = np.zeros(len(closing), np.int32)
-                tokens[~closing] = coded.indices.to_numpy() + 1
+                tokens[~closing] = rank[indices]
                 held = np.array(part.column(2).to_pylist(), bool)
                 learnt = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(known))
-                hashes = np.array([xxhash.xxh64_intdigest(w) for w in known], np.uint64)
                 ids = np.array([-1 if x is None else x for x in part.column(0).to_pylist()], np.int64)
-                row = [TaskContext.get().partitionId() << 33 | made, ids.tobytes(), held.tobytes(), lengths.astype(np.int32).tobytes(), packer.compress(tokens.tobytes()), hashes.tobytes(), known, learnt.tolist()]
+                row = [TaskContext.get().partitionId() << 33 | made, ids.tobytes(), held.tobytes(), lengths.astype(np.int32).tobytes(), _packed(tokens), known, learnt.tolist()]
                 made += 1
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), *[pa.binary()] * 5, pa.list_(pa.binary()), pa.list_(pa.int64())], strict=True)], names=["block", "ids", "held", "lengths", "tokens", "hashes", "words", "learnt"])
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), *[pa.binary()] * 4, pa.list_(pa.binary()), pa.list_(pa.int64())], strict=True)], names=["block", "ids", "held", "lengths", "tokens", "words", "learnt"])
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")), F.col("held_out")).mapInArrow(run, BLOCK)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one at a time: each is a block."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """ids, held, lengths, tokens, hashes of a block."""
-    tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.int32)
-    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["held"], bool), np.frombuffer(row["lengths"], np.int32), tokens, np.frombuffer(row["hashes"], np.uint64)
+    """ids, held, lengths, tokens and the hashes of the words of a block."""
+    tokens = _unpacked(row["tokens"])
+    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["held"], bool), np.frombuffer(row["lengths"], np.int32), tokens, np.array([xxhash.xxh64_intdigest(w) for w in row["words"]], np.uint64)
 
 
 def _context(tokens: np.ndarray, lengths: np.ndarray, values: np.ndarray, start) -> np.ndarray:
@@ -136,11 +164,16 @@ def _context(tokens: np.ndarray, lengths: np.ndarray, values: np.ndarray, start)
     return before
 
 
+def _sliced(keys: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
+    """The slice of each pair, and its key there."""
+    return (keys % np.uint64(slices)).astype(np.int64), (keys >> np.uint64(20)) & KEY
+
+
 def _group(hashes: np.ndarray, groups: int) -> np.ndarray:
     return (_mixed(hashes) % np.uint64(groups)).astype(np.int64)
 
 
-def score(docs: DataFrame, prior: float = 20.0, bits_per_item: int = 10, probes: int = 5, filter_bytes: int = 256 << 20, rows: int = 1000) -> DataFrame:
+def score(docs: DataFrame, prior: float = 500.0, bits_per_item: int = 10, probes: int = 5, filter_bytes: int = 256 << 20, block_bytes: int = 12 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of ``docs`` (doc_id, text, held_out).
 
     Documents with held_out false teach. Blocks of documents carry each of their words once: word counts come from an
@@ -154,43 +187,48 @@ def score(docs: DataFrame, prior: float = 20.0, bits_per_item: int = 10, probes:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
-    blocks = scratch.keep(_blocks(docs, rows))
+    blocks = scratch.keep(_blocks(docs, block_bytes))
     counts = blocks.select(F.explode(F.arrays_zip("words", "learnt")).alias("x")).select("x.*").filter("learnt > 0").groupBy("words").agg(F.sum("learnt").alias("c"))
     counts = scratch.keep(counts)
     total, vocabulary, teachers = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.max(F.when(F.col("words") == F.lit(END), F.col("c"))), F.lit(0))).first()
     groups = max(1, math.ceil(total * bits_per_item / 8 / filter_bytes))
-    slices = max(8, math.ceil(total / groups / 2_000_000))
+    slices = max(8, math.ceil(total / groups / 1_500_000))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 _, held, lengths, tokens, hashes = _read(row)
                 use = np.repeat(~held, lengths)
-                keys = _pairs(_context(tokens, lengths, hashes, START)[use], hashes[tokens[use]])
-                of = _group(hashes, groups)[tokens[use]] * slices + (keys % np.uint64(slices)).astype(np.int64)
+                part, keys = _sliced(_pairs(_context(tokens, lengths, hashes, START)[use], hashes[tokens[use]]), slices)
+                of = _group(hashes, groups)[tokens[use]] * slices + part
                 order = np.lexsort((keys, of))
                 keys, of = keys[order], of[order]
-                new = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]
+                new = np.ones(len(keys), bool)
+                new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
                 at = np.flatnonzero(new)
                 n, keys, of = np.diff(np.append(at, len(new))).astype(np.uint32), keys[at], of[at]
                 cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])[: len(of)])
                 spans = list(zip(cuts, [*cuts[1:], len(of)], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array([int(of[a]) for a, _ in spans], pa.int64()), pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([packer.compress(n[a:b].tobytes()) for a, b in spans], pa.binary())], names=["slice", "keys", "n"])
+                low, high = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), (keys >> np.uint64(32)).astype(np.uint8)
+                columns = [[low[a:b].tobytes() for a, b in spans], [packer.compress(high[a:b].tobytes()) for a, b in spans], [packer.compress(n[a:b].tobytes()) for a, b in spans]]
+                yield pa.RecordBatch.from_arrays([pa.array([int(of[a]) for a, _ in spans], pa.int64()), *[pa.array(c, pa.binary()) for c in columns]], names=["slice", "low", "high", "n"])
 
     def build(key, table):
-        keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table["keys"]])
-        n = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint32) for x in table["n"]])
+        packed = lambda name, kind: np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind) for x in table[name]])
+        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in table["low"]]).astype(np.uint64) | packed("high", np.uint8).astype(np.uint64) << np.uint64(32)
+        n = packed("n", np.uint32)
         keys, back = np.unique(keys, return_inverse=True)
         size, bits = Filter.of(keys, np.bincount(back, n), bits_per_item, probes)
         return pd.DataFrame({"slice": [key[0]], "size": [size], "bits": [bits]})
 
-    read = blocks.select("ids", "held", "lengths", "tokens", "hashes")
-    made = read.mapInArrow(pairs, "slice long, keys binary, n binary").groupBy("slice").applyInPandas(build, "slice long, size long, bits binary")
+    read = blocks.select("ids", "held", "lengths", "tokens", "words")
+    made = read.mapInArrow(pairs, "slice long, low binary, high binary, n binary").groupBy("slice").applyInPandas(build, "slice long, size long, bits binary")
     made = scratch.keep(made)
     words = blocks.select("block", F.posexplode("words").alias("at", "words")).join(counts, "words", "left")
-    known = words.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("c", F.lit(0)).alias("c")))).alias("known"))
-    ready = blocks.select("block", "ids", "held", "lengths", "tokens", "hashes").join(known.select("block", F.col("known.c").alias("c")), "block")
+    # a word's place in its block and its count share a long
+    known = words.filter("c is not null").groupBy("block").agg(F.collect_list(F.col("at").cast("long") * COUNT + F.col("c")).alias("c"))
+    ready = blocks.select("block", "ids", "held", "lengths", "tokens", "words").join(known, "block", "left")
     ready = scratch.keep(ready) if groups > 1 else ready
     floor = total + 0.1 * (vocabulary + 1)
 
@@ -206,20 +244,25 @@ def score(docs: DataFrame, prior: float = 20.0, bits_per_item: int = 10, probes:
             sizes, bits = held_filter.value
             own = Filter(sizes, bits, probes)
             for batch in batches:
-                for row in batch.to_pylist():
+                for row in _rows(batch):
                     ids, held, lengths, tokens, hashes = _read(row)
-                    c = np.array(row["c"], np.float64)
+                    c, found = np.zeros(len(hashes)), np.array(row["c"] or [], np.int64)
+                    c[found // COUNT] = found % COUNT
                     base = (c + 0.1) / floor
-                    here = _group(hashes, groups)[tokens] == group
-                    before = _context(tokens, lengths, c, teachers)
-                    keys = _pairs(_context(tokens, lengths, hashes, START)[here], hashes[tokens[here]])
-                    pair = np.zeros(len(tokens))
-                    pair[here] = np.minimum(own.count(keys), np.minimum(before, c[tokens])[here])
-                    model = np.where(here, np.log10((pair + prior * base[tokens]) / (before + prior)), 0)
-                    starts = np.cumsum(lengths) - lengths
-                    sums = [np.add.reduceat(x, starts) for x in (np.log10(base)[tokens], model, (c > 0)[tokens].astype(np.int64))]
-                    n = len(ids)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row["block"])), pa.array(np.arange(n)), pa.array(ids), pa.array(held), pa.array(lengths.astype(np.int64)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1])], names=["block", "place", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                    logs, ends, a = np.log10(base), np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]), 0
+                    while a < len(ids):
+                        b = max(a + 1, int(np.searchsorted(ends, ends[a] + CHUNK, "right")) - 1)
+                        part, sizes_ = tokens[ends[a] : ends[b]], lengths[a:b]
+                        here = _group(hashes, groups)[part] == group
+                        before = _context(part, sizes_, c, teachers)
+                        slice_, keys = _sliced(_pairs(_context(part, sizes_, hashes, START)[here], hashes[part[here]]), slices)
+                        pair = np.zeros(len(part))
+                        pair[here] = np.minimum(own.count(keys, slice_), np.minimum(before, c[part])[here])
+                        model = np.where(here, np.log10((pair + prior * base[part]) / (before + prior)), 0)
+                        starts, n = ends[a:b] - ends[a], b - a
+                        sums = [np.add.reduceat(x, starts) for x in (logs[part], model, (c > 0)[part].astype(np.int64))]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row["block"])), pa.array(np.arange(a, b)), pa.array(ids[a:b]), pa.array(held[a:b]), pa.array(sizes_.astype(np.int64)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1])], names=["block", "place", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                        a = b
 
         return ready.mapInArrow(run, "block long, place long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
