@@ -115,21 +115,20 @@ def identify(docs: DataFrame, labelled: DataFrame, per_language: int = 300, lang
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 predicted, score = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
-                letters, texts = part.column(len(names)), part.column(len(names) + 1)
+                letters, texts = part.column(len(names)), part.column(names.index("text"))
                 rows = [i for i in range(part.num_rows) if letters[i].as_py() and model]
                 if rows:
-                    values = np.clip(model.scores([codes(texts[i].as_py()) for i in rows]), 0, None) + 1e-9
+                    values = np.clip(model.scores([codes(texts[i].as_py().encode()) for i in rows]), 0, None) + 1e-9
                     best = values.argmax(axis=1)
                     score[rows] = values[np.arange(len(rows)), best] / values.sum(axis=1)
                     for i, k in zip(rows, best, strict=True):
                         predicted[i] = model.languages[k]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(predicted), pa.array(score)], names=[*names, "lang_pred", "score"])
 
-    wide = docs.select("*", _has_letter(F.col("text")), F.col("text").cast("binary"))
-    return wide.toDF(*names, "_letter", "_raw").mapInArrow(run, schema)
+    return docs.select("*", _has_letter(F.col("text"))).toDF(*names, "_letter").mapInArrow(run, schema)
 
 
 def remainder(doc_id: Column, of: int) -> Column:
