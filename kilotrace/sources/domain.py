@@ -25,7 +25,7 @@ VIEWS = {
         SELECT CAST(l_orderkey AS string) AS documento, l_linenumber AS linea, placa AS placa_cargada,
                CASE WHEN l_partkey % 13 = 0 THEN concat('T1A', lpad(CAST((l_suppkey + 1) % 1000 AS string), 3, '0')) ELSE placa END AS placa_facturada,
                l_partkey % 13 = 0 AS flag_placa_divergente,
-               fecha, p_type AS id_producto, l_quantity AS kg, 3.3 + (l_partkey % 100) / 1000.0 AS tipo_cambio,
+               fecha, p_type AS id_producto, l_quantity AS kg, 3.3e0 + (l_partkey % 100) / 1000e0 AS tipo_cambio,
                scop AS codigo_scop, l_returnflag AS estado, anio, mes
         FROM lineas JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'O'""",
     "ventas": """
@@ -54,7 +54,7 @@ VIEWS = {
                     ELSE CAST(100000000 + c_custkey AS string) END AS documento_raw
         FROM customer""",
     "tc": """
-        SELECT DISTINCT CAST(o_orderdate AS date) AS fecha, 3.3 + day(o_orderdate) * 3 / 1000.0 AS tc_oficial
+        SELECT DISTINCT CAST(o_orderdate AS date) AS fecha, 3.3e0 + day(o_orderdate) * 3 / 1000e0 AS tc_oficial
         FROM orders WHERE day(o_orderdate) % 7 NOT IN (0, 6)""",
     # a unit's month, as the newer rules take it
     "unidad_mes6": """
@@ -68,8 +68,8 @@ VIEWS = {
         SELECT concat(CAST(l_orderkey AS string), '-', CAST(l_linenumber AS string)) AS factura_id, min(fecha) AS fecha,
                min(l_suppkey) % 50 AS proveedor_id, min(placa) AS unidad_id, min(scop) AS codigo_scop, sum(l_quantity) AS kg,
                min(l_extendedprice) / min(l_quantity) AS precio_usd_kg,
-               CASE WHEN min(l_partkey) % 3 = 0 THEN min(l_extendedprice) / min(l_quantity) * (0.9 + min(l_partkey) % 20 / 100.0) END AS precio_pactado_usd_kg,
-               3.3 + (min(l_partkey) % 100) / 1000.0 AS tipo_cambio
+               CASE WHEN min(l_partkey) % 3 = 0 THEN min(l_extendedprice) / min(l_quantity) * (0.9e0 + min(l_partkey) % 20 / 100e0) END AS precio_pactado_usd_kg,
+               3.3e0 + (min(l_partkey) % 100) / 1000e0 AS tipo_cambio
         FROM lineas WHERE l_linestatus = 'O' GROUP BY l_orderkey, l_linenumber""",
     "unidades6": "SELECT placa_norm AS unidad_id, CASE WHEN capacidad_kg = 27 THEN NULL ELSE habilitada END AS habilitada FROM flota",
     # a day's stock: the closing is the balance, but for days whose number is a multiple of 5
