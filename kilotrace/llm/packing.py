@@ -10,6 +10,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +24,17 @@ from kilotrace.llm.common import Scratch, documents
 END = b"\0\0\0\0"
 #: Entries a worker's cache of encoded words may hold before it starts anew; it bounds memory, not results.
 CACHE = 400_000
-#: A space next to other white space: where a text can't be encoded word by word.
-UNEVEN = re.compile(r"^ | $| \s|\s ")
+#: White space next to other white space or at an end: such texts are split with more care.
+UNEVEN = re.compile(r"^\s|\s$|\s\s")
+BOUNDARY = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 class Encoder:
     """Token ids, as little-endian 32-bit words, of whole texts.
 
-    The tokenizer starts a token at every space between two visible characters, so such words are encoded once
-    per worker and then looked up. Texts with other runs of spaces are encoded whole.
+    The tokenizer always starts a token at a lone space or line break between two visible characters, so a text's
+    stretches between those are encoded once per worker and then looked up. A stretch that follows a space is known
+    by its text alone, one that follows a line break by the break and its text, any other between two spaces.
     """
 
     def __init__(self, path: str):
@@ -42,33 +45,45 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def stretches(text: str) -> list[str]:
+        if UNEVEN.search(text):
+            found = BOUNDARY.split(text)
+            return [f" {found[0]} ", *(w[1:] if w[0] == " " else w for w in found[1:])]
+        found = text.replace("\n", " \n").split(" ")
+        found[0] = f" {found[0]} "
+        return found
+
+    @staticmethod
+    def spelt(key: str) -> str:
+        return key[1:-1] if key[0] == " " else key if key[0] == "\n" else f" {key}"
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > CACHE:
             self.known.clear()
-        split = [None if not t or UNEVEN.search(t) else (" " + t).split(" ") for t in texts]
-        for words, t in zip(split, texts, strict=True):
-            if words:  # the first word has no space before it: its key has one before and one after
-                words[0:2] = [f" {words[1]} "]
-        new = list({w for words in split if words for w in words if w not in self.known})
-        spelt = [w[1:-1] if w[0] == " " else f" {w}" for w in new]
-        self.known.update(zip(new, self._encode(spelt), strict=True))
-        whole = iter(self._encode([t for t, words in zip(texts, split, strict=True) if words is None and t]))
+        split = [self.stretches(t) if t else [] for t in texts]
+        new = list({w for words in split for w in words}.difference(self.known))
+        ids = self.tokenizer.encode_batch_fast([self.spelt(w) for w in new], add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, ids, strict=True))
         look = self.known.__getitem__
-        return [b"".join(map(look, words)) if words else next(whole) if t else b"" for t, words in zip(texts, split, strict=True)]
+        return [b"".join(map(look, words)) for words in split]
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, vocabulary: str, size: int) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document, cut where it is longer than ``size`` tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        own = encoder(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
-                for doc, ids in zip(part.column(0).to_pylist(), encoder.batch(part.column(1).to_pylist()), strict=True):
+                for doc, ids in zip(part.column(0).to_pylist(), own.batch(part.column(1).to_pylist()), strict=True):
                     ids += END
                     n = len(ids) // 4
                     cuts = [0, *range(n % size or size, n + 1, size)]
