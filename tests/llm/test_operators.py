@@ -328,6 +328,24 @@ def test_passages(spark, none):
     assert wins == slow
 
 
+def test_passages_behind_a_rejected_first(spark):
+    from kilotrace.llm.passages import repeated_passages
+
+    r = random.Random(21)
+    rows, want = [], {}
+    for t in range(12):
+        a = prose(r, 56).split()
+        b = [*a]
+        b[20], b[40] = "new", "other"  # unlike enough to be rejected, alike enough to share keys
+        c = [*b]
+        c[3] = "third"  # repeats b, not a
+        for i, part in enumerate((a, b, b, b, c)):
+            rows.append((10 * t + i, prose(r, 30) + " " + " ".join(part) + " " + prose(r, 30), None, None, None))
+        want[10 * t + 2] = want[10 * t + 3] = b
+    got = {x.doc_id: x for x in repeated_passages(spark.createDataFrame(rows, SCHEMA)).filter("similarity = 1").collect()}
+    assert all(i in got and got[i].of_doc_id % 10 in (1, 2) and rows[i // 10 * 5 + i % 10][1].split()[got[i].start : got[i].end] == b for i, b in want.items())
+
+
 def test_licenses(spark, none):
     from kilotrace.llm.licenses import TEMPLATES, scan
 
