@@ -346,6 +346,23 @@ def test_passages_behind_a_rejected_first(spark):
     assert all(i in got and got[i].of_doc_id % 10 in (1, 2) and rows[i // 10 * 5 + i % 10][1].split()[got[i].start : got[i].end] == b for i, b in want.items())
 
 
+def test_passages_split_where_a_run_fails():
+    from kilotrace.llm.passages import alike_spans
+
+    r = random.Random(22)
+    own = lambda n: prose(r, n).encode().split()
+    found = lambda x, y: sorted(s[:4] for s in alike_spans(x, y, 5, 50, 0.8))
+    a, b, c = own(54), own(54), own(54)
+    assert found([*a, *own(6), *b, *own(6), *c], [*a, *own(6), *b, *own(6), *c]) == [(i, i + 54, i, i + 54) for i in (0, 60, 120)]
+    exact, edits = own(100), [own(25) for _ in range(6)]
+    x, y = ([*exact, *(w for e in edits for w in [*own(1), *e])] for _ in range(2))
+    assert (0, 100, 0, 100) in found(x, y)
+    x, y = [*exact, *own(30), *a], [*exact, *own(200), *a]  # the second run stands behind the first one's best end
+    assert found(x, y) == [(0, 100, 0, 100), (130, 184, 300, 354)]
+    x, y = [*a, *b], [*b, *own(300), *a]  # hits alone, from places far apart
+    assert {(0, 54, 354, 408), (54, 108, 0, 54)} <= set(found(x, y))
+
+
 def test_licenses(spark, none):
     from kilotrace.llm.licenses import TEMPLATES, scan
 
