@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from kilotrace.llm.common import documents
 
@@ -84,28 +85,28 @@ def fit(rows: list[tuple[str, bytes]], landmarks: int = 160, ridge: float = 1e-2
     return Model(languages, grams, (marks.T @ (root @ solved)).astype(np.float32))
 
 
-def training_rows(labelled: DataFrame, per_language: int, languages: int, longest: int) -> list[tuple[str, bytes]]:
-    """A bounded sample of ``labelled`` (text, lang): about ``per_language`` texts of each language, at most
-    ``languages`` languages (the most frequent) and ``longest`` characters a text. Chosen by the text's hash, so that
-    copies count once and a rerun takes the same rows."""
-    usable = labelled.filter(F.col("lang").isNotNull() & _has_letter(F.col("text")) & (F.length("text") <= longest))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not counts:
-        return []
-    share = F.lit(0.0)
-    for lang, n in counts:
-        share = F.when(F.col("lang") == lang, F.lit(per_language / n)).otherwise(share)
-    place = F.xxhash64(F.lit(8), "text")
-    chosen = usable.filter(F.shiftrightunsigned(place, 11) / F.lit(float(1 << 53)) < share).select("lang", "text").distinct()
-    taken = chosen.orderBy(F.xxhash64(F.lit(9), "text"), "lang").limit(2 * per_language * len(counts)).collect()
-    return [(lang, text.encode()) for lang, text in taken]
+def training_rows(labelled: DataFrame, per_language: int, languages: int | None, longest: int) -> list[tuple[str, bytes]]:
+    """A sample of ``labelled`` (text, lang): the ``per_language`` distinct texts of least hash of each language, so
+    that copies count once, each language has rows and a rerun takes the same. A text teaches by ``longest``
+    characters from its first letter. ``languages`` can bound the languages to those of the most rows."""
+    usable = labelled.filter(F.col("lang").isNotNull() & _has_letter(F.col("text")))
+    if languages is not None:
+        usable = usable.join(F.broadcast(usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")), "lang", "left_semi")
+    hashed = usable.select("lang", "text", F.xxhash64(F.lit(8), "text").alias("h"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    least = hashed.select("lang", "h").distinct().withColumn("r", rank).filter(F.col("r") <= per_language)
+    least = least.groupBy("lang").agg(F.max("h").alias("last"))  # as many rows as languages
+    excerpt = F.when(F.length("text") <= longest, F.col("text")).otherwise(F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, longest))
+    chosen = hashed.join(F.broadcast(least), "lang").filter("h <= last").select("lang", "h", excerpt.alias("text")).dropDuplicates(["lang", "h"])
+    taken = sorted(chosen.collect(), key=lambda r: (r["h"], r["lang"]))
+    return [(r["lang"], r["text"].encode()) for r in taken]
 
 
 def _has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def identify(docs: DataFrame, labelled: DataFrame, per_language: int = 300, languages: int = 100, longest: int = 20_000) -> DataFrame:
+def identify(docs: DataFrame, labelled: DataFrame, per_language: int = 300, languages: int | None = None, longest: int = 20_000) -> DataFrame:
     """``docs`` with lang_pred and score (0 to 1: the language's share of the positive regression values)."""
     model = fit(training_rows(labelled, per_language, languages, longest))
     held = docs.sparkSession.sparkContext.broadcast(model)

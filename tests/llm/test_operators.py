@@ -258,6 +258,16 @@ def test_language(spark, none):
     assert identify(df, none.select("text", "lang")).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_of_skewed_texts(spark):
+    from kilotrace.llm.langid import training_rows
+
+    rows = [(f"eins zwei {i}", "de") for i in range(50)] + [("kopie", "de")] * 5000
+    rows += [("1" * 30000 + "très long " * 3000, "fr")] + [(f"word {i}", f"x{i}") for i in range(130)]
+    got = training_rows(spark.createDataFrame(rows, "text string, lang string"), 40, None, 20_000)
+    assert len({t for lang, t in got if lang == "de"}) == 40 and len(got) == 40 + 1 + 130
+    assert [t.decode() for lang, t in got if lang == "fr"] == [("très long " * 3000)[:20_000]]
+
+
 def base_of(rows, held):
     tokens = {i: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), " "] for i, t in rows}
     c = Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
