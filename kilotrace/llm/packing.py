@@ -9,11 +9,13 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -42,7 +44,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
     @staticmethod
@@ -76,10 +77,11 @@ def encoder(path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, vocabulary: str, size: int) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of every document, cut where it is longer than ``size`` tokens."""
+    """(doc_id, piece, start, length, ids_crc32, part, rank) of every document, cut where it is longer than ``size``
+    tokens; rank numbers the pieces of a length within the part, the task that wrote them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocabulary)
+        own, part_id, seen = encoder(vocabulary), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
@@ -89,9 +91,13 @@ def pieces(docs: DataFrame, vocabulary: str, size: int) -> DataFrame:
                     cuts = [0, *range(n % size or size, n + 1, size)]
                     rows += [(doc, i, a, b - a, zlib.crc32(ids[4 * a : 4 * b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
                 doc, piece, start, length, crc = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                rank = []
+                for k in length:
+                    rank.append(seen[k])
+                    seen[k] += 1
+                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([part_id] * len(doc), pa.int32()), pa.array(rank, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long")
 
 
 class Capacities:
@@ -161,12 +167,12 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048) -> DataFrame:
     Only the histogram of lengths, at most ``size`` rows, reaches the driver, where best-fit decreasing packs it with
     multiplicities. Its runs come back as one array per length (a broadcast that ``size`` bounds, whatever the number
     of documents). Each piece then finds its bin by its number among the pieces of its length. Numbers are dealt per
-    written partition, then shifted by the counts of the partitions before, so that no length is gathered in a task.
+    task and written with the pieces, so that every later plan reads the same ones, then shifted by the counts of the
+    parts before, so that no length is gathered in a task.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     cut = scratch.keep(pieces(docs, vocabulary, size))
-    cut = cut.withColumn("part", F.spark_partition_id())
     counts = scratch.keep(cut.groupBy("length", "part").agg(F.count("*").alias("n")))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     shifts = scratch.keep(counts.select("length", "part", F.coalesce(before, F.lit(0)).alias("shift")))
@@ -176,18 +182,6 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048) -> DataFrame:
         runs.setdefault(length, []).append((rank, start, offset))
     plan = spark.sparkContext.broadcast({k: tuple(np.array(x, np.int64) for x in zip(*v, strict=True)) for k, v in runs.items()})
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[int, int], int] = {}
-        for batch in batches:
-            t = pa.Table.from_batches([batch]).to_pandas()
-            key = ["length", "part"]
-            first = t[key].merge(t[key].drop_duplicates().assign(at=lambda x: [seen.get(k, 0) for k in zip(x.length, x.part, strict=True)]), on=key, how="left")["at"].to_numpy()
-            rank = first + t.groupby(key).cumcount().to_numpy()
-            for k, n in t.groupby(key).size().items():
-                seen[k] = seen.get(k, 0) + n
-            t["rank"] = rank
-            yield pa.RecordBatch.from_pandas(t, preserve_index=False)
-
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = pa.Table.from_batches([batch]).to_pandas()
@@ -200,8 +194,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048) -> DataFrame:
             yield pa.RecordBatch.from_pandas(t, preserve_index=False)
 
     kinds = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    ranked = cut.mapInArrow(place, f"{kinds}, part int, rank long")
-    return ranked.join(shifts, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", "part", "rank", "shift").mapInArrow(seat, f"{kinds}, sequence_id long, offset long")
+    return cut.join(shifts, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", "part", "rank", "shift").mapInArrow(seat, f"{kinds}, sequence_id long, offset long")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

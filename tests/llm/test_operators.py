@@ -215,6 +215,27 @@ def test_encoder_is_the_tokenizer():
     assert e.batch(odd) == [np.array(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch(odd, add_special_tokens=False)]
 
 
+def test_packing_of_special_tokens(spark):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    from kilotrace.llm.packing import pieces
+
+    t, r = Tokenizer.from_file(P.path("byte_bpe_50k.json")), random.Random(3)
+    odd = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b c", " <|endoftext|>\n<|endoftext|>", "x <|endoftext|>. y"]
+    odd += ["".join(r.choice(["<|endoftext|>", "a", " ", "\n", "<|", "b."]) for _ in range(20)) for _ in range(60)]
+    df = spark.createDataFrame([(i, x, None, None, None) for i, x in enumerate(odd * 4)], SCHEMA).repartition(3)
+    got = pieces(df, P.path("byte_bpe_50k.json"), 2048).collect()
+    for x in got:
+        ids = [*t.encode(odd[x.doc_id % len(odd)], add_special_tokens=False).ids, 0]
+        assert (x.length, x.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    # numbers of a length are dealt without a gap, and written
+    dealt = {}
+    for x in got:
+        dealt.setdefault((x.length, x.part), []).append(x.rank)
+    assert len({p for _, p in dealt}) > 1 and all(sorted(v) == list(range(len(v))) for v in dealt.values())
+
+
 def test_neighbours(spark):
     from kilotrace.llm.ann import search
 
