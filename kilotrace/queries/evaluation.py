@@ -170,8 +170,10 @@ SCALE = f"""SELECT v.id, v.anio, (a - a2) / CASE WHEN a3 = a1 THEN 1 ELSE a3 - a
   (SELECT """ + ", ".join(f"quantile_cont({x}, 0.25) AS {x}1, median({x}) AS {x}2, quantile_cont({x}, 0.75) AS {x}3" for x in "abc") + f" FROM ({VECTOR}) WHERE anio < {PILOT})"
 
 
-def vectors(spark, sf_dir):
-    m = months(spark, sf_dir).filter(F.col("anio").between(PILOT - 1, PILOT))
+def vectors(spark, sf_dir, every_year=False):
+    m = months(spark, sf_dir)
+    if not every_year:  # as the SQL of robust_scale and lof_score
+        m = m.filter(F.col("anio").between(PILOT - 1, PILOT))
     m = m.select(F.concat_ws("|", *G.MONTH).alias("id"), "anio", F.col("kg_diferencia").alias("a"), F.col("n_operaciones").cast("double").alias("b"), F.col("max_kg_dia").alias("c"))
     return K.robust_scale(m, m.filter(F.col("anio") < PILOT), ["a", "b", "c"])
 
@@ -181,9 +183,10 @@ def robust_scale(spark, sf_dir):
     return rounded(vectors(spark, sf_dir).select("id", "a", "b", "c"), {"a": 6, "b": 6, "c": 6})
 
 
-def _lof_sets(spark, sf_dir):
-    v = vectors(spark, sf_dir).select("id", "anio", F.array("a", "b", "c").alias("v"))
-    return v.filter(F.col("anio") < PILOT).select("id", "v"), v.filter(F.col("anio") == PILOT).select("id", "v")
+def _lof_sets(spark, sf_dir, every_year=False):
+    """What is learned from, before the pilot year, and what is scored: the pilot year and, of every year, later ones."""
+    v = vectors(spark, sf_dir, every_year).select("id", "anio", F.array("a", "b", "c").alias("v"))
+    return v.filter(F.col("anio") < PILOT).select("id", "v"), v.filter(F.col("anio") >= PILOT).select("id", "v")
 
 
 NEAR = "SELECT {q}.id, {t}.id AS near, sqrt(pow({q}.a - {t}.a, 2) + pow({q}.b - {t}.b, 2) + pow({q}.c - {t}.c, 2)) AS d, row_number() OVER (PARTITION BY {q}.id ORDER BY sqrt(pow({q}.a - {t}.a, 2) + pow({q}.b - {t}.b, 2) + pow({q}.c - {t}.c, 2)), {t}.id) AS r"
@@ -201,13 +204,13 @@ def lof_score(spark, sf_dir):
 
 @query("iforest_score")
 def iforest_score(spark, sf_dir):
-    train, queries = _lof_sets(spark, sf_dir)
+    train, queries = _lof_sets(spark, sf_dir, every_year=True)
     return M.iforest(train, queries, 100, 256, 42)
 
 
 @query("model_grid")
 def model_grid(spark, sf_dir):
-    train, queries = _lof_sets(spark, sf_dir)
+    train, queries = _lof_sets(spark, sf_dir, every_year=True)
     labels = labelled(spark, sf_dir).select(F.concat_ws("|", *G.MONTH).alias("id"), "anio", "etiqueta")
     return M.model_grid(train, queries, labels, 20, [10, 20, 35], [(100, 64), (100, 256), (300, 64), (300, 256)], 42, PILOT)
 

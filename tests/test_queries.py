@@ -47,3 +47,13 @@ def test_query(spark, con, name):
         assert plain(got, columns) == plain(want, columns)
     else:
         assert len(got.columns)
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="no tables")
+def test_models_take_every_year(spark):
+    from kilotrace.queries.evaluation import _lof_sets
+
+    train, scored = ({r.id.split("|")[1] for r in part.select("id").collect()} for part in _lof_sets(spark, DIR, every_year=True))
+    assert {"1995", "1996", "1997"} <= train and {"1998", "1999", "2000"} <= scored and not train & scored
+    old = [{r.id.split("|")[1] for r in part.select("id").collect()} for part in _lof_sets(spark, DIR)]
+    assert old == [{"1997"}, {"1998"}]  # the years of the SQL of lof_score
