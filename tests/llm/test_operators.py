@@ -440,3 +440,14 @@ def test_pipeline(spark, docs, texts, tmp_path):
     assert 0 in left and not left & {i for i, t in enumerate(texts) if not t or not t.strip()}
     packed = {x.doc_id for x in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert packed == left
+
+
+def test_near_copies_keep_one_row(spark, docs):
+    import corpus_pipeline
+
+    r = random.Random(31)
+    one, two, three = prose(r, 80), prose(r, 80), prose(r, 80)
+    rows = [(1, one, "en", "s", 0)] * 3 + [(None, two, "en", "s", 0), (None, three, "en", "s", 0), (5, three, "en", "s", 0), (2, one, "en", "s", 0)]
+    got = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert got.columns == docs.columns
+    assert sorted((x.doc_id or 0, x.text) for x in got.collect()) == sorted([(1, one), (0, two), (5, three)])
