@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +25,33 @@ from kilotrace.llm.common import Scratch, documents
 
 #: The token that closes a document.
 END = b"\0\0\0\0"
-#: Entries a worker's cache of encoded words may hold before it starts anew; it bounds memory, not results.
-CACHE = 400_000
-#: White space next to other white space or at an end: such texts are split with more care.
-UNEVEN = re.compile(r"^\s|\s$|\s\s")
+#: Entries a worker's cache of encoded stretches may hold before it starts anew; it bounds memory, not results.
+CACHE = 800_000
+#: Bytes of text encoded at once (a longer text is taken alone).
+CHUNK = 6 << 20
+#: White space, Unicode's included, next to other white space or at an end: such texts are split with more care.
+BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+UNEVEN = f"^{BLANK}|{BLANK}$|{BLANK}{BLANK}"
+#: A stretch without white space but for the line break before it; so many of them are encoded as one text.
+PLAIN = re.compile(r"\n?\S+\Z")
+GROUP = 1000
+#: How the vocabulary writes a space and a line break. Fixed values.
+SPACE_BREAK = "ĠĊ"
 BOUNDARY = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
+def gathered(starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` at ``starts``, one after the other."""
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
-    """Token ids, as little-endian 32-bit words, of whole texts.
+    """Token ids of whole texts, many at a time.
 
     The tokenizer always starts a token at a lone space or line break between two visible characters, so a text's
     stretches between those are encoded once per worker and then looked up. A stretch that follows a space is known
-    by its text alone, one that follows a line break by the break and its text, any other between two spaces.
+    by its text alone, one that follows a line break by the break and its text, a text's first between two spaces.
     """
 
     def __init__(self, path: str):
@@ -45,29 +60,68 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def stretches(text: str) -> list[str]:
-        if UNEVEN.search(text):
-            found = BOUNDARY.split(text)
-            return [f" {found[0]} ", *(w[1:] if w[0] == " " else w for w in found[1:])]
-        found = text.replace("\n", " \n").split(" ")
-        found[0] = f" {found[0]} "
-        return found
+        #: Whether a token starts with a space or a line break, so that it starts a stretch.
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.opens[i] = token[0] in SPACE_BREAK
 
     @staticmethod
     def spelt(key: str) -> str:
         return key[1:-1] if key[0] == " " else key if key[0] == "\n" else f" {key}"
 
-    def batch(self, texts: list[str | None]) -> list[bytes]:
+    def _learn(self, keys: list[str]) -> None:
+        """Encodes stretches that are new. Those without inner white space are encoded GROUP at a time, in one text."""
+        plain, others = [], []
+        for k in keys:
+            (plain if PLAIN.match(k) else others).append(k)
+        groups = [plain[at : at + GROUP] for at in range(0, len(plain), GROUP)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["".join(map(self.spelt, g)) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            raw, at = ids.tobytes(), (4 * np.flatnonzero(self.opens[ids])).tolist()
+            self.known.update(zip(group, (raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)), strict=True))
+        ids = self.tokenizer.encode_batch_fast([self.spelt(k) for k in others], add_special_tokens=False)
+        self.known.update((k, np.array(e.ids, "<u4").tobytes()) for k, e in zip(others, ids, strict=True))
+
+    def _found(self, keys: list[str]) -> list[bytes]:
         if len(self.known) > CACHE:
             self.known.clear()
-        split = [self.stretches(t) if t else [] for t in texts]
-        new = list({w for words in split for w in words}.difference(self.known))
-        ids = self.tokenizer.encode_batch_fast([self.spelt(w) for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, ids, strict=True))
-        look = self.known.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        look = self.known.get
+        out = [look(k) for k in keys]
+        new = [i for i, x in enumerate(out) if x is None]
+        self._learn([keys[i] for i in new])
+        for i in new:
+            out[i] = self.known[keys[i]]
+        return out
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after the other; the end of each text's among them)."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        uneven = pc.match_substring_regex(texts, UNEVEN)
+        lists = pc.split_pattern(pc.replace_substring(pc.if_else(uneven, "", texts), "\n", " \n"), " ")
+        units, ends = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        coded = units.dictionary_encode()
+        codes, keys = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        keys = [k or "  " for k in keys]  # an empty stretch is an empty text's
+        place: dict[str, int] = {}
+        firsts = [place.setdefault(f" {u} ", len(place)) for u in units.take(pa.array(ends[:-1])).to_pylist()]
+        codes[ends[:-1]] = np.array(firsts, np.int64) + len(keys)
+        odd = np.flatnonzero(uneven.to_numpy(zero_copy_only=False))
+        parts, at = [], 0
+        for i in odd.tolist():  # each such text has one empty stretch so far
+            found = BOUNDARY.split(texts[i].as_py())
+            found = [f" {found[0]} ", *(w[1:] if w[0] == " " else w for w in found[1:])]
+            own = np.array([place.setdefault(w, len(place)) for w in found], np.int64) + len(keys)
+            parts += [codes[at : ends[i]], own]
+            at = ends[i] + 1
+        if parts:
+            sizes = np.diff(ends)
+            sizes[odd] = [len(own) for own in parts[1::2]]
+            codes, ends = np.concatenate([*parts, codes[at:]]), np.concatenate([[0], np.cumsum(sizes)])
+        raw = self._found([*keys, *place])
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        each = lengths[codes]
+        ids = gathered((np.cumsum(lengths) - lengths)[codes], each, np.frombuffer(b"".join(raw), "<u4"))
+        return ids, np.concatenate([[0], np.cumsum(each)])[ends[1:]]
 
 
 @lru_cache(maxsize=2)
@@ -76,25 +130,32 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def chunks(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in stretches of rows whose texts, in ``column``, have about ``size`` bytes."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    cuts = [0, *(np.flatnonzero(np.diff(total)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+
+
 def pieces(docs: DataFrame, vocabulary: str, size: int) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, rank) of every document, cut where it is longer than ``size``
     tokens; rank numbers the pieces of a length within the part, the task that wrote them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part_id, seen = encoder(vocabulary), TaskContext.get().partitionId(), Counter()
+        own, part_id, seen, crc32 = encoder(vocabulary), TaskContext.get().partitionId(), Counter(), zlib.crc32
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part, rows = batch.slice(at, 256), []
-                for doc, ids in zip(part.column(0).to_pylist(), own.batch(part.column(1).to_pylist()), strict=True):
-                    ids += END
-                    n = len(ids) // 4
+            for part in chunks(batch, 1, CHUNK):
+                ids, ends = own.batch(part.column(1))
+                at, rows, ids = 0, [], memoryview(ids).cast("B")
+                for doc, end in zip(part.column(0).to_pylist(), ends.tolist(), strict=True):
+                    n = end - at + 1  # with the closing token
                     cuts = [0, *range(n % size or size, n + 1, size)]
-                    rows += [(doc, i, a, b - a, zlib.crc32(ids[4 * a : 4 * b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
-                doc, piece, start, length, crc = zip(*rows, strict=True)
-                rank = []
-                for k in length:
-                    rank.append(seen[k])
-                    seen[k] += 1
+                    for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                        crc = crc32(ids[4 * (at + a) : 4 * min(at + b, end)])
+                        rows.append((doc, i, a, b - a, crc if b < n else crc32(END, crc), seen[b - a]))
+                        seen[b - a] += 1
+                    at = end
+                doc, piece, start, length, crc, rank = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([part_id] * len(doc), pa.int32()), pa.array(rank, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long")

@@ -169,7 +169,6 @@ def test_packing(spark, docs, texts, none):
     from kilotrace.llm.packing import best_fit, pack
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     rows = pack(docs, P.path("byte_bpe_50k.json"), 256).collect()
     by = {}
     for r in rows:
@@ -207,12 +206,20 @@ def test_packing(spark, docs, texts, none):
 
 def test_encoder_is_the_tokenizer():
     import public_tokenizers as P
+    import pyarrow as pa
+    from tokenizers import Tokenizer
 
-    from kilotrace.llm.packing import Encoder
-
-    e, r = Encoder(P.path("byte_bpe_50k.json")), random.Random(2)
-    odd = ["", " ", "\n", "a \nb", "a\n\nb", "\ta b", "<|endoftext|> hi", "x y z"] + ["".join(r.choice("ab 1.\n\t é'sl日") for _ in range(r.randrange(40))) for _ in range(500)]
-    assert e.batch(odd) == [np.array(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch(odd, add_special_tokens=False)]
+    from kilotrace.llm.packing import Encoder, chunks
+
+    e, t, r = Encoder(P.path("byte_bpe_50k.json")), Tokenizer.from_file(P.path("byte_bpe_50k.json")), random.Random(2)
+    odd = [None, "", " ", "\n", "a \nb", "a\n\nb", "\ta b", "<|endoftext|> hi", "x y z", "a\u3000 b", "x\u00a0\n y", "word " * 5000]
+    odd += ["".join(r.choice("ab 1.\n\t é'sl日\u00a0") for _ in range(r.randrange(40))) for _ in range(800)] + [prose(r, 30) for _ in range(40)]
+    for _ in range(2):  # new stretches, then known ones
+        ids, ends = e.batch(pa.array(odd, pa.string()))
+        own = [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert own == [t.encode(x or "", add_special_tokens=False).ids for x in odd]
+    batch = pa.RecordBatch.from_arrays([pa.array(odd, pa.string())], names=["text"])
+    assert [x for c in chunks(batch, 0, 1000) for x in c.column(0).to_pylist()] == odd
 
 
 def test_packing_of_special_tokens(spark):
