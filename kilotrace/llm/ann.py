@@ -2,10 +2,12 @@
 
 A bounded sample's neighbour graph is cut into parts of equal size; a small classifier learns to tell a vector's part;
 every vector is indexed in its most probable part, and a query is compared with the vectors of its several most
-probable parts, exactly. Nearness is the inner product in double precision.
+probable parts, exactly. Nearness is the inner product in double precision. How many parts a query takes is measured
+on sample vectors that the classifier has not seen, by the same rule at every size.
 
-Vectors that are null or zero, hold null or non-finite components, or differ in length from most, take no part. Equal
-vectors tie, and the smaller vec_id wins. An empty table gives an empty result; other columns are left aside.
+Vectors that are null or zero, hold null or non-finite components, or differ in length from most, take no part, nor do
+null ids. Of rows with one vec_id the least vector (component by component) takes part, so repeated rows count once.
+Equal vectors tie, and the smaller vec_id wins. An empty table gives an empty result; other columns are left aside.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     cast = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     cast = cast.filter(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).filter(F.coalesce(fine, F.lit(False)))
+    cast = cast.groupBy("vec_id").agg(F.min("v").alias("v"))
     most = cast.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     return cast.filter(F.size("v") == (most["d"] if most else 0))
 
@@ -122,37 +124,105 @@ def train(sample: np.ndarray, depth: int, neighbours: int = 12) -> Router:
     return Router.fit(sample, target / target.sum(axis=1, keepdims=True))
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = 4096, part_rows: int = 1024, probe: float = 0.3, block: int = 4096) -> DataFrame:
+def probes_for(router: Router, known: np.ndarray, unseen: np.ndarray, k: int, recall: float) -> int:
+    """How many parts of the most probable hold ``recall`` of the k nearest ``known`` vectors of ``unseen`` ones."""
+    part, order = router.logits(known).argmax(axis=1), np.argsort(-router.logits(unseen), axis=1, kind="stable")
+    place = np.argsort(order, axis=1)  # of each part in a vector's order
+    near = np.argsort(-(unseen @ known.T), axis=1, kind="stable")[:, :k]
+    needed = np.take_along_axis(place, part[near], axis=1)
+    found = np.cumsum(np.bincount(needed.ravel(), minlength=order.shape[1])) / needed.size
+    return int(np.searchsorted(found, recall)) + 1
+
+
+def _compare(k: int):
+    """Each query row with the index rows of its part and block, which stand before it: a task holds one block of the
+    index at a time, and queries stream past it. Rows: (part, block, query, vec_id, v)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, vectors = None, [], []
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            part, block, query, vec_id = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            v = batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            cuts = np.flatnonzero((np.diff(part) != 0) | (np.diff(block) != 0) | (np.diff(query.astype(np.int8)) != 0)) + 1
+            out = []
+            for a, b in zip([0, *cuts], [*cuts, n], strict=True):
+                if key != (part[a], block[a]):
+                    key, ids, vectors = (part[a], block[a]), [], []
+                if not query[a]:
+                    ids.append(vec_id[a:b])
+                    vectors.append(v[a:b])
+                    continue
+                if len(ids) != 1:
+                    if not ids:
+                        continue
+                    ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
+                for at in range(a, b, 256):
+                    out.append(_nearest(vec_id[at : min(b, at + 256)], v[at : min(b, at + 256)], ids[0], vectors[0], k))
+            found = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
+
+    return run
+
+
+def _nearest(qid: np.ndarray, q: np.ndarray, xid: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query_id, vec_id, score) of the k nearest rows of x, themselves apart, ties to the smaller id."""
+    near = q @ x.T
+    near[qid[:, None] == xid] = -np.inf
+    last = min(k, near.shape[1]) - 1
+    kth = -np.partition(-near, last, axis=1)[:, last]
+    a, b = np.nonzero((near >= kth[:, None] - 1e-9 * (1 + np.abs(kth[:, None]))) & (near > -np.inf))
+    exact = (q[a] * x[b]).sum(axis=1)  # the same sum for equal vectors, wherever they stand
+    order = np.lexsort((xid[b], -exact, a))
+    a, b, exact = a[order], b[order], exact[order]
+    keep = np.arange(len(a)) - np.searchsorted(a, a) < k
+    return qid[a[keep]], xid[b[keep]], exact[keep]
+
+
+def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", part_rows: int = 512, sample: int = 32768, per_part: int = 64, recall: float = 0.92, block: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every vector whose id is divisible by ``every``.
 
-    The router is fitted on at most ``sample`` distinct vectors, chosen by hash; all vectors are indexed. There are
-    about rows / ``part_rows`` parts, as many as the sample can tell apart (one to 32 vectors of it), and a query probes
-    the share ``probe`` of them. Parts are dealt in blocks of about ``block`` vectors, so one large part is many tasks.
-    Of equal vectors the k + 1 smallest ids are candidates: no query can have others of them among its nearest.
+    There are about rows / ``part_rows`` parts, 16 at least (fewer only where rows are under 64) and as many as
+    ``sample`` vectors at ``per_part`` a part allow. The router is fitted on so many distinct vectors, chosen by hash;
+    a fifth of them, at most 1,024, is set aside to tell how many parts hold the share ``recall`` of a query's nearest.
+    All vectors are indexed. A query takes more parts where those have fewer than k other vectors.
+
+    Parts are dealt in blocks of about ``block`` vectors, so one large part is many tasks. Queries, which are the
+    smaller side, go to the blocks of their parts; the index is shuffled once. Of equal vectors the k + 1 smallest ids
+    are candidates: no query can have others of them among its nearest.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "ann")
     rows = scratch.keep(usable(vectors, id_col, vector_col))
     total = rows.count()
-    taken = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(sample).collect()
+    depth = int(np.log2(max(1, min(max(16, total / part_rows), sample / per_part, total / 4))))
+    taken = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(per_part * 2**depth).collect()
     points = np.array([r["v"] for r in taken], np.float64)
-    depth = max(0, min(int(np.log2(max(1, total / part_rows))), int(np.log2(max(1, len(points) / 32)))))
-    router = spark.sparkContext.broadcast(train(points, depth) if depth else None)
-    parts = 2**depth
-    probes = parts if parts <= 4 else max(4, round(probe * parts))
+    depth = max(0, min(depth, int(np.log2(max(1, len(points) / 4)))))
+    parts, unseen = 2**depth, min(1024, len(points) // 5)
+    router = train(points[unseen:], depth) if depth else None
+    probes = probes_for(router, points[unseen:], points[:unseen], k, recall) if depth else 1
+    held = spark.sparkContext.broadcast(router)
 
-    def route(most: int):
+    def route(most: int, sizes: np.ndarray | None = None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 n = batch.num_rows
-                if router.value is None:
-                    best = np.zeros((n, 1), np.int64)
+                if not n:
+                    continue
+                if held.value is None:
+                    at, best = np.arange(n), np.zeros(n, np.int32)
                 else:
                     x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-                    best = np.argsort(-router.value.logits(x), axis=1, kind="stable")[:, :most]
-                m = best.shape[1]
-                at = pa.array(np.repeat(np.arange(n), m))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(best.ravel().astype(np.int32))], names=["vec_id", "v", "part"])
+                    order = np.argsort(-held.value.logits(x), axis=1, kind="stable").astype(np.int32)
+                    wanted = np.broadcast_to(np.arange(parts) < most, order.shape)
+                    if sizes is not None:  # parts go on until those before hold k vectors beside the query
+                        wanted = wanted | (np.cumsum(sizes[order], axis=1) - sizes[order] <= k)
+                    at, place = np.nonzero(wanted)
+                    best = order[at, place]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(best)], names=["vec_id", "v", "part"])
 
         return run
 
@@ -160,35 +230,16 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_
     ranked = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     distinct = rows.withColumn("copy", ranked).filter(F.col("copy") <= k + 1).select("vec_id", "v")
     index = scratch.keep(distinct.mapInArrow(route(1), kind))
-    blocks = scratch.keep(index.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")))
-    index = index.join(F.broadcast(blocks), "part").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))  # as many rows as parts
-    queries = rows.filter(F.col("vec_id") % every == 0).mapInArrow(route(probes), kind)
-    each = blocks.select(F.col("part").alias("of"), F.col("blocks").alias("n"))
-    queries = queries.join(F.broadcast(each), F.col("part") == F.col("of")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    queries = queries.withColumn("deal", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, total // every // block))).cast("int"))
-    deals = F.sequence(F.lit(0), F.lit(max(1, total // every // block) - 1))
-    index = index.withColumn("deal", F.explode(deals))
-
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        q, x = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
-        qid, xid, out = left["vec_id"].to_numpy(), right["vec_id"].to_numpy(), []
-        for at in range(0, len(q), 256):
-            near = q[at : at + 256] @ x.T
-            near[qid[at : at + 256, None] == xid] = -np.inf
-            kth = -np.partition(-near, min(k, near.shape[1]) - 1, axis=1)[:, min(k, near.shape[1]) - 1]
-            a, b = np.nonzero((near >= kth[:, None] - 1e-9 * (1 + np.abs(kth[:, None]))) & (near > -np.inf))
-            exact = (q[at : at + 256][a] * x[b]).sum(axis=1)  # the same sum for equal vectors, wherever they stand
-            order = np.lexsort((xid[b], -exact, a))
-            a, b, exact = a[order], b[order], exact[order]
-            first = np.searchsorted(a, a)
-            keep = np.arange(len(a)) - first < k
-            out.append(pd.DataFrame({"query_id": qid[at + a[keep]], "vec_id": xid[b[keep]], "score": exact[keep]}))
-        return pd.concat(out)
-
-    key = ["part", "block", "deal"]
-    found = queries.groupBy(*key).cogroup(index.groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
+    counted = index.groupBy("part").count().collect()  # as many rows as parts
+    sizes = np.zeros(parts, np.int64)
+    for r in counted:
+        sizes[r["part"]] = r["count"]
+    blocks = F.array(*[F.lit(max(1, -(-int(n) // block))) for n in sizes])
+    spread = index.select("part", F.pmod(F.xxhash64("vec_id"), F.get(blocks, F.col("part"))).cast("int").alias("block"), F.lit(False).alias("query"), "vec_id", "v")
+    queries = rows.filter(F.col("vec_id") % every == 0).mapInArrow(route(probes, sizes), kind)
+    asked = queries.select("part", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("part")) - 1)).alias("block"), F.lit(True).alias("query"), "vec_id", "v")
+    met = spread.union(asked).repartition("part", "block").sortWithinPartitions("part", "block", "query")
+    found = met.mapInArrow(_compare(k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
