@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,17 +16,53 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+SEED = 0x9E3779B97F4A7C15
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser: shifts and multiplications."""
+    for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(m)
+    return x ^ (x >> np.uint64(33))
+
+
+def seeded(i: int) -> np.uint64:
+    """The i-th of a row of seeds."""
+    return np.uint64(SEED * (i + 1) % 2**64)
+
+
+#: The folder of sessions on a local master that name none, as in tests.
+_OWN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); where unset, as in tests, one of our own."""
+    """The folder all executors share, ``spark.checkpoint.dir``. Only a local master may do without: driver and tasks
+    are then one machine, and a temporary folder serves."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="kilotrace-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    if found:
+        return found.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="kilotrace-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return f"file://{_OWN[0]}"
+
+
+def free(name: str, *tables: DataFrame) -> str:
+    """``name``, with as many underscores after it as it takes to be no column of ``tables``."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 class Scratch:
-    """Written tables of one operator run. Writing one cuts the lineage, so a lost executor costs one step."""
+    """Written tables of one operator run. Writing one cuts the lineage, so a lost executor costs one step.
+
+    Tables that the operator has done with are dropped as it goes. Those its result still reads stay: the folder
+    belongs to the cluster, which clears it with the application's other checkpoints.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}", 0
