@@ -255,7 +255,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048) -> DataFrame:
             yield pa.RecordBatch.from_pandas(t, preserve_index=False)
 
     kinds = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return cut.join(shifts, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", "part", "rank", "shift").mapInArrow(seat, f"{kinds}, sequence_id long, offset long")
+    return cut.join(shifts.hint("merge"), ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", "part", "rank", "shift").mapInArrow(seat, f"{kinds}, sequence_id long, offset long")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
