@@ -7,8 +7,12 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +80,18 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def keep_bucketed(self, df: DataFrame, by: str) -> DataFrame:
+        """Writes ``df`` in buckets by a column, as many as a shuffle has partitions, so that a join on it needs no
+        shuffle of this side. The catalogue's entry goes again at once; the files are those of any written table."""
+        self.n += 1
+        path, name = f"{self.root}/{self.n}", f"kilotrace_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, by).saveAsTable(name)
+        out = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")
+        out._scratch_path = path
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that nothing reads any more."""
         for t in tables:
@@ -83,6 +99,29 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def gathered(starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` at ``starts``, one after the other."""
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits, byte plane by byte plane: the high bytes of small numbers cost next to nothing."""
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
+def chunks(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in stretches of rows whose texts, in ``column``, have about ``size`` bytes."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    cuts = [0, *(np.flatnonzero(np.diff(total)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; none for null or blank texts."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")

@@ -25,25 +25,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilotrace.llm.common import Scratch, documents
+from kilotrace.llm.common import Scratch, documents, mixed, packed, unpacked
 from kilotrace.llm.langid import remainder
 
 #: Stands for the closing token; no word holds a space.
 END = b" "
 #: The hash of the context before a document's first word.
 START = np.uint64(0x9E3779B97F4A7C15)
-MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: shifts and multiplications."""
-    for m in MIX:
-        x = (x ^ (x >> np.uint64(33))) * m
-    return x ^ (x >> np.uint64(33))
+#: Sets a pair's first word apart from its second. Odd.
+FACTOR = np.uint64(0xC4CEB9FE1A85EC53)
 
 
 def _pairs(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return _mixed(before * MIX[1] + word)
+    return mixed(before * FACTOR + word)
 
 
 class Filter:
@@ -70,8 +64,8 @@ class Filter:
         return size, np.packbits(flags, bitorder="little").tobytes()
 
     def _places(self, keys: np.ndarray, part: np.ndarray | int, level: int) -> Iterator[np.ndarray]:
-        first = _mixed(keys + np.uint64(level * int(START) % 2**64))
-        step, sizes, starts = _mixed(first) | np.uint64(1), self.sizes[part], self.starts[part]
+        first = mixed(keys + np.uint64(level * int(START) % 2**64))
+        step, sizes, starts = mixed(first) | np.uint64(1), self.sizes[part], self.starts[part]
         for i in range(self.probes):
             yield starts + (first + np.uint64(i) * step) % sizes
 
@@ -99,16 +93,6 @@ COUNT = 1 << 42
 CHUNK = 1 << 19
 
 
-def _packed(tokens: np.ndarray) -> bytes:
-    """Word numbers, byte plane by byte plane: the high bytes of frequent words' small numbers cost next to nothing."""
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(tokens.view(np.uint8).reshape(-1, 4).T).tobytes())
-
-
-def _unpacked(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
-
-
 def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Blocks of documents, dictionary-coded: each distinct word once, and the texts as compressed word numbers."""
 
@@ -137,7 +121,7 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
                 held = np.array(part.column(2).to_pylist(), bool)
                 learnt = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(known))
                 ids = np.array([-1 if x is None else x for x in part.column(0).to_pylist()], np.int64)
-                row = [TaskContext.get().partitionId() << 33 | made, ids.tobytes(), held.tobytes(), lengths.astype(np.int32).tobytes(), _packed(tokens), known, learnt.tolist()]
+                row = [TaskContext.get().partitionId() << 33 | made, ids.tobytes(), held.tobytes(), lengths.astype(np.int32).tobytes(), packed(tokens), known, learnt.tolist()]
                 made += 1
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), *[pa.binary()] * 4, pa.list_(pa.binary()), pa.list_(pa.int64())], strict=True)], names=["block", "ids", "held", "lengths", "tokens", "words", "learnt"])
 
@@ -152,7 +136,7 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
 
 def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """ids, held, lengths, tokens and the hashes of the words of a block."""
-    tokens = _unpacked(row["tokens"])
+    tokens = unpacked(row["tokens"])
     return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["held"], bool), np.frombuffer(row["lengths"], np.int32), tokens, np.array([xxhash.xxh64_intdigest(w) for w in row["words"]], np.uint64)
 
 
@@ -170,7 +154,7 @@ def _sliced(keys: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _group(hashes: np.ndarray, groups: int) -> np.ndarray:
-    return (_mixed(hashes) % np.uint64(groups)).astype(np.int64)
+    return (mixed(hashes) % np.uint64(groups)).astype(np.int64)
 
 
 def score(docs: DataFrame, prior: float = 500.0, bits_per_item: int = 10, probes: int = 5, filter_bytes: int = 256 << 20, block_bytes: int = 12 << 20) -> DataFrame:
@@ -215,9 +199,9 @@ def score(docs: DataFrame, prior: float = 500.0, bits_per_item: int = 10, probes
                 yield pa.RecordBatch.from_arrays([pa.array([int(of[a]) for a, _ in spans], pa.int64()), *[pa.array(c, pa.binary()) for c in columns]], names=["slice", "low", "high", "n"])
 
     def build(key, table):
-        packed = lambda name, kind: np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind) for x in table[name]])
-        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in table["low"]]).astype(np.uint64) | packed("high", np.uint8).astype(np.uint64) << np.uint64(32)
-        n = packed("n", np.uint32)
+        flat = lambda name, kind: np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind) for x in table[name]])
+        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in table["low"]]).astype(np.uint64) | flat("high", np.uint8).astype(np.uint64) << np.uint64(32)
+        n = flat("n", np.uint32)
         keys, back = np.unique(keys, return_inverse=True)
         size, bits = Filter.of(keys, np.bincount(back, n), bits_per_item, probes)
         return pd.DataFrame({"slice": [key[0]], "size": [size], "bits": [bits]})

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kilotrace.llm.common import Scratch, documents
+from kilotrace.llm.common import Scratch, chunks, documents, gathered
 
 #: The token that closes a document.
 END = b"\0\0\0\0"
@@ -40,12 +40,6 @@ SPACE_BREAK = "ĠĊ"
 BOUNDARY = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
-def gathered(starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """The stretches of ``flat`` at ``starts``, one after the other."""
-    ends = np.cumsum(lengths)
-    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
-
-
 class Encoder:
     """Token ids of whole texts, many at a time.
 
@@ -130,13 +124,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def chunks(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
-    """``batch`` in stretches of rows whose texts, in ``column``, have about ``size`` bytes."""
-    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
-    cuts = [0, *(np.flatnonzero(np.diff(total)) + 1).tolist(), batch.num_rows]
-    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
-
-
 def pieces(docs: DataFrame, vocabulary: str, size: int) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, rank) of every document, cut where it is longer than ``size``
     tokens; rank numbers the pieces of a length within the part, the task that wrote them."""

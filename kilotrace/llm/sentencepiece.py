@@ -8,7 +8,8 @@ such a model encodes, so here the fold applies the lattice's edges as merges, be
 equals; its result is the library's. The state is a bit mask of the word's piece boundaries.
 
 Null and empty texts have no ids. Characters in no piece become byte pieces. Decoding gives the text back (a lower
-one eighth block, which marks spaces, as a space). Repeated rows are encoded alike; an empty table gives an empty result; ``decode`` keeps other columns.
+one eighth block, which marks spaces, as a space). Rows with a null doc_id and repeated rows are encoded like any
+other; an empty table gives an empty result; ``decode`` keeps other columns, and adds its own under a free name.
 """
 
 from __future__ import annotations
@@ -22,14 +23,17 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from kilotrace.llm.common import Scratch, documents
+from kilotrace.llm.common import Scratch, chunks, documents, free, gathered, packed, unpacked
 
 SPACE = "▁"
 #: A boundary mask is one long, so words beyond this many characters are merged in Python, with a heap.
@@ -111,43 +115,86 @@ def load(path: str) -> Pieces:
     return Pieces(ranks, ids, late, byte_ids, spelling, max(map(len, ids)), words)
 
 
-def _blocks(docs: DataFrame, model: str, block_bytes: int, words_only: bool) -> DataFrame:
-    """Either the distinct words of each block of documents, numbered, or its texts as compressed word numbers.
+def units_of(texts: pa.Array, words: re.Pattern) -> tuple[pa.Array, np.ndarray]:
+    """(units of all texts, one after the other; the end of each text's among them): stretches no piece crosses.
 
-    No piece crosses the words' bounds, so they can be encoded apart."""
+    A stretch after a space is known by its text alone, one after a line break by the break and its text; texts with
+    white space beside white space are split by the model's words, which are known by a space and their text.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    spaced = pc.replace_substring(texts, "\n", " \n")
+    uneven = pc.match_substring_regex(spaced, f"^ |  | $|{SPACE}") if not words.fullmatch("\n\n") else pa.array([True] * len(texts))
+    lists = pc.split_pattern(pc.if_else(uneven, "", spaced), " ")
+    units, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
+    sizes[pc.equal(texts, "").to_numpy(zero_copy_only=False)] = 0
+    odd = np.flatnonzero(uneven.to_numpy(zero_copy_only=False))
+    own = [[f" {w}" for w in words.findall(SPACE + t.as_py().replace(" ", SPACE))] for t in texts.take(pa.array(odd))]
+    sizes[odd] = 0
+    keep = pc.not_equal(units, "")  # what is left of empty and of uneven texts
+    units = units.filter(keep)
+    if own:
+        ends = np.cumsum(sizes)
+        parts, at = [], 0
+        for i, found in zip(odd.tolist(), own, strict=True):
+            parts += [units.slice(at, ends[i] - at), pa.array(found, pa.large_string())]
+            at = int(ends[i])
+        units = pa.concat_arrays([*parts, units.slice(at)])
+        sizes[odd] = [len(found) for found in own]
+    return units, np.cumsum(sizes)
+
+
+def spelt_out(unit: str) -> str:
+    """The characters of a unit as the model has them."""
+    return unit[1:] if unit[0] == " " else unit if unit[0] == "\n" else SPACE + unit
+
+
+def _list(words: list[bytes]) -> bytes:
+    """Words as one compressed value: how many, how long they are (byte plane by byte plane), and the bytes."""
+    sizes = np.fromiter(map(len, words), "<u4", len(words))
+    return zstandard.ZstdCompressor(level=3).compress(np.uint32(len(words)).tobytes() + sizes.view(np.uint8).reshape(-1, 4).T.tobytes() + b"".join(words))
+
+
+def _listed(raw: bytes) -> list[str]:
+    raw = zstandard.ZstdDecompressor().decompress(raw)
+    n = int(np.frombuffer(raw[:4], "<u4")[0])
+    sizes = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, 4).reshape(4, -1).T).view("<u4").ravel()
+    ends = (4 + 4 * n + np.cumsum(sizes, dtype=np.int64)).tolist()
+    return [raw[a:b].decode() for a, b in zip([4 + 4 * n, *ends], ends, strict=False)]
+
+
+def _blocks(docs: DataFrame, model: str, block_bytes: int, slices: int) -> DataFrame:
+    """Blocks of documents: their texts as compressed numbers of units, the frequent ones first, and the units as
+    compressed lists, one for each slice of their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern, packer, made = load(model).words, zstandard.ZstdCompressor(level=1), 0
-        known: dict[str, int] = {}
-        ids, lengths, tokens, size = [], [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            block = TaskContext.get().partitionId() << 33 | made
-            if words_only:
-                return pa.RecordBatch.from_arrays([pa.array(np.full(len(known), block)), pa.array(np.arange(len(known), dtype=np.int32)), pa.array(list(known), pa.string())], names=["block", "at", "word"])
-            every = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
-            cells = [block, np.array(ids, np.int64).tobytes(), np.array(lengths, np.int32).tobytes(), packer.compress(every.tobytes()), list(known)]
-            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, [pa.int64(), *[pa.binary()] * 3, pa.list_(pa.string())], strict=True)], names=["block", "ids", "lengths", "tokens", "words"])
-
+        words, packer, made = load(model).words, zstandard.ZstdCompressor(level=3), 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
-                for w in dict.fromkeys(found):  # numbers go by first appearance, so that both passes agree
-                    known.setdefault(w, len(known))
-                if not words_only:
-                    tokens.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
-                    ids.append(-1 if doc is None else doc)
-                    lengths.append(len(found))
-                size += len(text or "")
-                if size >= block_bytes:
-                    yield flush()
-                    made += 1
-                    known, ids, lengths, tokens, size = {}, [], [], [], 0
-        if size or ids:
-            yield flush()
-
-    kinds = "block long, at int, word string" if words_only else "block long, ids binary, lengths binary, tokens binary, words array<string>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, kinds)
+            for part in chunks(batch, 1, block_bytes):
+                units, ends = units_of(part.column(1), words)
+                coded = units.dictionary_encode()
+                indices, known = coded.indices.to_numpy(), coded.dictionary
+                order = np.argsort(-np.bincount(indices, minlength=len(known)), kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                names = [w.encode() for w in known.take(pa.array(order)).to_pylist()]
+                slice_ = np.fromiter((xxhash.xxh3_64_intdigest(w) % slices for w in names), np.uint16, len(names))
+                lists = [_list([names[i] for i in np.flatnonzero(slice_ == s)]) for s in range(slices)]
+                cells = [TaskContext.get().partitionId() << 33 | made, part.column(0).to_pylist(), packed(np.diff(ends, prepend=0)), packed(rank[indices]), packer.compress(slice_.tobytes()), lists]
+                made += 1
+                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 3, pa.list_(pa.binary())], strict=True)], names=["block", "ids", "lengths", "tokens", "slices", "words"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "block long, ids array<long>, lengths binary, tokens binary, slices binary, words array<binary>")
+
+
+#: Words that travel in one row on their way to the lattice.
+ROW = 1024
+
+
+def _distinct(table: pd.DataFrame) -> pd.DataFrame:
+    """The distinct units of a slice, in order, ROW to a row."""
+    every = sorted({w for raw in table["words"] for w in _listed(raw)})
+    at = range(0, len(every), ROW)
+    return pd.DataFrame({"slice": [table["slice"].iloc[0]] * len(at), "row": [i // ROW for i in at], "words": [[spelt_out(w) for w in every[i : i + ROW]] for i in at]})
 
 
 #: A lattice edge is one long: rank, start, end and whether it is late, from the highest bits down.
@@ -158,114 +205,134 @@ def _folded(edges: Column, length: Column) -> Column:
     """The mask of a word's boundaries (bit i: before character i) after all merges of its lattice.
 
     ``edges`` are sorted by rank, then start. An edge merges two pieces if both its ends are boundaries and one boundary
-    lies between. One pass over the edges is exact unless a piece can also be made of pieces that come later; with
-    such an edge, each merge looks anew for the best one.
+    lies between. One pass over the edges is exact as long as no edge comes to fit after its turn; only late edges can,
+    whose piece can also be made of pieces that come after it. The pass marks, in the sign bit, a word where one does;
+    there each merge looks anew for the best edge.
     """
     one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.cast("int"))
     start, end = lambda x: F.shiftright(x, 10).bitwiseAND(F.lit(1023)), lambda x: F.shiftright(x, 2).bitwiseAND(F.lit(255))
-    masks = F.transform(edges, lambda x: F.struct((one(start(x)) + one(end(x))).alias("ends"), (one(end(x)) - one(start(x) + 1)).alias("inner")))
+    shape = lambda x: F.struct(x.alias("edge"), (one(start(x)) + one(end(x))).alias("ends"), (one(end(x)) - one(start(x) + 1)).alias("inner"))
+    masks, late = F.transform(edges, shape), F.transform(F.filter(edges, lambda x: x % 2 == 1), shape)
     fits = lambda b, e: (b.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(b.bitwiseAND(e["inner"])) == 1)
     merge = lambda b, e: b.bitwiseAND(F.bitwise_not(e["inner"]))
+    mark = lambda b, e: F.when(F.exists(late, lambda x: (x["edge"] < e["edge"]) & fits(b, x)), b.bitwiseOR(F.lit(-(2**63)))).otherwise(b)
     every = one(length + 1) - 1
-    once = F.aggregate(masks, every, lambda b, e: F.when(fits(b, e), merge(b, e)).otherwise(b))
+    once = F.aggregate(masks, every, lambda b, e: F.when((b >= 0) & fits(b, e), mark(merge(b, e), e)).otherwise(b))
     anew = F.aggregate(F.sequence(F.lit(1), length), every, lambda b, _: F.coalesce(merge(b, F.get(F.filter(masks, lambda e: fits(b, e)), F.lit(0))), b))
-    return F.when(F.exists(edges, lambda x: x % 2 == 1), anew).otherwise(once)
+    return F.aggregate(F.array(once), F.lit(0).cast("long"), lambda _, b: F.when(b < 0, anew).otherwise(b))
 
 
-def word_masks(words: DataFrame, model: str) -> DataFrame:
-    """(word, cuts) of distinct ``words`` (word) of up to LONGEST characters: the mask of piece boundaries. Words that
-    no merge applies to are left out.
+def word_masks(rows: DataFrame, model: str) -> DataFrame:
+    """(slice, at, cuts) of the words of ``rows`` (slice, row, words) of up to LONGEST characters: the word's place in
+    its slice, and the mask of its piece boundaries. Words that no merge applies to are left out.
 
-    The piece table has as many rows as the vocabulary and is broadcast. Words are spread by hash once; exploding,
-    joining and grouping stay within that partitioning.
+    The piece table has as many rows as the vocabulary and is broadcast. Rows of words are spread by hash once;
+    exploding, joining and grouping stay within that partitioning.
     """
     pieces = load(model)
-    spark = words.sparkSession
-    rows = [(p, pieces.ranks[p] * RANK + (p in pieces.late)) for p in pieces.ids if len(p) > 1]
-    table = F.broadcast(spark.createDataFrame(rows, "piece string, rank long"))
-    each = words.select("word").filter(F.length("word") <= LONGEST).distinct().select("word", F.xxhash64("word").alias("h"), F.length("word").alias("n")).filter("n > 1")
+    table = [(p, pieces.ranks[p] * RANK + (p in pieces.late)) for p in pieces.ids if len(p) > 1]
+    table = F.broadcast(rows.sparkSession.createDataFrame(table, "piece string, rank long"))
+    each = rows.repartition("slice", "row").select("slice", "row", F.posexplode("words").alias("i", "word")).withColumn("n", F.length("word")).filter(F.col("n").between(2, LONGEST))
     starts = each.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 2)).alias("s"))
     spans = starts.select("*", F.explode(F.sequence(F.col("s") + 2, F.least(F.col("n"), F.col("s") + pieces.longest))).alias("e"))
     lattice = spans.withColumn("piece", F.substring("word", F.col("s") + 1, F.col("e") - F.col("s"))).join(table, "piece")
     edge = F.col("rank") + F.col("s") * START + F.col("e") * END
-    grouped = lattice.groupBy("h", "word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    return grouped.select("word", _folded(F.col("edges"), F.col("n")).alias("cuts"))
+    grouped = lattice.groupBy("slice", "row", "i", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    return grouped.select("slice", (F.col("row") * ROW + F.col("i")).alias("at"), _folded(F.col("edges"), F.col("n")).alias("cuts"))
+
+
+def _segmented(word: str, mask: int, pieces: Pieces) -> list[int]:
+    """The ids of a word, given the mask of its boundaries (0: no merge applies, or the word is too long for one)."""
+    if len(word) > LONGEST:
+        return pieces.merged(word)
+    if not mask:
+        return [i for c in word for i in pieces.spelt(c)]
+    out, a, mask = [], 0, mask >> 1
+    while mask:
+        step = (mask & -mask).bit_length()
+        out += pieces.spelt(word[a : a + step])
+        mask, a = mask >> step, a + step
+    return out
 
 
-def encode(docs: DataFrame, model: str, block_bytes: int = 16 << 20, then=None) -> DataFrame:
+def encode(docs: DataFrame, model: str, block_bytes: int = 16 << 20, slice_bytes: int = 32 << 20, then=None) -> DataFrame:
     """(doc_id, ids array<int>) of ``docs`` (doc_id, text), as the library encodes.
 
-    Documents are taken in blocks of bounded size. Only a block's distinct words, their masks and the compressed word
-    numbers are shuffled; the corpus's distinct words are encoded once. ``then``: a (function of record batches, schema)
-    that the same tasks apply to the result.
+    One pass makes blocks of documents, of bounded size: the texts as numbers of distinct words, and the words in
+    slices of their hash, about one for ``slice_bytes`` of text. A slice's distinct words, of all blocks, are encoded
+    once, each one's ids go back to the blocks that hold it, and those spell their texts. The blocks are written in
+    buckets, so that the texts are never shuffled; words travel as compressed lists. ``then``: a (function of record
+    batches, schema) that the last tasks apply to the result.
     """
     scratch = Scratch(docs.sparkSession, "pieces")
-    words = scratch.keep(_blocks(docs, model, block_bytes, True))
-    known = scratch.keep(word_masks(words, model))
-    cuts = words.join(known.hint("merge"), "word").groupBy("block").agg(F.collect_list(F.struct("at", "cuts")).alias("cuts"))
-    ready = _blocks(docs, model, block_bytes, False).join(cuts, "block", "left")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    slices = min(8 + size // slice_bytes, 1 << 16)
+    blocks = scratch.keep_bucketed(_blocks(docs, model, block_bytes, slices), "block")
+    lists = blocks.select("block", F.posexplode("words").alias("slice", "words"))
+    rows = scratch.keep(lists.groupBy("slice").applyInPandas(_distinct, "slice int, row int, words array<string>"))
+    cuts = scratch.keep(word_masks(rows, model))
+    scratch.drop(rows)
+
+    def back(own: pd.DataFrame, cuts: pd.DataFrame) -> pd.DataFrame:
+        pieces, known = load(model), [_listed(raw) for raw in own["words"]]
+        every = sorted({w for words in known for w in words})
+        masks = np.zeros(len(every), np.int64)
+        masks[cuts["at"].to_numpy()] = cuts["cuts"].to_numpy()
+        ids = [np.array(_segmented(spelt_out(w), mask, pieces), "<u4").tobytes() for w, mask in zip(every, masks.tolist(), strict=True)]
+        look = dict(zip(every, ids, strict=True))
+        out = [[look[w] for w in words] for words in known]
+        cells = [packed(np.fromiter((len(x) // 4 for x in found), np.uint32, len(found))) for found in out], [packed(np.frombuffer(b"".join(found), "<u4")) for found in out]
+        return pd.DataFrame({"block": own["block"], "slice": own["slice"], "sizes": cells[0], "pieces": cells[1]})
+
+    kinds = "block long, slice int, sizes binary, pieces binary"
+    found = lists.groupBy("slice").cogroup(cuts.groupBy("slice")).applyInPandas(back, kinds)
+    found = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("slice", "sizes", "pieces"))).alias("found"))
+    ready = blocks.select("block", "ids", "lengths", "tokens", "slices").join(found.hint("merge"), "block", "left")
     after, kinds = then or (lambda x: x, "doc_id long, ids array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(model)
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, lengths = np.frombuffer(batch.column(1)[i].as_py(), np.int64), np.frombuffer(batch.column(2)[i].as_py(), np.int32)
-                tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(3)[i].as_py()), np.int32)
-                every = batch.column(4)[i].as_py()
-                masks = np.zeros(len(every), np.int64)
-                if batch.column(5)[i].is_valid:
-                    found = batch.column(5)[i].values
-                    masks[found.field("at").to_numpy()] = found.field("cuts").to_numpy()
-                flat, sizes = [], np.empty(len(every), np.int64)
-                for k, (word, mask) in enumerate(zip(every, masks.tolist(), strict=True)):
-                    before = len(flat)
-                    if len(word) > LONGEST:
-                        flat += pieces.merged(word)
-                    elif mask:
-                        a, mask = 0, mask >> 1
-                        while mask:
-                            b = a + (mask & -mask).bit_length()
-                            flat += pieces.spelt(word[a:b])
-                            mask >>= b - a
-                            a = b
-                    else:
-                        for c in word:
-                            flat += pieces.spelt(c)
-                    sizes[k] = len(flat) - before
-                flat = np.array(flat, np.int32)
-                starts = np.cumsum(sizes) - sizes
-                ends = np.concatenate([[0], np.cumsum(lengths.astype(np.int64))])
+                ids, lengths, tokens = batch.column(0)[i].values, unpacked(batch.column(1)[i].as_py()), unpacked(batch.column(2)[i].as_py())
+                of = np.argsort(np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(3)[i].as_py()), np.uint16), kind="stable")
+                slices = batch.column(4)[i].as_py() or []
+                n = np.concatenate([np.zeros(0, np.int64), *(unpacked(s["sizes"]) for s in slices)]).astype(np.int64)
+                flat = np.concatenate([np.zeros(0, np.int32), *(unpacked(s["pieces"]) for s in slices)])
+                sizes, starts = np.empty_like(n), np.empty_like(n)
+                sizes[of], starts[of] = n, np.cumsum(n) - n
+                ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
                 for a in range(0, len(ids), 500):  # so many documents at a time
                     b = min(a + 500, len(ids))
                     own = tokens[ends[a] : ends[b]]
-                    n = sizes[own]
-                    total = np.concatenate([[0], np.cumsum(n)])
-                    out = flat[np.repeat(starts[own] - total[:-1], n) + np.arange(total[-1])]
+                    total = np.concatenate([[0], np.cumsum(sizes[own])])
+                    out = gathered(starts[own], sizes[own], flat)
                     offsets = total[ends[a : b + 1] - ends[a]]
-                    yield after(pa.RecordBatch.from_arrays([pa.array(ids[a:b]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))], names=["doc_id", "ids"]))
+                    yield after(pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))], names=["doc_id", "ids"]))
 
-    return ready.select("block", "ids", "lengths", "tokens", "words", "cuts").mapInArrow(run, kinds)
+    return ready.select("ids", "lengths", "tokens", "slices", "found").mapInArrow(run, kinds)
 
 
 def spelling(ids: pa.Array, pieces: Pieces) -> list[bytes | None]:
     """The UTF-8 bytes that lists of ids spell, without the space that encoding puts first."""
-    spell, out = pieces.spelling.__getitem__, []
-    for x in ids:
-        raw = b"".join(map(spell, x.values.to_pylist())) if x.is_valid else None
-        out.append(raw[1:] if raw and raw[:1] == b" " else raw)
-    return out
+    flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = np.fromiter(map(len, pieces.spelling), np.int64, len(pieces.spelling))
+    raw = gathered((np.cumsum(sizes) - sizes)[flat], sizes[flat], np.frombuffer(b"".join(pieces.spelling), np.uint8)).tobytes()
+    ends = np.concatenate([[0], np.cumsum(sizes[flat])])
+    counts = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+    places = ends[counts].tolist()
+    return [raw[a + (raw[a : a + 1] == b" ") : b] if ok else None for a, b, ok in zip(places, places[1:], ids.is_valid().to_pylist(), strict=False)]
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
-    """``encoded`` with ``decoded``, the UTF-8 bytes that the ids spell (null ids: null)."""
-    names, at = encoded.columns, encoded.columns.index(ids)
+    """``encoded`` with ``decoded``, the UTF-8 bytes that the ids spell (null ids: null). Where that name is taken, the
+    added column has an underscore after it."""
+    names, at, added = encoded.columns, encoded.columns.index(ids), free("decoded", encoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spelling(batch.column(at), load(model)), pa.binary())], names=[*names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spelling(batch.column(at), load(model)), pa.binary())], names=[*names, added])
 
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(added, BinaryType())]))
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +343,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = batch.column(1)
-        sums = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) for x in ids]
+        sums = [zlib.crc32(x.values.to_numpy().astype("<u4")) for x in ids]
         back = [hashlib.sha256(x).hexdigest() for x in spelling(ids, load(model))]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(sums, pa.int64()), pa.array(back)], names=["doc_id", "n_ids", "ids_crc32", "decoded_sha256"])
 
