@@ -4,8 +4,9 @@ Texts and templates are sequences of words, lower-cased (A-Z) and without punctu
 hashes of word runs, of which each window of neighbours gives its smallest. A template's run of
 ``window + run - 1`` words or more in a text always shares one, whatever stands around it.
 
-Null and blank texts hold no license. Repeated rows are reported alike. An empty table gives an empty result; other
-columns are left aside.
+Null and blank texts hold no license. Repeated rows, and rows with a null doc_id, are reported alike. An empty table
+gives an empty result; other columns are left aside. A place where several templates fit (one that begins another) is
+reported for each. Templates of one name are one license with several texts; rows with a null in them are left out.
 """
 
 from __future__ import annotations
@@ -20,19 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilotrace.llm.common import documents
+from kilotrace.llm.templates import usual_templates
 
-#: Notices in public use. Fixed values.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "MIT": "Released under the MIT License.",
-    "MIT-text": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
-}
 EDGES = ".,;:!?()[]{}<>\"'*#/-_|"
 PRIME = np.uint64(0x9E3779B185EBCA87)
 
@@ -97,17 +87,33 @@ def align(text: np.ndarray, template: np.ndarray, shift: int, band: int) -> tupl
     return m, -f, last + 1
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = 0.8, run: int = 3, window: int = 2, band: int = 8) -> DataFrame:
+def least_hits(words: int, coverage: float, run: int, window: int) -> int:
+    """Fingerprints that a stretch shares at least, if it holds ``coverage`` of a template of so many words in order.
+
+    Words that are missing or changed part what matches into runs, one more than they are; a run of n words shares a
+    fingerprint for each window of its word runs, so (n - run - window + 2) / window at the least.
+    """
+    missing = int((1 - coverage) * words)
+    return max(1, int((words - missing - (run + window - 2) * (missing + 1)) / window))
+
+
+def scan(docs: DataFrame, templates: DataFrame | None = None, coverage: float = 0.8, run: int = 3, window: int = 2, band: int = 8, index_bytes: int = 64 << 20) -> DataFrame:
     """(doc_id, license, start_word, end_word, matched, template_words, coverage), a row for each place in a text.
 
-    Words are numbered from 0 among the text's space-separated words; the end is exclusive. The inverted index of the
-    templates' fingerprints goes to every task (its size depends on the templates alone); a text takes one pass. The alignment's band is a sixth of the template and
-    one word, ``band`` at most, so that a short template's alignment doesn't reach into the next copy.
+    ``templates`` (license, text) is a table; without one, the usual licenses. Words are numbered from 0 among the
+    text's space-separated words; the end is exclusive. The inverted index of the templates' fingerprints goes to
+    every task, so templates of more than ``index_bytes`` are refused; a text takes one pass. A place is a candidate
+    if it shares as many fingerprints as ``coverage`` takes (see ``least_hits``). The alignment's band is a sixth of
+    the template and one word, ``band`` at most, so that a short template's alignment doesn't reach into the next copy.
     A template must have ``run + window - 1`` words at least, so that every text that holds it shares a fingerprint.
     """
-    chosen = TEMPLATES if templates is None else templates
-    names = sorted(chosen)
-    bodies = [hashed_words(pa.array([chosen[n]]))[0] for n in names]
+    templates = usual_templates(docs.sparkSession) if templates is None else templates
+    templates = templates.select("license", "text").dropna().distinct()
+    size = templates.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    if size > index_bytes:
+        raise ValueError(f"templates of {size} bytes: the index is for {index_bytes} at most")
+    rows = sorted((r["license"], r["text"]) for r in templates.collect())
+    names, bodies = [n for n, _ in rows], [hashed_words(pa.array([text]))[0] for _, text in rows]
     if short := [n for n, body in zip(names, bodies, strict=True) if len(body) < run + window - 1]:
         raise ValueError(f"templates of fewer than {run + window - 1} words: {short}")
     index: dict[int, list[tuple[int, int]]] = {}
@@ -117,19 +123,22 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     keys = np.array(sorted(index), np.uint64)
 
     def of_text(words: np.ndarray, anchors: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-        found: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-        seen: dict[int, list[int]] = {}
+        shifts: dict[int, list[int]] = {}
         for key, at in anchors:
             for t, place in index[key]:
-                shift, own = at - place, min(band, 1 + len(bodies[t]) // 6)
-                if any(abs(shift - s) <= own // 2 for s in seen.get(t, [])[-4:]):
+                shifts.setdefault(t, []).append(at - place)
+        found: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+        for t, every in shifts.items():
+            n, every, last = len(bodies[t]), np.sort(every), None
+            own, need = min(band, 1 + n // 6), least_hits(n, coverage, run, window)
+            near = np.searchsorted(every, every + own, "right") - np.searchsorted(every, every - own, "left")
+            for shift in every[near >= need].tolist():
+                if last is not None and shift - last <= own // 2:
                     continue
-                seen.setdefault(t, []).append(shift)
-                low = max(0, shift - own)
-                m, a, b = align(words[low : shift + len(bodies[t]) + own], bodies[t], shift - low, own)
-                if m >= coverage * len(bodies[t]):
-                    if (t, low + a) not in found or found[t, low + a][3] < m:
-                        found[t, low + a] = (t, low + a, low + b, m)
+                last, low = shift, max(0, shift - own)
+                m, a, b = align(words[low : shift + n + own], bodies[t], shift - low, own)
+                if m >= coverage * n and ((t, low + a) not in found or found[t, low + a][3] < m):
+                    found[t, low + a] = (t, low + a, low + b, m)
         return sorted(found.values())
 
     def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
