@@ -181,11 +181,12 @@ def _nearest(qid: np.ndarray, q: np.ndarray, xid: np.ndarray, x: np.ndarray, k:
     return qid[a[keep]], xid[b[keep]], exact[keep]
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", part_rows: int = 512, sample: int = 32768, per_part: int = 64, recall: float = 0.92, block: int = 4096) -> DataFrame:
+def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", parts: int | None = None, sample: int = 32768, per_part: int = 64, recall: float = 0.92, block: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every vector whose id is divisible by ``every``.
 
-    There are about rows / ``part_rows`` parts, 16 at least (fewer only where rows are under 64) and as many as
-    ``sample`` vectors at ``per_part`` a part allow. The router is fitted on so many distinct vectors, chosen by hash;
+    There are ``parts`` parts, by default a quarter of the root of the rows, so that their number and size grow alike;
+    16 at least (fewer only where rows are under 64) and as many as ``sample`` vectors at ``per_part`` a part allow;
+    always a power of two. The router is fitted on so many distinct vectors, chosen by hash;
     a fifth of them, at most 1,024, is set aside to tell how many parts hold the share ``recall`` of a query's nearest.
     All vectors are indexed. A query takes more parts where those have fewer than k other vectors.
 
@@ -197,7 +198,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_
     scratch = Scratch(spark, "ann")
     rows = scratch.keep(usable(vectors, id_col, vector_col))
     total = rows.count()
-    depth = int(np.log2(max(1, min(max(16, total / part_rows), sample / per_part, total / 4))))
+    depth = int(np.log2(max(1, min(parts or max(16, total**0.5 / 4), sample / per_part, total / 4))))
     taken = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(per_part * 2**depth).collect()
     points = np.array([r["v"] for r in taken], np.float64)
     depth = max(0, min(depth, int(np.log2(max(1, len(points) / 4)))))
