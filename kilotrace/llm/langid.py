@@ -6,7 +6,8 @@ kernel ridge regression. A text is scored by one product of its n-gram presence
 
 Null texts, and texts without a letter, are ``und`` with score 0. Without usable training rows every text is ``und``.
 Rows with a null language are predicted but teach nothing. Repeated rows get equal results; an empty table gives an
-empty result; other columns are kept by ``identify``.
+empty result; other columns are kept by ``identify``, whose own have an underscore after them where a name is taken.
+Equal regression values go to the language that is first in order.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from kilotrace.llm.common import documents
+from kilotrace.llm.common import documents, free
 
 ORDERS = 3
 UNKNOWN = "und"
@@ -107,11 +108,12 @@ def _has_letter(text: Column) -> Column:
 
 
 def identify(docs: DataFrame, labelled: DataFrame, per_language: int = 300, languages: int | None = None, longest: int = 20_000) -> DataFrame:
-    """``docs`` with lang_pred and score (0 to 1: the language's share of the positive regression values)."""
+    """``docs`` with lang_pred and score (0 to 1: the language's share of the positive regression values), which come
+    last, whatever their names (see above)."""
     model = fit(training_rows(labelled, per_language, languages, longest))
     held = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    names, added = docs.columns, [free("lang_pred", docs), free("score", docs)]
+    schema = StructType([*docs.schema.fields, StructField(added[0], StringType()), StructField(added[1], DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
@@ -127,9 +129,9 @@ def identify(docs: DataFrame, labelled: DataFrame, per_language: int = 300, lang
                     score[rows] = values[np.arange(len(rows)), best] / values.sum(axis=1)
                     for i, k in zip(rows, best, strict=True):
                         predicted[i] = model.languages[k]
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(predicted), pa.array(score)], names=[*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(predicted, pa.string()), pa.array(score)], names=[*names, *added])
 
-    return docs.select("*", _has_letter(F.col("text"))).toDF(*names, "_letter").mapInArrow(run, schema)
+    return docs.select("*", _has_letter(F.col("text")).alias(free("letter", docs))).mapInArrow(run, schema)
 
 
 def remainder(doc_id: Column, of: int) -> Column:

@@ -293,7 +293,7 @@ def test_neighbours(spark):
     good = {i: np.array(v, np.float32).astype(float) for i, v in rows}
     rows += [(4000, None), (4001, [0.0] * 16), (4002, [float("nan")] * 16), (4003, [1.0]), (None, rows[0][1]), *rows[:200], (20, [9.0] * 16)]  # repeats; of one id the least vector
     good[20] = min(good[20], np.full(16, 9.0), key=lambda v: v.tolist())
-    got = search(spark.createDataFrame(rows, VECTORS), part_rows=64, block=100).collect()
+    got = search(spark.createDataFrame(rows, VECTORS), parts=32, block=100).collect()
     assert recall_of(got, good) >= 0.9
     assert search(spark.createDataFrame([], VECTORS)).count() == 0
     few = {i: np.array([1.0, i]) for i in range(9)}
@@ -437,6 +437,54 @@ def test_passages_behind_a_rejected_first(spark):
     assert all(i in got and got[i].of_doc_id % 10 in (1, 2) and rows[i // 10 * 5 + i % 10][1].split()[got[i].start : got[i].end] == b for i, b in want.items())
 
 
+def test_passages_behind_decoys(spark):
+    """Early documents that hold one shingle of the passage each are the first of all its keys."""
+    from kilotrace.llm.passages import repeated_passages
+
+    r = random.Random(23)
+    passage, rows = prose(r, 60).split(), []
+    for i in range(1120):
+        k = i % 56
+        rows.append((i, prose(r, 26) + " " + " ".join(passage[k : k + 5]) + " " + prose(r, 26), None, None, None))
+    rows += [(5000 + i, prose(r, 40) + " " + " ".join(passage) + " " + prose(r, 40), None, None, None) for i in range(4)]
+    got = [x for x in repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert {x.doc_id for x in got} == {5001, 5002, 5003} and all(5000 <= x.of_doc_id < x.doc_id for x in got)
+    assert all((x.start, x.end) == (40, 100) for x in got)
+
+
+def test_passages_against_every_pair(spark):
+    """Texts of shared and edited paragraphs against a comparison of all pairs, word by word."""
+    from kilotrace.llm.passages import alike_spans, repeated_passages
+
+    r = random.Random(24)
+    paragraphs = [prose(r, r.randrange(40, 90)).split() for _ in range(30)]
+    rows = []
+    for i in range(90):
+        words = []
+        for _ in range(r.randrange(1, 4)):
+            part = [*r.choice(paragraphs)]
+            for _ in range(r.choice((0, 0, 1, 2))):
+                part[r.randrange(len(part))] = "edited" + str(r.randrange(99))
+            words += prose(r, r.randrange(5, 40)).split() + part
+        rows.append((i, " ".join(words)))
+    rows += [(200, None), (201, ""), (202, rows[3][1]), (202, rows[3][1]), (None, rows[4][1])]  # repeated rows
+    want = {}
+    texts = [(i, t.encode().split()) for i, t in rows[:90] + [(202, rows[3][1])]]
+    for n, (i, x) in enumerate(texts):
+        for _, y in texts[:n]:
+            for a, b, *_ in alike_spans(x, y, 5, 50, 0.8):
+                want.setdefault(i, set()).update(range(a, b))
+    got, true = {}, dict(texts)
+    for x in repeated_passages(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)).collect():
+        assert x.of_doc_id < x.doc_id and x.end - x.start >= 50
+        one, two = ({tuple(w[i : i + 5]) for i in range(a, b - 4)} for w, a, b in ((true[x.doc_id], x.start, x.end), (true[x.of_doc_id], x.of_start, x.of_end)))
+        assert math.isclose(len(one & two) / len(one | two), x.similarity) and x.similarity >= 0.8
+        got.setdefault(x.doc_id, set()).update(range(x.start, x.end))
+    total = sum(map(len, want.values()))
+    assert sum(len(got.get(i, set()) & w) for i, w in want.items()) >= 0.97 * total
+    assert sum(len(w - want.get(i, set())) for i, w in got.items()) <= 0.02 * total
+
+
 def test_passages_split_where_a_run_fails():
     from kilotrace.llm.passages import alike_spans
 
@@ -455,17 +503,62 @@ def test_passages_split_where_a_run_fails():
 
 
 def test_licenses(spark, none):
-    from kilotrace.llm.licenses import TEMPLATES, scan
+    from kilotrace.llm.licenses import scan
+    from kilotrace.llm.templates import TEMPLATES
 
     r = random.Random(6)
     mit = TEMPLATES["MIT-text"].split()
     rows = [(0, prose(r, 30) + "\nReleased under the MIT License.\n" + prose(r, 9)), (1, prose(r, 40)), (2, " ".join(mit[:40] + ["extra"] + mit[40:])), (3, "the license is under review"), (4, None), (5, " ".join(mit[:20])), (6, "licensed UNDER cc by-nc 4.0"),
-            (7, "Released under the MIT License. x y z " * 2)]
-    got = [(x.doc_id, x.license, x.start_word, x.end_word, x.matched) for x in scan(spark.createDataFrame([(*x, None, None, None) for x in rows], SCHEMA)).collect()]
-    assert sorted(got) == [(0, "MIT", 30, 35, 5), (2, "MIT-text", 0, len(mit) + 1, len(mit)), (6, "CC-BY-NC-4.0", 0, 5, 5), (7, "MIT", 0, 5, 5), (7, "MIT", 8, 13, 5)]
+            (7, "Released under the MIT License. x y z " * 2), (None, "licensed under CC BY-NC 4.0"), (6, "licensed UNDER cc by-nc 4.0"), (8, prose(r, 40000) + " Released under the MIT License.")]
+    got = [(-1 if x.doc_id is None else x.doc_id, x.license, x.start_word, x.end_word, x.matched) for x in scan(spark.createDataFrame([(*x, None, None, None) for x in rows], SCHEMA)).collect()]
+    assert sorted(got) == [(-1, "CC-BY-NC-4.0", 0, 5, 5), (0, "MIT", 30, 35, 5), (2, "MIT-text", 0, len(mit) + 1, len(mit)), (6, "CC-BY-NC-4.0", 0, 5, 5), (6, "CC-BY-NC-4.0", 0, 5, 5), (7, "MIT", 0, 5, 5), (7, "MIT", 8, 13, 5), (8, "MIT", 40000, 40005, 5)]
     assert scan(none).count() == 0
+    own = lambda *x: spark.createDataFrame(x, "license string, text string")
     with pytest.raises(ValueError):
-        scan(none, {"x": "too short"})
+        scan(none, own(("x", "too short")))
+    with pytest.raises(ValueError):
+        scan(none, own(("x", "long enough for an index")), index_bytes=10)
+    clashing = spark.createDataFrame([(1, "please keep all of these words", "x", 1)], "doc_id long, text string, license string, coverage int")
+    assert [tuple(x)[:4] for x in scan(clashing, own(("mine", "keep all of these words"), ("mine", None))).collect()] == [(1, "mine", 1, 6)]
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_licenses_against_full_alignment(spark):
+    """Which templates a text holds, by the longest common subsequence with every stretch of the text of their length."""
+    from kilotrace.llm.licenses import EDGES, scan
+    from kilotrace.llm.templates import TEMPLATES
+
+    plain = lambda t: [w for x in t.lower().split() if (w := x.strip(EDGES))]
+    r, rows, want = random.Random(61), [], set()
+    names = ["MIT", "BSD", "GPL-3.0-header", "Zlib-text", "MIT-text-full", "Apache-2.0-header-full"]
+    for i in range(60):
+        words = TEMPLATES[r.choice(names)].split()
+        for _ in range(r.randrange(len(words) // 4 + 1)):  # edits, from none to too many
+            k = r.randrange(len(words))
+            words[k : k + 1] = r.choice(([], ["other"], [words[k], "more"]))
+        rows.append((i, prose(r, r.randrange(30)) + " " + " ".join(words) + " " + prose(r, r.randrange(30)), None, None, None))
+    some = [(n, TEMPLATES[n]) for n in names]
+    for i, text, *_ in rows:
+        have = plain(text)
+        for name, template in some:
+            body = plain(template)
+            reach = len(body) + 2 * min(8, 1 + len(body) // 6)
+            if any(longest_common(body, have[a : a + reach]) >= 0.8 * len(body) for a in range(0, max(1, len(have) - len(body) // 2), 4)):
+                want.add((i, name))
+    found = scan(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(some, "license string, text string")).collect()
+    got = {(x.doc_id, x.license) for x in found}
+    assert got <= want and len(got) >= 0.95 * len(want) > 30
+    for x in found:
+        body, part = plain(TEMPLATES[x.license]), plain(" ".join(rows[x.doc_id][1].split()[x.start_word : x.end_word]))
+        assert x.template_words == len(body) and 0.8 <= x.coverage == x.matched / len(body) and x.matched <= longest_common(body, part)
 
 
 def test_sentencepiece(spark, docs, texts, none):
