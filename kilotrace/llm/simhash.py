@@ -20,7 +20,7 @@ BITS = 64
 #: Hashes turned into bit counts at once; a very long text needs no more memory than its words and this.
 BLOCK = 1 << 16
 #: Bits by which a level of the trie walk goes down.
-STEP = 4
+STEP = 5
 
 
 def _counts(hashes: np.ndarray) -> np.ndarray:
@@ -105,20 +105,18 @@ def _walked(leaves: DataFrame, budget: int, scratch: Scratch) -> DataFrame:
         return bits if s == 0 else F.shiftleft(bits, s).bitwiseOR(F.shiftrightunsigned(bits, BITS - s))
 
     turns = F.transform("fp", lambda bits, w: F.array(*[F.struct((w * len(starts) + i).alias("walk"), turned(bits, s).alias("path")) for i, s in enumerate(starts)]))
-    walks = scratch.keep(leaves.select("node", F.explode(F.flatten(turns)).alias("w")).select("node", "w.*"))
+    walks = leaves.select("node", F.explode(F.flatten(turns)).alias("w")).select("node", "w.*")
     prefix = lambda path, depth: path if depth == BITS else F.shiftrightunsigned(path, BITS - depth)
     allowed = lambda depth: next(k for k, d in enumerate(depths) if depth <= d)
-    deepest = int(np.log2(max(2, leaves.count()))) + STEP
+    deepest = int(np.log2(max(2, leaves.count()))) + 3  # of eight nodes there, about one holds a leaf
     one = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
 
-    depth = depths[0]
+    depth, before = depths[0], []
     now = walks.groupBy("walk", prefix(F.col("path"), depth).alias("u")).agg(F.count("*").alias("n")).filter("n > 1").select("walk", "u", F.col("u").alias("v"), F.lit(0).alias("e"))
-    now = scratch.keep(now)
     while depth < min(deepest, depths[-1]):
         step = min(STEP, BITS - depth)
         kid = prefix(F.col("path"), depth + step).bitwiseAND(F.lit((1 << step) - 1)).cast("int")
         nodes = walks.groupBy("walk", prefix(F.col("path"), depth).alias("p")).agg(F.bit_or(one(kid)).alias("kids"))
-        nodes = scratch.keep(nodes)
         side = lambda k: nodes.select("walk", F.col("p").alias(k), F.col("kids").alias(f"kids_{k}")).hint("merge")
         has = lambda mask, i: F.call_function("shiftrightunsigned", mask, i).bitwiseAND(F.lit(1)) == 1
         room, most = F.lit(allowed(depth + step)) - F.col("e"), allowed(depth + step)
@@ -132,8 +130,8 @@ def _walked(leaves: DataFrame, budget: int, scratch: Scratch) -> DataFrame:
         right = right.filter(has(F.col("kids_v"), F.col("j")) & ((F.col("u") != F.col("v")) | (F.col("i") <= F.col("j"))))
         down = lambda k, i: F.shiftleft(F.col(k), step).bitwiseOR(F.col(i)).alias(k)
         after = scratch.keep(right.select("walk", down("u", "i"), down("v", "j"), (F.col("e") + F.bit_count("x")).alias("e")))
-        scratch.drop(now, nodes)
-        now, depth = after, depth + step
+        scratch.drop(*before)
+        now, before, depth = after, [after], depth + step
 
     side = lambda k, name, path: walks.select("walk", prefix(F.col("path"), depth).alias(k), F.col("node").alias(name), F.col("path").alias(path)).hint("merge")
     errors = lambda depth: F.bit_count(prefix(F.col("p").bitwiseXOR(F.col("q")), depth))
