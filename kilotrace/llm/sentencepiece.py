@@ -121,7 +121,7 @@ def units_of(texts: pa.Array, words: re.Pattern) -> tuple[pa.Array, np.ndarray]:
     A stretch after a space is known by its text alone, one after a line break by the break and its text; texts with
     white space beside white space are split by the model's words, which are known by a space and their text.
     """
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    texts = pc.fill_null(texts, "")
     spaced = pc.replace_substring(texts, "\n", " \n")
     uneven = pc.match_substring_regex(spaced, f"^ |  | $|{SPACE}") if not words.fullmatch("\n\n") else pa.array([True] * len(texts))
     lists = pc.split_pattern(pc.if_else(uneven, "", spaced), " ")
@@ -136,7 +136,7 @@ def units_of(texts: pa.Array, words: re.Pattern) -> tuple[pa.Array, np.ndarray]:
         ends = np.cumsum(sizes)
         parts, at = [], 0
         for i, found in zip(odd.tolist(), own, strict=True):
-            parts += [units.slice(at, ends[i] - at), pa.array(found, pa.large_string())]
+            parts += [units.slice(at, ends[i] - at), pa.array(found, units.type)]
             at = int(ends[i])
         units = pa.concat_arrays([*parts, units.slice(at)])
         sizes[odd] = [len(found) for found in own]
@@ -255,7 +255,7 @@ def _segmented(word: str, mask: int, pieces: Pieces) -> list[int]:
     return out
 
 
-def encode(docs: DataFrame, model: str, block_bytes: int = 16 << 20, slice_bytes: int = 32 << 20, then=None) -> DataFrame:
+def encode(docs: DataFrame, model: str, block_bytes: int = 6 << 20, slice_bytes: int = 32 << 20, then=None) -> DataFrame:
     """(doc_id, ids array<int>) of ``docs`` (doc_id, text), as the library encodes.
 
     One pass makes blocks of documents, of bounded size: the texts as numbers of distinct words, and the words in
