@@ -11,11 +11,6 @@ KEYS = ["placa_norm", "fecha", "id_producto", "anio", "mes"]
 MONTH = ["placa_norm", "anio", "mes"]
 
 
-def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows (the check counts no further), else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def zero(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0.0)).alias(c)
 
@@ -49,7 +44,7 @@ def reconcile(mov: DataFrame, fleet: DataFrame, years: list[int] | None = None,
     if product:
         mov = mov.filter(F.col("id_producto") == product)
     sides = fleet.select("placa_norm", "capacidad_kg", "habilitada")
-    sides = small(sides) if broadcast else sides.hint("merge")
+    sides = sides if broadcast else sides.hint("merge")  # whether to broadcast is left to the sizes Spark estimates and finds
     return differences(salted_sums(mov, salts) if salts else sums(mov)).join(sides, "placa_norm", "left")
 
 
@@ -61,7 +56,7 @@ def as_of(left: DataFrame, rates: DataFrame, on: str = "fecha", value: str = "tc
     until = F.coalesce(F.date_sub(F.lead(on).over(w), 1), last)
     days = rates.select(on, value).withColumn("until", until).filter(F.col(on) <= F.col("until"))
     calendar = days.select(F.explode(F.sequence(on, "until")).alias(on), value)
-    return left.join(small(calendar), on, "left")
+    return left.join(calendar, on, "left")
 
 
 def many_to_one(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -132,9 +127,9 @@ def month_features(gold: DataFrame, purchases: DataFrame, sales: DataFrame, rate
     for part in (divergence(purchases), rate_deviation(purchases, rates), price_vs_median(sales)):
         out = out.join(part, MONTH, "left")
     out = out.withColumn("es_pandemia_2020", (F.col("anio") == pandemic_year).cast("int"))
-    out = out.join(small(events), ["anio", "mes"], "left") if events is not None else out.withColumn("evento_mercado", F.lit(0))
+    out = out.join(events, ["anio", "mes"], "left") if events is not None else out.withColumn("evento_mercado", F.lit(0))
     index = complaints.groupBy("anio", "mes").agg(F.avg("indice").alias("indice_quejas_marca")) if complaints is not None else None
-    out = out.join(small(index), ["anio", "mes"], "left") if index is not None else out.withColumn("indice_quejas_marca", F.lit(0.0))
+    out = out.join(index, ["anio", "mes"], "left") if index is not None else out.withColumn("indice_quejas_marca", F.lit(0.0))
     return out.fillna({"evento_mercado": 0, "indice_quejas_marca": 0.0, "flag_placa_divergente": 0.0, "desvio_tc": 0.0})
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilotrace.functions import clean as C
@@ -46,6 +46,20 @@ def first_of(df: DataFrame, key: list[str], order: list[str], name: str = "unico
     return out.withColumn(name, F.struct(*order).eqNullSafe(F.col("_first"))).drop("_first")
 
 
+def first_rows(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key in ``order`` (which must be total); null keys are equal.
+
+    Ranks are limited to the first before the shuffle as after it, so each task sends one row a key, however hot."""
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def repeats(df: DataFrame, key: list[str]) -> DataFrame:
+    """The key of every row but the first of each key: counts, combined before the shuffle, and as many rows."""
+    n = df.groupBy(*key).agg(F.count("*").cast("int").alias("_n")).filter("_n > 1")
+    return n.select(*key, F.explode(F.sequence(F.lit(2), F.col("_n"))).alias("_i")).drop("_i")
+
+
 def repeated(df: DataFrame, key: list[str], name: str = "llave_repetida") -> DataFrame:
     return group_values(df, key, F.count("*").alias("_n")).withColumn(name, F.col("_n") > 1).drop("_n")
 
@@ -93,18 +107,38 @@ def enforce(df: DataFrame, contract: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in contract.items()])
 
 
-def violations(df: DataFrame, key: list[str], present: list[str], roles: str | None = None) -> DataFrame:
-    """Counts of broken input conditions: repeated or null keys, blank identifiers, impossible months and roles."""
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+def violations(df: DataFrame, key: list[str], present: list[str], roles: str | None = None, dates: tuple[str, ...] = (), whole: tuple[str, ...] = (), flags: tuple[str, ...] = ()) -> DataFrame:
+    """Counts of broken input conditions, in one aggregate: repeated or null keys, blank identifiers, dates that are
+    none, periods that are not whole or impossible, unknown roles, and flags that are neither true nor false."""
+    none = F.lit(False)
+    any_of = lambda parts: reduce(lambda a, b: a | b, parts, none)
+    text = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    number = lambda c: F.col(c).try_cast("double")
     more = {
-        "claves_nulas": F.count_if(null_key), "claves_repetidas": F.count("*") - F.count_distinct(F.struct(*key)),
-        "identificadores_vacios": F.count_if(reduce(lambda a, b: a | b, [F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == "" for c in present])),
+        "claves_nulas": any_of([F.col(k).isNull() for k in key]), "identificadores_vacios": any_of([text(c) == "" for c in present]),
+        "fechas_invalidas": any_of([F.col(c).try_cast("date").isNull() for c in dates]),
+        "no_enteros": any_of([F.coalesce(number(c) % 1 != 0, F.lit(True)) for c in whole]),
+        "banderas_invalidas": any_of([F.col(c).isNotNull() & ~F.lower(text(c)).isin("true", "false") for c in flags]),
     }
     if "mes" in df.columns:
-        more["meses_invalidos"] = F.count_if(~F.coalesce(F.col("mes").between(1, 12), F.lit(False)))
+        more["meses_invalidos"] = ~F.coalesce(number("mes").between(1, 12), none)
+    if "anio" in df.columns:
+        more["anios_invalidos"] = ~F.coalesce(number("anio").between(1900, 9999), none)
     if roles:
-        more["roles_invalidos"] = F.count_if(~F.coalesce(F.col(roles).isin("reparto", "transporte"), F.lit(False)))
-    return df.agg(*[v.alias(k) for k, v in more.items()])
+        more["roles_invalidos"] = ~F.coalesce(F.col(roles).isin("reparto", "transporte"), none)
+    return df.agg((F.count("*") - F.count_distinct(F.struct(*key))).alias("claves_repetidas"), *[F.count_if(v).alias(k) for k, v in more.items()])
+
+
+def validated(df: DataFrame, columns: list[str], optional: list[str], key: list[str], present: list[str], **conditions) -> DataFrame:
+    """The projected columns of ``df``, if all required ones are there and no condition is broken; else an error that
+    names the conditions and how many rows break them, and shows no row."""
+    if missing := sorted(set(columns) - set(df.columns)):
+        raise ValueError(f"columns missing: {missing}")
+    out = df.select(*columns, *[c for c in optional if c in df.columns])
+    broken = {k: n for k, n in violations(out, key, present, **conditions).first().asDict().items() if n}
+    if broken:
+        raise ValueError(f"rows that break input conditions: {broken}")
+    return out
 
 
 # baseline statistics on raw deliveries
@@ -127,11 +161,23 @@ def document_baseline(df: DataFrame, c: str = "documento_raw") -> DataFrame:
     )
 
 
-def incidents(df: DataFrame, controls: dict[str, Column]) -> DataFrame:
-    """Failures of each control, and rows with any, in one aggregate."""
+def incidents(df: DataFrame, controls: dict[str, Column], key: list[str] | None = None, source: str | None = None) -> DataFrame:
+    """(fuente, control, casos): failures of each control, later rows of a key (``clave_unica``), and rows with any.
+
+    Rows of one key are counted together first, with as many of them clean as there are, so that nothing is sorted: of
+    a key's rows all but one are repeats, and the one that is first counts as a clean row if the key has any."""
     flags = {k: F.coalesce(c, F.lit(False)) for k, c in controls.items()}
-    sums = df.agg(*[F.count_if(c).alias(k) for k, c in flags.items()], F.count_if(reduce(lambda a, b: a | b, flags.values())).alias("filas_afectadas"))
-    return sums.select(F.explode(F.array(*[F.struct(F.lit(k).alias("control"), F.col(k).alias("casos")) for k in [*flags, "filas_afectadas"]])).alias("r")).select("r.*")
+    each = [F.count_if(c).alias(f"_{k}") for k, c in flags.items()]
+    fails = reduce(lambda a, b: a | b, flags.values())
+    if key is None:
+        sums = df.agg(*each, F.count_if(fails).alias("_filas_afectadas"))
+    else:
+        by = df.groupBy(*key).agg(*each, (F.count("*") - 1).alias("_clave_unica"), F.count("*").alias("_n"), F.max((~fails).cast("int")).alias("_clean"))
+        sums = by.agg(*[F.sum(f"_{k}").alias(f"_{k}") for k in [*flags, "clave_unica"]], F.sum(F.col("_n") - F.col("_clean")).alias("_filas_afectadas"))
+    names = [*flags, *(["clave_unica"] if key else []), "filas_afectadas"]
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("control"), F.coalesce(F.col(f"_{k}"), F.lit(0)).alias("casos")) for k in names]))
+    out = sums.select(rows.alias("r")).select("r.*")
+    return out if source is None else out.select(F.lit(source).alias("fuente"), "control", "casos")
 
 
 def stock_baseline(days: DataFrame, first: int, last: int, tolerance: float = 1e-6) -> DataFrame:
@@ -166,8 +212,6 @@ def compare(values: DataFrame, references: DataFrame) -> DataFrame:
 
 def frequencies(df: DataFrame, columns: list[str], most: int = 40) -> DataFrame:
     """The ``most`` frequent values of each catalogue column, nulls included."""
-    from pyspark.sql import Window
-
     cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")) for c in columns])).alias("c")).select("c.*")
     n = cells.groupBy("columna", "valor").agg(F.count("*").alias("n"))
     return n.withColumn("r", F.row_number().over(Window.partitionBy("columna").orderBy(F.desc("n"), F.asc_nulls_first("valor")))).filter(F.col("r") <= most).drop("r")

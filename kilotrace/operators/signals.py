@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kilotrace.operators.gold import GROUP, REFERENCE_PRICE, anti, group_median, group_values, small
+from kilotrace.operators.gold import GROUP, REFERENCE_PRICE, anti, group_median, group_values
 
 # Fixed values.
 CATALOGUE = {
@@ -41,19 +41,19 @@ def s1(purchases: DataFrame) -> DataFrame:
 
 def s4(purchases: DataFrame, fleet: DataFrame) -> DataFrame:
     cap = fleet.select(F.col("placa_norm").alias("placa_cargada"), "capacidad_kg")
-    over = purchases.join(small(cap), "placa_cargada").filter("kg > capacidad_kg")
+    over = purchases.join(cap, "placa_cargada").filter("kg > capacidad_kg")
     return alert(over, "S4", "placa_cargada", F.col("kg") / F.col("capacidad_kg"))
 
 
 def s5(sales: DataFrame, master: DataFrame) -> DataFrame:
     cap = master.select("card_code", F.col("capacidad_kg").alias("cap"))
-    return alert(sales.join(small(cap), "card_code").filter("kg > cap"), "S5", "placa_norm", F.col("kg") / F.col("cap"))
+    return alert(sales.join(cap, "card_code").filter("kg > cap"), "S5", "placa_norm", F.col("kg") / F.col("cap"))
 
 
 def s7(purchases: DataFrame, fleet: DataFrame) -> DataFrame:
     """Purchases by plates that are not enabled, unknown ones included."""
     enabled = fleet.filter("habilitada").select(F.col("placa_norm").alias("placa_cargada"))
-    return alert(purchases.join(small(enabled), "placa_cargada", "left_anti"), "S7", "placa_cargada")
+    return alert(purchases.join(enabled, "placa_cargada", "left_anti"), "S7", "placa_cargada")
 
 
 def s8(sales: DataFrame, purchases: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def s3_control(bills: DataFrame, window: Column) -> DataFrame:
 
 def s6(purchases: DataFrame, rates: DataFrame, window: Column, tolerance: float = RATE_TOLERANCE) -> DataFrame:
     """Rates that differ from the official one of the very day."""
-    c = purchases.filter(window).join(small(rates.select("fecha", "tc_oficial")), "fecha", "left")
+    c = purchases.filter(window).join(rates.select("fecha", "tc_oficial"), "fecha", "left")
     off = F.abs(F.col("tipo_cambio") - F.col("tc_oficial")) / F.when(F.col("tc_oficial") > 0, F.col("tc_oficial"))
     c = c.withColumn("_off", off).filter((F.col("_off") > tolerance) & (F.col("tipo_cambio") > 0))
     return emit(c, "S6", F.lit("tipo_cambio_difiere_del_oficial"), F.col("_off"))
@@ -139,7 +139,7 @@ def role_volume() -> Column:
 
 def s7_v6(months: DataFrame, units: DataFrame, window: Column) -> DataFrame:
     """Activity of units known not to be enabled."""
-    um = months.filter(window).join(small(units.select("unidad_id", "habilitada")), "unidad_id", "left")
+    um = months.filter(window).join(units.select("unidad_id", "habilitada"), "unidad_id", "left")
     active = F.greatest(*[F.coalesce(c, F.lit(0.0)) for c in ("gasto_total", "gasto_combustible", "kg_vendidos", "kg_transportados")]) > 0
     return emit(um.filter((~F.col("habilitada")) & active).withColumn("kg_base_rol", role_volume()), "S7", F.lit("actividad_en_unidad_no_habilitada"))
 

@@ -31,9 +31,9 @@ def purchases(raw: DataFrame, years: tuple[int, int]) -> tuple[DataFrame, DataFr
     df = raw.withColumns({"placa_cargada": loaded, "placa_facturada": billed, "fecha_en_placa": dated, "estado": C.state(F.col("estado")), "codigo_scop": C.some(F.col("codigo_scop"))})
     df = df.withColumn("flag_placa_divergente", F.coalesce(F.col("placa_cargada") != F.col("placa_facturada"), F.lit(False)))
     good, late = Q.split_rejects(df, [("fecha_fuera_de_alcance", Q.date_in_scope(F.col("fecha"), *years))])
-    good, twice = Q.split_rejects(Q.first_of(good, ["documento"], ["orden"]), [("duplicado", F.col("unico"))])
-    good = good.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
-    return good.drop("placa_cargada_raw", "placa_facturada_raw", "unico"), late.select("documento", "motivo").union(twice.select("documento", "motivo"))
+    twice = Q.repeats(good, ["documento"]).select("documento", F.lit("duplicado").alias("motivo"))
+    good = Q.first_rows(good, ["documento"], ["orden"]).withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
+    return good.drop("placa_cargada_raw", "placa_facturada_raw"), late.select("documento", "motivo").union(twice)
 
 
 def sales(raw: DataFrame, years: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
@@ -44,10 +44,11 @@ def sales(raw: DataFrame, years: tuple[int, int]) -> tuple[DataFrame, DataFrame]
 
     df = raw.withColumns({"placa_norm": C.plate(F.col("placa_raw"))[0], "codigo_scop": C.some(F.col("codigo_scop"))})
     good, late = Q.split_rejects(df, [("fecha_fuera_de_alcance", Q.date_in_scope(F.col("fecha"), *years))])
-    good, twice = Q.split_rejects(Q.first_of(good, ["documento", "linea"], ["orden"]), [("duplicado", F.col("unico"))])
+    twice = Q.repeats(good, ["documento", "linea"]).select("documento", F.lit("duplicado").alias("motivo"))
+    good = Q.first_rows(good, ["documento", "linea"], ["orden"])
     good = Q.price_in_range(good.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")}), name="_ok")
     good = good.withColumn("flag_precio_atipico", ~F.col("_ok"))
-    return good.drop("placa_raw", "unico", "_ok"), late.select("documento", "motivo").union(twice.select("documento", "motivo"))
+    return good.drop("placa_raw", "_ok"), late.select("documento", "motivo").union(twice)
 
 
 def fleet(raw: DataFrame, salt: str) -> DataFrame:
@@ -56,7 +57,7 @@ def fleet(raw: DataFrame, salt: str) -> DataFrame:
     from kilotrace.operators import quality as Q
 
     df = raw.withColumns({"placa_norm": C.plate(F.col("placa_raw"))[0], "conductor_hash": C.pseudonym(F.col("conductor"), salt)}).filter("placa_norm is not null")
-    return Q.first_of(df, ["placa_norm"], ["orden"]).filter("unico").select("placa_norm", "capacidad_kg", "habilitada", "conductor_hash")
+    return Q.first_rows(df, ["placa_norm"], ["orden"]).select("placa_norm", "capacidad_kg", "habilitada", "conductor_hash")
 
 
 def customers(raw: DataFrame, salt: str) -> DataFrame:
@@ -67,7 +68,7 @@ def customers(raw: DataFrame, salt: str) -> DataFrame:
     doc, kind = C.document(F.col("documento_raw"))
     df = raw.withColumns({"documento_norm": doc, "clase_documento": kind, "estado": C.state(F.col("estado"))})
     df = df.withColumns({"ruc": F.when(F.col("clase_documento") == "RUC", F.col("documento_norm")), "ruc_valido": F.col("clase_documento") == "RUC", "documento_hash": C.pseudonym(F.col("documento_norm"), salt)})
-    return Q.first_of(df, ["card_code"], ["orden"]).filter("unico").select("card_code", "ruc", "ruc_valido", "clase_documento", "documento_hash", "capacidad_kg", "canal", "estado")
+    return Q.first_rows(df, ["card_code"], ["orden"]).select("card_code", "ruc", "ruc_valido", "clase_documento", "documento_hash", "capacidad_kg", "canal", "estado")
 
 
 # the newer tables, from sheet rows whose cells are text
@@ -84,18 +85,42 @@ def _num(c: str):
     return C.to_kg(F.col(c))
 
 
+def _has(raw: DataFrame, c: str):
+    """A column that a delivery may lack."""
+    return F.col(c) if c in raw.columns else F.lit(None).cast("string")
+
+
+def lineage(df: DataFrame, source: str, key: list[str]) -> DataFrame:
+    """``df`` with its source, and a mark on rows whose key is repeated; hoja and fila come with the rows."""
+    from kilotrace.operators.quality import repeated
+
+    return repeated(df.withColumn("origen", F.lit(source)), key)
+
+
 def invoices(raw: DataFrame, salt: str) -> DataFrame:
-    """Purchase invoices: swapped dates, kilos (or the sum of both kinds), plate or cost centre, rate flag."""
+    """Purchase invoices: swapped dates, kilos (or the sum of both kinds), plate or cost centre, rate flag, amounts.
+
+    Deliveries with one quantity, ``kg``, have the kind of gas in ``tipo``. ``hoja`` and ``fila`` stay, if there."""
     from kilotrace.functions import clean as C
 
     raw = raw.withColumn("_fecha", C.to_date(F.lit("s"), F.col("fecha_factura")))
     date, how = C.unswapped(F.col("_fecha"), F.col("_anio"), F.col("_mes"))
-    plate, _, centre = C.plate6(F.col("placa"))
-    df = raw.select("_anio", "_mes", _text("proveedor").alias("proveedor"), C.some(C.digits(F.col("nro_scop"))).alias("nro_scop"), date.alias("fecha_factura"), how.alias("estado_fecha"), _text("numero").alias("numero"),
-                    _num("kg_glp_e").alias("kg_glp_e"), _num("kg_glp_g").alias("kg_glp_g"), plate.alias("placa_norm"), centre.alias("centro_costo"), _num("tipo_cambio").alias("tipo_cambio"), C.pseudonym(F.col("conductor"), salt).alias("conductor_hash"))
-    both = F.col("kg_glp_e").isNull() & F.col("kg_glp_g").isNull()
-    kg = F.when(~both, F.coalesce("kg_glp_e", F.lit(0.0)) + F.coalesce("kg_glp_g", F.lit(0.0)))
-    return df.withColumns({"kg": kg, "tc_valido": C.rate_valid(F.col("tipo_cambio"))}).withColumnsRenamed({"_anio": "anio", "_mes": "mes"})
+    plate, _, centre = C.plate6(_has(raw, "placa"))
+    plain, upper = lambda c: C.cell_text(F.lit("s"), _has(raw, c)), lambda c: F.upper(C.cell_text(F.lit("s"), _has(raw, c)))
+    number = lambda c: C.to_kg(_has(raw, c))
+    kinds = {"e": number("kg_glp_e"), "g": number("kg_glp_g")}
+    total = F.when(kinds["e"].isNotNull() | kinds["g"].isNotNull(), F.coalesce(kinds["e"], F.lit(0.0)) + F.coalesce(kinds["g"], F.lit(0.0)))
+    if "kg" in raw.columns:
+        total = number("kg")
+        kinds = {k: F.when(upper("tipo") == f"GLP-{k.upper()}", total) for k in "eg"}
+    rate = number("tipo_cambio")
+    return raw.select(
+        F.col("_anio").alias("anio"), F.col("_mes").alias("mes"), upper("proveedor").alias("proveedor"), plain("codigo_osinergmin").alias("codigo_osinergmin"), C.some(C.digits(F.col("nro_scop"))).alias("nro_scop"),
+        date.alias("fecha_factura"), how.alias("estado_fecha"), upper("serie").alias("serie"), upper("numero").alias("numero"), upper("tipo").alias("tipo"),
+        kinds["e"].alias("kg_glp_e"), kinds["g"].alias("kg_glp_g"), total.alias("kg"), plate.alias("placa_norm"), centre.alias("centro_costo"), plain("guia").alias("guia"),
+        number("monto_usd").alias("monto_usd"), rate.alias("tipo_cambio"), C.rate_valid(rate).alias("tc_valido"), number("monto_pagado").alias("monto_pagado"), number("precio_unitario").alias("precio_unitario"),
+        number("total").alias("total"), upper("estado").alias("estado"), C.pseudonym(_has(raw, "conductor"), salt).alias("conductor_hash"), *[c for c in ("hoja", "fila") if c in raw.columns],
+    )
 
 
 def orders(raw: DataFrame) -> DataFrame:
@@ -132,3 +157,43 @@ def sale_details(raw: DataFrame, salt: str) -> DataFrame:
     stated = F.when(lpg, F.col("_kg"))
     origin = F.when(stated.isNotNull(), "registrado").when(derived.isNotNull(), "derivado").when(lpg, "sin_conversion").otherwise("no_glp")
     return df.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha"), "es_glp": lpg, "kg": F.coalesce(stated, derived), "kg_origen": origin}).drop("_kg")
+
+
+# what control reports say of the newer tables
+
+def _share(cond):
+    """The share of all rows that meet a condition; 0 where there are none."""
+    return F.coalesce(F.bround(F.avg(F.coalesce(cond, F.lit(False)).cast("int")), 4), F.lit(0.0))
+
+
+def _count(cond):
+    return F.count_if(F.coalesce(cond, F.lit(False)))
+
+
+def measures(name: str, df: DataFrame) -> DataFrame:
+    """(tabla, metrica, valor) of one of the newer tables, in one aggregate."""
+    c, plate = F.col, F.col("placa_norm").isNotNull() if "placa_norm" in df.columns else None
+    lpg = c("es_glp") if "es_glp" in df.columns else None
+    wanted = {
+        "compras_glp": lambda: {
+            "placa_valida": _share(plate), "scop_presente": _share(c("nro_scop").isNotNull()), "scop_11_digitos": _share(F.length("nro_scop") == 11), "scop_repetidos": F.count("nro_scop") - F.count_distinct("nro_scop"),
+            "fechas_invertidas": _count(c("estado_fecha") == "invertida"), "fechas_que_discrepan": _count(c("estado_fecha") == "discrepa"), "tc_registrados": F.count("tipo_cambio"),
+            "tc_fuera_de_rango": _count(c("tipo_cambio").isNotNull() & ~F.coalesce(c("tc_valido"), F.lit(False))), "kg_positivo": _share(c("kg") > 0),
+        },
+        "scop": lambda: {
+            "ordenes_con_ambas_placas": _count(c("placa_cargada").isNotNull() & c("placa_facturada").isNotNull()), "ordenes_con_placa_divergente": _count(c("flag_placa_divergente")), "fecha_valida": _share(c("fecha").isNotNull()),
+        },
+        "unidades": lambda: {
+            "placa_valida": _share(plate), "con_capacidad": F.count("capacidad_glp_kg"), "traslada_gas_si": _count(c("traslada_gas")), "traslada_gas_si_con_placa_valida": _count(c("traslada_gas") & plate),
+            "placas_distintas": F.count_distinct("placa_norm"), "traslada_gas_declarado": F.count("traslada_gas"),
+        },
+        "ventas_unidad_mes": lambda: {
+            "mes_reconocido": _share(c("mes").isNotNull()), "filas_con_placa": _share(plate), "kg_con_placa_valida": F.coalesce(F.bround(F.sum(F.when(plate, c("kg"))) / F.nullif(F.sum("kg"), F.lit(0.0)), 4), F.lit(0.0)),
+        },
+        "ventas_detalle": lambda: {
+            "fecha_valida": _share(c("fecha").isNotNull()), "lineas_glp": _count(lpg), "lineas_no_glp": _count(~lpg), "lineas_glp_convertibles_a_kg": F.coalesce(F.bround(F.avg(F.when(lpg, c("kg").isNotNull().cast("int"))), 4), F.lit(0.0)),
+            "kg_registrado": _count(c("kg_origen") == "registrado"), "kg_derivado": _count(c("kg_origen") == "derivado"), "filas_con_placa": _share(plate),
+        },
+    }[name]()
+    sums = df.agg(*[v.cast("double").alias(k) for k, v in wanted.items()])
+    return sums.select(F.lit(name).alias("tabla"), F.explode(F.array(*[F.struct(F.lit(k).alias("metrica"), F.col(k).alias("valor")) for k in wanted])).alias("m")).select("tabla", "m.*")

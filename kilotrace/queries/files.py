@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kilotrace.operators.quality import TARGETS, report
+from kilotrace.operators.score import blind_sample, prioritize
+from kilotrace.operators.signals import check_alerts
 from kilotrace.plans import pipeline
 from kilotrace.queries.gold import SUMS
 from kilotrace.queries.quality import IN_SCOPE, SCOPE
 from kilotrace.queries.registry import query
-from kilotrace.queries.rules import V2_ALL, all_v2
+from kilotrace.queries.rules import V2_ALL, V6_ALL, all_v2, all_v6
 from kilotrace.queries.silver import BUY, RAW_BUY
 from kilotrace.sources import lake as L
 from kilotrace.sources.domain import PILOT, sql, table
@@ -117,14 +119,17 @@ def delivery_coverage(spark, sf_dir):
     return L.delivery_coverage(sources, L.latest_delivery(sql(spark, sf_dir, DELIVERIES)))
 
 
-@query("file_manifest")
+@query("file_manifest", "SELECT canal, count(*) AS filas, true AS completos, true AS sin_repetir FROM ventas GROUP BY canal")
 def file_manifest(spark, sf_dir):
-    path, _ = _written(spark, sf_dir, ("canal",))
-    first = L.file_manifest(spark, path)
-    return L.file_manifest(spark, path, first)
+    path = L.workspace(spark, "manifiesto")
+    _sales(spark, sf_dir).write.option("header", True).partitionBy("canal").csv(path)
+    first = L.file_manifest(spark, path, "2024-01-01")
+    both = L.file_manifest(spark, path, "2024-01-02", first)  # the same files again
+    full = F.bool_and((F.length("sha256") == 64) & (F.col("bytes") > 0) & F.col("nombre").startswith("part-") & (F.col("fecha_carga") == F.lit("2024-01-01").cast("date")))
+    return both.groupBy(F.regexp_extract("ruta", "canal=([^/]+)/", 1).alias("canal")).agg(F.sum("filas").alias("filas"), full.alias("completos"), (F.count("*") == F.count_distinct("ruta")).alias("sin_repetir"))
 
 
-PAGES = "SELECT concat(CAST(page_id AS string), CASE WHEN page_id % 3 = 0 THEN ' (1)' ELSE '' END, '.html') AS nombre, CASE WHEN page_id % 4 = 0 THEN 'x' ELSE substr(html, 1, 200) END AS contenido FROM pages"
+PAGES = "SELECT concat(CAST(page_id AS string), CASE WHEN page_id % 3 = 0 THEN ' (1)' ELSE '' END, '.html') AS nombre, html AS contenido FROM pages"
 
 
 @query("dedupe_files_by_hash", f"""SELECT nombre, sha256, CASE WHEN nombre = k THEN 'aceptado' ELSE 'duplicado_rechazado' END AS estado, CASE WHEN nombre <> k THEN k END AS igual_a FROM (
@@ -165,41 +170,68 @@ def infer_source_code(spark, sf_dir):
     return sql(spark, sf_dir, PATHS).select("page_id", L.source_code(F.col("ruta")).alias("codigo"))
 
 
-@query("volume_by_layer")
+@query("volume_by_layer", "SELECT unnest(['silver', 'silver', 'gold']) AS capa, unnest(['com_19', 'ventas', 'ventas']) AS fuente, unnest(['parquet', 'parquet', 'json']) AS tipo, true AS con_bytes, true AS con_archivos FROM (SELECT count(*) FROM ventas)")
 def volume_by_layer(spark, sf_dir):
     path, df = L.workspace(spark, "capas"), _sales(spark, sf_dir)
     df.write.parquet(f"{path}/silver/ventas")
+    df.filter("canal = 'R'").write.parquet(f"{path}/silver/otros/COM-19")
     df.filter("canal = 'A'").write.json(f"{path}/gold/ventas")
-    return L.volume(spark, path)
+    v = L.volume(spark, path).filter("tipo in ('parquet', 'json')")
+    return v.select("capa", "fuente", "tipo", (F.col("bytes") > 0).alias("con_bytes"), (F.col("archivos") > 0).alias("con_archivos"))
 
 
-@query("external_tables", f"SELECT anio, count(*) AS filas FROM ({SALE}) GROUP BY anio")
-def external_tables(spark, sf_dir):
-    path, df = _written(spark, sf_dir)
-    name = "ventas_" + path.rsplit("-", 1)[1]
-    L.create_external(spark, name, path, df.schema, ("anio", "mes"))
-    return spark.table(name).groupBy("anio").agg(F.count("*").alias("filas"))
+#: The tables of Silver and Gold, and what they hold.
+LAKE = {"movimientos": "mov", "compras": "compras", "ventas": "ventas", "flota": "flota", "maestro": "maestro", "tipo_cambio": "tc", "unidad_mes": "unidad_mes6", "produccion": "produccion"}
 
 
-@query("export_csv_json", f"SELECT senal, count(*) AS alertas FROM ({V2_ALL}) GROUP BY senal")
+@query("external_tables", " UNION ALL ".join(f"SELECT '{n}' AS tabla, count(*) AS filas FROM {v}" for n, v in LAKE.items()))
+def external_tables(spark, sf_dir):
+    path, out = L.workspace(spark, "lago"), None
+    for name, view in LAKE.items():
+        df, by = table(spark, sf_dir, view), ()
+        if {"anio", "mes"} <= set(df.columns):
+            by = ("anio", "mes")
+            L.write_partitioned(df, f"{path}/{name}", by)
+        else:
+            df.write.parquet(f"{path}/{name}")
+        known = f"{name}_{path.rsplit('-', 1)[1]}"
+        L.create_external(spark, known, f"{path}/{name}", df.schema, by)
+        part = spark.table(known).agg(F.lit(name).alias("tabla"), F.count("*").alias("filas"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("export_csv_json", f"""SELECT 'alertas' AS salida, senal, count(*) AS filas FROM (SELECT DISTINCT id_alerta, senal FROM ({V2_ALL})) GROUP BY senal UNION ALL SELECT 'resumen', senal, count(*) FROM (SELECT DISTINCT id_alerta, senal FROM ({V2_ALL})) GROUP BY senal
+  UNION ALL SELECT 'expediente_ciego', NULL, least(30, count(DISTINCT id_alerta)) FROM ({V6_ALL}) UNION ALL SELECT 'puntajes', NULL, count(DISTINCT id_alerta) FROM ({V2_ALL})""")
 def export_csv_json(spark, sf_dir):
+    """Outputs are written after the alerts have passed their contract; the dossier for review has no scores."""
     path = L.workspace(spark, "salida")
-    alerts = all_v2(spark, sf_dir).select("id_alerta", "senal", "puntaje")
+    alerts = check_alerts(_one_each(all_v2(spark, sf_dir)), ["id_alerta", "senal", "puntaje"])
+    newer = all_v6(spark, sf_dir)
+    blind = blind_sample(newer, prioritize(newer, 20), 10, 42)
     alerts.write.option("header", True).csv(f"{path}/alertas")
     alerts.groupBy("senal").count().write.json(f"{path}/resumen")
     alerts.write.parquet(f"{path}/puntajes")
-    back = spark.read.schema("id_alerta string, senal string, puntaje double").option("header", True).csv(f"{path}/alertas")
-    return back.groupBy("senal").agg(F.count("*").alias("alertas"))
+    blind.write.option("header", True).csv(f"{path}/expediente_ciego")
+    if {"puntaje", "grado_evidencia"} & set(blind.columns):
+        raise ValueError("the blind dossier shows scores")
+    none = F.lit(None).cast("string")
+    back = spark.read.schema("id_alerta string, senal string, puntaje double").option("header", True).csv(f"{path}/alertas").groupBy("senal").agg(F.count("*").alias("filas")).select(F.lit("alertas").alias("salida"), "senal", "filas")
+    counts = spark.read.schema("senal string, count long").json(f"{path}/resumen").select(F.lit("resumen"), "senal", "count")
+    dossier = spark.read.option("header", True).csv(f"{path}/expediente_ciego").agg(F.lit("expediente_ciego"), none, F.count("*"))
+    return back.union(counts).union(dossier).union(spark.read.parquet(f"{path}/puntajes").agg(F.lit("puntajes"), none, F.count("*")))
 
 
-@query("save_alerts", f"SELECT senal, count(DISTINCT id_alerta) AS alertas FROM ({V2_ALL}) GROUP BY senal")
-def save_alerts(spark, sf_dir):
-    from kilotrace.operators.signals import check_alerts
+def _one_each(alerts):
+    """One row an identifier: lines of a document share one, and their kilos are added."""
+    return alerts.groupBy("id_alerta").agg(F.min("senal").alias("senal"), F.max("puntaje").alias("puntaje"), F.min("anio").alias("anio"), F.min("mes").alias("mes"), F.sum("kg").alias("kg"))
 
+
+@query("save_alerts", f"SELECT senal, anio, count(*) AS alertas, round(sum(kg), 2) AS kg FROM (SELECT min(senal) AS senal, min(anio) AS anio, sum(kg) AS kg FROM ({V2_ALL}) GROUP BY id_alerta) GROUP BY senal, anio")
+def save_alerts(spark, sf_dir):
     path = L.workspace(spark, "alertas")
-    alerts = all_v2(spark, sf_dir).groupBy("id_alerta", "senal", "anio", "mes").agg(F.sum("kg").alias("kg")).dropDuplicates(["id_alerta"])
-    L.write_partitioned(check_alerts(alerts, ["id_alerta", "senal", "kg", "anio", "mes"]), path)
-    return spark.read.parquet(path).groupBy("senal").agg(F.count("*").alias("alertas"))
+    L.write_partitioned(check_alerts(_one_each(all_v2(spark, sf_dir)), ["id_alerta", "senal", "kg", "anio", "mes"]), path)
+    return spark.read.parquet(path).groupBy("senal", "anio").agg(F.count("*").alias("alertas"), F.round(F.sum("kg"), 2).alias("kg"))
 
 
 LINES = "SELECT concat('f', CAST(o_orderkey % 200 AS string), '.csv') AS archivo, o_orderkey AS n, CASE WHEN o_orderkey % 200 < 50 THEN concat('a;', CAST(o_custkey AS string), ';b,c') WHEN o_orderkey % 200 < 100 THEN concat('a|', CAST(o_custkey AS string)) WHEN o_orderkey % 200 < 150 THEN 'titulo' ELSE 'a,b,c' END AS value FROM orders"
@@ -212,10 +244,11 @@ def detect_delimiter(spark, sf_dir):
 
 @query("incremental_bronze", f"SELECT canal, count(*) AS filas, sum(kg) AS kg FROM ({SALE}) GROUP BY canal")
 def incremental_bronze(spark, sf_dir):
+    """Two deliveries, and then all files once more with a new state, as if the old one were lost: nothing doubles."""
     path, df = L.workspace(spark, "flujo"), _sales(spark, sf_dir)
-    for part, where in enumerate(("canal = 'A'", "canal <> 'A'")):
+    for state, where in (("estado", "canal = 'A'"), ("estado", "canal <> 'A'"), ("estado_nuevo", "false")):
         df.filter(where).write.mode("append").parquet(f"{path}/bronze")
-        ingest(spark, f"{path}/bronze", StructType(df.schema.fields), f"{path}/silver", f"{path}/estado", lambda b: b.filter("kg is not null"))
+        ingest(spark, f"{path}/bronze", StructType(df.schema.fields), f"{path}/silver", f"{path}/{state}", lambda b: b.filter("kg is not null"))
     return spark.read.parquet(f"{path}/silver").groupBy("canal").agg(F.count("*").alias("filas"), F.sum("kg").alias("kg"))
 
 
@@ -224,27 +257,38 @@ def event_windows(spark, sf_dir):
     return windowed_sums(table(spark, sf_dir, "events")).withColumn("suma", F.round("suma", 4))
 
 
-@query("compact_files", f"SELECT count(*) AS filas, sum(kg) AS kg FROM ({SALE})")
+@query("compact_files", f"SELECT count(*) AS filas, sum(kg) AS kg, true AS menos_archivos, true AS cerca_del_tamano FROM ({SALE})")
 def compact_files(spark, sf_dir):
     path, df = L.workspace(spark, "compacto"), _sales(spark, sf_dir)
     df.repartition(64).write.parquet(f"{path}/muchos")
-    spark.read.parquet(f"{path}/muchos").repartitionByRange("anio", "mes").write.option("maxRecordsPerFile", 5_000_000).parquet(f"{path}/pocos")
-    return spark.read.parquet(f"{path}/pocos").agg(F.count("*").alias("filas"), F.sum("kg").alias("kg"))
+    size = 256 << 10
+    L.compact(spark, f"{path}/muchos", f"{path}/pocos", size)
+    files = lambda p: spark.read.format("binaryFile").load(f"{path}/{p}/*.parquet").agg(F.count("*").alias("n"), F.max("length").alias("most"))
+    many, few = files("muchos").select(F.col("n").alias("before")), files("pocos")
+    out = spark.read.parquet(f"{path}/pocos").agg(F.count("*").alias("filas"), F.sum("kg").alias("kg"))
+    return out.crossJoin(many).crossJoin(few).select("filas", "kg", (F.col("n") < F.col("before")).alias("menos_archivos"), (F.col("most") <= 2 * size).alias("cerca_del_tamano"))  # single rows
 
 
-@query("lineage_columns", "SELECT documento, linea, 'com_19' AS origen, canal AS hoja FROM ventas")
+@query("lineage_columns", "SELECT documento, linea, 'com_19' AS origen, canal AS hoja, row_number() OVER (PARTITION BY canal ORDER BY documento, linea, fecha, placa_norm, kg, precio, id_producto) AS fila FROM ventas")
 def lineage_columns(spark, sf_dir):
-    return table(spark, sf_dir, "ventas").select("documento", "linea", F.lit("com_19").alias("origen"), F.col("canal").alias("hoja"))
+    from pyspark.sql import Window
 
+    order = Window.partitionBy("canal").orderBy("documento", "linea", "fecha", "placa_norm", "kg", "precio", "id_producto")
+    return table(spark, sf_dir, "ventas").select("documento", "linea", F.lit("com_19").alias("origen"), F.col("canal").alias("hoja"), F.row_number().over(order).alias("fila"))
 
-@query("lineage_trace", "SELECT placa_norm, fecha, id_producto, count(*) AS lineas, count(DISTINCT documento) AS documentos FROM mov GROUP BY ALL")
-def lineage_trace(spark, sf_dir):
-    from kilotrace.operators.gold import sums
 
-    mov = table(spark, sf_dir, "mov")
-    key = ["placa_norm", "fecha", "id_producto"]
-    traced = sums(mov).select(*key).join(mov.select(*key, "documento"), key)
-    return traced.groupBy(*key).agg(F.count("*").alias("lineas"), F.count_distinct("documento").alias("documentos"))
+@query("lineage_trace", "SELECT placa_norm, anio, count(*) AS lineas, count(DISTINCT hoja) AS hojas, true AS con_archivo FROM (SELECT placa_norm, anio, canal AS hoja FROM ventas) GROUP BY placa_norm, anio")
+def lineage_trace(spark, sf_dir):
+    """Gold rows back to the Silver rows they sum, and by their source and file to the manifest of what was delivered."""
+    path = L.workspace(spark, "traza")
+    _sales(spark, sf_dir).write.option("header", True).partitionBy("canal").csv(f"{path}/bronze/com_19")
+    manifest = L.file_manifest(spark, f"{path}/bronze", "2024-01-01").select("ruta", "sha256", L.source_code(F.col("ruta")).alias("origen"))
+    cells = "documento string, linea int, placa_norm string, fecha date, kg double, anio int, mes int, canal string"
+    silver = spark.read.schema(cells).option("header", True).csv(f"{path}/bronze/com_19")
+    silver = silver.select("placa_norm", "anio", F.col("canal").alias("hoja"), "kg", F.lit("com_19").alias("origen"), F.col("_metadata.file_path").alias("archivo"))
+    gold = silver.groupBy("placa_norm", "anio").agg(F.sum("kg").alias("kg_vendidos"))
+    traced = gold.join(silver, ["placa_norm", "anio"]).join(manifest.withColumnRenamed("origen", "codigo"), (L.same_path("archivo", "ruta")) & (F.col("origen") == F.col("codigo")), "left")
+    return traced.groupBy("placa_norm", "anio").agg(F.count("*").alias("lineas"), F.count_distinct("hoja").alias("hojas"), F.bool_and(F.col("sha256").isNotNull()).alias("con_archivo"))
 
 
 @query("v2_pipeline", f"""SELECT 'movimientos' AS tabla, count(*) AS filas, round(sum(kg_comprados), 2) AS kg_comprados FROM mov UNION ALL SELECT 'conciliacion', count(*), round(sum(kg_comprados), 2) FROM ({SUMS})

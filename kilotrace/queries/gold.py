@@ -120,13 +120,13 @@ def ventas_sin_compra(spark, sf_dir):
 @query("ventas_con_maestro", "SELECT v.documento, v.linea, v.kg, v.card_code, m.capacidad_kg, m.canal AS canal_cliente FROM ventas v LEFT JOIN maestro m USING (card_code)")
 def ventas_con_maestro(spark, sf_dir):
     master = table(spark, sf_dir, "maestro").select("card_code", "capacidad_kg", F.col("canal").alias("canal_cliente"))
-    return table(spark, sf_dir, "ventas").join(G.small(master), "card_code", "left").select("documento", "linea", "kg", "card_code", "capacidad_kg", "canal_cliente")
+    return table(spark, sf_dir, "ventas").join(master, "card_code", "left").select("documento", "linea", "kg", "card_code", "capacidad_kg", "canal_cliente")
 
 
 @query("unidades_habilitadas", "SELECT documento, linea, placa_norm, kg FROM ventas WHERE placa_norm IN (SELECT placa_norm FROM flota WHERE habilitada)")
 def unidades_habilitadas(spark, sf_dir):
     fleet = table(spark, sf_dir, "flota").filter("habilitada").select("placa_norm")
-    return table(spark, sf_dir, "ventas").join(G.small(fleet), "placa_norm", "left_semi").select("documento", "linea", "placa_norm", "kg")
+    return table(spark, sf_dir, "ventas").join(fleet, "placa_norm", "left_semi").select("documento", "linea", "placa_norm", "kg")
 
 
 @query("compras_con_tc", "SELECT c.documento, c.linea, c.fecha, round(t.tc_oficial, 6) AS tc_oficial FROM compras c ASOF LEFT JOIN tc t ON c.fecha >= t.fecha")
@@ -139,7 +139,7 @@ EVENTS = "SELECT CAST(year(ts) AS int) AS anio, CAST(month(ts) AS int) AS mes, C
 
 @query("gold_con_eventos", f"SELECT g.placa_norm, g.fecha, g.id_producto, coalesce(e.evento_mercado, 0) AS evento_mercado FROM ({SUMS}) g LEFT JOIN ({EVENTS}) e USING (anio, mes)")
 def gold_con_eventos(spark, sf_dir):
-    out = G.sums(table(spark, sf_dir, "mov")).join(G.small(sql(spark, sf_dir, EVENTS)), ["anio", "mes"], "left")
+    out = G.sums(table(spark, sf_dir, "mov")).join(sql(spark, sf_dir, EVENTS), ["anio", "mes"], "left")
     return out.select("placa_norm", "fecha", "id_producto", F.coalesce("evento_mercado", F.lit(0)).cast("int").alias("evento_mercado"))
 
 
@@ -275,7 +275,7 @@ def referential_integrity(spark, sf_dir):
 
 @query("bias_by_segment", "SELECT canal, estado_flota, count(*) AS filas, round(avg(caro::INT), 6) AS tasa FROM (SELECT canal, f.habilitada AS estado_flota, kg > 40 AS caro FROM ventas LEFT JOIN flota f USING (placa_norm)) GROUP BY GROUPING SETS ((canal), (estado_flota), ())")
 def bias_by_segment(spark, sf_dir):
-    v = table(spark, sf_dir, "ventas").join(G.small(table(spark, sf_dir, "flota").select("placa_norm", F.col("habilitada").alias("estado_flota"))), "placa_norm", "left")
+    v = table(spark, sf_dir, "ventas").join(table(spark, sf_dir, "flota").select("placa_norm", F.col("habilitada").alias("estado_flota")), "placa_norm", "left")
     v = v.select("canal", "estado_flota", (F.col("kg") > 40).cast("int").alias("caro"))
     out = v.groupingSets([[F.col("canal")], [F.col("estado_flota")], []], F.col("canal"), F.col("estado_flota")).agg(F.count("*").alias("filas"), F.round(F.avg("caro"), 6).alias("tasa"))
     return out.select("canal", "estado_flota", "filas", "tasa")

@@ -23,7 +23,7 @@ def rule_plate_valid(spark, sf_dir):
 @query("rule_kg_range", "SELECT documento, linea, kg, kg > 0 AND (capacidad_kg IS NULL OR kg <= capacidad_kg) AS en_rango FROM compras LEFT JOIN flota ON placa_cargada = placa_norm")
 def rule_kg_range(spark, sf_dir):
     cap = table(spark, sf_dir, "flota").select(F.col("placa_norm").alias("placa_cargada"), "capacidad_kg")
-    c = table(spark, sf_dir, "compras").join(G.small(cap), "placa_cargada", "left")
+    c = table(spark, sf_dir, "compras").join(cap, "placa_cargada", "left")
     return c.select("documento", "linea", "kg", Q.kg_in_range(F.col("kg"), F.col("capacidad_kg")).alias("en_rango"))
 
 
@@ -39,7 +39,7 @@ def scope_filter(spark, sf_dir):
 
 @query("rule_fx_coherent", "SELECT c.documento, c.linea, t.tc_oficial IS NULL OR abs(tipo_cambio - tc_oficial) / tc_oficial <= 0.01 AS coherente FROM compras c LEFT JOIN tc t USING (fecha)")
 def rule_fx_coherent(spark, sf_dir):
-    c = table(spark, sf_dir, "compras").join(G.small(table(spark, sf_dir, "tc")), "fecha", "left")
+    c = table(spark, sf_dir, "compras").join(table(spark, sf_dir, "tc"), "fecha", "left")
     return c.select("documento", "linea", Q.rate_coherent(F.col("tipo_cambio"), F.col("tc_oficial")).alias("coherente"))
 
 
@@ -143,10 +143,16 @@ def split_rejects(spark, sf_dir):
     return bad.groupBy("motivo").agg(F.count("*").alias("filas")).unionByName(good.agg(F.lit("aceptada").alias("motivo"), F.count("*").alias("filas")))
 
 
-@query("validate_input", """SELECT count(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS claves_nulas, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS claves_repetidas,
-  count(*) FILTER (WHERE scop IS NULL) AS identificadores_vacios, count(*) FILTER (WHERE mes NOT BETWEEN 1 AND 12) AS meses_invalidos, count(*) FILTER (WHERE l_returnflag NOT IN ('reparto', 'transporte')) AS roles_invalidos FROM lineas""")
+#: Records with what input conditions look for: odd dates, periods and flags.
+INPUT = """SELECT l_orderkey, l_linenumber, scop, l_returnflag, CASE WHEN l_partkey % 11 = 0 THEN 'ayer' ELSE CAST(fecha AS string) END AS dia, CASE WHEN l_partkey % 7 = 0 THEN CAST(mes AS double) + 0.5e0 ELSE CAST(mes AS double) + 2e0 END AS mes,
+  CASE WHEN l_partkey % 13 = 0 THEN 1e0 ELSE CAST(anio AS double) END AS anio, CASE l_suppkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'False' WHEN 2 THEN 'si' ELSE NULL END AS habilitada FROM lineas"""
+
+
+@query("validate_input", f"""SELECT count(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS claves_nulas, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS claves_repetidas,
+  count(*) FILTER (WHERE scop IS NULL) AS identificadores_vacios, count(*) FILTER (WHERE mes NOT BETWEEN 1 AND 12) AS meses_invalidos, count(*) FILTER (WHERE l_returnflag NOT IN ('reparto', 'transporte')) AS roles_invalidos,
+  count(*) FILTER (WHERE dia = 'ayer') AS fechas_invalidas, count(*) FILTER (WHERE mes % 1 <> 0 OR anio % 1 <> 0) AS no_enteros, count(*) FILTER (WHERE habilitada = 'si') AS banderas_invalidas, count(*) FILTER (WHERE anio < 1900) AS anios_invalidos FROM ({INPUT})""")
 def validate_input(spark, sf_dir):
-    return Q.violations(table(spark, sf_dir, "lineas"), ["l_orderkey", "l_linenumber"], ["scop"], "l_returnflag")
+    return Q.violations(sql(spark, sf_dir, INPUT), ["l_orderkey", "l_linenumber"], ["scop"], "l_returnflag", ("dia",), ("mes", "anio"), ("habilitada",))
 
 
 @query("mark_repeated_key", "SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS llave_repetida FROM lineas")
@@ -176,10 +182,25 @@ def baseline_documents(spark, sf_dir):
     return Q.document_baseline(table(spark, sf_dir, "maestro"))
 
 
-@query("baseline_incidents", f"""SELECT unnest(['fecha', 'kg', 'codigo_scop', 'filas_afectadas']) AS control, unnest([count(*) FILTER (WHERE NOT ({IN_SCOPE})), count(*) FILTER (WHERE kg <= 3), count(*) FILTER (WHERE codigo_scop IS NULL),
-  count(*) FILTER (WHERE NOT ({IN_SCOPE}) OR kg <= 3 OR codigo_scop IS NULL)]) AS casos FROM compras""")
+def _cases(source, table, key, controls):
+    """SQL of a source's incidents: rows that fail each control, later rows of a key, and rows with either."""
+    names = [*controls, "clave_unica", "filas_afectadas"]
+    any_ = " OR ".join(f"({c})" for c in controls.values())
+    counts = [*(f"count(*) FILTER (WHERE {c})" for c in controls.values()), "count(*) FILTER (WHERE r > 1)", f"count(*) FILTER (WHERE {any_} OR r > 1)"]
+    return f"SELECT '{source}' AS fuente, unnest({names!r}) AS control, unnest([{', '.join(counts)}]) AS casos FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ({any_})) AS r FROM {table})"
+
+
+@query("baseline_incidents", " UNION ALL ".join([
+    _cases("aba_02", "compras", "documento", {"fecha": f"NOT ({IN_SCOPE})", "kg": "kg <= 3", "codigo_scop": "codigo_scop IS NULL"}),
+    _cases("com_19", "ventas", "documento, linea", {"fecha": f"NOT ({IN_SCOPE})", "precio": "precio > 2000", "linea": "linea < 2"}),
+    _cases("pro_01", "produccion", "fecha", {"fecha": f"NOT ({IN_SCOPE})", "produccion": "produccion < 0"}),
+]))
 def baseline_incidents(spark, sf_dir):
-    return Q.incidents(table(spark, sf_dir, "compras"), {"fecha": ~Q.date_in_scope(F.col("fecha"), *SCOPE), "kg": F.col("kg") <= 3, "codigo_scop": F.trim(F.coalesce("codigo_scop", F.lit(""))) == ""})
+    late = ~Q.date_in_scope(F.col("fecha"), *SCOPE)
+    a = Q.incidents(table(spark, sf_dir, "compras"), {"fecha": late, "kg": F.col("kg") <= 3, "codigo_scop": F.trim(F.coalesce("codigo_scop", F.lit(""))) == ""}, ["documento"], "aba_02")
+    b = Q.incidents(table(spark, sf_dir, "ventas"), {"fecha": late, "precio": F.col("precio") > 2000, "linea": F.col("linea") < 2}, ["documento", "linea"], "com_19")
+    c = Q.incidents(table(spark, sf_dir, "produccion"), {"fecha": late, "produccion": F.col("produccion") < 0}, ["fecha"], "pro_01")
+    return a.unionByName(b).unionByName(c)
 
 
 ZERO = "abs(stock_inicial + produccion - ventas - bonificaciones - stock_final) <= 1e-6"

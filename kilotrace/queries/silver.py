@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilotrace.operators import silver as V
@@ -69,23 +72,33 @@ def silver_red_02(spark, sf_dir):
 
 RAW_INVOICE = """SELECT CAST(l_orderkey * 10 + l_linenumber AS string) AS numero, CAST(year(fecha) AS int) AS _anio, CAST(CASE WHEN l_partkey % 5 = 0 THEN day(fecha) ELSE month(fecha) END AS int) AS _mes, ' planta  norte ' AS proveedor, scop || '.0' AS nro_scop,
   concat(CAST(day(fecha) AS string), '/', CAST(month(fecha) AS string), '/', CAST(year(fecha) AS string)) AS fecha_factura, CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE CAST(l_quantity AS string) END AS kg_glp_e, CASE WHEN l_partkey % 2 = 0 THEN NULL ELSE concat(CAST(l_suppkey AS string), ' kg') END AS kg_glp_g,
-  CASE WHEN l_linenumber = 1 THEN 'PLANTA' ELSE placa END AS placa, CASE WHEN l_linenumber = 2 THEN '1' ELSE '3.5' END AS tipo_cambio, l_returnflag AS conductor FROM lineas WHERE l_linestatus = 'O'"""
+  CASE WHEN l_linenumber = 1 THEN 'PLANTA' ELSE placa END AS placa, CASE WHEN l_linenumber = 2 THEN '1' ELSE '3.5' END AS tipo_cambio, l_returnflag AS conductor,
+  CASE WHEN l_suppkey % 2 = 0 THEN CAST(100 + l_suppkey AS string) ELSE ' ' END AS codigo_osinergmin, concat('f00', CAST(l_linenumber AS string)) AS serie, 'glp-e' AS tipo, concat(' g-', CAST(l_orderkey AS string)) AS guia, concat(CAST(l_quantity AS string), ' usd') AS monto_usd,
+  CAST(l_quantity * 3 AS string) AS monto_pagado, CASE WHEN l_suppkey % 3 = 0 THEN 'x' ELSE '2.5' END AS precio_unitario, CAST(l_quantity * 2 AS string) AS total, CASE WHEN l_partkey % 2 = 0 THEN 'pagado' ELSE NULL END AS estado,
+  CAST(year(fecha) AS string) AS hoja, CAST(l_orderkey * 10 + l_linenumber AS bigint) AS fila FROM lineas WHERE l_linestatus = 'O'"""
 
 
-@query("silver_compras_glp", f"""SELECT anio, mes, 'PLANTA NORTE' AS proveedor, regexp_replace(nro_scop, '\\.0$', '') AS nro_scop, CASE WHEN estado_fecha = 'invertida' THEN make_date(year(f), day(f), month(f)) ELSE f END AS fecha_factura, estado_fecha, numero, e AS kg_glp_e, g AS kg_glp_g,
-  CASE WHEN placa <> 'PLANTA' THEN placa END AS placa_norm, CASE WHEN placa = 'PLANTA' THEN placa END AS centro_costo, tipo_cambio::DOUBLE AS tipo_cambio, substr(sha256(concat('sal', conductor)), 1, 16) AS conductor_hash,
-  CASE WHEN e IS NOT NULL OR g IS NOT NULL THEN coalesce(e, 0) + coalesce(g, 0) END AS kg, tipo_cambio <> '1' AS tc_valido
+INVOICE = f"""SELECT anio, mes, 'PLANTA NORTE' AS proveedor, nullif(trim(codigo_osinergmin), '') AS codigo_osinergmin, regexp_replace(nro_scop, '\\.0$', '') AS nro_scop, CASE WHEN estado_fecha = 'invertida' THEN make_date(year(f), day(f), month(f)) ELSE f END AS fecha_factura, estado_fecha,
+  upper(serie) AS serie, numero, upper(tipo) AS tipo, e AS kg_glp_e, g AS kg_glp_g, CASE WHEN e IS NOT NULL OR g IS NOT NULL THEN coalesce(e, 0) + coalesce(g, 0) END AS kg, CASE WHEN placa <> 'PLANTA' THEN placa END AS placa_norm, CASE WHEN placa = 'PLANTA' THEN placa END AS centro_costo,
+  trim(guia) AS guia, replace(monto_usd, ' usd', '')::DOUBLE AS monto_usd, tipo_cambio::DOUBLE AS tipo_cambio, tipo_cambio <> '1' AS tc_valido, monto_pagado::DOUBLE AS monto_pagado, try_cast(precio_unitario AS DOUBLE) AS precio_unitario, total::DOUBLE AS total, upper(estado) AS estado,
+  substr(sha256(concat('sal', conductor)), 1, 16) AS conductor_hash, hoja, fila
   FROM (SELECT *, CASE WHEN month(f) = mes AND year(f) = anio THEN 'ok' WHEN day(f) <= 12 AND day(f) = mes AND year(f) = anio THEN 'invertida' ELSE 'discrepa' END AS estado_fecha FROM (
-    SELECT *, _anio AS anio, _mes AS mes, CAST(strptime(fecha_factura, '%d/%m/%Y') AS DATE) AS f, kg_glp_e::DOUBLE AS e, replace(kg_glp_g, ' kg', '')::DOUBLE AS g FROM ({RAW_INVOICE})))""")
+    SELECT *, _anio AS anio, _mes AS mes, CAST(strptime(fecha_factura, '%d/%m/%Y') AS DATE) AS f, kg_glp_e::DOUBLE AS e, replace(kg_glp_g, ' kg', '')::DOUBLE AS g FROM ({RAW_INVOICE})))"""
+
+
+@query("silver_compras_glp", f"SELECT *, 'com_glp' AS origen, count(*) OVER (PARTITION BY proveedor, serie, numero) > 1 AS llave_repetida FROM ({INVOICE})")
 def silver_compras_glp(spark, sf_dir):
-    return V.invoices(sql(spark, sf_dir, RAW_INVOICE), "sal")
+    return V.lineage(V.invoices(sql(spark, sf_dir, RAW_INVOICE), "sal"), "com_glp", ["proveedor", "serie", "numero"])
 
 
 RAW_ORDER = f"""SELECT CAST(fecha AS string) AS fecha, scop AS nro_scop, ' glp ' AS producto, concat(placa, ' CAMION') AS placa_cargada, CASE WHEN l_partkey % 13 = 0 THEN {OTHER} WHEN l_partkey % 7 = 0 THEN 'varios' ELSE concat(placa, ' 1/2/23') END AS placa_facturada, l_returnflag AS estado FROM lineas WHERE l_linestatus = 'O'"""
 
 
-@query("silver_scop", f"""SELECT CAST(fecha AS DATE) AS fecha, nro_scop, 'GLP' AS producto, replace(placa_cargada, ' CAMION', '') AS placa_cargada, CASE WHEN placa_facturada <> 'varios' THEN substr(placa_facturada, 1, 6) END AS placa_facturada,
-  CASE WHEN placa_facturada LIKE '% 1/2/23' THEN '1/2/23' END AS fecha_en_placa, estado, coalesce(replace(placa_cargada, ' CAMION', '') <> CASE WHEN placa_facturada <> 'varios' THEN substr(placa_facturada, 1, 6) END, false) AS flag_placa_divergente FROM ({RAW_ORDER})""")
+ORDER = f"""SELECT CAST(fecha AS DATE) AS fecha, nro_scop, 'GLP' AS producto, replace(placa_cargada, ' CAMION', '') AS placa_cargada, CASE WHEN placa_facturada <> 'varios' THEN substr(placa_facturada, 1, 6) END AS placa_facturada,
+  CASE WHEN placa_facturada LIKE '% 1/2/23' THEN '1/2/23' END AS fecha_en_placa, estado, coalesce(replace(placa_cargada, ' CAMION', '') <> CASE WHEN placa_facturada <> 'varios' THEN substr(placa_facturada, 1, 6) END, false) AS flag_placa_divergente FROM ({RAW_ORDER})"""
+
+
+@query("silver_scop", ORDER)
 def silver_scop(spark, sf_dir):
     return V.orders(sql(spark, sf_dir, RAW_ORDER))
 
@@ -93,8 +106,11 @@ def silver_scop(spark, sf_dir):
 RAW_UNIT = "SELECT CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE ' norte ' END AS empresa, 'SUR' AS _empresa, CASE WHEN s_suppkey % 9 = 0 THEN 'oficina' ELSE concat('t1a', lpad(CAST(s_suppkey % 1000 AS string), 3, '0'), ' cisterna') END AS placa, 'camión' AS clase, concat(CAST(s_suppkey * 10 AS string), ' kg') AS capacidad, CASE s_suppkey % 3 WHEN 0 THEN 'sí' WHEN 1 THEN 'NO' ELSE 'x?' END AS traslada_gas FROM supplier"
 
 
-@query("silver_unidades", f"""SELECT CASE WHEN empresa IS NULL THEN 'SUR' ELSE 'NORTE' END AS empresa, upper(placa) AS placa_texto, CASE WHEN placa <> 'oficina' THEN upper(substr(placa, 1, 6)) END AS placa_norm, 'CAMIÓN' AS clase, replace(capacidad, ' kg', '')::DOUBLE AS capacidad_glp_kg,
-  CASE traslada_gas WHEN 'sí' THEN true WHEN 'NO' THEN false END AS traslada_gas FROM ({RAW_UNIT})""")
+UNIT = f"""SELECT CASE WHEN empresa IS NULL THEN 'SUR' ELSE 'NORTE' END AS empresa, upper(placa) AS placa_texto, CASE WHEN placa <> 'oficina' THEN upper(substr(placa, 1, 6)) END AS placa_norm, 'CAMIÓN' AS clase, replace(capacidad, ' kg', '')::DOUBLE AS capacidad_glp_kg,
+  CASE traslada_gas WHEN 'sí' THEN true WHEN 'NO' THEN false END AS traslada_gas FROM ({RAW_UNIT})"""
+
+
+@query("silver_unidades", UNIT)
 def silver_unidades(spark, sf_dir):
     return V.units(sql(spark, sf_dir, RAW_UNIT))
 
@@ -103,8 +119,11 @@ MONTH_WORDS = "CASE month(fecha) WHEN 1 THEN 'Enero' WHEN 2 THEN 'feb' WHEN 9 TH
 RAW_MONTHS = f"SELECT CAST(year(fecha) AS int) AS _anio, {MONTH_WORDS} AS mes_texto, CASE WHEN l_linenumber = 1 THEN ' centro de costo' ELSE placa END AS proyecto, 'glp  10 kg' AS articulo, CAST(l_quantity AS string) AS kg, l_returnflag AS vendedor FROM lineas"
 
 
-@query("silver_ventas_unidad_mes", f"""SELECT _anio AS anio, CASE mes_texto WHEN 'Enero' THEN 1 WHEN 'feb' THEN 2 WHEN 'SET' THEN 9 ELSE mes_texto::INT END AS mes, upper(trim(proyecto)) AS proyecto, CASE WHEN proyecto LIKE 'T1A%' THEN proyecto END AS placa_norm,
-  CASE WHEN proyecto NOT LIKE 'T1A%' THEN upper(trim(proyecto)) END AS centro_costo, 'GLP 10 KG' AS articulo, kg::DOUBLE AS kg, substr(sha256(concat('sal', vendedor)), 1, 16) AS vendedor_hash FROM ({RAW_MONTHS})""")
+UNIT_MONTHS = f"""SELECT _anio AS anio, CASE mes_texto WHEN 'Enero' THEN 1 WHEN 'feb' THEN 2 WHEN 'SET' THEN 9 ELSE mes_texto::INT END AS mes, upper(trim(proyecto)) AS proyecto, CASE WHEN proyecto LIKE 'T1A%' THEN proyecto END AS placa_norm,
+  CASE WHEN proyecto NOT LIKE 'T1A%' THEN upper(trim(proyecto)) END AS centro_costo, 'GLP 10 KG' AS articulo, kg::DOUBLE AS kg, substr(sha256(concat('sal', vendedor)), 1, 16) AS vendedor_hash FROM ({RAW_MONTHS})"""
+
+
+@query("silver_ventas_unidad_mes", UNIT_MONTHS)
 def silver_ventas_unidad_mes(spark, sf_dir):
     return V.unit_months(sql(spark, sf_dir, RAW_MONTHS), "sal")
 
@@ -113,18 +132,40 @@ RAW_DETAIL = """SELECT CAST(fecha AS string) AS fecha, placa AS proyecto, CASE l
   CAST(l_quantity AS string) AS cantidad, CASE WHEN l_partkey % 2 = 0 THEN CAST(l_partkey AS string) ELSE NULL END AS kg, CAST(l_orderkey AS string) AS cliente FROM lineas WHERE l_linestatus = 'F'"""
 
 
-@query("silver_ventas_detalle", f"""SELECT f AS fecha, proyecto AS placa_norm, upper(articulo) AS articulo, upper(unidad_medida) AS unidad_medida, q AS cantidad, substr(sha256(concat('sal', cliente)), 1, 16) AS cliente_id, year(f)::INT AS anio, month(f)::INT AS mes, glp AS es_glp, coalesce(k, d) AS kg,
+DETAIL = f"""SELECT f AS fecha, proyecto AS placa_norm, upper(articulo) AS articulo, upper(unidad_medida) AS unidad_medida, q AS cantidad, substr(sha256(concat('sal', cliente)), 1, 16) AS cliente_id, year(f)::INT AS anio, month(f)::INT AS mes, glp AS es_glp, coalesce(k, d) AS kg,
   CASE WHEN k IS NOT NULL THEN 'registrado' WHEN d IS NOT NULL THEN 'derivado' WHEN glp THEN 'sin_conversion' ELSE 'no_glp' END AS kg_origen FROM (
   SELECT *, CASE WHEN glp THEN kg::DOUBLE END AS k, CASE WHEN glp THEN CASE unidad_medida WHEN 'kg' THEN q WHEN 'galones' THEN q * 2.04 WHEN 'UNIDAD' THEN CASE WHEN articulo LIKE '%10 KG' THEN q * 10 END END END AS d FROM (
-    SELECT *, CAST(fecha AS DATE) AS f, upper(articulo) LIKE 'GLP%' AS glp, cantidad::DOUBLE AS q FROM ({RAW_DETAIL})))""")
+    SELECT *, CAST(fecha AS DATE) AS f, upper(articulo) LIKE 'GLP%' AS glp, cantidad::DOUBLE AS q FROM ({RAW_DETAIL})))"""
+
+
+@query("silver_ventas_detalle", DETAIL)
 def silver_ventas_detalle(spark, sf_dir):
     return V.sale_details(sql(spark, sf_dir, RAW_DETAIL), "sal")
 
 
-@query("silver_quality_metrics", f"""SELECT round_even(avg((placa <> 'PLANTA')::INT), 4) AS placa_valida, round_even(count(nro_scop) / count(*), 4) AS scop_presente, count(nro_scop) - count(DISTINCT nro_scop) AS scop_repetidos, count(*) FILTER (WHERE tipo_cambio = '1') AS tc_fuera_de_rango FROM ({RAW_INVOICE})""")
-def silver_quality_metrics(spark, sf_dir):
-    o = V.invoices(sql(spark, sf_dir, RAW_INVOICE), "sal")
-    n = F.count("*")
-    return o.agg(F.bround(F.count("placa_norm") / n, 4).alias("placa_valida"), F.bround(F.count("nro_scop") / n, 4).alias("scop_presente"), (F.count("nro_scop") - F.count_distinct("nro_scop")).alias("scop_repetidos"), F.count_if(F.col("tipo_cambio").isNotNull() & ~F.col("tc_valido")).alias("tc_fuera_de_rango"))
+def _long(name, source, measures):
+    """SQL of a table's measures, a row each."""
+    return f"SELECT '{name}' AS tabla, unnest([{', '.join(repr(k) for k in measures)}]) AS metrica, unnest([{', '.join(f'({v})::DOUBLE' for v in measures.values())}]) AS valor FROM ({source})"
+
 
+def _rate(cond):
+    return f"round_even(avg(coalesce({cond}, false)::INT), 4)"
 
+
+MEASURES = " UNION ALL ".join([
+    _long("compras_glp", INVOICE, {"placa_valida": _rate("placa_norm IS NOT NULL"), "scop_presente": _rate("nro_scop IS NOT NULL"), "scop_11_digitos": _rate("length(nro_scop) = 11"), "scop_repetidos": "count(nro_scop) - count(DISTINCT nro_scop)",
+        "fechas_invertidas": "count(*) FILTER (WHERE estado_fecha = 'invertida')", "fechas_que_discrepan": "count(*) FILTER (WHERE estado_fecha = 'discrepa')", "tc_registrados": "count(tipo_cambio)", "tc_fuera_de_rango": "count(*) FILTER (WHERE NOT tc_valido)", "kg_positivo": _rate("kg > 0")}),
+    _long("scop", ORDER, {"ordenes_con_ambas_placas": "count(*) FILTER (WHERE placa_cargada IS NOT NULL AND placa_facturada IS NOT NULL)", "ordenes_con_placa_divergente": "count(*) FILTER (WHERE flag_placa_divergente)", "fecha_valida": _rate("fecha IS NOT NULL")}),
+    _long("unidades", UNIT, {"placa_valida": _rate("placa_norm IS NOT NULL"), "con_capacidad": "count(capacidad_glp_kg)", "traslada_gas_si": "count(*) FILTER (WHERE traslada_gas)", "traslada_gas_si_con_placa_valida": "count(*) FILTER (WHERE traslada_gas AND placa_norm IS NOT NULL)",
+        "placas_distintas": "count(DISTINCT placa_norm)", "traslada_gas_declarado": "count(traslada_gas)"}),
+    _long("ventas_unidad_mes", UNIT_MONTHS, {"mes_reconocido": _rate("mes IS NOT NULL"), "filas_con_placa": _rate("placa_norm IS NOT NULL"), "kg_con_placa_valida": "round_even(sum(kg) FILTER (WHERE placa_norm IS NOT NULL) / sum(kg), 4)"}),
+    _long("ventas_detalle", DETAIL, {"fecha_valida": _rate("fecha IS NOT NULL"), "lineas_glp": "count(*) FILTER (WHERE es_glp)", "lineas_no_glp": "count(*) FILTER (WHERE NOT es_glp)", "lineas_glp_convertibles_a_kg": "round_even(avg((kg IS NOT NULL)::INT) FILTER (WHERE es_glp), 4)",
+        "kg_registrado": "count(*) FILTER (WHERE kg_origen = 'registrado')", "kg_derivado": "count(*) FILTER (WHERE kg_origen = 'derivado')", "filas_con_placa": _rate("placa_norm IS NOT NULL")}),
+])
+
+
+@query("silver_quality_metrics", MEASURES)
+def silver_quality_metrics(spark, sf_dir):
+    raw = lambda text: sql(spark, sf_dir, text)
+    tables = {"compras_glp": V.invoices(raw(RAW_INVOICE), "sal"), "scop": V.orders(raw(RAW_ORDER)), "unidades": V.units(raw(RAW_UNIT)), "ventas_unidad_mes": V.unit_months(raw(RAW_MONTHS), "sal"), "ventas_detalle": V.sale_details(raw(RAW_DETAIL), "sal")}
+    return reduce(DataFrame.unionByName, [V.measures(n, df) for n, df in tables.items()])

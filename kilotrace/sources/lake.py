@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -40,8 +46,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType, where: Column
 
 
 def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("anio", "mes"), rows_per_file: int = 5_000_000) -> None:
-    """Replaces only the partitions that ``df`` has. One task writes a partition; large ones make several files."""
-    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
+    """Replaces only the partitions that ``df`` has. Rows are gathered by partition, which adaptive execution splits
+    over tasks where one is large; files have bounded numbers of rows."""
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
 
 
 def fingerprint(df: DataFrame, value: str) -> DataFrame:
@@ -74,13 +81,22 @@ def delivery_coverage(sources: DataFrame, latest: DataFrame) -> DataFrame:
     return sources.join(found, "codigo", "left").fillna(0, ["archivos"]).withColumn("estado", F.when(F.col("archivos") > 0, "disponible").otherwise("sin_archivos"))
 
 
-def file_manifest(spark: SparkSession, path: str, previous: DataFrame | None = None) -> DataFrame:
-    """(ruta, bytes, sha256) of files, without those of the previous manifest (same path and digest)."""
+def file_manifest(spark: SparkSession, path: str, load_date: str, previous: DataFrame | None = None, text: bool = True) -> DataFrame:
+    """(nombre, ruta, bytes, sha256, filas, fecha_carga) of files, after the previous manifest's, whose files (same
+    path and digest) are not repeated. Rows are counted in text files alone."""
     now = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    now = now.select(F.col("path").alias("ruta"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    now = now.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("nombre"), F.col("path").alias("ruta"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    counts = row_counts(spark, path).withColumnRenamed("ruta", "_ruta") if text else None
+    now = now.withColumn("filas", F.lit(None).cast("long")) if counts is None else now.join(counts, same_path("ruta", "_ruta"), "left").drop("_ruta")
+    now = now.withColumn("fecha_carga", F.lit(load_date).cast("date"))
     return now if previous is None else previous.unionByName(now.join(previous, ["ruta", "sha256"], "left_anti"))
 
 
+def same_path(a: str, b: str) -> Column:
+    """Whether two paths are one, however the slashes after their scheme are written."""
+    return F.regexp_replace(a, "^([a-z]+:)/+", "$1/") == F.regexp_replace(b, "^([a-z]+:)/+", "$1/")
+
+
 def dedupe_files(files: DataFrame) -> DataFrame:
     """Of files (nombre, sha256) with the same content one stays: names without a copy mark first, then by name."""
     copy = F.col("nombre").rlike(r"\(\d+\)")
@@ -114,11 +130,12 @@ def source_code(path: Column) -> Column:
 
 
 def volume(spark: SparkSession, path: str) -> DataFrame:
-    """Files and bytes by layer (first folder) and kind (extension)."""
+    """Files and bytes by layer (first folder), source (a code in the path, else the second folder) and kind (extension)."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
     rest = F.substring_index("path", path.rstrip("/").split("/")[-1] + "/", -1)
     kind = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
-    return f.groupBy(F.regexp_extract(rest, "^([^/]+)/", 1).alias("capa"), kind.alias("tipo")).agg(F.count("*").alias("archivos"), F.sum("length").alias("bytes"))
+    source = F.coalesce(source_code(rest), F.regexp_extract(rest, "^[^/]+/([^/]+)/", 1))
+    return f.groupBy(F.regexp_extract(rest, "^([^/]+)/", 1).alias("capa"), source.alias("fuente"), kind.alias("tipo")).agg(F.count("*").alias("archivos"), F.sum("length").alias("bytes"))
 
 
 def delimiter(lines: DataFrame, most: int = 20) -> DataFrame:
@@ -132,19 +149,45 @@ def delimiter(lines: DataFrame, most: int = 20) -> DataFrame:
     return lines.select("archivo").distinct().join(best, "archivo", "left").fillna(",", ["delimitador"])
 
 
-def create_external(spark: SparkSession, name: str, path: str, schema: StructType, by: tuple[str, ...]) -> None:
+def create_external(spark: SparkSession, name: str, path: str, schema: StructType, by: tuple[str, ...] = ()) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(by)}) LOCATION '{path}'")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    parts = f"PARTITIONED BY ({', '.join(by)})" if by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
+    if by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 128 << 20) -> None:
+    """Writes a table's files anew, each of about ``file_bytes``: as many as their total takes, of rows dealt evenly."""
+    size = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    spark.read.parquet(source).repartition(max(1, -(-size // file_bytes))).write.parquet(target)
+
+
+#: The folder of sessions on a local master that name none, as in tests.
+_OWN: list[str] = []
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, ``spark.checkpoint.dir``. Only a local master may do without: driver and tasks
+    are then one machine, and a temporary folder serves."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="kilotrace-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return f"file://{_OWN[0]}"
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share: under ``spark.checkpoint.dir``, or where that is unset one of our own."""
-    import tempfile
-    import uuid
-
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="kilotrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder that all executors share."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table, for several branches of a plan that would each work it out."""
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

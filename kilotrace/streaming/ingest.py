@@ -12,12 +12,13 @@ from pyspark.sql.types import StructType
 def ingest(spark: SparkSession, source: str, schema: StructType, target: str, state: str, transform: Callable[[DataFrame], DataFrame], file_format: str = "parquet") -> None:
     """Processes all files that have arrived and not been processed, then stops.
 
-    Each batch is written under its own ``origen`` (the batch's number), so a batch that is run again after a failure
-    replaces what it wrote before.
+    Rows are written under ``origen``, a digest of the file they come from, and a batch replaces the partitions that it
+    has. A file that is read again, after a failure or because the state is lost, replaces what it gave before.
+    ``transform`` works row by row, and keeps the column ``origen``.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        out = transform(batch).withColumn("origen", F.lit(number))
+        out = transform(batch.withColumn("origen", F.md5(F.input_file_name())))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("origen").parquet(target)
 
     stream = spark.readStream.schema(schema).format(file_format).option("header", True).load(source)
