@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -16,6 +12,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kilotrace.sources.lake import shared_dir
+
 #: White space of the contracts: space, and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -35,24 +33,6 @@ def seeded(i: int) -> np.uint64:
     return np.uint64(SEED * (i + 1) % 2**64)
 
 
-#: The folder of sessions on a local master that name none, as in tests.
-_OWN: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, ``spark.checkpoint.dir``. Only a local master may do without: driver and tasks
-    are then one machine, and a temporary folder serves."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    if not _OWN:
-        _OWN.append(tempfile.mkdtemp(prefix="kilotrace-"))
-        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
-    return f"file://{_OWN[0]}"
-
-
 def free(name: str, *tables: DataFrame) -> str:
     """``name``, with as many underscores after it as it takes to be no column of ``tables``."""
     taken = {c.lower() for t in tables for c in t.columns}
