@@ -142,6 +142,15 @@ def kpi_difference(gold: DataFrame, shrinkage: float = 0.005) -> DataFrame:
     )
 
 
+def other_kpis(purchases: DataFrame, master: DataFrame, reviews: DataFrame) -> DataFrame:
+    """One row of rates: divergent plates, customers that a document links, confirmed alerts among the reviewed (null
+    confirmations are not reviewed), and purchases with an order code."""
+    rate = lambda c: F.round(F.avg(c.cast("int")), 6)
+    out = purchases.agg(rate(F.col("flag_placa_divergente")).alias("tasa_divergencia"), rate(F.col("codigo_scop").isNotNull()).alias("tasa_scop"))
+    linked = master.agg(rate(F.col("documento_raw").isNotNull()).alias("maestro_enlazable"))
+    return out.crossJoin(linked).crossJoin(reviews.agg(rate(F.col("confirmada")).alias("alertas_confirmadas")))  # single rows
+
+
 def replicate(mov: DataFrame, factor: int) -> DataFrame:
     """``factor`` copies; copies after the first have plates and documents of their own. The copy number stays within
     the row (an exploded sequence), so nothing is shuffled."""

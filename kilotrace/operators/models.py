@@ -6,41 +6,102 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kilotrace.sources.lake import once
 
-def _distance(a: Column, b: Column) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
+#: Points that a task holds at once.
+BLOCK = 2048
 
-def nearest(queries: DataFrame, points: DataFrame, k: int, blocks: int = 8) -> DataFrame:
-    """(id, near, d, rank): the k nearest ``points`` (id, v) of each query (id, v), itself left out.
 
-    Every query meets every block of points in turn; each block keeps its k best before blocks are merged, so at most
-    k rows a query and block are moved. Queries are a stated set, not all pairs of the corpus.
-    """
-    p = points.select(F.col("id").alias("near"), F.col("v").alias("w"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-    q = queries.select("id", "v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    pairs = q.join(p, "block").filter("id != near").select("id", "near", "block", _distance(F.col("v"), F.col("w")).alias("d"))
-    order = [F.asc("d"), F.asc("near")]
-    some = pairs.withColumn("r", F.row_number().over(Window.partitionBy("id", "block").orderBy(*order))).filter(F.col("r") <= k)
-    return some.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(*order))).filter(F.col("rank") <= k).select("id", "near", "d", "rank")
+def _best(ids, x, near_ids, y, k):
+    """(row of x, id, distance) of the k nearest rows of y, the own id apart, ties to the smaller id."""
+    d = np.zeros((len(x), len(y)))
+    for c in range(x.shape[1]):
+        d += (x[:, c, None] - y[None, :, c]) ** 2
+    d = np.sqrt(d)
+    d[ids[:, None] == near_ids[None, :]] = np.inf
+    last = min(k, len(y)) - 1
+    at, of = np.nonzero((d <= np.partition(d, last, axis=1)[:, last, None]) & (d < np.inf))
+    order = np.lexsort((near_ids[of], d[at, of], at))
+    at, of = at[order], of[order]
+    keep = np.arange(len(at)) - np.searchsorted(at, at) < k
+    return at[keep], near_ids[of[keep]], d[at[keep], of[keep]]
+
 
+def _meet(k: int):
+    """Query rows against the points of their slab and block, which come before them: a block is held, queries stream."""
 
-def lof(train: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    def run(tables: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, []
+        for t in tables:
+            out = []
+            for own, part in t.groupby(["slab", "block", "query"], sort=True):
+                if own[:2] != key:
+                    key, held = own[:2], []
+                if not own[2]:
+                    held.append(part)
+                elif held:
+                    points = pd.concat(held)
+                    held, y = [points], np.stack(points["v"].to_numpy())
+                    for a in range(0, len(part), 256):
+                        some = part.iloc[a : a + 256]
+                        at, near, d = _best(some["id"].to_numpy(), np.stack(some["v"].to_numpy()), points["id"].to_numpy(), y, k)
+                        out.append(pd.DataFrame({"id": some["id"].to_numpy()[at], "near": near, "d": d}))
+            yield pd.concat(out) if out else pd.DataFrame({"id": pd.Series(dtype=str), "near": pd.Series(dtype=str), "d": pd.Series(dtype=float)})
+
+    return run
+
+
+def nearest(queries: DataFrame, points: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """(id, near, d, rank): the k nearest ``points`` (id, v) of each query (id, v), itself left out. Exact.
+
+    Points lie in slabs of the first coordinate, about ``block`` to a slab. A query first meets one block of its own
+    slab; the k-th distance found there bounds how far to either side it must look, and it then meets the slabs within
+    that bound alone. Large slabs (many equal coordinates) are dealt in blocks, so a task holds one block.
+    """
+    scratch = once(points.select("id", "v"), "puntos")
+    n = scratch.count()
+    slabs = min(max(1, n // block), 4096)
+    cuts = scratch.agg(F.percentile_approx(F.get("v", F.lit(0)), F.array(*[F.lit(i / slabs) for i in range(1, slabs)]), 100 * slabs)).first()[0] if slabs > 1 else []
+    cuts = sorted(set(cuts or []))
+    edges = F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>")
+    slab_of = lambda x: F.size(F.filter(edges, lambda c: c <= x))
+    first = F.get("v", F.lit(0))
+    rows = scratch.select("id", "v", slab_of(first).alias("slab"))
+    counts = {r["slab"]: r["count"] for r in rows.groupBy("slab").count().collect()}  # as many rows as slabs
+    blocks = F.array(*[F.lit(max(1, -(-counts.get(i, 0) // block))) for i in range(len(cuts) + 1)])
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.get(blocks, F.col("slab"))).cast("int"))
+
+    def met(asked: DataFrame) -> DataFrame:
+        both = rows.select("slab", "block", F.lit(False).alias("query"), "id", "v").union(asked.select("slab", "block", F.lit(True), "id", "v"))
+        return both.repartition("slab", "block").sortWithinPartitions("slab", "block", "query").mapInPandas(_meet(k), "id string, near string, d double")
+
+    one = queries.select("id", "v", slab_of(first).alias("slab"), F.lit(0).alias("block"))
+    reach = met(one).groupBy("id").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(F.lit(float("inf"))).alias("reach"))
+    wide = queries.join(reach, "id", "left").withColumn("reach", F.coalesce("reach", F.lit(float("inf"))) * (1 + 1e-9))
+    wide = wide.withColumn("slab", F.explode(F.sequence(slab_of(first - F.col("reach")), slab_of(first + F.col("reach")))))
+    wide = wide.withColumn("block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("slab")) - 1)))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("d", "near"))
+    return met(wide).withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def lof(train: DataFrame, queries: DataFrame, k: int, near: DataFrame | None = None, asked: DataFrame | None = None) -> DataFrame:
     """(id, puntaje): the local outlier factor of ``queries`` against ``train``, both (id, v array<double>).
 
-    Reachability, local density and their ratio are joins and averages over the k nearest. Higher is odder.
+    Reachability, local density and their ratio are joins and averages over the k nearest. Higher is odder. ``near``
+    and ``asked``, the nearest of both sides, may be given with as many neighbours as any k needs.
     """
-    near = nearest(train, train, k)
+    near = (once(nearest(train, train, k), "vecinos") if near is None else near).filter(F.col("rank") <= k)
+    asked = (once(nearest(queries, train, k), "vecinos") if asked is None else asked).filter(F.col("rank") <= k)
     reach = near.filter(F.col("rank") == k).select(F.col("id").alias("near"), F.col("d").alias("kd"))
 
     def density(n: DataFrame) -> DataFrame:
         return n.join(reach, "near").groupBy("id").agg((1 / (F.avg(F.greatest("d", "kd")) + 1e-10)).alias("lrd"))
 
     own = density(near).select(F.col("id").alias("near"), F.col("lrd").alias("near_lrd"))
-    asked = nearest(queries, train, k)
     return asked.join(own, "near").join(density(asked), "id").groupBy("id").agg((F.avg("near_lrd") / F.max("lrd")).alias("puntaje"))
 
 
@@ -108,11 +169,15 @@ def iforest(train: DataFrame, queries: DataFrame, trees: int, sample: int, seed:
 
 
 def model_grid(train: DataFrame, months: DataFrame, labels: DataFrame, k: int, neighbours: list[int], forests: list[tuple[int, int]], seed: int, pilot: int) -> DataFrame:
-    """(modelo, parte, precision): precision at k of every model on the pilot year and on later ones."""
+    """(modelo, parte, precision, mejor): precision at k of every model on the pilot year and on later ones. The best
+    is that of the highest precision on the pilot, the first by name among equals."""
+    near, asked = (once(nearest(q, train, max(neighbours)), "vecinos") for q in (train, months))
     scores = None
-    for name, s in [*((f"lof_{n}", lof(train, months, n)) for n in neighbours), *((f"iforest_{t}_{m}", iforest(train, months, t, m, seed)) for t, m in forests)]:
+    for name, s in [*((f"lof_{n}", lof(train, months, n, near, asked)) for n in neighbours), *((f"iforest_{t}_{m}", iforest(train, months, t, m, seed)) for t, m in forests)]:
         part = s.withColumn("modelo", F.lit(name))
         scores = part if scores is None else scores.unionByName(part)
     rows = scores.join(labels, "id").withColumn("parte", F.when(F.col("anio") == pilot, "piloto").otherwise("estabilidad"))
     best = rows.withColumn("r", F.row_number().over(Window.partitionBy("modelo", "parte").orderBy(F.desc("puntaje"), "id"))).filter(F.col("r") <= k)
-    return best.groupBy("modelo", "parte").agg(F.avg(F.col("etiqueta").cast("double")).alias("precision"))
+    grid = once(best.groupBy("modelo", "parte").agg(F.avg(F.col("etiqueta").cast("double")).alias("precision")), "rejilla")
+    first = grid.filter("parte = 'piloto'").orderBy(F.desc("precision"), "modelo").limit(1).select("modelo", F.lit(True).alias("mejor"))
+    return grid.join(first, "modelo", "left").select("modelo", "parte", "precision", F.coalesce("mejor", F.lit(False)).alias("mejor"))

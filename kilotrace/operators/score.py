@@ -91,11 +91,11 @@ def prioritize(alerts: DataFrame, k: int) -> DataFrame:
 
 def blind_sample(alerts: DataFrame, top: DataFrame, extra: int, seed: int) -> DataFrame:
     """The top and ``extra`` others chosen by hash, in hash order, without scores or grades."""
-    place = F.xxhash64(F.lit(seed), "id_alerta")
-    rest = alerts.join(top.select("id_alerta"), "id_alerta", "left_anti").orderBy(place, "id_alerta").limit(extra)
+    place = lambda n: F.md5(F.concat_ws("|", F.lit(str(n)), "id_alerta"))
+    rest = alerts.join(top.select("id_alerta"), "id_alerta", "left_anti").orderBy(place(seed), "id_alerta").limit(extra)
     fields = ["id_alerta", "senal", "resolucion", "fecha", "unidad_id", "rol", "factura_id", "codigo_scop", "kg", "motivo", "fuentes"]
     none = [F.lit(None).cast(t).alias(c) for c, t in (("confirmada", "boolean"), ("revisor_id", "string"), ("evidencia_ref", "string"))]
-    return top.select(*fields).unionByName(rest.select(*fields)).orderBy(F.xxhash64(F.lit(seed + 1), "id_alerta")).select(*fields, *none)
+    return top.select(*fields).unionByName(rest.select(*fields)).orderBy(place(seed + 1)).select(*fields, *none)
 
 
 def alerts_per_month(alerts: DataFrame, periods: DataFrame) -> DataFrame:

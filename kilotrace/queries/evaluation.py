@@ -12,6 +12,7 @@ from kilotrace.queries.gold import MONTHS, rounded
 from kilotrace.queries.gold import _gold as gold_of
 from kilotrace.queries.registry import query
 from kilotrace.sources.domain import PILOT, table
+from kilotrace.sources.lake import once
 
 MONTH = "placa_norm, anio, mes"
 #: Unit-months with the figures that scores need.
@@ -103,7 +104,7 @@ def precision_at_k(spark, sf_dir):
   (SELECT count(*) FROM ({LABELLED}) WHERE alerta_base) AS alertas_total, round((SELECT coalesce(avg(n), 0) FROM (SELECT count(*) AS n FROM ({LABELLED}) WHERE alerta_base GROUP BY anio, mes)), 6) AS alertas_por_mes_media,
   (SELECT coalesce(max(n), 0) FROM (SELECT count(*) AS n FROM ({LABELLED}) WHERE alerta_base GROUP BY anio, mes)) AS alertas_por_mes_max""")
 def base_metrics(spark, sf_dir):
-    return rounded(K.base_metrics(labelled(spark, sf_dir), 20, *G.MONTH), {"pct_kg_cubiertos": 6, "alertas_por_mes_media": 6})
+    return rounded(K.base_metrics(once(labelled(spark, sf_dir), "etiquetas"), 20, *G.MONTH), {"pct_kg_cubiertos": 6, "alertas_por_mes_media": 6})
 
 
 TOP = f"""(SELECT * FROM (SELECT *, (rank() OVER (PARTITION BY senal ORDER BY puntaje) + (count(*) OVER (PARTITION BY senal, puntaje) - 1) / 2.0) / count(*) OVER (PARTITION BY senal) AS p FROM ({R.V6_ALL}))
@@ -119,7 +120,11 @@ def prioritize(spark, sf_dir):
     return top_alerts(spark, sf_dir).select("id_alerta", "senal", "fecha", "puntaje")
 
 
-@query("blind_sample")
+BLIND = "id_alerta, senal, resolucion, fecha, unidad_id, rol, factura_id, codigo_scop, kg, motivo, fuentes"
+
+
+@query("blind_sample", f"""SELECT *, NULL::BOOLEAN AS confirmada, NULL::VARCHAR AS revisor_id, NULL::VARCHAR AS evidencia_ref FROM (SELECT {BLIND} FROM {TOP}
+  UNION ALL (SELECT {BLIND} FROM ({R.V6_ALL}) WHERE id_alerta NOT IN (SELECT id_alerta FROM {TOP}) ORDER BY md5('42|' || id_alerta), id_alerta LIMIT 10))""")
 def blind_sample(spark, sf_dir):
     return K.blind_sample(R.all_v6(spark, sf_dir), top_alerts(spark, sf_dir), 10, 42)
 
@@ -165,16 +170,16 @@ def documentary_metrics(spark, sf_dir):
     return rounded(K.documentary_metrics(R.all_v6(spark, sf_dir), top, reviews, cases, cases, 20), {"recuperacion": 6, "pct_kg_cubiertos": 6})
 
 
-VECTOR = f"""SELECT concat_ws('|', placa_norm, CAST(anio AS string), CAST(mes AS string)) AS id, anio, kg_diferencia + 0.0 AS a, n_operaciones + 0.0 AS b, max_kg_dia + 0.0 AS c FROM ({MONTHS}) WHERE anio BETWEEN {PILOT - 1} AND {PILOT}"""
+VECTOR = f"""SELECT concat_ws('|', placa_norm, CAST(anio AS string), CAST(mes AS string)) AS id, anio, kg_diferencia + 0.0 AS a, n_operaciones + 0.0 AS b, max_kg_dia + 0.0 AS c FROM ({MONTHS})"""
 SCALE = f"""SELECT v.id, v.anio, (a - a2) / CASE WHEN a3 = a1 THEN 1 ELSE a3 - a1 END AS a, (b - b2) / CASE WHEN b3 = b1 THEN 1 ELSE b3 - b1 END AS b, (c - c2) / CASE WHEN c3 = c1 THEN 1 ELSE c3 - c1 END AS c FROM ({VECTOR}) v,
   (SELECT """ + ", ".join(f"quantile_cont({x}, 0.25) AS {x}1, median({x}) AS {x}2, quantile_cont({x}, 0.75) AS {x}3" for x in "abc") + f" FROM ({VECTOR}) WHERE anio < {PILOT})"
 
 
-def vectors(spark, sf_dir, every_year=False):
+def vectors(spark, sf_dir):
+    """Every unit-month, scaled by the years before the pilot."""
     m = months(spark, sf_dir)
-    if not every_year:  # as the SQL of robust_scale and lof_score
-        m = m.filter(F.col("anio").between(PILOT - 1, PILOT))
     m = m.select(F.concat_ws("|", *G.MONTH).alias("id"), "anio", F.col("kg_diferencia").alias("a"), F.col("n_operaciones").cast("double").alias("b"), F.col("max_kg_dia").alias("c"))
+    m = once(m, "vectores")
     return K.robust_scale(m, m.filter(F.col("anio") < PILOT), ["a", "b", "c"])
 
 
@@ -183,16 +188,16 @@ def robust_scale(spark, sf_dir):
     return rounded(vectors(spark, sf_dir).select("id", "a", "b", "c"), {"a": 6, "b": 6, "c": 6})
 
 
-def _lof_sets(spark, sf_dir, every_year=False):
-    """What is learned from, before the pilot year, and what is scored: the pilot year and, of every year, later ones."""
-    v = vectors(spark, sf_dir, every_year).select("id", "anio", F.array("a", "b", "c").alias("v"))
+def _lof_sets(spark, sf_dir):
+    """What is learned from, all years before the pilot, and what is scored: the pilot year and all later ones."""
+    v = once(vectors(spark, sf_dir).select("id", "anio", F.array("a", "b", "c").alias("v")), "escalados")
     return v.filter(F.col("anio") < PILOT).select("id", "v"), v.filter(F.col("anio") >= PILOT).select("id", "v")
 
 
 NEAR = "SELECT {q}.id, {t}.id AS near, sqrt(pow({q}.a - {t}.a, 2) + pow({q}.b - {t}.b, 2) + pow({q}.c - {t}.c, 2)) AS d, row_number() OVER (PARTITION BY {q}.id ORDER BY sqrt(pow({q}.a - {t}.a, 2) + pow({q}.b - {t}.b, 2) + pow({q}.c - {t}.c, 2)), {t}.id) AS r"
 
 
-@query("lof_score", f"""WITH s AS ({SCALE}), tr AS (SELECT * FROM s WHERE anio < {PILOT}), qu AS (SELECT * FROM s WHERE anio = {PILOT}),
+@query("lof_score", f"""WITH s AS ({SCALE}), tr AS (SELECT * FROM s WHERE anio < {PILOT}), qu AS (SELECT * FROM s WHERE anio >= {PILOT}),
   nt AS (SELECT * FROM ({NEAR.format(q='x', t='y')} FROM tr x JOIN tr y ON x.id <> y.id) WHERE r <= 10), nq AS (SELECT * FROM ({NEAR.format(q='x', t='y')} FROM qu x, tr y) WHERE r <= 10),
   kd AS (SELECT id AS near, d AS kd FROM nt WHERE r = 10), lt AS (SELECT id AS near, 1 / (avg(greatest(d, kd)) + 1e-10) AS l FROM nt JOIN kd USING (near) GROUP BY id),
   lq AS (SELECT id, 1 / (avg(greatest(d, kd)) + 1e-10) AS l FROM nq JOIN kd USING (near) GROUP BY id)
@@ -204,14 +209,14 @@ def lof_score(spark, sf_dir):
 
 @query("iforest_score")
 def iforest_score(spark, sf_dir):
-    train, queries = _lof_sets(spark, sf_dir, every_year=True)
+    train, queries = _lof_sets(spark, sf_dir)
     return M.iforest(train, queries, 100, 256, 42)
 
 
 @query("model_grid")
 def model_grid(spark, sf_dir):
-    train, queries = _lof_sets(spark, sf_dir, every_year=True)
-    labels = labelled(spark, sf_dir).select(F.concat_ws("|", *G.MONTH).alias("id"), "anio", "etiqueta")
+    train, queries = _lof_sets(spark, sf_dir)
+    labels = once(labelled(spark, sf_dir), "etiquetas").select(F.concat_ws("|", *G.MONTH).alias("id"), "anio", "etiqueta")
     return M.model_grid(train, queries, labels, 20, [10, 20, 35], [(100, 64), (100, 256), (300, 64), (300, 256)], 42, PILOT)
 
 

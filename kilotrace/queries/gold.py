@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kilotrace.functions import clean as C
+
 from kilotrace.operators import gold as G
+from kilotrace.operators.signals import CATALOGUE
 from kilotrace.queries.registry import query
+from kilotrace.operators.silver import movements
 from kilotrace.sources.domain import PILOT, sql, table
+from kilotrace.sources.lake import once
 
 BY = "placa_norm, fecha, id_producto, anio, mes"
 SUMS = f"SELECT {BY}, sum(kg_comprados) AS kg_comprados, sum(kg_despachados) AS kg_despachados, sum(kg_vendidos) AS kg_vendidos, count(*) AS n_operaciones FROM mov GROUP BY {BY}"
@@ -205,8 +213,9 @@ CALENDAR = f"""SELECT placa_norm, m.anio, m.mes, (m.anio = {PILOT})::INT AS es_p
 
 
 def _features(spark, sf_dir):
-    views = [table(spark, sf_dir, n) for n in ("compras", "ventas", "tc")]
-    return G.month_features(_gold(spark, sf_dir), *views, PILOT, sql(spark, sf_dir, EVENTS), sql(spark, sf_dir, COMPLAINTS))
+    bought, sold = once(table(spark, sf_dir, "compras"), "compras"), once(table(spark, sf_dir, "ventas"), "ventas")
+    gold = G.reconcile(movements(bought, sold), table(spark, sf_dir, "flota"))
+    return G.month_features(gold, bought, sold, table(spark, sf_dir, "tc"), PILOT, sql(spark, sf_dir, EVENTS), sql(spark, sf_dir, COMPLAINTS))
 
 
 @query("feat_calendar_events", CALENDAR)
@@ -258,12 +267,23 @@ def replicate_scale(spark, sf_dir):
 
 # analysis over Gold
 
-@query("dimensions", """SELECT 'unidad' AS dimension, count(DISTINCT placa_norm) AS filas FROM mov UNION ALL SELECT 'producto', count(DISTINCT id_producto) FROM mov
-  UNION ALL SELECT 'fecha', count(DISTINCT fecha) FROM mov UNION ALL SELECT 'cliente', count(DISTINCT card_code) FROM mov""")
+#: The dimensions and the SQL of their rows: dates, vehicles, drivers (hashes alone), products, customers and signals.
+DIMENSIONS = {
+    "fecha": "SELECT DISTINCT fecha FROM mov", "vehiculo": "SELECT placa_norm FROM flota", "conductor": "SELECT DISTINCT sha256(concat('sal', upper(trim(s_name)))) FROM supplier WHERE trim(s_name) <> ''",
+    "producto": "SELECT DISTINCT id_producto FROM mov", "cliente": "SELECT DISTINCT card_code FROM maestro", "senal": f"SELECT unnest({list(CATALOGUE)!r})",
+}
+
+
+@query("dimensions", " UNION ALL ".join(f"SELECT '{n}' AS dimension, count(*) AS filas FROM ({q})" for n, q in DIMENSIONS.items()))
 def dimensions(spark, sf_dir):
-    mov = table(spark, sf_dir, "mov")
-    cells = F.array(*[F.struct(F.lit(n).alias("dimension"), F.col(c).cast("string").alias("v")) for n, c in (("unidad", "placa_norm"), ("producto", "id_producto"), ("fecha", "fecha"), ("cliente", "card_code"))])
-    return mov.select(F.explode(cells).alias("c")).select("c.*").groupBy("dimension").agg(F.count_distinct("v").alias("filas"))
+    mov = table(spark, sf_dir, "mov").select("fecha", "id_producto")
+    people = table(spark, sf_dir, "supplier").select(C.pseudonym(F.col("s_name"), "sal").alias("conductor_hash"))
+    signals = spark.createDataFrame([(k, v[0]) for k, v in CATALOGUE.items()], "senal string, descripcion string")
+    tables = {
+        "fecha": mov.select("fecha", F.year("fecha").alias("anio"), F.month("fecha").alias("mes"), F.dayofweek("fecha").alias("dia_semana")).distinct(), "vehiculo": table(spark, sf_dir, "flota"),
+        "conductor": people.dropna().distinct(), "producto": mov.select("id_producto").distinct(), "cliente": table(spark, sf_dir, "maestro").select("card_code", "capacidad_kg", "canal").dropDuplicates(["card_code"]), "senal": signals,
+    }
+    return reduce(DataFrame.unionByName, [df.agg(F.lit(n).alias("dimension"), F.count("*").alias("filas")) for n, df in tables.items()])
 
 
 @query("referential_integrity", "SELECT 'flota' AS dimension, count(*) AS huerfanas FROM mov WHERE placa_norm NOT IN (SELECT placa_norm FROM flota) UNION ALL SELECT 'maestro', count(*) FROM ventas v WHERE NOT EXISTS (SELECT 1 FROM maestro m WHERE m.card_code = v.card_code)")
@@ -281,19 +301,33 @@ def bias_by_segment(spark, sf_dir):
     return out.select("canal", "estado_flota", "filas", "tasa")
 
 
-@query("eda_series", f"""SELECT placa_norm, total, round(sum(total) OVER (ORDER BY total DESC, placa_norm ROWS UNBOUNDED PRECEDING) / sum(total) OVER (), 6) AS acumulado
-  FROM (SELECT placa_norm, sum(kg_comprados) AS total FROM ({SUMS}) GROUP BY placa_norm)""")
-def eda_series(spark, sf_dir):
-    from pyspark.sql import Window
+PLATES = f"SELECT placa_norm, sum(kg_comprados) AS total FROM ({SUMS}) GROUP BY placa_norm"
+
 
-    totals = G.sums(table(spark, sf_dir, "mov")).groupBy("placa_norm").agg(F.sum("kg_comprados").alias("total"))  # one row a plate
+@query("eda_series", f"""SELECT 'pareto' AS serie, placa_norm AS clave, total AS valor, round(sum(total) OVER (ORDER BY total DESC, placa_norm ROWS UNBOUNDED PRECEDING) / sum(total) OVER (), 6) AS acumulado FROM ({PLATES})
+  UNION ALL SELECT 'diferencia', concat(CAST(anio AS string), '-', lpad(CAST(mes AS string), 2, '0')), round(sum(kg_comprados - kg_vendidos), 2), NULL FROM ({SUMS}) GROUP BY anio, mes
+  UNION ALL SELECT 's1', placa_cargada, round(avg(flag_placa_divergente::INT), 6), NULL FROM compras GROUP BY placa_cargada""")
+def eda_series(spark, sf_dir):
+    """The Pareto of plates, the monthly difference, and each plate's share of divergent purchases."""
+    totals = G.sums(table(spark, sf_dir, "mov"))
+    plates = totals.groupBy("placa_norm").agg(F.sum("kg_comprados").alias("total"))  # one row a plate
     run = F.sum("total").over(Window.orderBy(F.desc("total"), "placa_norm").rowsBetween(Window.unboundedPreceding, 0))
-    return totals.withColumn("acumulado", F.round(run / F.sum("total").over(Window.partitionBy()), 6))
+    pareto = plates.select(F.lit("pareto").alias("serie"), F.col("placa_norm").alias("clave"), F.col("total").alias("valor"), F.round(run / F.sum("total").over(Window.partitionBy()), 6).alias("acumulado"))
+    none = F.lit(None).cast("double")
+    month = F.concat_ws("-", F.col("anio").cast("string"), F.lpad(F.col("mes").cast("string"), 2, "0"))
+    difference = totals.groupBy("anio", "mes").agg(F.round(F.sum(F.col("kg_comprados") - F.col("kg_vendidos")), 2).alias("valor")).select(F.lit("diferencia"), month, "valor", none)
+    s1 = table(spark, sf_dir, "compras").groupBy("placa_cargada").agg(F.round(F.avg(F.col("flag_placa_divergente").cast("int")), 6).alias("valor")).select(F.lit("s1"), "placa_cargada", "valor", none)
+    return pareto.union(difference).union(s1)
 
 
-@query("other_kpis", "SELECT round(avg(flag_placa_divergente::INT), 6) AS tasa_divergencia, round(avg((codigo_scop IS NOT NULL)::INT), 6) AS tasa_scop FROM compras")
+@query("other_kpis", """SELECT round(avg(flag_placa_divergente::INT), 6) AS tasa_divergencia, round((SELECT avg((documento_raw IS NOT NULL)::INT) FROM maestro), 6) AS maestro_enlazable,
+  round((SELECT avg((o_orderpriority LIKE '1%')::INT) FROM orders WHERE o_orderstatus <> 'P'), 6) AS alertas_confirmadas, round(avg((codigo_scop IS NOT NULL)::INT), 6) AS tasa_scop FROM compras""")
 def other_kpis(spark, sf_dir):
-    return table(spark, sf_dir, "compras").agg(F.round(F.avg(F.col("flag_placa_divergente").cast("int")), 6).alias("tasa_divergencia"), F.round(F.avg(F.col("codigo_scop").isNotNull().cast("int")), 6).alias("tasa_scop"))
+    """Divergence rate, customers with a document to link by, confirmed among reviewed alerts, purchases with a code.
+
+    Reviews are orders here: reviewed unless their status is P, confirmed where their priority is the first."""
+    reviews = table(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority").startswith("1")).alias("confirmada"))
+    return G.other_kpis(table(spark, sf_dir, "compras"), table(spark, sf_dir, "maestro"), reviews)
 
 
 @query("dedupe", "SELECT DISTINCT placa_norm, anio, mes FROM mov")
