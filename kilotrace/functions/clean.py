@@ -16,8 +16,10 @@ STATES = {
     "ATENDIDO": "ATENDIDO", "ATENDIDA": "ATENDIDO", "PENDIENTE": "PENDIENTE", "ANULADO": "ANULADO", "ANULADA": "ANULADO",
     "ACTIVO": "ACTIVO", "HABIDO": "HABIDO", "NO HABIDO": "NO HABIDO", "BAJA": "BAJA", "BAJA DE OFICIO": "BAJA",
 }
-MONTHS = ("ENERO", "FEBRERO", "MARZO", "ABRIL", "MAYO", "JUNIO", "JULIO", "AGOSTO", "SETIEMBRE", "SEPTIEMBRE", "OCTUBRE", "NOVIEMBRE", "DICIEMBRE")
-MONTH_NUMBERS = (1, 2, 3, 4, 5, 6, 7, 8, 9, 9, 10, 11, 12)
+MONTHS = {
+    "ENERO": 1, "FEBRERO": 2, "MARZO": 3, "ABRIL": 4, "MAYO": 5, "JUNIO": 6, "JULIO": 7, "AGOSTO": 8, "SETIEMBRE": 9, "SEPTIEMBRE": 9,
+    "OCTUBRE": 10, "NOVIEMBRE": 11, "DICIEMBRE": 12,
+}
 TRUE_WORDS, FALSE_WORDS = ("SI", "S", "TRUE", "1", "X", "VIGENTE"), ("NO", "N", "FALSE", "0", "VENCIDO")
 EXCEL_ERRORS = ("#VALUE!", "#N/A", "#REF!", "#DIV/0!", "#NAME?", "#NULL!", "#NUM!")
 BROKEN_FORMULAS = ("TRUE", "FALSE", "VERDADERO", "FALSO")
@@ -149,7 +151,7 @@ def month_number(c: Column) -> Column:
     """A number from 1 to 12, or a Spanish name, or a prefix of three letters or more of one."""
     s = F.upper(strip(plain(c)))
     out = F.when(s.rlike(r"^[0-9]+\z") & s.try_cast("int").between(1, 12), s.try_cast("int"))
-    for name, n in zip(MONTHS, MONTH_NUMBERS, strict=True):
+    for name, n in MONTHS.items():
         out = out.when((s == name) | ((F.length(s) >= 3) & F.startswith(F.lit(name), s)), n)
     return F.when(~blank(c), out)
 

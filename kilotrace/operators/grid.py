@@ -73,12 +73,16 @@ def discards(data: DataFrame, totals: list[str], titles: dict[str, str], require
     return data.withColumn("descarte", F.when(total, "total").when(heading, "encabezado").when(lacking, "incompleta"))
 
 
-def control(data: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """Rows, rows of repeated keys and filled cells of each column, in one aggregate over keys' counts."""
+def control(data: DataFrame, effective: DataFrame, source: str, key: list[str], columns: list[str], reasons: list[str]) -> DataFrame:
+    """What each source's control report says: rows read, effective and left, rows of repeated keys among what is left,
+    discards by reason, and filled cells of each column. ``effective`` is ``data`` after the cut, with ``descarte``."""
     from kilotrace.operators.quality import repeated
 
-    marked = repeated(data, key, "_rep")
-    return marked.agg(F.count("*").alias("filas"), F.count_if("_rep").alias("filas_con_llave_repetida"), *[F.count(c).alias(f"con_{c}") for c in columns])
+    out = repeated(effective.filter("descarte is null"), [source, *key], "_rep").groupBy(source).agg(F.count("*").alias("filas_salida"), F.count_if("_rep").alias("filas_con_llave_repetida"))
+    whole = effective.groupBy(source).agg(F.count("*").alias("filas_efectivas"), *[F.count_if(F.col("descarte") == r).alias(f"descarte_{r}") for r in reasons], *[F.count(c).alias(f"con_{c}") for c in columns])
+    read = data.groupBy(source).agg(F.count("*").alias("filas_leidas"))
+    report = read.join(whole, source, "left").join(out, source, "left").fillna(0)
+    return report.withColumn("estado", F.when(F.col("filas_efectivas") > 0, "ok").otherwise("sin_filas"))
 
 
 def profile(grid: DataFrame) -> DataFrame:
@@ -129,3 +133,25 @@ def header_warnings(heads: DataFrame) -> DataFrame:
     name = C.normal_name(F.col("nombre"))
     named = F.count(F.when(F.col("nombre") != "", 1))
     return heads.groupBy(*SHEET).agg((named - F.count_distinct(F.when(F.col("nombre") != "", name))).alias("duplicadas"), F.count_if((F.col("nombre") == "") & ~F.col("omitido")).alias("sin_nombre"), F.count_if("omitido").alias("omitidas"))
+
+
+def contrast(grid: DataFrame, declared: list[str]) -> DataFrame:
+    """(sheet, coincidencias, faltan, sobran, mejor): declared titles against those found in each sheet's header; the
+    best sheet of a file recognises most of them, the first by name among equals."""
+    title = F.explode(F.array(*[F.lit(d) for d in declared])).alias("titulo")
+    want = grid.sparkSession.range(1).select(title).select("titulo", C.normal_name(F.col("titulo")).alias("clave"))
+    names = want.agg(F.collect_set("clave").alias("claves"))
+    found = headers(grid).filter("nombre <> ''").groupBy(*SHEET).agg(F.collect_set(C.normal_name(F.col("nombre"))).alias("hay"))
+    each = grid.select(*SHEET).distinct().join(found, SHEET, "left").withColumn("hay", F.coalesce("hay", F.array().cast("array<string>"))).crossJoin(F.broadcast(names))  # one row
+    each = each.select(*SHEET, F.size(F.array_intersect("hay", "claves")).alias("coincidencias"), F.array_except("claves", "hay").alias("faltan"), F.array_except("hay", "claves").alias("sobran"))
+    best = each.groupBy("archivo").agg(F.min(F.struct((-F.col("coincidencias")).alias("n"), "hoja"))["hoja"].alias("_hoja"))
+    return each.join(best, "archivo").withColumn("mejor", F.col("hoja") == F.col("_hoja")).drop("_hoja")
+
+
+def inventory(files: DataFrame, grid: DataFrame, declared: list[str]) -> DataFrame:
+    """Totals of a delivery: files, sheets, unreadable files, sheets without a clear header, files with and without a
+    declared schema. files: (archivo, codigo, legible)."""
+    heads = pick_header(grid).agg(F.count("*").alias("hojas"), F.count_if("dudoso").alias("hojas_sin_encabezado_claro"))
+    known = F.coalesce(F.col("codigo").isin(declared), F.lit(False))
+    totals = files.agg(F.count("*").alias("archivos"), F.count_if(~F.col("legible")).alias("ilegibles"), F.count_if(known).alias("con_esquema"), F.count_if(~known).alias("sin_esquema"))
+    return totals.crossJoin(heads)  # single rows

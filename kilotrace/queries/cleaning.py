@@ -135,7 +135,7 @@ RAW_MONTH = """SELECT o_orderkey, CASE o_orderkey % 16 WHEN 0 THEN '09' WHEN 1 T
 
 
 @query("month_number", "SELECT o_orderkey, CASE WHEN celda IS NULL OR upper(trim(celda)) LIKE '#%' THEN NULL WHEN regexp_full_match(s, '[0-9]+') AND try_cast(s AS INT) BETWEEN 1 AND 12 THEN try_cast(s AS INT) "
-    + " ".join(f"WHEN s = '{m}' OR (length(s) >= 3 AND starts_with('{m}', s)) THEN {n}" for m, n in zip(C.MONTHS, C.MONTH_NUMBERS, strict=True)) + f" END AS mes FROM (SELECT *, upper(trim(celda)) AS s FROM ({RAW_MONTH}))")
+    + " ".join(f"WHEN s = '{m}' OR (length(s) >= 3 AND starts_with('{m}', s)) THEN {n}" for m, n in C.MONTHS.items()) + f" END AS mes FROM (SELECT *, upper(trim(celda)) AS s FROM ({RAW_MONTH}))")
 def month_number(spark, sf_dir):
     return sql(spark, sf_dir, RAW_MONTH).select("o_orderkey", C.month_number(F.col("celda")).alias("mes"))
 

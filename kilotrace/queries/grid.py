@@ -34,6 +34,22 @@ def grid(spark, sf_dir):
     return title.unionByName(head).unionByName(body)
 
 
+def varied(spark, sf_dir):
+    """Sheets whose headers differ: entrega1 lacks a declared title and has one more; the sheet Set of entrega2 holds
+    numbers alone, one of them too long to show."""
+    g = grid(spark, sf_dir)
+    cell = lambda t, v: F.struct(F.when(F.lit(v is not None), F.lit(t)).alias("t"), F.lit(v).cast("string").alias("v"))
+    row = lambda t, *v: F.array(*[cell(t, x) for x in v])
+    second, numbers = (F.col("archivo") == "entrega1.xlsx") & (F.col("fila") == 2), (F.col("archivo") == "entrega2.xlsx") & (F.col("hoja") == "Set")
+    as_numbers = F.transform("celdas", lambda c: F.struct(F.when(c["v"].isNotNull(), "n").alias("t"), F.when(c["v"].isNotNull(), "7").alias("v")))
+    cells = F.when(second, row("s", "Código", "Fecha ", None, "Estado", "Otra cosa")).when(numbers & (F.col("fila") == 2), row("n", "2019", "2020", "12345678", "2021", "2022")).when(numbers & (F.col("fila") > 2), as_numbers).otherwise(F.col("celdas"))
+    return g.withColumn("celdas", cells)
+
+
+#: Which header a sheet of ``varied`` has.
+KIND = "CASE WHEN archivo = 'entrega1.xlsx' THEN 'corto' WHEN archivo = 'entrega2.xlsx' AND hoja = 'Set' THEN 'numeros' ELSE 'pleno' END"
+
+
 def data(spark, sf_dir):
     return R.rows(grid(spark, sf_dir), 2, TITLES)
 
@@ -41,14 +57,16 @@ def data(spark, sf_dir):
 SHEETS = f"(SELECT DISTINCT archivo, hoja FROM ({BASE}))"
 
 
-@query("grid_header_map", f"SELECT archivo, hoja, n AS nombre, p::INT AS pos FROM {SHEETS}, (SELECT unnest(['codigo', 'fecha', 'total', 'estado']) AS n, unnest([0, 1, 2, 3]) AS p)")
+@query("grid_header_map", f"SELECT archivo, hoja, n AS nombre, p::INT AS pos FROM (SELECT *, {KIND} AS k FROM {SHEETS}), (SELECT unnest(['codigo', 'fecha', 'total', 'estado']) AS n, unnest([0, 1, 2, 3]) AS p) WHERE k = 'pleno' OR k = 'corto' AND n <> 'total'")
 def grid_header_map(spark, sf_dir):
-    return R.header_map(grid(spark, sf_dir), 2, TITLES)
+    return R.header_map(varied(spark, sf_dir), 2, TITLES)
 
 
-@query("schema_contrast", f"SELECT archivo, hoja, 1 AS faltan FROM {SHEETS}")
+@query("schema_contrast", f"""SELECT archivo, hoja, n AS coincidencias, 5 - n AS faltan, m AS sobran, hoja = first_value(hoja) OVER (PARTITION BY archivo ORDER BY n DESC, hoja) AS mejor FROM (
+  SELECT archivo, hoja, CASE {KIND} WHEN 'pleno' THEN 4 WHEN 'corto' THEN 3 ELSE 0 END AS n, CASE {KIND} WHEN 'pleno' THEN 0 WHEN 'corto' THEN 1 ELSE 4 END AS m FROM {SHEETS})""")
 def schema_contrast(spark, sf_dir):
-    return R.missing_titles(grid(spark, sf_dir), 2, TITLES | {"OTRA": "otra"}).select("archivo", "hoja", F.size("faltan").alias("faltan"))
+    found = R.contrast(varied(spark, sf_dir), ["Código", "Fecha", "Total S/", "Estado", "Zona"])
+    return found.select("archivo", "hoja", "coincidencias", F.size("faltan").alias("faltan"), F.size("sobran").alias("sobran"), "mejor")
 
 
 @query("grid_rows", f"SELECT archivo, hoja, fila, a AS codigo, b AS fecha, c AS total, d AS estado FROM ({BASE}) WHERE coalesce(a, b, c, d) IS NOT NULL")
@@ -91,14 +109,17 @@ def drop_missing_required(spark, sf_dir):
     return marked(spark, sf_dir).groupBy(F.coalesce("descarte", F.lit("queda")).alias("descarte")).agg(F.count("*").alias("filas"))
 
 
-@query("control_metrics", f"SELECT count(*) AS filas, count(*) FILTER (WHERE n > 1) AS filas_con_llave_repetida, count(a) AS con_codigo, count(b) AS con_fecha, count(d) AS con_estado FROM (SELECT *, count(*) OVER (PARTITION BY a, b) AS n FROM {WHY})")
+@query("control_metrics", f"""SELECT archivo, leidas AS filas_leidas, efectivas AS filas_efectivas, salida AS filas_salida, coalesce(repetidas, 0) AS filas_con_llave_repetida, t AS descarte_total, e AS descarte_encabezado, i AS descarte_incompleta, con_codigo, con_fecha, con_estado, 'ok' AS estado
+  FROM (SELECT archivo, count(*) AS leidas FROM ({BASE}) GROUP BY archivo) JOIN (SELECT archivo, count(*) AS efectivas, count(*) FILTER (WHERE w IS NULL) AS salida, count(*) FILTER (WHERE w = 'total') AS t, count(*) FILTER (WHERE w = 'encabezado') AS e, count(*) FILTER (WHERE w = 'incompleta') AS i,
+    count(a) AS con_codigo, count(b) AS con_fecha, count(d) AS con_estado FROM {WHY} GROUP BY archivo) USING (archivo)
+  LEFT JOIN (SELECT archivo, sum(n) FILTER (WHERE n > 1)::BIGINT AS repetidas FROM (SELECT archivo, d, c, count(*) AS n FROM {WHY} WHERE w IS NULL GROUP BY archivo, d, c) GROUP BY archivo) USING (archivo)""")
 def control_metrics(spark, sf_dir):
-    return R.control(R.cut_empty(data(spark, sf_dir), NAMES), ["codigo", "fecha"], ["codigo", "fecha", "estado"])
+    return R.control(data(spark, sf_dir), marked(spark, sf_dir), "archivo", ["estado", "total"], ["codigo", "fecha", "estado"], ["total", "encabezado", "incompleta"])
 
 
-@query("pick_header_row", f"SELECT archivo, hoja, 2 AS fila, false AS dudoso FROM {SHEETS}")
+@query("pick_header_row", f"SELECT archivo, hoja, 2 AS fila, {KIND} = 'numeros' AS dudoso FROM {SHEETS}")
 def pick_header_row(spark, sf_dir):
-    return R.pick_header(grid(spark, sf_dir))
+    return R.pick_header(varied(spark, sf_dir))
 
 
 @query("detect_identifier", """SELECT c_custkey, regexp_matches(t, '\\d{8,}') OR regexp_matches(t, '(?i)(\\bS\\.A\\.C?\\.?|\\bE\\.I\\.R\\.L\\.?|\\bS\\.R\\.L\\.?|\\sS\\.?A\\.?C?\\.?\\s*$)') OR (length(t) <= 9 AND regexp_full_match(t, '[A-Za-z0-9]{2,4}[-\\s][A-Za-z0-9]{2,4}') AND regexp_matches(t, '\\d') AND regexp_matches(t, '[A-Za-z]')) AS dudoso FROM (
@@ -108,16 +129,23 @@ def detect_identifier(spark, sf_dir):
     return sql(spark, sf_dir, t).select("c_custkey", R.looks_identifying(F.col("t")).alias("dudoso"))
 
 
-@query("publishable_header", f"SELECT archivo, hoja, p::INT AS pos, n AS nombre, false AS omitido, l AS columna FROM {SHEETS}, (SELECT unnest(['Código', 'Fecha', 'Total S/', 'Estado', 'codigo']) AS n, unnest([0, 1, 2, 3, 4]) AS p, unnest(['A', 'B', 'C', 'D', 'E']) AS l)")
+HEADS = """(SELECT 'pleno' AS k, unnest(['Código', 'Fecha', 'Total S/', 'Estado', 'codigo']) AS nombre, unnest([0, 1, 2, 3, 4]) AS pos, false AS omitido UNION ALL SELECT 'corto', unnest(['Código', 'Fecha', '', 'Estado', 'Otra cosa']), unnest([0, 1, 2, 3, 4]), false
+  UNION ALL SELECT 'numeros', unnest(['2019', '2020', '', '2021', '2022']), unnest([0, 1, 2, 3, 4]), unnest([false, false, true, false, false]))"""
+
+
+@query("publishable_header", f"SELECT archivo, hoja, pos::INT AS pos, nombre, omitido, substr('ABCDE', pos + 1, 1) AS columna FROM (SELECT *, {KIND} AS k FROM {SHEETS}) JOIN {HEADS} USING (k)")
 def publishable_header(spark, sf_dir):
-    return R.headers(grid(spark, sf_dir)).withColumn("columna", R.letters(F.col("pos")))
+    return R.headers(varied(spark, sf_dir)).withColumn("columna", R.letters(F.col("pos")))
 
 
-@query("header_warnings", f"SELECT archivo, hoja, 1 AS duplicadas, 0 AS sin_nombre, 0 AS omitidas FROM {SHEETS}")
+@query("header_warnings", f"SELECT archivo, hoja, ({KIND} = 'pleno')::INT AS duplicadas, ({KIND} = 'corto')::INT AS sin_nombre, ({KIND} = 'numeros')::INT AS omitidas FROM {SHEETS}")
 def header_warnings(spark, sf_dir):
-    return R.header_warnings(R.headers(grid(spark, sf_dir)))
+    return R.header_warnings(R.headers(varied(spark, sf_dir)))
 
 
-@query("inventory_summary", f"SELECT count(DISTINCT archivo) AS archivos, count(DISTINCT (archivo, hoja)) AS hojas, 0::BIGINT AS dudosas FROM ({BASE})")
+@query("inventory_summary", f"""SELECT count(DISTINCT archivo) + 1 AS archivos, 1::BIGINT AS ilegibles, count(DISTINCT archivo) - 1 AS con_esquema, 2::BIGINT AS sin_esquema, count(DISTINCT (archivo, hoja)) AS hojas, count(DISTINCT (archivo, hoja)) FILTER (WHERE {KIND} = 'numeros') AS hojas_sin_encabezado_claro FROM ({BASE})""")
 def inventory_summary(spark, sf_dir):
-    return R.pick_header(grid(spark, sf_dir)).agg(F.count_distinct("archivo").alias("archivos"), F.count("*").alias("hojas"), F.count_if("dudoso").alias("dudosas"))
+    """One file more, that can't be read; of the others the first has no declared schema."""
+    g = varied(spark, sf_dir)
+    files = g.select("archivo").distinct().select("archivo", F.when(F.col("archivo") != "entrega0.xlsx", "aba_02").alias("codigo"), F.lit(True).alias("legible"))
+    return R.inventory(files.union(spark.createDataFrame([("roto.xlsx", "otro", False)], files.schema)), g, ["aba_02", "com_19"])
