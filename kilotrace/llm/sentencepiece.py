@@ -181,13 +181,15 @@ def _blocks(docs: DataFrame, model: str, block_bytes: int, slices: int) -> DataF
                 lists = [_list([names[i] for i in np.flatnonzero(slice_ == s)]) for s in range(slices)]
                 cells = [TaskContext.get().partitionId() << 33 | made, part.column(0).to_pylist(), packed(np.diff(ends, prepend=0)), packed(rank[indices]), packer.compress(slice_.tobytes()), lists]
                 made += 1
+                del part, units, coded, indices, known, order, rank, names
+                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 3, pa.list_(pa.binary())], strict=True)], names=["block", "ids", "lengths", "tokens", "slices", "words"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "block long, ids array<long>, lengths binary, tokens binary, slices binary, words array<binary>")
 
 
-#: Words that travel in one row on their way to the lattice.
-ROW = 1024
+#: Words that travel in one row on their way to the lattice, and rows to a task: an exploded word is a thousand bytes.
+ROW, ROWS = 1024, 48
 
 
 def _distinct(table: pd.DataFrame) -> pd.DataFrame:
@@ -232,7 +234,8 @@ def word_masks(rows: DataFrame, model: str) -> DataFrame:
     pieces = load(model)
     table = [(p, pieces.ranks[p] * RANK + (p in pieces.late)) for p in pieces.ids if len(p) > 1]
     table = F.broadcast(rows.sparkSession.createDataFrame(table, "piece string, rank long"))
-    each = rows.repartition("slice", "row").select("slice", "row", F.posexplode("words").alias("i", "word")).withColumn("n", F.length("word")).filter(F.col("n").between(2, LONGEST))
+    tasks = max(1, -(-rows.count() // ROWS))  # a number, so that small compressed inputs are not put together again
+    each = rows.repartition(tasks, "slice", "row").select("slice", "row", F.posexplode("words").alias("i", "word")).withColumn("n", F.length("word")).filter(F.col("n").between(2, LONGEST))
     starts = each.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 2)).alias("s"))
     spans = starts.select("*", F.explode(F.sequence(F.col("s") + 2, F.least(F.col("n"), F.col("s") + pieces.longest))).alias("e"))
     lattice = spans.withColumn("piece", F.substring("word", F.col("s") + 1, F.col("e") - F.col("s"))).join(table, "piece")
