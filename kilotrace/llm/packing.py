@@ -1,7 +1,7 @@
 """Best-fit-decreasing packing of tokenised documents into sequences.
 
-Null texts count as empty: one closing token. Repeated rows are packed each on its own. Other columns of the input are
-left aside. An empty table gives an empty result.
+Null texts count as empty: one closing token. Repeated rows, and rows with a null doc_id, are packed each on its own.
+Other columns of the input are left aside. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -232,14 +232,15 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048) -> DataFrame:
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            t = pa.Table.from_batches([batch]).to_pandas()
-            rank, sequence, offset = t["rank"].to_numpy() + t["shift"].to_numpy(), np.zeros(len(t), np.int64), np.zeros(len(t), np.int64)
-            for length, rows in t.groupby("length").indices.items():
-                ranks, starts, offsets = plan.value[length]
+            length, rank = batch.column(3).to_numpy(), batch.column(6).to_numpy() + batch.column(7).to_numpy()
+            sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
+            order = np.argsort(length, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(length[order])) + 1) if len(order) else []:
+                ranks, starts, offsets = plan.value[int(length[rows[0]])]
                 i = np.searchsorted(ranks, rank[rows], "right") - 1
                 sequence[rows], offset[rows] = starts[i] + rank[rows] - ranks[i], offsets[i]
-            t = t.drop(columns=["rank", "shift", "part"]).assign(sequence_id=sequence, offset=offset)
-            yield pa.RecordBatch.from_pandas(t, preserve_index=False)
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names=names)
 
     kinds = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return cut.join(shifts.hint("merge"), ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", "part", "rank", "shift").mapInArrow(seat, f"{kinds}, sequence_id long, offset long")
