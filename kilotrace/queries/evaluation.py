@@ -38,7 +38,7 @@ def group_percentiles(spark, sf_dir):
 def ffill_window(spark, sf_dir):
     from pyspark.sql import Window
 
-    m = table(spark, sf_dir, "mov").groupBy(*G.MONTH).agg(F.sum("kg_comprados").alias("s"))
+    m = table(spark, sf_dir, "mov_kg").groupBy(*G.MONTH).agg(F.sum("kg_comprados").alias("s"))
     w = Window.partitionBy("placa_norm").orderBy("anio", "mes").rowsBetween(Window.unboundedPreceding, 0)
     return m.select(*G.MONTH, F.last(F.when(F.col("s") > 80, F.col("s")), ignorenulls=True).over(w).alias("ultimo"))
 

@@ -30,7 +30,7 @@ def rounded(df, places: dict[str, int]):
 
 
 def _gold(spark, sf_dir, **options):
-    return G.reconcile(table(spark, sf_dir, "mov"), table(spark, sf_dir, "flota"), **options)
+    return G.reconcile(table(spark, sf_dir, "mov_kg"), table(spark, sf_dir, "flota"), **options)
 
 
 @query("conciliacion", GOLD)
@@ -50,44 +50,44 @@ def conc_con_flota(spark, sf_dir):
 
 @query("conciliacion_mapreduce", "SELECT placa_norm, fecha, id_producto, sum(kg_comprados) AS kg_comprados, sum(kg_despachados) AS kg_despachados, sum(kg_vendidos) AS kg_vendidos FROM mov GROUP BY ALL")
 def conciliacion_mapreduce(spark, sf_dir):
-    return G.pair_sums(table(spark, sf_dir, "mov"))
+    return G.pair_sums(table(spark, sf_dir, "mov_kg"))
 
 
 @query("scale_aggregate", SUMS)
 def scale_aggregate(spark, sf_dir):
-    return G.sums(table(spark, sf_dir, "mov"))
+    return G.sums(table(spark, sf_dir, "mov_kg"))
 
 
 @query("filter_years_product", SUMS.replace("FROM mov", f"FROM mov WHERE anio IN ({PILOT}) AND id_producto LIKE 'STANDARD%'"))
 def filter_years_product(spark, sf_dir):
-    mov = table(spark, sf_dir, "mov").filter(F.col("anio").isin(PILOT) & F.col("id_producto").startswith("STANDARD"))
+    mov = table(spark, sf_dir, "mov_kg").filter(F.col("anio").isin(PILOT) & F.col("id_producto").startswith("STANDARD"))
     return G.sums(mov)
 
 
 @query("filter_years", f"SELECT documento, linea, anio, kg_comprados FROM mov WHERE anio IN ({PILOT - 1}, {PILOT})")
 def filter_years(spark, sf_dir):
-    return table(spark, sf_dir, "mov").filter(F.col("anio").isin(PILOT - 1, PILOT)).select("documento", "linea", "anio", "kg_comprados")
+    return table(spark, sf_dir, "mov_kg").filter(F.col("anio").isin(PILOT - 1, PILOT)).select("documento", "linea", "anio", "kg_comprados")
 
 
 @query("filter_product", "SELECT documento, linea, id_producto, kg_vendidos FROM mov WHERE id_producto = 'ECONOMY'")
 def filter_product(spark, sf_dir):
-    return table(spark, sf_dir, "mov").filter(F.col("id_producto") == "ECONOMY").select("documento", "linea", "id_producto", "kg_vendidos")
+    return table(spark, sf_dir, "mov_kg").filter(F.col("id_producto") == "ECONOMY").select("documento", "linea", "id_producto", "kg_vendidos")
 
 
 @query("scan_declared_parquet", f"SELECT placa_norm, fecha, kg_comprados, kg_vendidos FROM mov WHERE anio IN ({PILOT}, {PILOT + 1})")
 def scan_declared_parquet(spark, sf_dir):
-    return table(spark, sf_dir, "mov").filter(F.col("anio").isin(PILOT, PILOT + 1)).select("placa_norm", "fecha", "kg_comprados", "kg_vendidos")
+    return table(spark, sf_dir, "mov_kg").filter(F.col("anio").isin(PILOT, PILOT + 1)).select("placa_norm", "fecha", "kg_comprados", "kg_vendidos")
 
 
 @query("temporal_split", f"SELECT documento, linea, anio, CASE WHEN anio < {PILOT} THEN 'entrenamiento' WHEN anio = {PILOT} THEN 'piloto' ELSE 'estabilidad' END AS parte FROM mov")
 def temporal_split(spark, sf_dir):
     part = F.when(F.col("anio") < PILOT, "entrenamiento").when(F.col("anio") == PILOT, "piloto").otherwise("estabilidad")
-    return table(spark, sf_dir, "mov").select("documento", "linea", "anio", part.alias("parte"))
+    return table(spark, sf_dir, "mov_kg").select("documento", "linea", "anio", part.alias("parte"))
 
 
 @query("union_all", "SELECT tipo_mov, count(*) AS filas, sum(kg_comprados + kg_vendidos) AS kg FROM mov GROUP BY tipo_mov")
 def union_all(spark, sf_dir):
-    return table(spark, sf_dir, "mov").groupBy("tipo_mov").agg(F.count("*").alias("filas"), F.sum(F.col("kg_comprados") + F.col("kg_vendidos")).alias("kg"))
+    return table(spark, sf_dir, "mov_kg").groupBy("tipo_mov").agg(F.count("*").alias("filas"), F.sum(F.col("kg_comprados") + F.col("kg_vendidos")).alias("kg"))
 
 
 @query("movimientos", "SELECT tipo_mov, documento, linea, placa_norm, fecha, id_producto, kg_comprados, kg_despachados, kg_vendidos, codigo_scop, card_code, precio, canal, anio, mes FROM mov WHERE placa_norm IS NOT NULL")
@@ -147,7 +147,7 @@ EVENTS = "SELECT CAST(year(ts) AS int) AS anio, CAST(month(ts) AS int) AS mes, C
 
 @query("gold_con_eventos", f"SELECT g.placa_norm, g.fecha, g.id_producto, coalesce(e.evento_mercado, 0) AS evento_mercado FROM ({SUMS}) g LEFT JOIN ({EVENTS}) e USING (anio, mes)")
 def gold_con_eventos(spark, sf_dir):
-    out = G.sums(table(spark, sf_dir, "mov")).join(sql(spark, sf_dir, EVENTS), ["anio", "mes"], "left")
+    out = G.sums(table(spark, sf_dir, "mov_kg")).join(sql(spark, sf_dir, EVENTS), ["anio", "mes"], "left")
     return out.select("placa_norm", "fecha", "id_producto", F.coalesce("evento_mercado", F.lit(0)).cast("int").alias("evento_mercado"))
 
 
@@ -262,7 +262,7 @@ def kpi_difference(spark, sf_dir):
 @query("replicate_scale", """SELECT CASE WHEN i > 0 THEN concat(substr(placa_norm, 1, 5), CAST(i % 10 AS string), '_', CAST(i AS string)) ELSE placa_norm END AS placa_norm,
   CASE WHEN i > 0 THEN concat(documento, '_r', CAST(i AS string)) ELSE documento END AS documento, kg_comprados, kg_vendidos FROM mov, range(3) r(i)""")
 def replicate_scale(spark, sf_dir):
-    return G.replicate(table(spark, sf_dir, "mov"), 3).select("placa_norm", "documento", "kg_comprados", "kg_vendidos")
+    return G.replicate(table(spark, sf_dir, "mov_kg"), 3).select("placa_norm", "documento", "kg_comprados", "kg_vendidos")
 
 
 # analysis over Gold
@@ -276,7 +276,7 @@ DIMENSIONS = {
 
 @query("dimensions", " UNION ALL ".join(f"SELECT '{n}' AS dimension, count(*) AS filas FROM ({q})" for n, q in DIMENSIONS.items()))
 def dimensions(spark, sf_dir):
-    mov = table(spark, sf_dir, "mov").select("fecha", "id_producto")
+    mov = table(spark, sf_dir, "mov_kg").select("fecha", "id_producto")
     people = table(spark, sf_dir, "supplier").select(C.pseudonym(F.col("s_name"), "sal").alias("conductor_hash"))
     signals = spark.createDataFrame([(k, v[0]) for k, v in CATALOGUE.items()], "senal string, descripcion string")
     tables = {
@@ -288,7 +288,7 @@ def dimensions(spark, sf_dir):
 
 @query("referential_integrity", "SELECT 'flota' AS dimension, count(*) AS huerfanas FROM mov WHERE placa_norm NOT IN (SELECT placa_norm FROM flota) UNION ALL SELECT 'maestro', count(*) FROM ventas v WHERE NOT EXISTS (SELECT 1 FROM maestro m WHERE m.card_code = v.card_code)")
 def referential_integrity(spark, sf_dir):
-    a = G.anti(table(spark, sf_dir, "mov"), table(spark, sf_dir, "flota"), ["placa_norm"]).agg(F.lit("flota").alias("dimension"), F.count("*").alias("huerfanas"))
+    a = G.anti(table(spark, sf_dir, "mov_kg"), table(spark, sf_dir, "flota"), ["placa_norm"]).agg(F.lit("flota").alias("dimension"), F.count("*").alias("huerfanas"))
     b = G.anti(table(spark, sf_dir, "ventas"), table(spark, sf_dir, "maestro"), ["card_code"]).agg(F.lit("maestro").alias("dimension"), F.count("*").alias("huerfanas"))
     return a.unionByName(b)
 
@@ -309,7 +309,7 @@ PLATES = f"SELECT placa_norm, sum(kg_comprados) AS total FROM ({SUMS}) GROUP BY
   UNION ALL SELECT 's1', placa_cargada, round(avg(flag_placa_divergente::INT), 6), NULL FROM compras GROUP BY placa_cargada""")
 def eda_series(spark, sf_dir):
     """The Pareto of plates, the monthly difference, and each plate's share of divergent purchases."""
-    totals = G.sums(table(spark, sf_dir, "mov"))
+    totals = G.sums(table(spark, sf_dir, "mov_kg"))
     plates = totals.groupBy("placa_norm").agg(F.sum("kg_comprados").alias("total"))  # one row a plate
     run = F.sum("total").over(Window.orderBy(F.desc("total"), "placa_norm").rowsBetween(Window.unboundedPreceding, 0))
     pareto = plates.select(F.lit("pareto").alias("serie"), F.col("placa_norm").alias("clave"), F.col("total").alias("valor"), F.round(run / F.sum("total").over(Window.partitionBy()), 6).alias("acumulado"))
@@ -332,7 +332,7 @@ def other_kpis(spark, sf_dir):
 
 @query("dedupe", "SELECT DISTINCT placa_norm, anio, mes FROM mov")
 def dedupe(spark, sf_dir):
-    return table(spark, sf_dir, "mov").select("placa_norm", "anio", "mes").dropDuplicates()
+    return table(spark, sf_dir, "mov_kg").select("placa_norm", "anio", "mes").dropDuplicates()
 
 
 @query("top_n", "SELECT documento, linea, placa_norm, kg, fecha FROM (SELECT *, row_number() OVER (ORDER BY kg DESC, documento, linea, fecha, placa_norm, precio) AS n FROM ventas) WHERE n <= 20")
@@ -353,4 +353,4 @@ def price_notes(spark, sf_dir):
 
 @query("valid_plate_only", "SELECT count(*) AS filas FROM mov WHERE placa_norm IS NOT NULL")
 def valid_plate_only(spark, sf_dir):
-    return table(spark, sf_dir, "mov").filter("placa_norm is not null").agg(F.count("*").alias("filas"))
+    return table(spark, sf_dir, "mov_kg").filter("placa_norm is not null").agg(F.count("*").alias("filas"))

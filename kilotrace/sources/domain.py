@@ -41,6 +41,14 @@ VIEWS = {
         UNION ALL
         SELECT 'venta', documento, linea, placa_norm, fecha, id_producto, CAST(0 AS double), CAST(0 AS double), kg, codigo_scop,
                card_code, precio, canal, anio, mes FROM ventas""",
+    # movements without what only sales have: one scan of the lines, and no join with orders
+    "mov_kg": """
+        SELECT CASE WHEN l_linestatus = 'O' THEN 'compra' ELSE 'venta' END AS tipo_mov, CAST(l_orderkey AS string) AS documento,
+               CASE WHEN l_linestatus = 'O' THEN 0 ELSE l_linenumber END AS linea, placa AS placa_norm, fecha, p_type AS id_producto,
+               CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE CAST(0 AS double) END AS kg_comprados,
+               CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE CAST(0 AS double) END AS kg_despachados,
+               CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE CAST(0 AS double) END AS kg_vendidos, scop AS codigo_scop, anio, mes
+        FROM lineas JOIN part ON l_partkey = p_partkey WHERE l_linestatus IN ('O', 'F')""",
     "flota": """
         SELECT concat('T1A', lpad(CAST(s_suppkey % 1000 AS string), 3, '0')) AS placa_norm,
                CAST(max(20 + (s_suppkey % 5) * 7) AS double) AS capacidad_kg, min(s_acctbal) >= 0 AS habilitada
