@@ -38,14 +38,15 @@ def exact_groups(docs: DataFrame, first: int = 64, growth: int = 16) -> DataFram
     """
     scratch = Scratch(docs.sparkSession, "exact")
     plain = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, "")
-    active = docs.select(
+    # numbered once, and written, so that every later plan reads the same numbers
+    active = scratch.keep(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),
         F.coalesce(F.length("text"), F.lit(0)).alias("chars"),
         F.sha2(plain.cast("binary"), 256).alias("text_sha256"),
         F.lit(-1).cast("long").alias("grp"),
         plain.cast("binary").alias("rest"),
-    )
+    ))
     done, width = [], first
     while True:
         cut = _cut(active, width)

@@ -5,7 +5,8 @@ exact counts. The model interpolates word-pair counts with it: P(w | u) = (c(u,
 are quantised to powers of two: a pair seen c times is in the filter at levels 1 to 1 + floor(log2 c), and a lookup
 probes level after level until one is missing.
 
-Null texts count as empty, so they hold the closing token alone. Repeated rows are scored alike. Without training
+Null texts count as empty, so they hold the closing token alone. Repeated rows, and rows with a null doc_id, are scored
+like any other. Without training
 documents N is 0 and every token has the base's uniform probability. An empty table gives an empty result; other
 columns are left aside.
 """
@@ -82,7 +83,7 @@ class Filter:
         return out
 
 
-BLOCK = "block long, ids binary, held binary, lengths binary, tokens binary, words array<binary>, learnt array<long>"
+BLOCK = "block long, ids array<long>, held binary, lengths binary, tokens binary, words array<binary>, learnt array<long>"
 #: Bits of a pair's key within its slice. Slices have bounded numbers of keys, so at any size few keys meet by chance.
 KEY = np.uint64((1 << 40) - 1)
 
@@ -120,10 +121,9 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
                 tokens[~closing] = rank[indices]
                 held = np.array(part.column(2).to_pylist(), bool)
                 learnt = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(known))
-                ids = np.array([-1 if x is None else x for x in part.column(0).to_pylist()], np.int64)
-                row = [TaskContext.get().partitionId() << 33 | made, ids.tobytes(), held.tobytes(), lengths.astype(np.int32).tobytes(), packed(tokens), known, learnt.tolist()]
+                row = [TaskContext.get().partitionId() << 33 | made, part.column(0).to_pylist(), held.tobytes(), lengths.astype(np.int32).tobytes(), packed(tokens), known, learnt.tolist()]
                 made += 1
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), *[pa.binary()] * 4, pa.list_(pa.binary()), pa.list_(pa.int64())], strict=True)], names=["block", "ids", "held", "lengths", "tokens", "words", "learnt"])
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 3, pa.list_(pa.binary()), pa.list_(pa.int64())], strict=True)], names=["block", "ids", "held", "lengths", "tokens", "words", "learnt"])
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")), F.col("held_out")).mapInArrow(run, BLOCK)
 
@@ -134,10 +134,10 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _read(row: dict) -> tuple[list[int | None], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """ids, held, lengths, tokens and the hashes of the words of a block."""
     tokens = unpacked(row["tokens"])
-    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["held"], bool), np.frombuffer(row["lengths"], np.int32), tokens, np.array([xxhash.xxh64_intdigest(w) for w in row["words"]], np.uint64)
+    return row["ids"], np.frombuffer(row["held"], bool), np.frombuffer(row["lengths"], np.int32), tokens, np.array([xxhash.xxh64_intdigest(w) for w in row["words"]], np.uint64)
 
 
 def _context(tokens: np.ndarray, lengths: np.ndarray, values: np.ndarray, start) -> np.ndarray:
@@ -245,7 +245,7 @@ def score(docs: DataFrame, prior: float = 500.0, bits_per_item: int = 10, probes
                         model = np.where(here, np.log10((pair + prior * base[part]) / (before + prior)), 0)
                         starts, n = ends[a:b] - ends[a], b - a
                         sums = [np.add.reduceat(x, starts) for x in (logs[part], model, (c > 0)[part].astype(np.int64))]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row["block"])), pa.array(np.arange(a, b)), pa.array(ids[a:b]), pa.array(held[a:b]), pa.array(sizes_.astype(np.int64)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1])], names=["block", "place", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row["block"])), pa.array(np.arange(a, b)), pa.array(ids[a:b], pa.int64()), pa.array(held[a:b]), pa.array(sizes_.astype(np.int64)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1])], names=["block", "place", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
                         a = b
 
         return ready.mapInArrow(run, "block long, place long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

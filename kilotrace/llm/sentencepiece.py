@@ -196,7 +196,8 @@ def _distinct(table: pd.DataFrame) -> pd.DataFrame:
     """The distinct units of a slice, in order, ROW to a row."""
     every = sorted({w for raw in table["words"] for w in _listed(raw)})
     at = range(0, len(every), ROW)
-    return pd.DataFrame({"slice": [table["slice"].iloc[0]] * len(at), "row": [i // ROW for i in at], "words": [[spelt_out(w) for w in every[i : i + ROW]] for i in at]})
+    lists = pd.Series([[spelt_out(w) for w in every[i : i + ROW]] for i in at], dtype=object)
+    return pd.DataFrame({"slice": np.full(len(at), table["slice"].iloc[0]), "row": np.arange(len(at)), "words": lists})
 
 
 #: A lattice edge is one long: rank, start, end and whether it is late, from the highest bits down.

@@ -205,6 +205,21 @@ def test_scores_against_exact_counts(spark, docs):
         assert math.isclose(x.score, logs(words[x.doc_id]), rel_tol=1e-9)
 
 
+def test_rows_without_ids_are_scored_and_encoded(spark):
+    import public_tokenizers as P
+    from pyspark.sql import functions as F
+
+    from kilotrace.llm.exact import exact_groups
+    from kilotrace.llm.licenses import scan
+    from kilotrace.llm.lm import score
+    from kilotrace.llm.sentencepiece import encode
+
+    rows = spark.createDataFrame([(None, "one text", None, None, None), (None, None, None, None, None), (3, "one text", None, None, None)], SCHEMA)
+    assert sorted(str(x.doc_id) for x in score(rows.select("doc_id", "text", F.lit(False).alias("held_out"))).collect()) == ["3", "None", "None"]
+    assert sorted((str(x.doc_id), len(x.ids)) for x in encode(rows, P.path("piece_bpe_32k.model")).collect())[1:] == [("None", 0), ("None", 2)]
+    assert exact_groups(rows).count() == 3 and scan(rows).count() == 0
+
+
 def test_shared_folder(spark):
     from kilotrace.llm.common import Scratch
     from kilotrace.sources import lake
