@@ -263,8 +263,8 @@ def encode(docs: DataFrame, model: str, block_bytes: int = 6 << 20, slice_bytes:
     """(doc_id, ids array<int>) of ``docs`` (doc_id, text), as the library encodes.
 
     One pass makes blocks of documents, of bounded size: the texts as numbers of distinct words, and the words in
-    slices of their hash, about one for ``slice_bytes`` of text. A slice's distinct words, of all blocks, are encoded
-    once, each one's ids go back to the blocks that hold it, and those spell their texts. The blocks are written in
+    slices of their hash, about one for ``slice_bytes`` of text. A slice's distinct words, of all blocks, are segmented
+    once, each one's mask goes back to the blocks that hold it, and those spell their texts. The blocks are written in
     buckets, so that the texts are never shuffled; words travel as compressed lists. ``then``: a (function of record
     batches, schema) that the last tasks apply to the result.
     """
@@ -278,30 +278,33 @@ def encode(docs: DataFrame, model: str, block_bytes: int = 6 << 20, slice_bytes:
     scratch.drop(rows)
 
     def back(own: pd.DataFrame, cuts: pd.DataFrame) -> pd.DataFrame:
-        pieces, known = load(model), [_listed(raw) for raw in own["words"]]
+        known = [_listed(raw) for raw in own["words"]]
         every = sorted({w for words in known for w in words})
         masks = np.zeros(len(every), np.int64)
         masks[cuts["at"].to_numpy()] = cuts["cuts"].to_numpy()
-        ids = [np.array(_segmented(spelt_out(w), mask, pieces), "<u4").tobytes() for w, mask in zip(every, masks.tolist(), strict=True)]
-        look = dict(zip(every, ids, strict=True))
-        out = [[look[w] for w in words] for words in known]
-        cells = [packed(np.fromiter((len(x) // 4 for x in found), np.uint32, len(found))) for found in out], [packed(np.frombuffer(b"".join(found), "<u4")) for found in out]
-        return pd.DataFrame({"block": own["block"], "slice": own["slice"], "sizes": cells[0], "pieces": cells[1]})
-
-    kinds = "block long, slice int, sizes binary, pieces binary"
-    found = lists.groupBy("slice").cogroup(cuts.groupBy("slice")).applyInPandas(back, kinds)
-    found = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("slice", "sizes", "pieces"))).alias("found"))
-    ready = blocks.select("block", "ids", "lengths", "tokens", "slices").join(found.hint("merge"), "block", "left")
+        look = dict(zip(every, masks.tolist(), strict=True))
+        planes = [np.ascontiguousarray(np.array([look[w] for w in words], "<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for words in known]
+        return pd.DataFrame({"block": own["block"], "slice": own["slice"], "masks": [zstandard.ZstdCompressor(level=3).compress(x) for x in planes]})
+
+    found = lists.groupBy("slice").cogroup(cuts.groupBy("slice")).applyInPandas(back, "block long, slice int, masks binary")
+    found = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("slice", "masks"))).alias("found"))
+    ready = blocks.join(found.hint("merge"), "block", "left")
     after, kinds = then or (lambda x: x, "doc_id long, ids array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = load(model)
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, lengths, tokens = batch.column(0)[i].values, unpacked(batch.column(1)[i].as_py()), unpacked(batch.column(2)[i].as_py())
                 of = np.argsort(np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(3)[i].as_py()), np.uint16), kind="stable")
-                slices = batch.column(4)[i].as_py() or []
-                n = np.concatenate([np.zeros(0, np.int64), *(unpacked(s["sizes"]) for s in slices)]).astype(np.int64)
-                flat = np.concatenate([np.zeros(0, np.int32), *(unpacked(s["pieces"]) for s in slices)])
+                masks = {x["slice"]: np.frombuffer(zstandard.ZstdDecompressor().decompress(x["masks"]), np.uint8).reshape(8, -1) for x in batch.column(5)[i].as_py() or []}
+                flat, ends = [], [0]
+                for k, raw in enumerate(batch.column(4)[i]):
+                    own = np.ascontiguousarray(masks[k].T).view("<i8").ravel().tolist() if k in masks else []
+                    for word, mask in zip(_listed(raw.as_py()), own, strict=True):
+                        flat += _segmented(spelt_out(word), mask, pieces)
+                        ends.append(len(flat))
+                n, flat = np.diff(np.array(ends, np.int64)), np.array(flat, np.int32)
                 sizes, starts = np.empty_like(n), np.empty_like(n)
                 sizes[of], starts[of] = n, np.cumsum(n) - n
                 ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
@@ -313,7 +316,7 @@ def encode(docs: DataFrame, model: str, block_bytes: int = 6 << 20, slice_bytes:
                     offsets = total[ends[a : b + 1] - ends[a]]
                     yield after(pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))], names=["doc_id", "ids"]))
 
-    return ready.select("ids", "lengths", "tokens", "slices", "found").mapInArrow(run, kinds)
+    return ready.select("ids", "lengths", "tokens", "slices", "words", "found").mapInArrow(run, kinds)
 
 
 def spelling(ids: pa.Array, pieces: Pieces) -> list[bytes | None]:
