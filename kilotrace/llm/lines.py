@@ -37,7 +37,7 @@ def _blank(line: Column) -> Column:
 def _forms(words: Column, units: int) -> Column:
     """What a line is compared by: its units, what they are, and whether only a longer line can be its near-copy."""
     n, text = F.size(words), F.array_join(words, " ")
-    letters = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(text, i, F.lit(1)))
+    letters = F.split(text, "")
     form = lambda of, kind: F.struct(of.alias("units"), F.lit(kind).alias("kind"), (F.size(of) < units).alias("short"))
     by_word, by_letter = F.when(n >= units - 1, form(words, "word")), F.when((n < units) & (F.length(text) >= units - 1), form(letters, "letter"))
     return F.filter(F.array(by_word, by_letter), lambda x: x.isNotNull())

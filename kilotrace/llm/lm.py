@@ -1,12 +1,13 @@
 """Language-model scores from a log-frequency Bloom filter of word pairs.
 
 Words are lower-cased (A-Z); each document ends with one closing token. The base is an additive unigram model from
-exact counts. The model interpolates word-pair counts with it: P(w | u) = (c(u, w) + m P(w)) / (c(u) + m). Pair counts
-are quantised to powers of two: a pair seen c times is in the filter at levels 1 to 1 + floor(log2 c), and a lookup
-probes level after level until one is missing.
+exact counts. The model interpolates word-pair counts with it: P(w | u) = (q(u, w) + m P(w)) / (c(u) + e + m). Pair
+counts are quantised to powers of two: a pair seen c times is in the filter at levels 1 to 1 + floor(log2 c), a lookup
+probes level after level until one is missing, and q is 2^(level - 1), so at most c but where the filter errs. e is what
+its errors add to a context's counts on the average, so that the probabilities of all words after u sum to 1 at most.
 
-Null texts count as empty, so they hold the closing token alone. Repeated rows, and rows with a null doc_id, are scored
-like any other. Without training
+Null texts count as empty, so they hold the closing token alone. Repeated rows are scored like any other; so are rows
+with a null doc_id, which teach too. Without training
 documents N is 0 and every token has the base's uniform probability. An empty table gives an empty result; other
 columns are left aside.
 """
@@ -71,14 +72,14 @@ class Filter:
             yield starts + (first + np.uint64(i) * step) % sizes
 
     def count(self, keys: np.ndarray, parts: np.ndarray) -> np.ndarray:
-        """The middle of the counts of each key's highest level in its slice; 0 where level 1 is missing."""
+        """The least count of each key's highest level in its slice; 0 where level 1 is missing."""
         out, left, level = np.zeros(len(keys)), np.arange(len(keys)), 1
         while len(left):
             there = np.ones(len(left), bool)
             for at in self._places(keys[left], parts[left], level):
                 there &= ((self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
             left = left[there]
-            out[left] = 1 if level == 1 else 1.5 * 2 ** (level - 1)
+            out[left] = 2 ** (level - 1)
             level += 1
         return out
 
@@ -157,7 +158,14 @@ def _group(hashes: np.ndarray, groups: int) -> np.ndarray:
     return (mixed(hashes) % np.uint64(groups)).astype(np.int64)
 
 
-def score(docs: DataFrame, prior: float = 500.0, bits_per_item: int = 10, probes: int = 5, filter_bytes: int = 256 << 20, block_bytes: int = 12 << 20) -> DataFrame:
+def errors(before: np.ndarray, vocabulary: int, bits_per_item: int, probes: int) -> np.ndarray:
+    """What a filter's errors add to the counts of the words after one of count ``before``: each level is found by
+    mistake at ``rate``, after level 0 of the words not seen there, after their own level of those seen."""
+    rate = (1 - math.exp(-probes / bits_per_item)) ** probes
+    return (vocabulary + before) * rate / (1 - 2 * rate)
+
+
+def score(docs: DataFrame, prior: float = 500.0, bits_per_item: int = 12, probes: int = 7, filter_bytes: int = 256 << 20, block_bytes: int = 12 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of ``docs`` (doc_id, text, held_out).
 
     Documents with held_out false teach. Blocks of documents carry each of their words once: word counts come from an
@@ -191,6 +199,8 @@ def score(docs: DataFrame, prior: float = 500.0, bits_per_item: int = 10, probes
                 new = np.ones(len(keys), bool)
                 new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
                 at = np.flatnonzero(new)
+                if not len(at):
+                    continue  # a block of held-out documents alone
                 n, keys, of = np.diff(np.append(at, len(new))).astype(np.uint32), keys[at], of[at]
                 cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])[: len(of)])
                 spans = list(zip(cuts, [*cuts[1:], len(of)], strict=True))
@@ -242,7 +252,7 @@ def score(docs: DataFrame, prior: float = 500.0, bits_per_item: int = 10, probes
                         slice_, keys = _sliced(_pairs(_context(part, sizes_, hashes, START)[here], hashes[part[here]]), slices)
                         pair = np.zeros(len(part))
                         pair[here] = np.minimum(own.count(keys, slice_), np.minimum(before, c[part])[here])
-                        model = np.where(here, np.log10((pair + prior * base[part]) / (before + prior)), 0)
+                        model = np.where(here, np.log10((pair + prior * base[part]) / (before + errors(before, vocabulary, bits_per_item, probes) + prior)), 0)
                         starts, n = ends[a:b] - ends[a], b - a
                         sums = [np.add.reduceat(x, starts) for x in (logs[part], model, (c > 0)[part].astype(np.int64))]
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row["block"])), pa.array(np.arange(a, b)), pa.array(ids[a:b], pa.int64()), pa.array(held[a:b]), pa.array(sizes_.astype(np.int64)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1])], names=["block", "place", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])

@@ -146,8 +146,9 @@ def _walked(leaves: DataFrame, budget: int, scratch: Scratch) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = 4, words: int = 1, total: int | None = None) -> DataFrame:
     """(doc_id, fp, component_id, copies): the class of every row of ``docs``.
 
-    Rows of one fingerprint are a leaf of the trie, so a group of copies of any size takes part once. component_id
-    is the smallest doc_id that links reach (null, if the leaf has no doc_id). ``copies`` counts the leaf's rows.
+    Rows of one fingerprint are a numbered leaf of the trie, so a group of copies of any size takes part once, and rows
+    with a null or repeated doc_id link like any other. component_id is the smallest doc_id that links reach (null, if
+    no row there has one). ``copies`` counts the leaf's rows.
 
     With one word, links are exactly the pairs of at most ``budget`` differing bits. With several, a pair is linked if
     one word at least is within ``budget`` and all differ in ``total`` bits at most: more words find more of the less
@@ -155,11 +156,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = 4, words: i
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     fps = scratch.keep(fingerprints(docs, shingle, words))
-    leaves = scratch.keep(fps.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")))
-    labels = connected(trie_links(leaves.filter("node is not null").select("fp", "node"), budget, scratch, words, total), scratch)
-    classes = scratch.keep(leaves.join(labels.hint("merge"), "node", "left").select("fp", F.coalesce("label", "node").alias("component_id"), "copies"))
-    scratch.drop(leaves)
-    return fps.join(classes.hint("merge"), "fp").select("doc_id", "fp", "component_id", "copies")
+    leaves = fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    leaves = scratch.keep(leaves.withColumn("node", F.monotonically_increasing_id()))
+    labels = connected(trie_links(leaves.select("fp", "node"), budget, scratch, words, total), scratch)
+    classes = scratch.keep(leaves.join(labels.hint("merge"), "node", "left").select("fp", F.coalesce("label", "node").alias("class"), "least", "copies"))
+    least = scratch.keep(classes.groupBy("class").agg(F.min("least").alias("component_id")))
+    named = scratch.keep(classes.join(least.hint("merge"), "class").select("fp", "component_id", "copies"))
+    scratch.drop(leaves, classes, least)
+    return fps.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id", "copies")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

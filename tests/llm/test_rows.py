@@ -177,10 +177,10 @@ def test_language_ties_go_by_order():
 
 
 def test_scores_against_exact_counts(spark, docs):
-    """The model's probabilities from exact counts of pairs, each at the middle of its power of two."""
+    """The model's probabilities from exact counts of pairs, each at its power of two."""
     from pyspark.sql import functions as F
 
-    from kilotrace.llm.lm import score
+    from kilotrace.llm.lm import errors, score
 
     held = {i: i % 5 == 0 for i in range(len(texts()))}
     words = {i: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()), " "] for i, t in enumerate(texts())}
@@ -195,9 +195,8 @@ def test_scores_against_exact_counts(spark, docs):
         total = 0.0
         for u, w in zip([" ", *ws], ws, strict=False):
             base, n = (one[w] + 0.1) / floor, two[u, w]
-            level = n.bit_length()
-            n = min(0 if not n else 1 if level == 1 else 1.5 * 2 ** (level - 1), one[u], one[w])
-            total += math.log10((n + 500 * base) / (one[u] + 500))
+            n = min(2 ** (n.bit_length() - 1) if n else 0, one[u], one[w])
+            total += math.log10((n + 500 * base) / (one[u] + errors(one[u], len(one), 60, 12) + 500))
         return total
 
     df = docs.select("doc_id", "text", (F.col("doc_id") % 5 == 0).alias("held_out"))
@@ -238,3 +237,79 @@ def test_shared_folder(spark):
     except Exception:
         with pytest.raises(ValueError):
             lake.shared_dir(Elsewhere)
+
+
+def test_blocks_without_training_documents(spark):
+    """Held-out documents alone: in one block, in one of two files, as the whole table."""
+    from kilotrace.llm.lm import score
+
+    kinds = "doc_id long, text string, held_out boolean"
+    one = spark.createDataFrame([(1, "a b c", True)], kinds)
+    r = score(one).collect()
+    assert [(x.doc_id, x.n_tokens, x.n_known, x.train_tokens) for x in r] == [(1, 4, 0, 0)] and math.isclose(r[0].score, 4 * math.log10(0.1 / 0.1), abs_tol=1e-9)
+    teach = spark.createDataFrame([(i, "some words are here", False) for i in range(20)], kinds).coalesce(1)
+    both = score(teach.union(one.coalesce(1))).collect()
+    assert len(both) == 21 and {x.train_tokens for x in both} == {100}
+    assert len(score(spark.createDataFrame([(i, "held out", True) for i in range(30)], kinds).repartition(7)).collect()) == 30
+    long = score(teach.union(spark.createDataFrame([(99, "word " * 5000, True)], kinds)), block_bytes=1000).collect()
+    assert len(long) == 21
+
+
+@pytest.mark.parametrize("bits, probes", [(12, 7), (10, 5)])
+def test_probabilities_sum_to_one_at_most(spark, bits, probes):
+    """Over the disjoint texts of a hot table, over all texts of two words, and over all words after one of a filter
+    with as many errors as its size has."""
+    from kilotrace.llm.lm import Filter, errors, score
+
+    r, kinds = random.Random(12), "doc_id long, text string, held_out boolean"
+    hot = [(8 * c + i, f"a{i} b{i}", False) for i in range(8) for c in range(2049)]
+    scores = {x.doc_id: x.score for x in score(spark.createDataFrame(hot, kinds).coalesce(1), bits_per_item=bits, probes=probes).collect()}
+    assert 0.9 < sum(10 ** scores[i] for i in range(8)) <= 1
+    rows = [(i, " ".join(r.choices("abcdefghijkl", weights=range(1, 13), k=r.choice((1, 2)))), False) for i in range(3000)]
+    asked = [(10_000 + i, t, True) for i, t in enumerate(["", *"abcdefghijkl", *(f"{u} {w}" for u in "abcdefghijkl" for w in "abcdefghijkl")])]
+    got = score(spark.createDataFrame(rows + asked, kinds).coalesce(1), bits_per_item=bits, probes=probes)
+    assert 0.5 < sum(10**x.score for x in got.collect() if x.held_out) <= 1
+    g = np.random.default_rng(4)
+    keys = np.unique(g.integers(0, 2**40, 60_000, dtype=np.uint64))
+    counts = np.minimum(g.zipf(1.5, 2000), 1000)
+    size, raw = Filter.of(keys[:2000], counts, bits, probes)
+    found = Filter([size], np.frombuffer(raw, np.uint8), probes).count(keys, np.zeros(len(keys), np.int64))
+    extra = errors(np.array([counts.sum()]), len(keys), bits, probes)[0]
+    assert found[:2000].sum() <= counts.sum() * 1.05 and found[2000:].sum() > 0
+    assert found.sum() <= counts.sum() + 1.2 * extra
+
+
+def test_links_of_rows_without_ids(spark):
+    """A row with a null doc_id is a bridge like any other; repeated ids do not join what no link joins."""
+    from kilotrace.llm.simhash import fingerprint, near_duplicates
+
+    r = random.Random(3)
+    base = [r.choice(WORDS) + str(r.randrange(50)) for _ in range(400)]
+    apart = lambda a, b: bin(a ^ b).count("1")
+    of = lambda ws: fingerprint(" ".join(ws).encode(), 4)[0]
+    chain, now = [base], base
+    while len(chain) < 3:  # a chain whose ends are not linked themselves
+        later = [*now]
+        later[r.randrange(400)] = f"x{r.randrange(10**6)}"
+        if apart(of(now), of(later)) and apart(of(chain[-1]), of(later)) <= 4 and (len(chain) < 2 or apart(of(chain[0]), of(later)) > 4):
+            chain.append(later)
+        now = later if apart(of(chain[-1]), of(later)) <= 4 else chain[-1]
+    texts_ = [" ".join(w) for w in chain]
+    schema = "doc_id long, text string"
+    got = near_duplicates(spark.createDataFrame([(1, texts_[0]), (None, texts_[1]), (3, texts_[2])], schema), 4, 4).collect()
+    assert {x.component_id for x in got} == {1} and len(got) == 3
+    alone = near_duplicates(spark.createDataFrame([(None, texts_[0]), (None, prose(r, 50)), (5, prose(r, 60)), (5, prose(r, 70)), (9, prose(r, 70))], schema), 4, 4).collect()
+    assert sorted(str(x.component_id) for x in alone) == ["5", "5", "9", "None", "None"]
+
+
+def test_lines_of_many_letters(spark):
+    """Two near-copies of one line without spaces, and characters beyond 16 bits, which are one letter each."""
+    from kilotrace.llm.lines import dedup_lines
+
+    r = random.Random(9)
+    line = "".join(r.choice("abcdefgh") for _ in range(100_000))
+    other = line[:70_000] + "z" + line[70_001:]
+    smile = "😀é" * 6
+    rows = [(1, line), (2, other), (3, line[:50_000] + line[50_001:]), (4, line[::-1]), (5, smile), (6, smile[:5] + "x" + smile[6:]), (7, smile[:4] + "xy" + smile[6:])]
+    got = {x.doc_id: x.kept_lines for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 0, 3: 0, 4: 1, 5: 1, 6: 0, 7: 1}
