@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilotrace.operators.gold import group_values
+from kilotrace.operators.ordering import running_sum
+from kilotrace.operators.quantiles import exact_quantiles
 from kilotrace.operators.signals import Z_LIMIT, role_volume
 
 
@@ -16,14 +18,19 @@ def finite(c: str) -> Column:
 def robust_z(df: DataFrame, value: str, by: list[str], name: str = "z", least: float | None = None) -> DataFrame:
     """0.6745 (x - median) / MAD in each group. A MAD of 0 gives no score, or counts as ``least`` if given.
 
-    Two aggregates joined back; nothing is sorted whole in one task but for a group's exact median.
+    Groups' medians are two aggregates joined back; those of the whole table are found by rounds of range histograms.
     """
-    x = F.col("_x")
-    df = group_values(df.withColumn("_x", finite(value)), by, F.median("_x").alias("_mid")) if by else df.withColumn("_x", finite(value)).join(F.broadcast(df.agg(F.median(finite(value)).alias("_mid"))))
-    df = df.withColumn("_off", F.abs(x - F.col("_mid")))
-    df = group_values(df, by, F.median("_off").alias("_mad")) if by else df.join(F.broadcast(df.agg(F.median("_off").alias("_mad"))))
+    if by:
+        df = group_values(df.withColumn("_x", finite(value)), by, F.median("_x").alias("_mid"))
+        df = group_values(df.withColumn("_off", F.abs(F.col("_x") - F.col("_mid"))), by, F.median("_off").alias("_mad"))
+    else:
+        number = lambda x: F.lit(x).cast("double")
+        df = df.withColumn("_x", finite(value))
+        df = df.withColumn("_mid", number(exact_quantiles(df, ["_x"], [0.5])["_x"][0]))
+        df = df.withColumn("_off", F.abs(F.col("_x") - F.col("_mid")))
+        df = df.withColumn("_mad", number(exact_quantiles(df, ["_off"], [0.5])["_off"][0]))
     mad = F.when(F.col("_mad") > 0, F.col("_mad"))
-    return df.withColumn(name, 0.6745 * (x - F.col("_mid")) / (mad if least is None else F.coalesce(mad, F.lit(least)))).drop("_x", "_mid", "_off", "_mad")
+    return df.withColumn(name, 0.6745 * (F.col("_x") - F.col("_mid")) / (mad if least is None else F.coalesce(mad, F.lit(least)))).drop("_x", "_mid", "_off", "_mad")
 
 
 def mad_score(months: DataFrame, limit: float = Z_LIMIT) -> DataFrame:
@@ -72,14 +79,14 @@ def base_metrics(df: DataFrame, k: int, *ties: str) -> DataFrame:
 def average_percentile(df: DataFrame, score: str, by: str) -> DataFrame:
     """``df`` with the average rank of ties, as a share of the group, in ``percentil``.
 
-    Distinct scores are counted first; only those are put in order, so ties of a hot score are one row.
+    Distinct scores are counted first; their counts are summed along (group, score) by ranges, so that a group with
+    most of the scores fills many tasks, and what the groups before it have is taken away again.
     """
     each = df.groupBy(F.col(by).alias("_g"), F.col(score).alias("_s")).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy("_g").orderBy("_s")
-    before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    all_ = F.sum("_n").over(Window.partitionBy("_g"))
-    ranks = each.withColumn("percentil", (before + (F.col("_n") + 1) / 2) / all_).select("_g", "_s", "percentil")
-    return df.join(ranks, (F.col(by) == F.col("_g")) & (F.col(score) == F.col("_s"))).drop("_g", "_s")
+    run = running_sum(each, [F.col("_g"), F.col("_s")], F.col("_n"), "_upto")
+    groups = run.groupBy("_g").agg(F.min(F.col("_upto") - F.col("_n")).alias("_first"), F.sum("_n").alias("_all"))
+    ranks = run.join(groups, "_g").withColumn("percentil", (F.col("_upto") - F.col("_n") - F.col("_first") + (F.col("_n") + 1) / 2) / F.col("_all"))
+    return df.join(ranks.select("_g", "_s", "percentil"), (F.col(by) == F.col("_g")) & (F.col(score) == F.col("_s"))).drop("_g", "_s")
 
 
 def prioritize(alerts: DataFrame, k: int) -> DataFrame:
@@ -129,14 +136,11 @@ def documentary_metrics(alerts: DataFrame, top: DataFrame, reviews: DataFrame, c
 
 
 def robust_scale(df: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
-    """(x - median) / interquartile range, both of ``train``."""
-    fit = train.agg(*[F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"_{c}") for c in columns])
-    out = df.crossJoin(F.broadcast(fit))  # one row
+    """(x - median) / interquartile range, both of ``train``, found exactly by rounds of range histograms; a column
+    that train has no value of scales to null."""
+    fit = exact_quantiles(train, columns, [0.25, 0.5, 0.75])
     scaled = {}
-    for c in columns:
-        q = F.col(f"_{c}")
-        wide = q[2] - q[0]
-        scaled[c] = (F.col(c) - q[1]) / F.when(wide == 0, 1.0).otherwise(wide)
-    return out.withColumns(scaled).drop(*[f"_{c}" for c in columns])
-
-
+    for c, (low, middle, high) in fit.items():
+        wide = None if middle is None else 1.0 if high == low else high - low
+        scaled[c] = (F.col(c) - F.lit(middle).cast("double")) / F.lit(wide).cast("double")
+    return df.withColumns(scaled)
