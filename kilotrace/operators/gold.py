@@ -50,13 +50,14 @@ def reconcile(mov: DataFrame, fleet: DataFrame, years: list[int] | None = None,
 
 def as_of(left: DataFrame, rates: DataFrame, on: str = "fecha", value: str = "tc_oficial") -> DataFrame:
     """Each row's latest rate on or before its date. Every rate holds until the next one: a calendar of one row a day,
-    which joins on the date. The calendar grows with time alone."""
-    w = Window.orderBy(on)
-    last = F.greatest(F.max(on).over(Window.partitionBy()), F.lit(left.agg(F.max(on)).first()[0]).cast("date"))
-    until = F.coalesce(F.date_sub(F.lead(on).over(w), 1), last)
-    days = rates.select(on, value).withColumn("until", until).filter(F.col(on) <= F.col("until"))
-    calendar = days.select(F.explode(F.sequence(on, "until")).alias(on), value)
-    return left.join(calendar, on, "left")
+    which joins on the date; dates after the last rate's take that one. The calendar grows with time alone."""
+    w = Window.orderBy(on)  # days
+    until = F.coalesce(F.date_sub(F.lead(on).over(w), 1), F.col(on))
+    days = rates.select(on, value).withColumn("until", until)
+    calendar = days.select(F.explode(F.sequence(on, "until")).alias("_dia"), value)
+    last = rates.agg(F.max(on).alias("_ultimo"))  # one row
+    day = F.when(F.col(on) > F.col("_ultimo"), F.col("_ultimo")).otherwise(F.col(on))
+    return left.join(F.broadcast(last)).withColumn("_dia", day).join(calendar, "_dia", "left").drop("_dia", "_ultimo")
 
 
 def many_to_one(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -121,10 +122,19 @@ def price_vs_median(sales: DataFrame) -> DataFrame:
     return priced.groupBy(*MONTH).agg(F.avg(F.col("precio") / F.col("mediana")).alias("precio_vs_mediana_canal"))
 
 
+def purchase_features(purchases: DataFrame, rates: DataFrame) -> DataFrame:
+    """Divergence and rate deviation in one aggregate, after the join with the rates."""
+    dated = as_of(purchases, rates).withColumnRenamed("placa_cargada", "placa_norm")
+    return dated.groupBy(*MONTH).agg(
+        F.avg(F.col("flag_placa_divergente").cast("int")).alias("flag_placa_divergente"),
+        F.avg(F.abs(F.col("tipo_cambio") - F.col("tc_oficial")) / F.col("tc_oficial")).alias("desvio_tc"),
+    )
+
+
 def month_features(gold: DataFrame, purchases: DataFrame, sales: DataFrame, rates: DataFrame, pandemic_year: int, events: DataFrame | None = None, complaints: DataFrame | None = None) -> DataFrame:
     """The nine features of each unit's month, missing ones filled."""
     out = month_base(gold)
-    for part in (divergence(purchases), rate_deviation(purchases, rates), price_vs_median(sales)):
+    for part in (purchase_features(purchases, rates), price_vs_median(sales)):
         out = out.join(part, MONTH, "left")
     out = out.withColumn("es_pandemia_2020", (F.col("anio") == pandemic_year).cast("int"))
     out = out.join(events, ["anio", "mes"], "left") if events is not None else out.withColumn("evento_mercado", F.lit(0))

@@ -8,13 +8,15 @@ from kilotrace.operators import gold as G
 from kilotrace.operators import models as M
 from kilotrace.operators import score as K
 from kilotrace.queries import rules as R
-from kilotrace.queries.gold import MONTHS, rounded
+from kilotrace.queries.gold import FEATURES, MONTHS, UNIT, rounded, unidad_mes
 from kilotrace.queries.gold import _gold as gold_of
 from kilotrace.queries.registry import query
 from kilotrace.sources.domain import PILOT, table
 from kilotrace.sources.lake import once
 
 MONTH = "placa_norm, anio, mes"
+#: Of all models with chance in them.
+SEED = 42
 #: Unit-months with the figures that scores need.
 SHORT = f"SELECT {MONTH}, kg_comprados, kg_vendidos, kg_diferencia, CASE WHEN kg_comprados > 0 THEN kg_diferencia / kg_comprados END AS pct FROM ({MONTHS})"
 
@@ -149,14 +151,19 @@ def alerts_per_month(spark, sf_dir):
     return K.alerts_per_month(R.all_v6(spark, sf_dir), periods(spark, sf_dir))
 
 
-REVIEW = "CASE WHEN ascii(id_alerta) % 3 = 0 THEN NULL ELSE ascii(id_alerta) % 2 = 0 END AS confirmada, CASE WHEN ascii(id_alerta) % 5 = 0 THEN 'Autora' ELSE 'revisor' END AS revisor_id, CASE WHEN ascii(id_alerta) % 7 = 0 THEN ' ' ELSE 'acta' END AS evidencia_ref"
+REVIEWED = {
+    "confirmada": "CASE WHEN ascii(id_alerta) % 3 = 0 THEN NULL ELSE ascii(id_alerta) % 2 = 0 END",
+    "revisor_id": "CASE WHEN ascii(id_alerta) % 5 = 0 THEN 'Autora' ELSE 'revisor' END",
+    "evidencia_ref": "CASE WHEN ascii(id_alerta) % 7 = 0 THEN ' ' ELSE 'acta' END",
+}
+REVIEW = ", ".join(f"{x} AS {c}" for c, x in REVIEWED.items())
 
 
 @query("validate_reviews", f"""SELECT 0::BIGINT AS desconocidas, count(*) - count(DISTINCT id_alerta) AS repetidas, count(*) FILTER (WHERE confirmada IS NOT NULL AND revisor_id = 'Autora') AS revisor_invalido,
   count(*) FILTER (WHERE confirmada IS NOT NULL AND trim(evidencia_ref) = '') AS sin_evidencia FROM (SELECT id_alerta, {REVIEW} FROM ({R.V6_ALL}))""")
 def validate_reviews(spark, sf_dir):
     a = R.all_v6(spark, sf_dir)
-    return K.review_violations(a.selectExpr("id_alerta", *REVIEW.split(", CASE")[:1], *["CASE" + x for x in REVIEW.split(", CASE")[1:]]), a, "autora")
+    return K.review_violations(a.select("id_alerta", *[F.expr(x).alias(c) for c, x in REVIEWED.items()]), a, "autora")
 
 
 @query("documentary_metrics", f"""SELECT (SELECT avg((ascii(id_alerta) % 2)::DOUBLE) FROM {TOP}) AS precision, (SELECT count(*) FROM {TOP}) AS top_revisadas,
@@ -170,54 +177,71 @@ def documentary_metrics(spark, sf_dir):
     return rounded(K.documentary_metrics(R.all_v6(spark, sf_dir), top, reviews, cases, cases, 20), {"recuperacion": 6, "pct_kg_cubiertos": 6})
 
 
-VECTOR = f"""SELECT concat_ws('|', placa_norm, CAST(anio AS string), CAST(mes AS string)) AS id, anio, kg_diferencia + 0.0 AS a, n_operaciones + 0.0 AS b, max_kg_dia + 0.0 AS c FROM ({MONTHS})"""
-SCALE = f"""SELECT v.id, v.anio, (a - a2) / CASE WHEN a3 = a1 THEN 1 ELSE a3 - a1 END AS a, (b - b2) / CASE WHEN b3 = b1 THEN 1 ELSE b3 - b1 END AS b, (c - c2) / CASE WHEN c3 = c1 THEN 1 ELSE c3 - c1 END AS c FROM ({VECTOR}) v,
-  (SELECT """ + ", ".join(f"quantile_cont({x}, 0.25) AS {x}1, median({x}) AS {x}2, quantile_cont({x}, 0.75) AS {x}3" for x in "abc") + f" FROM ({VECTOR}) WHERE anio < {PILOT})"
+FEATURE = list("abcdefghi")  # short names of the nine, in their order
+NINE = ", ".join(f"{c} + 0.0 AS {x}" for c, x in zip(FEATURES, FEATURE, strict=True))
+VECTOR = f"SELECT concat_ws('|', placa_norm, CAST(anio AS string), CAST(mes AS string)) AS id, anio, {NINE} FROM ({UNIT}) u WHERE {' AND '.join(f'{c} IS NOT NULL' for c in FEATURES)}"
+SCALE = f"SELECT v.id, v.anio, {', '.join(f'({x} - {x}2) / CASE WHEN {x}3 = {x}1 THEN 1 ELSE {x}3 - {x}1 END AS {x}' for x in FEATURE)} FROM vec v, (SELECT " + ", ".join(f"quantile_cont({x}, 0.25) AS {x}1, median({x}) AS {x}2, quantile_cont({x}, 0.75) AS {x}3" for x in FEATURE) + f" FROM vec WHERE anio < {PILOT})"
 
 
 def vectors(spark, sf_dir):
-    """Every unit-month, scaled by the years before the pilot."""
-    m = months(spark, sf_dir)
-    m = m.select(F.concat_ws("|", *G.MONTH).alias("id"), "anio", F.col("kg_diferencia").alias("a"), F.col("n_operaciones").cast("double").alias("b"), F.col("max_kg_dia").alias("c"))
+    """Every unit-month that has all nine features, scaled by the years before the pilot."""
+    m = unidad_mes(spark, sf_dir).select(F.concat_ws("|", *G.MONTH).alias("id"), "anio", *[F.col(c).cast("double").alias(x) for c, x in zip(FEATURES, FEATURE, strict=True)]).dropna(subset=FEATURE)
     m = once(m, "vectores")
-    return K.robust_scale(m, m.filter(F.col("anio") < PILOT), ["a", "b", "c"])
+    return K.robust_scale(m, m.filter(F.col("anio") < PILOT), FEATURE)
 
 
-@query("robust_scale", f"SELECT id, round(a, 6) AS a, round(b, 6) AS b, round(c, 6) AS c FROM ({SCALE})")
+@query("robust_scale", f"WITH vec AS ({VECTOR}) SELECT id, {', '.join(f'round({x}, 6) AS {x}' for x in FEATURE)} FROM ({SCALE})")
 def robust_scale(spark, sf_dir):
-    return rounded(vectors(spark, sf_dir).select("id", "a", "b", "c"), {"a": 6, "b": 6, "c": 6})
+    return rounded(vectors(spark, sf_dir).select("id", *FEATURE), dict.fromkeys(FEATURE, 6))
 
 
-def _lof_sets(spark, sf_dir):
-    """What is learned from, all years before the pilot, and what is scored: the pilot year and all later ones."""
-    v = once(vectors(spark, sf_dir).select("id", "anio", F.array("a", "b", "c").alias("v")), "escalados")
-    return v.filter(F.col("anio") < PILOT).select("id", "v"), v.filter(F.col("anio") >= PILOT).select("id", "v")
+def _sets(spark, sf_dir):
+    """What is learned from, all years before the pilot; what is scored, the pilot year and all later ones; and all."""
+    v = once(vectors(spark, sf_dir).select("id", "anio", F.array(*FEATURE).alias("v")), "escalados")
+    return v.filter(F.col("anio") < PILOT).select("id", "v"), v.filter(F.col("anio") >= PILOT).select("id", "v"), v.select("id", "v")
 
 
-NEAR = "SELECT {q}.id, {t}.id AS near, sqrt(pow({q}.a - {t}.a, 2) + pow({q}.b - {t}.b, 2) + pow({q}.c - {t}.c, 2)) AS d, row_number() OVER (PARTITION BY {q}.id ORDER BY sqrt(pow({q}.a - {t}.a, 2) + pow({q}.b - {t}.b, 2) + pow({q}.c - {t}.c, 2)), {t}.id) AS r"
+APART = "sqrt(" + " + ".join(f"pow({{q}}.{x} - {{t}}.{x}, 2)" for x in FEATURE) + ")"
+NEAR = f"SELECT {{q}}.id, {{t}}.id AS near, {APART} AS d, row_number() OVER (PARTITION BY {{q}}.id ORDER BY {APART}, {{t}}.id) AS r"
 
 
-@query("lof_score", f"""WITH s AS ({SCALE}), tr AS (SELECT * FROM s WHERE anio < {PILOT}), qu AS (SELECT * FROM s WHERE anio >= {PILOT}),
+@query("lof_score", f"""WITH vec AS ({VECTOR}), s AS ({SCALE}), tr AS (SELECT * FROM s WHERE anio < {PILOT}), qu AS (SELECT * FROM s WHERE anio >= {PILOT}),
   nt AS (SELECT * FROM ({NEAR.format(q='x', t='y')} FROM tr x JOIN tr y ON x.id <> y.id) WHERE r <= 10), nq AS (SELECT * FROM ({NEAR.format(q='x', t='y')} FROM qu x, tr y) WHERE r <= 10),
   kd AS (SELECT id AS near, d AS kd FROM nt WHERE r = 10), lt AS (SELECT id AS near, 1 / (avg(greatest(d, kd)) + 1e-10) AS l FROM nt JOIN kd USING (near) GROUP BY id),
   lq AS (SELECT id, 1 / (avg(greatest(d, kd)) + 1e-10) AS l FROM nq JOIN kd USING (near) GROUP BY id)
   SELECT nq.id, round(avg(lt.l) / max(lq.l), 4) AS puntaje FROM nq JOIN lt USING (near) JOIN lq ON nq.id = lq.id GROUP BY nq.id""")
 def lof_score(spark, sf_dir):
-    train, queries = _lof_sets(spark, sf_dir)
+    train, queries, _ = _sets(spark, sf_dir)
     return rounded(M.lof(train, queries, 10), {"puntaje": 4})
 
 
 @query("iforest_score")
 def iforest_score(spark, sf_dir):
-    train, queries = _lof_sets(spark, sf_dir)
-    return M.iforest(train, queries, 100, 256, 42)
+    train, queries, _ = _sets(spark, sf_dir)
+    return M.iforest(train, queries, 100, 256, SEED)
+
+
+def _grid(spark, sf_dir, train, queries):
+    labels = once(labelled(spark, sf_dir), "etiquetas").select(F.concat_ws("|", *G.MONTH).alias("id"), "anio", "etiqueta")
+    return M.model_grid(train, queries, labels, 20, SEED, PILOT)
 
 
 @query("model_grid")
 def model_grid(spark, sf_dir):
-    train, queries = _lof_sets(spark, sf_dir)
-    labels = once(labelled(spark, sf_dir), "etiquetas").select(F.concat_ws("|", *G.MONTH).alias("id"), "anio", "etiqueta")
-    return M.model_grid(train, queries, labels, 20, [10, 20, 35], [(100, 64), (100, 256), (300, 64), (300, 256)], 42, PILOT)
+    """All 14 points, each with its precision on the pilot year and on later ones."""
+    train, queries, _ = _sets(spark, sf_dir)
+    return _grid(spark, sf_dir, train, queries)
+
+
+@query("model_scores")
+def model_scores(spark, sf_dir):
+    """Every unit-month with all features, scored by the best point of the grid."""
+    train, queries, every = _sets(spark, sf_dir)
+    best = _grid(spark, sf_dir, train, queries).filter("mejor").first().asDict()
+    scored = M.final_scores(train, every, best, SEED)
+    name = F.concat_ws("_", *[F.lit(str(best[c])) for c in ("modelo", "n_estimators", "max_samples", "n_neighbors") if best[c] is not None])
+    key = F.split("id", r"\|")
+    return scored.select(key[0].alias("placa_norm"), key[1].cast("int").alias("anio"), key[2].cast("int").alias("mes"), name.alias("modelo"), "puntaje_modelo")
 
 
 @query("synthetic_validation", f"SELECT avg(verdad) AS precision FROM (SELECT b.*, (EXISTS (SELECT 1 FROM compras c WHERE c.flag_placa_divergente AND c.placa_cargada = b.placa_norm AND c.anio = b.anio AND c.mes = b.mes))::INT AS verdad FROM {BEST} b)")

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilotrace.functions import clean as C
 
 from kilotrace.operators import gold as G
+from kilotrace.operators.ordering import running_sum
 from kilotrace.operators.signals import CATALOGUE
 from kilotrace.queries.registry import query
-from kilotrace.operators.silver import movements
 from kilotrace.sources.domain import PILOT, sql, table
 from kilotrace.sources.lake import once
 
@@ -213,9 +213,9 @@ CALENDAR = f"""SELECT placa_norm, m.anio, m.mes, (m.anio = {PILOT})::INT AS es_p
 
 
 def _features(spark, sf_dir):
-    bought, sold = once(table(spark, sf_dir, "compras"), "compras"), once(table(spark, sf_dir, "ventas"), "ventas")
-    gold = G.reconcile(movements(bought, sold), table(spark, sf_dir, "flota"))
-    return G.month_features(gold, bought, sold, table(spark, sf_dir, "tc"), PILOT, sql(spark, sf_dir, EVENTS), sql(spark, sf_dir, COMPLAINTS))
+    bought = once(table(spark, sf_dir, "compras").select("placa_cargada", "fecha", "flag_placa_divergente", "tipo_cambio", "anio", "mes"), "compras")
+    gold = G.reconcile(table(spark, sf_dir, "mov_kg"), table(spark, sf_dir, "flota"))
+    return G.month_features(gold, bought, once(table(spark, sf_dir, "ventas_precio"), "ventas"), table(spark, sf_dir, "tc"), PILOT, sql(spark, sf_dir, EVENTS), sql(spark, sf_dir, COMPLAINTS))
 
 
 @query("feat_calendar_events", CALENDAR)
@@ -311,8 +311,9 @@ def eda_series(spark, sf_dir):
     """The Pareto of plates, the monthly difference, and each plate's share of divergent purchases."""
     totals = G.sums(table(spark, sf_dir, "mov_kg"))
     plates = totals.groupBy("placa_norm").agg(F.sum("kg_comprados").alias("total"))  # one row a plate
-    run = F.sum("total").over(Window.orderBy(F.desc("total"), "placa_norm").rowsBetween(Window.unboundedPreceding, 0))
-    pareto = plates.select(F.lit("pareto").alias("serie"), F.col("placa_norm").alias("clave"), F.col("total").alias("valor"), F.round(run / F.sum("total").over(Window.partitionBy()), 6).alias("acumulado"))
+    run = running_sum(plates, [F.desc("total"), F.col("placa_norm")], F.col("total"), "hasta")
+    pareto = run.join(F.broadcast(run.agg(F.sum("total").alias("todo"))))  # one row
+    pareto = pareto.select(F.lit("pareto").alias("serie"), F.col("placa_norm").alias("clave"), F.col("total").alias("valor"), F.round(F.col("hasta") / F.col("todo"), 6).alias("acumulado"))
     none = F.lit(None).cast("double")
     month = F.concat_ws("-", F.col("anio").cast("string"), F.lpad(F.col("mes").cast("string"), 2, "0"))
     difference = totals.groupBy("anio", "mes").agg(F.round(F.sum(F.col("kg_comprados") - F.col("kg_vendidos")), 2).alias("valor")).select(F.lit("diferencia"), month, "valor", none)

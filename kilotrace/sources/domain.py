@@ -34,6 +34,10 @@ VIEWS = {
                CAST(o_custkey AS string) AS card_code, anio, mes
         FROM lineas JOIN part ON l_partkey = p_partkey LEFT JOIN (SELECT o_orderkey, min(o_custkey) AS o_custkey FROM orders GROUP BY o_orderkey) AS o ON l_orderkey = o_orderkey
         WHERE l_linestatus = 'F'""",
+    # sales without their customer: no join with orders
+    "ventas_precio": """
+        SELECT placa AS placa_norm, fecha, p_type AS id_producto, l_quantity AS kg, l_extendedprice / l_quantity AS precio, l_returnflag AS canal, anio, mes
+        FROM lineas JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F'""",
     "mov": """
         SELECT 'compra' AS tipo_mov, documento, 0 AS linea, placa_cargada AS placa_norm, fecha, id_producto, kg AS kg_comprados,
                kg AS kg_despachados, CAST(0 AS double) AS kg_vendidos, codigo_scop, CAST(NULL AS string) AS card_code,

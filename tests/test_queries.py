@@ -8,7 +8,6 @@ import pytest
 from kilotrace.queries import QUERIES, SQL
 
 DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SLOW = {"model_grid"}
 
 
 def cell(v):
@@ -37,7 +36,7 @@ def con():
 
 
 @pytest.mark.skipif(not os.path.isdir(DIR), reason="no tables")
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     got = QUERIES[name](spark, DIR).toPandas()
     if name in SQL:
@@ -47,59 +46,3 @@ def test_query(spark, con, name):
         assert plain(got, columns) == plain(want, columns)
     else:
         assert len(got.columns)
-
-
-@pytest.mark.skipif(not os.path.isdir(DIR), reason="no tables")
-def test_models_take_every_year(spark):
-    from kilotrace.queries.evaluation import _lof_sets, model_grid
-
-    train, scored = ({r.id.split("|")[1] for r in part.select("id").collect()} for part in _lof_sets(spark, DIR))
-    assert {"1995", "1996", "1997"} <= train and {"1998", "1999", "2000"} <= scored and not train & scored
-    grid = model_grid(spark, DIR).collect()
-    assert len(grid) == 14 and {r.parte for r in grid} == {"piloto", "estabilidad"}
-    pilot = sorted((-r.precision, r.modelo) for r in grid if r.parte == "piloto")
-    assert {r.modelo for r in grid if r.mejor} == {pilot[0][1]}
-
-
-def test_nearest_is_exact(spark):
-    import numpy as np
-
-    from kilotrace.operators.models import nearest
-
-    r = np.random.default_rng(5)
-    x = np.round(r.standard_normal((700, 3)), 1)
-    x[:250, 0] = 0.0  # a third on one coordinate; many ties
-    rows = [(f"p{i}", v.tolist()) for i, v in enumerate(x)]
-    df = spark.createDataFrame(rows, "id string, v array<double>")
-    asked = spark.createDataFrame([*rows[::7], ("far", [50.0, 0.0, 0.0])], "id string, v array<double>")
-    got = {}
-    for g in nearest(asked, df, 6, block=40).collect():
-        got.setdefault(g.id, []).append((g.rank, g.near, g.d))
-    for i, v in [*rows[::7], ("far", [50.0, 0.0, 0.0])]:
-        d = np.sqrt(((x[:, 0] - v[0]) ** 2 + (x[:, 1] - v[1]) ** 2) + (x[:, 2] - v[2]) ** 2)
-        want = sorted((dist, n) for dist, (n, _) in zip(d.tolist(), rows, strict=True) if n != i)[:6]
-        assert [(b, c) for _, b, c in sorted(got[i])] == [(n, dist) for dist, n in want]
-
-
-def test_forest_against_a_plain_one(spark):
-    """Scores of the trees walked one row at a time, and an outlier that comes first."""
-    import numpy as np
-
-    from kilotrace.operators.models import _grow, iforest, mean_path
-
-    r = np.random.default_rng(6)
-    rows = [(f"p{i}", r.standard_normal(2).tolist()) for i in range(200)] + [("odd", [9.0, -9.0])]
-    df = spark.createDataFrame(rows, "id string, v array<double>")
-    got = {x.id: x.puntaje for x in iforest(df, df, 20, 256, 1).collect()}  # the sample takes all rows
-    drawn = {(x.tree, x.id): x.h for x in df.selectExpr("id", "explode(sequence(0, 19)) AS tree").selectExpr("id", "tree", "pmod(xxhash64(1, tree, id), 1073741824) / 1073741824D AS h").collect()}
-    vectors, total = dict(rows), dict.fromkeys(got, 0.0)
-    for t in range(20):
-        order = sorted(vectors, key=lambda i: (drawn[t, i], i))
-        tree = _grow(np.array([vectors[i] for i in order]), np.random.default_rng([1, t]))
-        for i, v in vectors.items():
-            at = 0
-            while tree["column"][at] >= 0:
-                at = tree["left"][at] if v[tree["column"][at]] <= tree["cut"][at] else tree["right"][at]
-            total[i] += tree["depth"][at] / mean_path(len(order))
-    assert all(abs(got[i] - 2 ** (-total[i] / 20)) < 1e-12 for i in got)
-    assert max(got, key=got.get) == "odd"
