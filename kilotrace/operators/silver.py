@@ -79,12 +79,6 @@ def _text(c: str):
     return F.upper(C.cell_text(F.lit("s"), F.col(c)))
 
 
-def _num(c: str):
-    from kilotrace.functions import clean as C
-
-    return C.to_kg(F.col(c))
-
-
 def _has(raw: DataFrame, c: str):
     """A column that a delivery may lack."""
     return F.col(c) if c in raw.columns else F.lit(None).cast("string")
@@ -123,35 +117,72 @@ def invoices(raw: DataFrame, salt: str) -> DataFrame:
     )
 
 
+def _upper(raw: DataFrame, c: str):
+    from kilotrace.functions import clean as C
+
+    return F.upper(C.cell_text(F.lit("s"), _has(raw, c))).alias(c)
+
+
+def _number(raw: DataFrame, c: str, kind: str = "double"):
+    from kilotrace.functions import clean as C
+
+    x = C.to_kg(_has(raw, c))
+    return (F.bround(x, 0) if kind == "int" else x).cast(kind).alias(c)
+
+
+def _placed(raw: DataFrame) -> list[str]:
+    """Where a row stands in its source, if the reader has said so."""
+    return [c for c in ("hoja", "fila") if c in raw.columns]
+
+
 def orders(raw: DataFrame) -> DataFrame:
+    """Purchase orders with both plates, what was written beside the second, and whether they differ."""
     from kilotrace.functions import clean as C
 
     loaded, _, _ = C.plate6(F.col("placa_cargada"))
     billed, dated, _ = C.plate6(F.col("placa_facturada"))
-    df = raw.select(C.to_date(F.lit("s"), F.col("fecha")).alias("fecha"), C.some(C.digits(F.col("nro_scop"))).alias("nro_scop"), _text("producto").alias("producto"), loaded.alias("placa_cargada"), billed.alias("placa_facturada"), dated.alias("fecha_en_placa"), _text("estado").alias("estado"))
-    return df.withColumn("flag_placa_divergente", F.coalesce(F.col("placa_cargada") != F.col("placa_facturada"), F.lit(False)))
+    text = lambda c: _upper(raw, c)
+    return raw.select(
+        C.to_date(F.lit("s"), F.col("fecha")).alias("fecha"), C.some(C.digits(F.col("nro_scop"))).alias("nro_scop"), text("producto"), text("proveedor"), text("lugar_origen"),
+        loaded.alias("placa_cargada"), billed.alias("placa_facturada"), dated.alias("fecha_en_placa"), F.coalesce(loaded != billed, F.lit(False)).alias("flag_placa_divergente"), text("factura"), text("estado"), *_placed(raw),
+    )
 
 
 def units(raw: DataFrame) -> DataFrame:
-    """Vehicle masters; rows without a valid plate are kept."""
+    """Vehicle masters; rows without a valid plate are kept. The company is the column's, else the sheet's."""
     from kilotrace.functions import clean as C
 
-    return raw.select(F.coalesce(_text("empresa"), "_empresa").alias("empresa"), _text("placa").alias("placa_texto"), C.plate6(F.col("placa"))[0].alias("placa_norm"), _text("clase").alias("clase"), _num("capacidad").alias("capacidad_glp_kg"), C.to_bool(F.col("traslada_gas")).alias("traslada_gas"))
+    text = lambda c: _upper(raw, c)
+    return raw.select(
+        F.coalesce(text("empresa"), "_empresa").alias("empresa"), text("zonal"), _text("placa").alias("placa_texto"), C.plate6(F.col("placa"))[0].alias("placa_norm"), text("clase"), text("marca"), text("modelo"),
+        _number(raw, "anio_fabricacion", "int"), _number(raw, "capacidad_glp_kg"), C.cell_text(F.lit("s"), _has(raw, "cert_mercancias_peligrosas")).alias("cert_mercancias_peligrosas"), text("uso"), text("estado_soat"),
+        C.to_bool(_has(raw, "traslada_gas")).alias("traslada_gas"), *_placed(raw),
+    )
 
 
 def unit_months(raw: DataFrame, salt: str) -> DataFrame:
+    """A vehicle's sales of a month and article."""
     from kilotrace.functions import clean as C
 
     plate, _, centre = C.plate6(F.col("proyecto"))
-    return raw.select(F.col("_anio").alias("anio"), C.month_number(F.col("mes_texto")).alias("mes"), _text("proyecto").alias("proyecto"), plate.alias("placa_norm"), centre.alias("centro_costo"), _text("articulo").alias("articulo"), _num("kg").alias("kg"), C.pseudonym(F.col("vendedor"), salt).alias("vendedor_hash"))
+    text = lambda c: _upper(raw, c)
+    return raw.select(
+        F.col("_anio").alias("anio"), C.month_number(F.col("mes_texto")).alias("mes"), text("proyecto"), plate.alias("placa_norm"), centre.alias("centro_costo"), text("articulo"), text("tipo"), text("unidad_negocio"), text("unidad_medida"),
+        _number(raw, "cantidad"), _number(raw, "precio_promedio"), C.pseudonym(_has(raw, "vendedor"), salt).alias("vendedor_hash"), _number(raw, "kg"), _number(raw, "balones_galones"), *_placed(raw),
+    )
 
 
 def sale_details(raw: DataFrame, salt: str) -> DataFrame:
     """Sale lines with kilos as registered, else derived from units, and where they come from."""
     from kilotrace.functions import clean as C
 
-    date = C.to_date(F.lit("s"), F.col("fecha"))
-    df = raw.select(date.alias("fecha"), C.plate6(F.col("proyecto"))[0].alias("placa_norm"), _text("articulo").alias("articulo"), _text("unidad_medida").alias("unidad_medida"), _num("cantidad").alias("cantidad"), _num("kg").alias("_kg"), C.pseudonym(F.col("cliente"), salt).alias("cliente_id"))
+    plate, _, centre = C.plate6(F.col("proyecto"))
+    text = lambda c: _upper(raw, c)
+    df = raw.select(
+        C.to_date(F.lit("s"), F.col("fecha")).alias("fecha"), text("proyecto"), plate.alias("placa_norm"), centre.alias("centro_costo"), _number(raw, "linea", "int"), text("articulo_codigo"), text("articulo"), text("unidad_medida"),
+        _number(raw, "cantidad"), _number(raw, "precio_unitario"), _number(raw, "importe"), _number(raw, "kg").alias("_kg"), C.pseudonym(_has(raw, "cliente_codigo"), salt).alias("cliente_id"), text("indicador"), text("documento"),
+        C.pseudonym(_has(raw, "vendedor"), salt).alias("vendedor_hash"), *_placed(raw),
+    )
     lpg = C.is_lpg(F.col("articulo"))
     derived = F.when(lpg, C.units_to_kg(F.col("unidad_medida"), F.col("cantidad"), F.col("articulo")))
     stated = F.when(lpg, F.col("_kg"))
@@ -159,6 +190,27 @@ def sale_details(raw: DataFrame, salt: str) -> DataFrame:
     return df.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha"), "es_glp": lpg, "kg": F.coalesce(stated, derived), "kg_origen": origin}).drop("_kg")
 
 
+#: The contracts: a table's natural key, and its columns in order. Fixed values.
+CONTRACTS = {
+    "compras_glp": (["proveedor", "serie", "numero"], "origen hoja fila anio mes proveedor codigo_osinergmin nro_scop fecha_factura estado_fecha serie numero tipo kg_glp_e kg_glp_g kg placa_norm centro_costo guia monto_usd tipo_cambio tc_valido monto_pagado precio_unitario total estado conductor_hash llave_repetida"),
+    "scop": (["nro_scop"], "origen hoja fila fecha nro_scop producto proveedor lugar_origen placa_cargada placa_facturada fecha_en_placa flag_placa_divergente factura estado llave_repetida"),
+    "unidades": (["origen", "hoja", "fila"], "origen hoja fila empresa zonal placa_texto placa_norm clase marca modelo anio_fabricacion capacidad_glp_kg cert_mercancias_peligrosas uso estado_soat traslada_gas llave_repetida"),
+    "ventas_unidad_mes": (["anio", "mes", "proyecto", "articulo", "vendedor_hash"], "origen hoja fila anio mes proyecto placa_norm centro_costo articulo tipo unidad_negocio unidad_medida cantidad precio_promedio vendedor_hash kg balones_galones llave_repetida"),
+    "ventas_detalle": (["origen", "fila"], "origen hoja fila anio mes fecha proyecto placa_norm centro_costo linea articulo_codigo articulo es_glp unidad_medida cantidad precio_unitario importe kg kg_origen cliente_id indicador documento vendedor_hash llave_repetida"),
+}
+
+
+def contracted(name: str, df: DataFrame, source: str) -> DataFrame:
+    """A table as its contract has it: lineage, a mark on rows whose natural key is repeated, and no other columns.
+
+    A column that the transformation has not made is an error."""
+    key, columns = CONTRACTS[name]
+    marked = lineage(df, source, key)
+    if missing := [c for c in columns.split() if c not in marked.columns]:
+        raise ValueError(f"{name}: the columns {missing} are missing")
+    return marked.select(*columns.split())
+
+
 # what control reports say of the newer tables
 
 def _share(cond):

@@ -88,59 +88,74 @@ INVOICE = f"""SELECT anio, mes, 'PLANTA NORTE' AS proveedor, nullif(trim(codigo_
 
 @query("silver_compras_glp", f"SELECT *, 'com_glp' AS origen, count(*) OVER (PARTITION BY proveedor, serie, numero) > 1 AS llave_repetida FROM ({INVOICE})")
 def silver_compras_glp(spark, sf_dir):
-    return V.lineage(V.invoices(sql(spark, sf_dir, RAW_INVOICE), "sal"), "com_glp", ["proveedor", "serie", "numero"])
+    return V.contracted("compras_glp", V.invoices(sql(spark, sf_dir, RAW_INVOICE), "sal"), "com_glp")
 
 
-RAW_ORDER = f"""SELECT CAST(fecha AS string) AS fecha, scop AS nro_scop, ' glp ' AS producto, concat(placa, ' CAMION') AS placa_cargada, CASE WHEN l_partkey % 13 = 0 THEN {OTHER} WHEN l_partkey % 7 = 0 THEN 'varios' ELSE concat(placa, ' 1/2/23') END AS placa_facturada, l_returnflag AS estado FROM lineas WHERE l_linestatus = 'O'"""
+def full(name, source, key):
+    """SQL of a table with its source and the mark on repeated keys."""
+    return f"SELECT *, count(*) OVER (PARTITION BY {key}) > 1 AS llave_repetida FROM (SELECT *, '{name}' AS origen FROM ({source}))"
 
 
-ORDER = f"""SELECT CAST(fecha AS DATE) AS fecha, nro_scop, 'GLP' AS producto, replace(placa_cargada, ' CAMION', '') AS placa_cargada, CASE WHEN placa_facturada <> 'varios' THEN substr(placa_facturada, 1, 6) END AS placa_facturada,
-  CASE WHEN placa_facturada LIKE '% 1/2/23' THEN '1/2/23' END AS fecha_en_placa, estado, coalesce(replace(placa_cargada, ' CAMION', '') <> CASE WHEN placa_facturada <> 'varios' THEN substr(placa_facturada, 1, 6) END, false) AS flag_placa_divergente FROM ({RAW_ORDER})"""
+ROW = "CAST(l_orderkey * 10 + l_linenumber AS int) AS fila"
+RAW_ORDER = f"""SELECT CAST(fecha AS string) AS fecha, scop AS nro_scop, ' glp ' AS producto, concat('planta  ', CAST(l_suppkey % 7 AS string)) AS proveedor, CASE WHEN l_suppkey % 4 = 0 THEN ' ' ELSE ' callao ' END AS lugar_origen, concat(placa, ' CAMION') AS placa_cargada,
+  CASE WHEN l_partkey % 13 = 0 THEN {OTHER} WHEN l_partkey % 7 = 0 THEN 'varios' ELSE concat(placa, ' 1/2/23') END AS placa_facturada, concat('f-', CAST(l_orderkey AS string)) AS factura, lower(l_returnflag) AS estado, 'SCOPS GENERADOS' AS hoja, {ROW} FROM lineas WHERE l_linestatus = 'O'"""
 
 
-@query("silver_scop", ORDER)
+ORDER = f"""SELECT CAST(fecha AS DATE) AS fecha, nro_scop, 'GLP' AS producto, upper(replace(proveedor, '  ', ' ')) AS proveedor, CASE WHEN lugar_origen <> ' ' THEN 'CALLAO' END AS lugar_origen, replace(placa_cargada, ' CAMION', '') AS placa_cargada, CASE WHEN placa_facturada <> 'varios' THEN substr(placa_facturada, 1, 6) END AS placa_facturada,
+  CASE WHEN placa_facturada LIKE '% 1/2/23' THEN '1/2/23' END AS fecha_en_placa, upper(factura) AS factura, upper(estado) AS estado, coalesce(replace(placa_cargada, ' CAMION', '') <> CASE WHEN placa_facturada <> 'varios' THEN substr(placa_facturada, 1, 6) END, false) AS flag_placa_divergente, hoja, fila FROM ({RAW_ORDER})"""
+
+
+@query("silver_scop", full("scops_generados", ORDER, "nro_scop"))
 def silver_scop(spark, sf_dir):
-    return V.orders(sql(spark, sf_dir, RAW_ORDER))
+    return V.contracted("scop", V.orders(sql(spark, sf_dir, RAW_ORDER)), "scops_generados")
 
 
-RAW_UNIT = "SELECT CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE ' norte ' END AS empresa, 'SUR' AS _empresa, CASE WHEN s_suppkey % 9 = 0 THEN 'oficina' ELSE concat('t1a', lpad(CAST(s_suppkey % 1000 AS string), 3, '0'), ' cisterna') END AS placa, 'camión' AS clase, concat(CAST(s_suppkey * 10 AS string), ' kg') AS capacidad, CASE s_suppkey % 3 WHEN 0 THEN 'sí' WHEN 1 THEN 'NO' ELSE 'x?' END AS traslada_gas FROM supplier"
+RAW_UNIT = """SELECT CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE ' norte ' END AS empresa, 'SUR' AS _empresa, CASE WHEN s_suppkey % 3 = 0 THEN 'zona  sur' ELSE '' END AS zonal, CASE WHEN s_suppkey % 9 = 0 THEN 'oficina' ELSE concat('t1a', lpad(CAST(s_suppkey % 1000 AS string), 3, '0'), ' cisterna') END AS placa, 'camión' AS clase,
+  concat('marca ', CAST(s_nationkey AS string)) AS marca, CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE concat('m-', CAST(s_suppkey % 10 AS string)) END AS modelo, CASE WHEN s_suppkey % 6 = 0 THEN 's/n' ELSE CAST(2000 + s_suppkey % 20 AS string) END AS anio_fabricacion, concat(CAST(s_suppkey * 10 AS string), ' kg') AS capacidad_glp_kg,
+  CASE WHEN s_suppkey % 4 = 0 THEN ' Vence  2021 ' ELSE NULL END AS cert_mercancias_peligrosas, 'carga' AS uso, CASE WHEN s_suppkey % 2 = 0 THEN 'vigente' ELSE 'vencido' END AS estado_soat, CASE s_suppkey % 3 WHEN 0 THEN 'sí' WHEN 1 THEN 'NO' ELSE 'x?' END AS traslada_gas, 'Hoja1' AS hoja, CAST(s_suppkey % 400 AS int) AS fila FROM supplier"""
 
 
-UNIT = f"""SELECT CASE WHEN empresa IS NULL THEN 'SUR' ELSE 'NORTE' END AS empresa, upper(placa) AS placa_texto, CASE WHEN placa <> 'oficina' THEN upper(substr(placa, 1, 6)) END AS placa_norm, 'CAMIÓN' AS clase, replace(capacidad, ' kg', '')::DOUBLE AS capacidad_glp_kg,
-  CASE traslada_gas WHEN 'sí' THEN true WHEN 'NO' THEN false END AS traslada_gas FROM ({RAW_UNIT})"""
+UNIT = f"""SELECT CASE WHEN empresa IS NULL THEN 'SUR' ELSE 'NORTE' END AS empresa, CASE WHEN zonal <> '' THEN 'ZONA SUR' END AS zonal, upper(placa) AS placa_texto, CASE WHEN placa <> 'oficina' THEN upper(substr(placa, 1, 6)) END AS placa_norm, 'CAMIÓN' AS clase, upper(marca) AS marca, upper(modelo) AS modelo,
+  try_cast(anio_fabricacion AS INT) AS anio_fabricacion, replace(capacidad_glp_kg, ' kg', '')::DOUBLE AS capacidad_glp_kg, CASE WHEN cert_mercancias_peligrosas IS NOT NULL THEN 'Vence 2021' END AS cert_mercancias_peligrosas, 'CARGA' AS uso, upper(estado_soat) AS estado_soat,
+  CASE traslada_gas WHEN 'sí' THEN true WHEN 'NO' THEN false END AS traslada_gas, hoja, fila FROM ({RAW_UNIT})"""
 
 
-@query("silver_unidades", UNIT)
+@query("silver_unidades", full("soat_2020", UNIT, "origen, hoja, fila"))
 def silver_unidades(spark, sf_dir):
-    return V.units(sql(spark, sf_dir, RAW_UNIT))
+    return V.contracted("unidades", V.units(sql(spark, sf_dir, RAW_UNIT)), "soat_2020")
 
 
 MONTH_WORDS = "CASE month(fecha) WHEN 1 THEN 'Enero' WHEN 2 THEN 'feb' WHEN 9 THEN 'SET' ELSE CAST(month(fecha) AS string) END"
-RAW_MONTHS = f"SELECT CAST(year(fecha) AS int) AS _anio, {MONTH_WORDS} AS mes_texto, CASE WHEN l_linenumber = 1 THEN ' centro de costo' ELSE placa END AS proyecto, 'glp  10 kg' AS articulo, CAST(l_quantity AS string) AS kg, l_returnflag AS vendedor FROM lineas"
+RAW_MONTHS = f"""SELECT CAST(year(fecha) AS int) AS _anio, {MONTH_WORDS} AS mes_texto, CASE WHEN l_linenumber = 1 THEN ' centro de costo' ELSE placa END AS proyecto, 'glp  10 kg' AS articulo, CASE WHEN l_suppkey % 2 = 0 THEN 'granel' ELSE ' ' END AS tipo, ' reparto' AS unidad_negocio, 'kg' AS unidad_medida,
+  CAST(l_quantity AS string) AS cantidad, CASE WHEN l_partkey % 9 = 0 THEN 'FALSE' ELSE concat(CAST(l_linenumber AS string), ',5') END AS precio_promedio, CAST(l_quantity AS string) AS kg, CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE CAST(l_suppkey AS string) END AS balones_galones, l_returnflag AS vendedor, 'VENTAS' AS hoja, {ROW} FROM lineas"""
 
 
 UNIT_MONTHS = f"""SELECT _anio AS anio, CASE mes_texto WHEN 'Enero' THEN 1 WHEN 'feb' THEN 2 WHEN 'SET' THEN 9 ELSE mes_texto::INT END AS mes, upper(trim(proyecto)) AS proyecto, CASE WHEN proyecto LIKE 'T1A%' THEN proyecto END AS placa_norm,
-  CASE WHEN proyecto NOT LIKE 'T1A%' THEN upper(trim(proyecto)) END AS centro_costo, 'GLP 10 KG' AS articulo, kg::DOUBLE AS kg, substr(sha256(concat('sal', vendedor)), 1, 16) AS vendedor_hash FROM ({RAW_MONTHS})"""
+  CASE WHEN proyecto NOT LIKE 'T1A%' THEN upper(trim(proyecto)) END AS centro_costo, 'GLP 10 KG' AS articulo, CASE WHEN tipo <> ' ' THEN 'GRANEL' END AS tipo, 'REPARTO' AS unidad_negocio, 'KG' AS unidad_medida, cantidad::DOUBLE AS cantidad,
+  try_cast(replace(precio_promedio, ',', '.') AS DOUBLE) AS precio_promedio, kg::DOUBLE AS kg, balones_galones::DOUBLE AS balones_galones, substr(sha256(concat('sal', vendedor)), 1, 16) AS vendedor_hash, hoja, fila FROM ({RAW_MONTHS})"""
 
 
-@query("silver_ventas_unidad_mes", UNIT_MONTHS)
+@query("silver_ventas_unidad_mes", full("ventas_flota_2020", UNIT_MONTHS, "anio, mes, proyecto, articulo, vendedor_hash"))
 def silver_ventas_unidad_mes(spark, sf_dir):
-    return V.unit_months(sql(spark, sf_dir, RAW_MONTHS), "sal")
+    return V.contracted("ventas_unidad_mes", V.unit_months(sql(spark, sf_dir, RAW_MONTHS), "sal"), "ventas_flota_2020")
 
 
-RAW_DETAIL = """SELECT CAST(fecha AS string) AS fecha, placa AS proyecto, CASE l_linenumber % 3 WHEN 0 THEN 'GLP 10 KG' WHEN 1 THEN 'arroz 5 kg' ELSE 'glp granel' END AS articulo, CASE l_suppkey % 4 WHEN 0 THEN 'UNIDAD' WHEN 1 THEN 'galones' WHEN 2 THEN 'kg' ELSE 'caja' END AS unidad_medida,
-  CAST(l_quantity AS string) AS cantidad, CASE WHEN l_partkey % 2 = 0 THEN CAST(l_partkey AS string) ELSE NULL END AS kg, CAST(l_orderkey AS string) AS cliente FROM lineas WHERE l_linestatus = 'F'"""
+RAW_DETAIL = f"""SELECT CAST(fecha AS string) AS fecha, CASE WHEN l_partkey % 11 = 0 THEN 'planta sur' ELSE placa END AS proyecto, CAST(l_linenumber AS string) AS linea, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE concat('a', CAST(l_suppkey AS string)) END AS articulo_codigo,
+  CASE l_linenumber % 3 WHEN 0 THEN 'GLP 10 KG' WHEN 1 THEN 'arroz 5 kg' ELSE 'glp granel' END AS articulo, CASE l_suppkey % 4 WHEN 0 THEN 'UNIDAD' WHEN 1 THEN 'galones' WHEN 2 THEN 'kg' ELSE 'caja' END AS unidad_medida,
+  CAST(l_quantity AS string) AS cantidad, CAST(l_linenumber * 2 AS string) AS precio_unitario, CAST(l_partkey AS string) AS importe, CASE WHEN l_partkey % 2 = 0 THEN CAST(l_partkey AS string) ELSE NULL END AS kg, CAST(l_orderkey AS string) AS cliente_codigo,
+  lower(l_returnflag) AS indicador, concat('b-', CAST(l_orderkey AS string)) AS documento, CASE WHEN l_suppkey % 5 = 0 THEN ' ' ELSE CAST(l_suppkey AS string) END AS vendedor, 'Hoja1' AS hoja, {ROW} FROM lineas WHERE l_linestatus = 'F'"""
 
 
-DETAIL = f"""SELECT f AS fecha, proyecto AS placa_norm, upper(articulo) AS articulo, upper(unidad_medida) AS unidad_medida, q AS cantidad, substr(sha256(concat('sal', cliente)), 1, 16) AS cliente_id, year(f)::INT AS anio, month(f)::INT AS mes, glp AS es_glp, coalesce(k, d) AS kg,
-  CASE WHEN k IS NOT NULL THEN 'registrado' WHEN d IS NOT NULL THEN 'derivado' WHEN glp THEN 'sin_conversion' ELSE 'no_glp' END AS kg_origen FROM (
+DETAIL = f"""SELECT f AS fecha, upper(proyecto) AS proyecto, CASE WHEN proyecto LIKE 'T1A%' THEN proyecto END AS placa_norm, CASE WHEN proyecto NOT LIKE 'T1A%' THEN upper(proyecto) END AS centro_costo, linea::INT AS linea, upper(articulo_codigo) AS articulo_codigo, upper(articulo) AS articulo, upper(unidad_medida) AS unidad_medida, q AS cantidad,
+  precio_unitario::DOUBLE AS precio_unitario, importe::DOUBLE AS importe, substr(sha256(concat('sal', cliente_codigo)), 1, 16) AS cliente_id, upper(indicador) AS indicador, upper(documento) AS documento, CASE WHEN vendedor <> ' ' THEN substr(sha256(concat('sal', vendedor)), 1, 16) END AS vendedor_hash,
+  year(f)::INT AS anio, month(f)::INT AS mes, glp AS es_glp, coalesce(k, d) AS kg, CASE WHEN k IS NOT NULL THEN 'registrado' WHEN d IS NOT NULL THEN 'derivado' WHEN glp THEN 'sin_conversion' ELSE 'no_glp' END AS kg_origen, hoja, fila FROM (
   SELECT *, CASE WHEN glp THEN kg::DOUBLE END AS k, CASE WHEN glp THEN CASE unidad_medida WHEN 'kg' THEN q WHEN 'galones' THEN q * 2.04 WHEN 'UNIDAD' THEN CASE WHEN articulo LIKE '%10 KG' THEN q * 10 END END END AS d FROM (
     SELECT *, CAST(fecha AS DATE) AS f, upper(articulo) LIKE 'GLP%' AS glp, cantidad::DOUBLE AS q FROM ({RAW_DETAIL})))"""
 
 
-@query("silver_ventas_detalle", DETAIL)
+@query("silver_ventas_detalle", full("ventas_por_proyecto", DETAIL, "origen, fila"))
 def silver_ventas_detalle(spark, sf_dir):
-    return V.sale_details(sql(spark, sf_dir, RAW_DETAIL), "sal")
+    return V.contracted("ventas_detalle", V.sale_details(sql(spark, sf_dir, RAW_DETAIL), "sal"), "ventas_por_proyecto")
 
 
 def _long(name, source, measures):
