@@ -20,11 +20,26 @@ def sums(mov: DataFrame) -> DataFrame:
     return mov.groupBy(*KEYS).agg(zero("kg_comprados"), zero("kg_despachados"), zero("kg_vendidos"), F.count("*").alias("n_operaciones"))
 
 
-def salted_sums(mov: DataFrame, salts: int = 8) -> DataFrame:
-    """The same sums in two levels, for hot plates: first by key and a salt of the document, then by key."""
-    salt = F.pmod(F.xxhash64("documento", "linea"), F.lit(salts)).alias("sal")
-    first = mov.groupBy(*KEYS, salt).agg(zero("kg_comprados"), zero("kg_despachados"), zero("kg_vendidos"), F.count("*").alias("n"))
-    return first.groupBy(*KEYS).agg(zero("kg_comprados"), zero("kg_despachados"), zero("kg_vendidos"), F.sum("n").alias("n_operaciones"))
+def heavy_plates(mov: DataFrame, share: float | None = None) -> list[str | None]:
+    """Plates with more than ``share`` of the rows (a shuffle partition's part, if none is given), by a sketch of
+    frequent items that tasks fill and merge: one pass over the plates, and a few dozen names come back."""
+    share = share or 1 / max(8, int(mov.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = mov.agg(F.expr("approx_top_k(placa_norm, 64, 2048)").alias("top"), F.count("*").alias("n"), F.count_if(F.col("placa_norm").isNull()).alias("none")).first()
+    plates = [r["item"] for r in found["top"] or [] if r["count"] > share * found["n"]]
+    return plates + [None] if found["none"] > share * found["n"] else plates
+
+
+def salted_sums(mov: DataFrame, salts: int = 8, heavy: list[str | None] | None = None) -> DataFrame:
+    """The same sums for tables with hot plates: only those are summed in two levels, first by key and a salt of the
+    document, then by key. Without hot plates they are the plain sums."""
+    heavy = heavy_plates(mov) if heavy is None else heavy
+    if not heavy:
+        return sums(mov)
+    plate = F.col("placa_norm")
+    hot = F.coalesce(plate.isin([p for p in heavy if p is not None]), F.lit(None in heavy))
+    salt = F.when(hot, F.pmod(F.xxhash64("documento", "linea"), F.lit(salts)).cast("int"))
+    first = mov.groupBy(*KEYS, salt.alias("sal")).agg(zero("kg_comprados"), zero("kg_despachados"), zero("kg_vendidos"), F.count("*").alias("n_operaciones"))
+    return first.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ("kg_comprados", "kg_despachados", "kg_vendidos", "n_operaciones")])
 
 
 def pair_sums(mov: DataFrame) -> DataFrame:

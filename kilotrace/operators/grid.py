@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kilotrace.functions import clean as C
 
 SHEET = ["archivo", "hoja"]
+#: Thresholds of header rows. Fixed values.
 TEXT_SHARE, CONTRAST, WIDTH, LOOK, LONGEST_NUMBER = 0.5, 0.25, 0.6, 20, 6
 
 

@@ -16,7 +16,8 @@ from kilotrace.queries.rules import V2_ALL, V6_ALL, all_v2, all_v6
 from kilotrace.queries.silver import BUY, RAW_BUY
 from kilotrace.sources import lake as L
 from kilotrace.sources.domain import PILOT, sql, table
-from kilotrace.streaming.ingest import ingest, windowed_sums
+from kilotrace.sources.releases import Releases
+from kilotrace.streaming.ingest import Ledger, ingest, windowed_sums
 
 SALE = "SELECT documento, linea, placa_norm, fecha, kg, canal, anio, mes FROM ventas"
 
@@ -170,14 +171,20 @@ def infer_source_code(spark, sf_dir):
     return sql(spark, sf_dir, PATHS).select("page_id", L.source_code(F.col("ruta")).alias("codigo"))
 
 
-@query("volume_by_layer", "SELECT unnest(['silver', 'silver', 'gold']) AS capa, unnest(['com_19', 'ventas', 'ventas']) AS fuente, unnest(['parquet', 'parquet', 'json']) AS tipo, true AS con_bytes, true AS con_archivos FROM (SELECT count(*) FROM ventas)")
+#: What a layer's folder of text files holds: a file a channel, a line a sale.
+LINE = "concat_ws('|', documento, CAST(linea AS string), placa_norm, canal)"
+
+
+def _layer(layer, source, where):
+    return f"SELECT '{layer}' AS capa, '{source}' AS fuente, 'txt' AS tipo, count(DISTINCT canal) AS archivos, (sum(strlen({LINE}) + 1))::BIGINT AS bytes FROM ventas WHERE {where} HAVING count(*) > 0"
+
+
+@query("volume_by_layer", " UNION ALL ".join([_layer("silver", "ventas", "true"), _layer("silver", "com_19", "canal = 'R'"), _layer("gold", "ventas", "canal <> 'A'")]))
 def volume_by_layer(spark, sf_dir):
-    path, df = L.workspace(spark, "capas"), _sales(spark, sf_dir)
-    df.write.parquet(f"{path}/silver/ventas")
-    df.filter("canal = 'R'").write.parquet(f"{path}/silver/otros/COM-19")
-    df.filter("canal = 'A'").write.json(f"{path}/gold/ventas")
-    v = L.volume(spark, path).filter("tipo in ('parquet', 'json')")
-    return v.select("capa", "fuente", "tipo", (F.col("bytes") > 0).alias("con_bytes"), (F.col("archivos") > 0).alias("con_archivos"))
+    path, lines = L.workspace(spark, "capas"), table(spark, sf_dir, "ventas").selectExpr("canal", f"{LINE} AS value")
+    for folder, where in (("silver/ventas", "true"), ("silver/otros/COM-19", "canal = 'R'"), ("gold/ventas", "canal <> 'A'")):
+        lines.filter(where).repartition("canal").write.partitionBy("canal").text(f"{path}/{folder}")
+    return L.volume(spark, path)
 
 
 #: The tables of Silver and Gold, and what they hold.
@@ -186,7 +193,7 @@ LAKE = {"movimientos": "mov", "compras": "compras", "ventas": "ventas", "flota":
 
 @query("external_tables", " UNION ALL ".join(f"SELECT '{n}' AS tabla, count(*) AS filas FROM {v}" for n, v in LAKE.items()))
 def external_tables(spark, sf_dir):
-    path, out = L.workspace(spark, "lago"), None
+    path, out, made = L.workspace(spark, "lago"), None, []
     for name, view in LAKE.items():
         df, by = table(spark, sf_dir, view), ()
         if {"anio", "mes"} <= set(df.columns):
@@ -196,30 +203,56 @@ def external_tables(spark, sf_dir):
             df.write.parquet(f"{path}/{name}")
         known = f"{name}_{path.rsplit('-', 1)[1]}"
         L.create_external(spark, known, f"{path}/{name}", df.schema, by)
-        part = spark.table(known).agg(F.lit(name).alias("tabla"), F.count("*").alias("filas"))
+        part, made = spark.table(known).agg(F.lit(name).alias("tabla"), F.count("*").alias("filas")), [*made, known]
         out = part if out is None else out.unionByName(part)
+    out = L.once(out, "cuentas")
+    for known in made:
+        spark.sql(f"DROP TABLE {known}")
     return out
 
 
 @query("export_csv_json", f"""SELECT 'alertas' AS salida, senal, count(*) AS filas FROM (SELECT DISTINCT id_alerta, senal FROM ({V2_ALL})) GROUP BY senal UNION ALL SELECT 'resumen', senal, count(*) FROM (SELECT DISTINCT id_alerta, senal FROM ({V2_ALL})) GROUP BY senal
   UNION ALL SELECT 'expediente_ciego', NULL, least(30, count(DISTINCT id_alerta)) FROM ({V6_ALL}) UNION ALL SELECT 'puntajes', NULL, count(DISTINCT id_alerta) FROM ({V2_ALL})""")
 def export_csv_json(spark, sf_dir):
-    """Outputs are written after the alerts have passed their contract; the dossier for review has no scores."""
-    path = L.workspace(spark, "salida")
-    alerts = check_alerts(_one_each(all_v2(spark, sf_dir)), ["id_alerta", "senal", "puntaje"])
-    newer = all_v6(spark, sf_dir)
-    blind = blind_sample(newer, prioritize(newer, 20), 10, 42)
+    """Four outputs that are published together, once what was written has passed: identifiers without repeats, a
+    summary that adds up, scores for all alerts, and a dossier for review without scores."""
+    releases = Releases(spark, L.workspace(spark, "salida"))
+    alerts = check_alerts(L.once(_one_each(all_v2(spark, sf_dir)), "alertas"), ["id_alerta", "senal", "puntaje"])
+    newer = L.once(all_v6(spark, sf_dir), "alertas6")
+    path = releases.stage()
     alerts.write.option("header", True).csv(f"{path}/alertas")
     alerts.groupBy("senal").count().write.json(f"{path}/resumen")
     alerts.write.parquet(f"{path}/puntajes")
-    blind.write.option("header", True).csv(f"{path}/expediente_ciego")
-    if {"puntaje", "grado_evidencia"} & set(blind.columns):
-        raise ValueError("the blind dossier shows scores")
+    blind_sample(newer, prioritize(newer, 20), 10, 42).write.option("header", True).csv(f"{path}/expediente_ciego")
+    releases.publish(path, exported(spark, path, newer))
+    return outputs(spark, releases.current()["path"])
+
+
+def _read(spark, path):
+    """(alerts, summary, dossier, scores) as written."""
+    alerts = spark.read.schema("id_alerta string, senal string, puntaje double").option("header", True).csv(f"{path}/alertas")
+    return alerts, spark.read.schema("senal string, count long").json(f"{path}/resumen"), spark.read.option("header", True).csv(f"{path}/expediente_ciego"), spark.read.parquet(f"{path}/puntajes")
+
+
+def exported(spark, path, newer):
+    """The checks of a staged export."""
+    alerts, summary, dossier, scores = _read(spark, path)
+    once = lambda df: df.agg((F.count("*") == F.count_distinct("id_alerta")) & (F.count("*") == F.count("id_alerta"))).first()[0]
+    return [
+        ("alerts without repeats", lambda: once(alerts)),
+        ("a summary that adds up", lambda: (summary.agg(F.sum("count")).first()[0] or 0) == alerts.count()),
+        ("scores of all alerts", lambda: once(scores) and scores.filter("puntaje IS NULL").count() == 0 and scores.join(alerts, "id_alerta", "left_anti").count() == 0 and scores.count() == alerts.count()),
+        ("a dossier without scores", lambda: not {"puntaje", "grado_evidencia"} & set(dossier.columns)),
+        ("a dossier of known alerts", lambda: once(dossier) and dossier.join(newer, "id_alerta", "left_anti").count() == 0),
+    ]
+
+
+def outputs(spark, path):
+    """How many rows each output of a release has."""
     none = F.lit(None).cast("string")
-    back = spark.read.schema("id_alerta string, senal string, puntaje double").option("header", True).csv(f"{path}/alertas").groupBy("senal").agg(F.count("*").alias("filas")).select(F.lit("alertas").alias("salida"), "senal", "filas")
-    counts = spark.read.schema("senal string, count long").json(f"{path}/resumen").select(F.lit("resumen"), "senal", "count")
-    dossier = spark.read.option("header", True).csv(f"{path}/expediente_ciego").agg(F.lit("expediente_ciego"), none, F.count("*"))
-    return back.union(counts).union(dossier).union(spark.read.parquet(f"{path}/puntajes").agg(F.lit("puntajes"), none, F.count("*")))
+    alerts, summary, dossier, scores = _read(spark, path)
+    rows = alerts.groupBy("senal").agg(F.count("*").alias("filas")).select(F.lit("alertas").alias("salida"), "senal", "filas").union(summary.select(F.lit("resumen"), "senal", "count"))
+    return rows.union(dossier.agg(F.lit("expediente_ciego"), none, F.count("*"))).union(scores.agg(F.lit("puntajes"), none, F.count("*")))
 
 
 def _one_each(alerts):
@@ -229,9 +262,16 @@ def _one_each(alerts):
 
 @query("save_alerts", f"SELECT senal, anio, count(*) AS alertas, round(sum(kg), 2) AS kg FROM (SELECT min(senal) AS senal, min(anio) AS anio, sum(kg) AS kg FROM ({V2_ALL}) GROUP BY id_alerta) GROUP BY senal, anio")
 def save_alerts(spark, sf_dir):
-    path = L.workspace(spark, "alertas")
-    L.write_partitioned(check_alerts(_one_each(all_v2(spark, sf_dir)), ["id_alerta", "senal", "kg", "anio", "mes"]), path)
-    return spark.read.parquet(path).groupBy("senal", "anio").agg(F.count("*").alias("alertas"), F.round(F.sum("kg"), 2).alias("kg"))
+    """Alerts by year and month, published once what was written has unique identifiers and its contract's columns."""
+    releases, wanted = Releases(spark, L.workspace(spark, "alertas")), ["id_alerta", "senal", "kg", "anio", "mes"]
+    path = releases.stage()
+    L.write_partitioned(check_alerts(_one_each(all_v2(spark, sf_dir)), wanted), path)
+    written = spark.read.parquet(path)
+    releases.publish(path, [
+        ("the contract's columns", lambda: set(wanted) <= set(written.columns)),
+        ("alerts without repeats", lambda: written.agg(F.count("*") == F.count_distinct("id_alerta")).first()[0]),
+    ])
+    return spark.read.parquet(releases.current()["path"]).groupBy("senal", "anio").agg(F.count("*").alias("alertas"), F.round(F.sum("kg"), 2).alias("kg"))
 
 
 LINES = "SELECT concat('f', CAST(o_orderkey % 200 AS string), '.csv') AS archivo, o_orderkey AS n, CASE WHEN o_orderkey % 200 < 50 THEN concat('a;', CAST(o_custkey AS string), ';b,c') WHEN o_orderkey % 200 < 100 THEN concat('a|', CAST(o_custkey AS string)) WHEN o_orderkey % 200 < 150 THEN 'titulo' ELSE 'a,b,c' END AS value FROM orders"
@@ -244,12 +284,20 @@ def detect_delimiter(spark, sf_dir):
 
 @query("incremental_bronze", f"SELECT canal, count(*) AS filas, sum(kg) AS kg FROM ({SALE}) GROUP BY canal")
 def incremental_bronze(spark, sf_dir):
-    """Two deliveries, and then all files once more with a new state, as if the old one were lost: nothing doubles."""
+    """Two deliveries, then all files once more with a new state, as if the old one were lost: nothing doubles. A file
+    that comes by mistake and goes again leaves nothing."""
     path, df = L.workspace(spark, "flujo"), _sales(spark, sf_dir)
-    for state, where in (("estado", "canal = 'A'"), ("estado", "canal <> 'A'"), ("estado_nuevo", "false")):
-        df.filter(where).write.mode("append").parquet(f"{path}/bronze")
-        ingest(spark, f"{path}/bronze", StructType(df.schema.fields), f"{path}/silver", f"{path}/{state}", lambda b: b.filter("kg is not null"))
-    return spark.read.parquet(f"{path}/silver").groupBy("canal").agg(F.count("*").alias("filas"), F.sum("kg").alias("kg"))
+    schema = StructType(df.schema.fields)
+    valid = lambda b: b.filter("kg is not null")
+    for name, state, where in (("primera", "estado", "canal = 'A'"), ("segunda", "estado", "canal <> 'A'"), ("tercera", "estado_nuevo", "false")):
+        df.filter(where).write.parquet(f"{path}/bronze/{name}")
+        ingest(spark, f"{path}/bronze/*", schema, f"{path}/silver", f"{path}/{state}", valid)
+    ledger = Ledger(spark, f"{path}/silver")
+    df.filter("canal = 'R'").write.parquet(f"{path}/bronze/error")
+    ledger.sync(f"{path}/bronze/*", schema, valid)
+    L.delete(spark, f"{path}/bronze/error")
+    ledger.sync(f"{path}/bronze/*", schema, valid)
+    return ledger.rows(schema).groupBy("canal").agg(F.count("*").alias("filas"), F.sum("kg").alias("kg"))
 
 
 @query("event_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS desde, event_type, count(*) AS n, round(sum(value), 4) AS suma FROM events GROUP BY ALL")
@@ -269,26 +317,29 @@ def compact_files(spark, sf_dir):
     return out.crossJoin(many).crossJoin(few).select("filas", "kg", (F.col("n") < F.col("before")).alias("menos_archivos"), (F.col("most") <= 2 * size).alias("cerca_del_tamano"))  # single rows
 
 
-@query("lineage_columns", "SELECT documento, linea, 'com_19' AS origen, canal AS hoja, row_number() OVER (PARTITION BY canal ORDER BY documento, linea, fecha, placa_norm, kg, precio, id_producto) AS fila FROM ventas")
+@query("lineage_columns", "SELECT CAST(l_orderkey AS string) AS documento, l_linenumber AS linea, 'com_19' AS origen, l_returnflag AS hoja, fila FROM (SELECT *, row_number() OVER () AS fila FROM lineitem) WHERE l_linestatus = 'F'")
 def lineage_columns(spark, sf_dir):
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("canal").orderBy("documento", "linea", "fecha", "placa_norm", "kg", "precio", "id_producto")
-    return table(spark, sf_dir, "ventas").select("documento", "linea", F.lit("com_19").alias("origen"), F.col("canal").alias("hoja"), F.row_number().over(order).alias("fila"))
+    """Sales with their source, sheet and row: the place in the file that was delivered, as the scan knows it."""
+    rows = L.positions(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
+    return rows.filter("l_linestatus = 'F'").select(F.col("l_orderkey").cast("string").alias("documento"), F.col("l_linenumber").alias("linea"), F.lit("com_19").alias("origen"), F.col("l_returnflag").alias("hoja"), "fila")
 
 
-@query("lineage_trace", "SELECT placa_norm, anio, count(*) AS lineas, count(DISTINCT hoja) AS hojas, true AS con_archivo FROM (SELECT placa_norm, anio, canal AS hoja FROM ventas) GROUP BY placa_norm, anio")
+@query("lineage_trace", "SELECT placa_norm, anio, count(*) AS lineas, count(DISTINCT hoja) AS hojas, true AS con_archivo, true AS fila_cierta FROM (SELECT placa_norm, anio, canal AS hoja FROM ventas) GROUP BY placa_norm, anio")
 def lineage_trace(spark, sf_dir):
-    """Gold rows back to the Silver rows they sum, and by their source and file to the manifest of what was delivered."""
+    """Gold rows back to the Silver rows they sum, by source and file to the manifest of what was delivered, and by the
+    row's place to the very line of the file."""
     path = L.workspace(spark, "traza")
     _sales(spark, sf_dir).write.option("header", True).partitionBy("canal").csv(f"{path}/bronze/com_19")
     manifest = L.file_manifest(spark, f"{path}/bronze", "2024-01-01").select("ruta", "sha256", L.source_code(F.col("ruta")).alias("origen"))
     cells = "documento string, linea int, placa_norm string, fecha date, kg double, anio int, mes int, canal string"
-    silver = spark.read.schema(cells).option("header", True).csv(f"{path}/bronze/com_19")
-    silver = silver.select("placa_norm", "anio", F.col("canal").alias("hoja"), "kg", F.lit("com_19").alias("origen"), F.col("_metadata.file_path").alias("archivo"))
+    silver = L.positions(spark.read.schema(cells).option("header", True).csv(f"{path}/bronze/com_19"), first=2)  # the header is row 1
+    silver = silver.select("documento", "linea", "placa_norm", "anio", F.col("canal").alias("hoja"), "kg", F.lit("com_19").alias("origen"), "archivo", "fila")
+    lines = L.positions(spark.read.text(f"{path}/bronze/com_19").select("value", "_metadata")).select("archivo", "fila", "value")
     gold = silver.groupBy("placa_norm", "anio").agg(F.sum("kg").alias("kg_vendidos"))
     traced = gold.join(silver, ["placa_norm", "anio"]).join(manifest.withColumnRenamed("origen", "codigo"), (L.same_path("archivo", "ruta")) & (F.col("origen") == F.col("codigo")), "left")
-    return traced.groupBy("placa_norm", "anio").agg(F.count("*").alias("lineas"), F.count_distinct("hoja").alias("hojas"), F.bool_and(F.col("sha256").isNotNull()).alias("con_archivo"))
+    traced = traced.join(lines, ["archivo", "fila"], "left")
+    right = F.bool_and(F.coalesce(F.col("value").startswith(F.concat_ws(",", "documento", F.col("linea").cast("string"), "placa_norm")), F.lit(False)))
+    return traced.groupBy("placa_norm", "anio").agg(F.count("*").alias("lineas"), F.count_distinct("hoja").alias("hojas"), F.bool_and(F.col("sha256").isNotNull()).alias("con_archivo"), right.alias("fila_cierta"))
 
 
 @query("v2_pipeline", f"""SELECT 'movimientos' AS tabla, count(*) AS filas, round(sum(kg_comprados), 2) AS kg_comprados FROM mov UNION ALL SELECT 'conciliacion', count(*), round(sum(kg_comprados), 2) FROM ({SUMS})

@@ -81,17 +81,69 @@ def delivery_coverage(sources: DataFrame, latest: DataFrame) -> DataFrame:
     return sources.join(found, "codigo", "left").fillna(0, ["archivos"]).withColumn("estado", F.when(F.col("archivos") > 0, "disponible").otherwise("sin_archivos"))
 
 
+#: Bytes of a file that Spark reads as one value; larger ones are read in stretches of STRETCH.
+WHOLE, STRETCH = 256 << 20, 8 << 20
+
+
+def _stretched(batches):
+    """SHA-256 of each file of (ruta, bytes), read in stretches inside the task."""
+    import hashlib
+    from urllib.parse import quote
+
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            h, (store, at) = hashlib.sha256(), fs.FileSystem.from_uri(quote(re.sub("^file:/+", "file:///", path), safe="/:@"))
+            with store.open_input_stream(at, compression=None) as f:
+                while part := f.read(STRETCH):
+                    h.update(part)
+            found.append(h.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["ruta", "bytes", "sha256"])
+
+
+def digests(spark: SparkSession, path: str, whole: int = WHOLE) -> DataFrame:
+    """(ruta, bytes, sha256) of all files under a path. Files of up to ``whole`` bytes are values of a scan; larger
+    ones, of any size, are dealt to tasks, which read them in stretches through the store their path names. Files
+    without a byte are none to a scan, and left out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    size = F.col("length")
+    small = files.load(path).filter(size <= whole).select(F.col("path").alias("ruta"), size.alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.load(path).filter(size > whole).select(F.col("path").alias("ruta"), size.alias("bytes"))
+    if not large.limit(1).count():
+        return small
+    return small.union(large.repartition("ruta").mapInArrow(_stretched, "ruta string, bytes long, sha256 string"))
+
+
 def file_manifest(spark: SparkSession, path: str, load_date: str, previous: DataFrame | None = None, text: bool = True) -> DataFrame:
     """(nombre, ruta, bytes, sha256, filas, fecha_carga) of files, after the previous manifest's, whose files (same
     path and digest) are not repeated. Rows are counted in text files alone."""
-    now = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    now = now.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("nombre"), F.col("path").alias("ruta"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    now = digests(spark, path).select(F.regexp_extract("ruta", r"([^/]+)$", 1).alias("nombre"), "ruta", "bytes", "sha256")
     counts = row_counts(spark, path).withColumnRenamed("ruta", "_ruta") if text else None
     now = now.withColumn("filas", F.lit(None).cast("long")) if counts is None else now.join(counts, same_path("ruta", "_ruta"), "left").drop("_ruta")
     now = now.withColumn("fecha_carga", F.lit(load_date).cast("date"))
     return now if previous is None else previous.unionByName(now.join(previous, ["ruta", "sha256"], "left_anti"))
 
 
+def positions(scan: DataFrame, first: int = 1) -> DataFrame:
+    """``scan``, read from files and not changed yet, with ``archivo`` and ``fila``: each row's place in its file, from
+    ``first`` on.
+
+    The scan is written with what it knows: the file and block of a row, and its number in the task. Rows of a block
+    come one after the other, so a place is the number since the block's first and the rows of the file's blocks before
+    it: sums of as many rows as there are blocks, and no sort of the rows.
+    """
+    meta = F.col("_metadata")
+    own = [c for c in scan.columns if c != "_metadata"]
+    rows = once(scan.select(*own, meta["file_path"].alias("archivo"), meta["file_block_start"].alias("_block"), F.monotonically_increasing_id().alias("_n")), "filas")
+    blocks = rows.groupBy("archivo", "_block").agg(F.min("_n").alias("_first"), F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy("archivo").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = blocks.select("archivo", "_block", "_first", before.alias("_before"))
+    return rows.join(starts, ["archivo", "_block"]).withColumn("fila", F.col("_n") - F.col("_first") + F.col("_before") + first).select(*own, "archivo", "fila")
+
+
 def same_path(a: str, b: str) -> Column:
     """Whether two paths are one, however the slashes after their scheme are written."""
     return F.regexp_replace(a, "^([a-z]+:)/+", "$1/") == F.regexp_replace(b, "^([a-z]+:)/+", "$1/")
@@ -163,6 +215,12 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 128
     spark.read.parquet(source).repartition(max(1, -(-size // file_bytes))).write.parquet(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder of any of Spark's file systems."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 #: The folder of sessions on a local master that name none, as in tests.
 _OWN: list[str] = []
 
