@@ -1,4 +1,4 @@
-"""License scans: winnowed fingerprints pick candidates, and banded alignment reports coverage and spans.
+"""License scans: winnowed fingerprints pick candidates, and alignment reports coverage and spans.
 
 Texts and templates are sequences of words, lower-cased (A-Z) and without punctuation at their ends. Fingerprints are
 hashes of word runs, of which each window of neighbours gives its smallest. A template's run of
@@ -20,11 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilotrace.llm.common import documents
+from kilotrace.llm.common import chunks, documents
 from kilotrace.llm.templates import usual_templates
 
 EDGES = ".,;:!?()[]{}<>\"'*#/-_|"
 PRIME = np.uint64(0x9E3779B185EBCA87)
+#: Bytes of text taken at once (a longer text is taken alone).
+CHUNK = 4 << 20
 
 
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,52 +62,55 @@ def fingerprints(words: np.ndarray, run: int, window: int) -> tuple[np.ndarray,
     return grams[chosen], chosen
 
 
-def align(text: np.ndarray, template: np.ndarray, shift: int, band: int) -> tuple[int, int, int]:
-    """Longest common subsequence of a template and a stretch of text, within ``band`` of the diagonal ``shift``.
-
-    Returns the words matched and the bounds of the stretch that holds them.
-    """
-    # best[d]: (matches, -first, last) at diagonal d of the current template word
-    width = 2 * band + 1
-    none = (0, 0, -1)
-    best = [none] * width
-    for j, want in enumerate(template):
-        now = [none] * width
-        for d in range(width):
-            i = j + shift + d - band
-            found = best[d]  # diagonal: both go on
-            if 0 <= i < len(text) and text[i] == want:
-                m, f, _ = found
-                found = (m + 1, f if m else -i, i)
-            if d + 1 < width and best[d + 1] > found:  # a template word is missing in the text
-                found = best[d + 1]
-            if d and now[d - 1] > found:  # the text has a word more
-                found = now[d - 1]
-            now[d] = found
-        best = now
-    m, f, last = max(best)
-    return m, -f, last + 1
-
-
-def least_hits(words: int, coverage: float, run: int, window: int) -> int:
-    """Fingerprints that a stretch shares at least, if it holds ``coverage`` of a template of so many words in order.
-
-    Words that are missing or changed part what matches into runs, one more than they are; a run of n words shares a
-    fingerprint for each window of its word runs, so (n - run - window + 2) / window at the least.
-    """
-    missing = int((1 - coverage) * words)
-    return max(1, int((words - missing - (run + window - 2) * (missing + 1)) / window))
-
-
-def scan(docs: DataFrame, templates: DataFrame | None = None, coverage: float = 0.8, run: int = 3, window: int = 2, band: int = 8, index_bytes: int = 64 << 20) -> DataFrame:
+class Template:
+    """A template's words as bits, for alignments of whole rows at a time."""
+
+    def __init__(self, words: np.ndarray, coverage: float):
+        self.words, self.n, self.full = words, len(words), (1 << len(words)) - 1
+        self.need = max(1, int(np.ceil(coverage * self.n - 1e-9)))
+        #: Words that a text may have more than the template, and fewer.
+        self.more, self.less = 1 + self.n // 2, self.n - self.need
+        self.forward: dict[int, int] = {}
+        self.backward: dict[int, int] = {}
+        for j, w in enumerate(words.tolist()):
+            self.forward[w] = self.forward.get(w, 0) | 1 << j
+            self.backward[w] = self.backward.get(w, 0) | 1 << (self.n - 1 - j)
+
+    def _lengths(self, masks: list[int]) -> tuple[int, int]:
+        """(longest common subsequence with the words of ``masks``, how many of them it takes at the least).
+
+        A row of the table of common subsequences is a number: its bit j is 0 where the row rises after template word
+        j. A word changes it by an addition, so a step takes all of the template at once; no band is left out.
+        """
+        row, full, best, at = self.full, self.full, 0, 0
+        for i, mask in enumerate(masks, 1):
+            if mask:
+                up = row & mask
+                row = ((row + up) | (row - up)) & full
+                if (length := self.n - row.bit_count()) > best:
+                    best, at = length, i
+        return best, at
+
+    def align(self, text: list[int]) -> tuple[int, int, int]:
+        """(words matched, first, end) of the best alignment with a stretch of text: of those that match most the one
+        that ends first, and of those the one that begins last."""
+        matched, end = self._lengths([self.forward.get(w, 0) for w in text])
+        _, back = self._lengths([self.backward.get(w, 0) for w in text[:end][::-1]])
+        return matched, end - back, end
+
+
+def scan(docs: DataFrame, templates: DataFrame | None = None, coverage: float = 0.8, run: int = 3, window: int = 2, index_bytes: int = 64 << 20) -> DataFrame:
     """(doc_id, license, start_word, end_word, matched, template_words, coverage), a row for each place in a text.
 
     ``templates`` (license, text) is a table; without one, the usual licenses. Words are numbered from 0 among the
     text's space-separated words; the end is exclusive. The inverted index of the templates' fingerprints goes to
-    every task, so templates of more than ``index_bytes`` are refused; a text takes one pass. A place is a candidate
-    if it shares as many fingerprints as ``coverage`` takes (see ``least_hits``). The alignment's band is a sixth of
-    the template and one word, ``band`` at most, so that a short template's alignment doesn't reach into the next copy.
-    A template must have ``run + window - 1`` words at least, so that every text that holds it shares a fingerprint.
+    every task, so templates of more than ``index_bytes`` are refused; a text takes one pass.
+
+    A place holds ``coverage`` of the template's words in order, in a stretch with at most half as many words more as
+    the template has, wherever they stand: so a paragraph in its middle parts nothing. Every shared fingerprint is a
+    candidate; the stretch around it is aligned in full, if it has enough of the template's words at all. Places of a
+    template do not overlap: the next begins after the end of the one before. A template must have ``run + window - 1``
+    words at least, so that every text that holds it unparted shares a fingerprint.
     """
     templates = usual_templates(docs.sparkSession) if templates is None else templates
     templates = templates.select("license", "text").dropna().distinct()
@@ -113,47 +118,54 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, coverage: float =
     if size > index_bytes:
         raise ValueError(f"templates of {size} bytes: the index is for {index_bytes} at most")
     rows = sorted((r["license"], r["text"]) for r in templates.collect())
-    names, bodies = [n for n, _ in rows], [hashed_words(pa.array([text]))[0] for _, text in rows]
-    if short := [n for n, body in zip(names, bodies, strict=True) if len(body) < run + window - 1]:
+    names, bodies = [n for n, _ in rows], [Template(hashed_words(pa.array([text]))[0], coverage) for _, text in rows]
+    if short := [n for n, body in zip(names, bodies, strict=True) if body.n < run + window - 1]:
         raise ValueError(f"templates of fewer than {run + window - 1} words: {short}")
     index: dict[int, list[tuple[int, int]]] = {}
     for t, body in enumerate(bodies):
-        for h, at in zip(*fingerprints(body, run, window), strict=True):
+        for h, at in zip(*fingerprints(body.words, run, window), strict=True):
             index.setdefault(int(h), []).append((t, int(at)))
     keys = np.array(sorted(index), np.uint64)
 
     def of_text(words: np.ndarray, anchors: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-        shifts: dict[int, list[int]] = {}
+        shifts: dict[int, list[tuple[int, int]]] = {}
         for key, at in anchors:
             for t, place in index[key]:
-                shifts.setdefault(t, []).append(at - place)
-        found: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+                shifts.setdefault(t, []).append((at, at - place))
+        found = []
         for t, every in shifts.items():
-            n, every, last = len(bodies[t]), np.sort(every), None
-            own, need = min(band, 1 + n // 6), least_hits(n, coverage, run, window)
-            near = np.searchsorted(every, every + own, "right") - np.searchsorted(every, every - own, "left")
-            for shift in every[near >= need].tolist():
-                if last is not None and shift - last <= own // 2:
+            body, done, seen = bodies[t], 0, None
+            has = np.concatenate([[0], np.cumsum(np.isin(words, body.words))])
+            for at, shift in every:
+                if at < done:
+                    continue
+                low = max(done, shift - body.more, 0)
+                if low == seen:
+                    continue
+                seen, high = low, min(len(words), max(low, shift) + body.n + body.more)
+                if has[high] - has[low] < body.need:
                     continue
-                last, low = shift, max(0, shift - own)
-                m, a, b = align(words[low : shift + n + own], bodies[t], shift - low, own)
-                if m >= coverage * n and ((t, low + a) not in found or found[t, low + a][3] < m):
-                    found[t, low + a] = (t, low + a, low + b, m)
-        return sorted(found.values())
+                m, a, b = body.align(words[low:high].tolist())
+                if m >= body.need and b - a <= body.n + body.more:
+                    found.append((t, low + a, low + b, m))
+                    done, seen = low + b, None
+        return sorted(found)
 
     def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, ends, place = hashed_words(batch.column(1))
+        for batch in (part for whole in batches for part in chunks(whole, 1, CHUNK)):
+            words, ends, place = hashed_words(batch.column(1).cast(pa.large_string()))
             grams, at = fingerprints(words, run, window)
             hit = keys[np.minimum(np.searchsorted(keys, grams), len(keys) - 1)] == grams if len(keys) else np.zeros(len(grams), bool)
             grams, at = grams[hit], at[hit]
-            owner = np.searchsorted(ends, at, "right") - 1
+            owner = np.searchsorted(ends, at, "right") - 1  # rises with the place
+            cuts = np.flatnonzero(np.diff(owner, prepend=-1))
             rows = []
-            for doc in np.unique(owner):
+            for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(owner)], strict=False):
+                doc = int(owner[lo])
                 first, last = ends[doc], ends[doc + 1]
-                own = [(int(g), int(a - first)) for g, a in zip(grams[owner == doc], at[owner == doc], strict=True)]
+                own = list(zip(grams[lo:hi].tolist(), (at[lo:hi] - first).tolist(), strict=True))
                 for t, a, b, m in of_text(words[first:last], own):
-                    rows.append((batch.column(0)[int(doc)].as_py(), names[t], int(place[first + a]), int(place[first + b - 1]) + 1, m, len(bodies[t]), m / len(bodies[t])))
+                    rows.append((batch.column(0)[doc].as_py(), names[t], int(place[first + a]), int(place[first + b - 1]) + 1, m, bodies[t].n, m / bodies[t].n))
             columns = list(zip(*rows, strict=True)) or [()] * 7
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "license", "start_word", "end_word", "matched", "template_words", "coverage"])
