@@ -17,7 +17,7 @@ from kilotrace.queries.silver import BUY, RAW_BUY
 from kilotrace.sources import lake as L
 from kilotrace.sources.domain import PILOT, sql, table
 from kilotrace.sources.releases import Releases
-from kilotrace.streaming.ingest import Ledger, ingest, windowed_sums
+from kilotrace.streaming.ingest import Ledger, ingest, present_windows, stream_windows
 
 SALE = "SELECT documento, linea, placa_norm, fecha, kg, canal, anio, mes FROM ventas"
 
@@ -302,7 +302,16 @@ def incremental_bronze(spark, sf_dir):
 
 @query("event_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS desde, event_type, count(*) AS n, round(sum(value), 4) AS suma FROM events GROUP BY ALL")
 def event_windows(spark, sf_dir):
-    return windowed_sums(table(spark, sf_dir, "events")).withColumn("suma", F.round("suma", 4))
+    """A stream over the table in four deliveries, the earliest events first, in as many batches."""
+    path, df = L.workspace(spark, "ventanas"), table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    cuts = df.agg(F.percentile_approx(F.col("ts").cast("double"), F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)]))).first()[0] or []
+    seconds = F.col("ts").cast("double")
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = df if low is None else df.filter(seconds > low)
+        part = part if high is None else part.filter(seconds <= high)
+        part.write.mode("append").parquet(f"{path}/llegadas")
+        stream_windows(spark, f"{path}/llegadas", df.schema, f"{path}/sumas", f"{path}/estado")
+    return present_windows(spark, f"{path}/sumas").withColumns({"desde": F.col("desde").cast("timestamp_ntz"), "suma": F.round("suma", 4)})
 
 
 @query("compact_files", f"SELECT count(*) AS filas, sum(kg) AS kg, true AS menos_archivos, true AS cerca_del_tamano FROM ({SALE})")

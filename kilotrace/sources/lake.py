@@ -239,9 +239,39 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_OWN[0]}"
 
 
+_OWNERS: list[Owner] = []
+
+
+class Owner:
+    """Owns the folders that are made while it is open, and deletes them when it closes.
+
+    ``with Owner(spark): query(spark, dir).write.parquet(out)`` leaves nothing in the shared folder. Results that are
+    read later must be written before it closes. Without an owner, folders stay with the cluster's other checkpoints.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Owner:
+        _OWNERS.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _OWNERS.remove(self)
+        for path in self.paths:
+            delete(self.spark, path)
+
+
+def owned(path: str) -> str:
+    """``path``, which the innermost open owner is to delete."""
+    if _OWNERS:
+        _OWNERS[-1].paths.append(path)
+    return path
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder that all executors share."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return owned(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
 
 
 def once(df: DataFrame, name: str) -> DataFrame:

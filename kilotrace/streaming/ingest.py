@@ -106,5 +106,25 @@ def ingest(spark: SparkSession, source: str, schema: StructType, target: str, st
 
 
 def windowed_sums(events: DataFrame, length: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Sums by event-time window and kind, for streams and tables: rows later than the watermark are left out."""
+    """Sums by event-time window and kind, for streams and tables: on a stream, rows later than the watermark are left out."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", length), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("suma")).select(F.col("window.start").alias("desde"), "event_type", "n", "suma")
+
+
+def stream_windows(spark: SparkSession, source: str, schema: StructType, target: str, state: str, length: str = "1 hour", late: str = "10 minutes", files: int | None = None) -> None:
+    """Runs ``windowed_sums`` over the files that have arrived and have not been taken up, ``files`` to a batch, and
+    keeps the present sums in ``target``: the windows that a batch has changed are written for that batch, with its
+    number, so a batch that is repeated writes them over. State is bounded by the watermark."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("lote", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("lote").parquet(target)
+
+    reader = spark.readStream.schema(schema).format("parquet")
+    stream = (reader if files is None else reader.option("maxFilesPerTrigger", files)).load(source)
+    sums = windowed_sums(stream, length, late)
+    sums.writeStream.outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+
+
+def present_windows(spark: SparkSession, target: str) -> DataFrame:
+    """Each window's sums as the last batch that changed it has them."""
+    rows = spark.read.schema("desde timestamp, event_type string, n long, suma double, lote long").parquet(target)
+    return rows.groupBy("desde", "event_type").agg(F.max(F.struct("lote", "n", "suma")).alias("s")).select("desde", "event_type", "s.n", "s.suma")

@@ -176,3 +176,37 @@ def test_no_tables_are_left(spark):
     before = {t.name for t in spark.catalog.listTables()}
     assert external_tables(spark, "/root/testdata/sf0.001").count() == 8
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_owner_deletes_what_was_made(spark):
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no tables")
+    from kilotrace.queries import QUERIES
+    from kilotrace.sources.lake import Owner, once
+
+    with Owner(spark) as outer:
+        kept = once(spark.range(3).toDF("k"), "fuera")
+        with Owner(spark) as inner:
+            rows = QUERIES["write_per_source"](spark, "/root/testdata/sf0.001").collect()
+        assert rows and inner.paths and not any(os.path.exists(p.removeprefix("file://")) for p in inner.paths)
+        assert kept.count() == 3 and len(outer.paths) == 1
+    assert not os.path.exists(outer.paths[0].removeprefix("file://"))
+
+
+def test_windows_of_a_stream(spark, tmp_path):
+    """Windows go on over batches; a batch that is repeated changes nothing; rows later than the watermark are left out."""
+    from kilotrace.streaming.ingest import present_windows, stream_windows
+
+    base = f"file://{tmp_path}"
+    put = lambda *rows: spark.createDataFrame(list(rows), "t string, event_type string, value double").selectExpr("CAST(t AS timestamp) AS ts", "event_type", "value").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    schema = StructType.fromDDL("ts timestamp, event_type string, value double")
+    run = lambda: stream_windows(spark, f"{base}/in", schema, f"{base}/out", f"{base}/state")
+    put(("2024-01-01 10:05:00", "a", 1.0), ("2024-01-01 10:40:00", "a", 2.0), ("2024-01-01 10:50:00", "b", 4.0))
+    run()
+    put(("2024-01-01 10:55:00", "a", 8.0), ("2024-01-01 13:00:00", "a", 16.0))
+    run()
+    run()  # nothing has come
+    put(("2024-01-01 10:59:00", "a", 32.0), ("2024-01-01 12:55:00", "a", 64.0))  # the first is hours late, the second within ten minutes
+    run()
+    got = {(str(x.desde)[11:13], x.event_type): (x.n, x.suma) for x in present_windows(spark, f"{base}/out").collect()}
+    assert got == {("10", "a"): (3, 11.0), ("10", "b"): (1, 4.0), ("12", "a"): (1, 64.0), ("13", "a"): (1, 16.0)}
