@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilotrace.sources.lake import shared_dir
+from kilotrace.sources.lake import owned, shared_dir
 
 #: White space of the contracts: space, and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -44,12 +44,12 @@ def free(name: str, *tables: DataFrame) -> str:
 class Scratch:
     """Written tables of one operator run. Writing one cuts the lineage, so a lost executor costs one step.
 
-    Tables that the operator has done with are dropped as it goes. Those its result still reads stay: the folder
-    belongs to the cluster, which clears it with the application's other checkpoints.
+    Tables that the operator has done with are dropped as it goes. Those its result still reads stay, until the open
+    owner closes (see ``lake.Owner``), or else as long as the cluster keeps the application's other checkpoints.
     """
 
     def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}", 0
+        self.spark, self.root, self.n = spark, owned(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"), 0
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Writes ``df`` and returns the table as read again."""
