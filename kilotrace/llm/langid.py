@@ -57,9 +57,8 @@ class Model:
         return (presence @ self.weights) / np.sqrt(sizes)[:, None]
 
 
-def fit(rows: list[tuple[str, bytes]], landmarks: int = 160, ridge: float = 1e-2) -> Model | None:
-    """Kernel ridge regression on (language, text) rows over ``landmarks`` of them."""
-    rows = [(lang, codes(raw)) for lang, raw in rows]
+def fit(rows: list[tuple[str, np.ndarray]], landmarks: int = 160, ridge: float = 1e-2) -> Model | None:
+    """Kernel ridge regression on (language, n-grams of a text) rows over ``landmarks`` of them."""
     rows = [r for r in rows if len(r[1])]
     if not rows:
         return None
@@ -86,10 +85,11 @@ def fit(rows: list[tuple[str, bytes]], landmarks: int = 160, ridge: float = 1e-2
     return Model(languages, grams, (marks.T @ (root @ solved)).astype(np.float32))
 
 
-def training_rows(labelled: DataFrame, per_language: int, languages: int | None, longest: int) -> list[tuple[str, bytes]]:
+def training_rows(labelled: DataFrame, per_language: int, languages: int | None) -> list[tuple[str, np.ndarray]]:
     """A sample of ``labelled`` (text, lang): the ``per_language`` distinct texts of least hash of each language, so
-    that copies count once, each language has rows and a rerun takes the same. A text teaches by ``longest``
-    characters from its first letter. ``languages`` can bound the languages to those of the most rows."""
+    that copies count once, each language has rows and a rerun takes the same. A text teaches as a whole: its distinct
+    n-grams are found in the tasks, and those alone come to the driver. ``languages`` can bound the languages to those
+    of the most rows."""
     usable = labelled.filter(F.col("lang").isNotNull() & _has_letter(F.col("text")))
     if languages is not None:
         usable = usable.join(F.broadcast(usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")), "lang", "left_semi")
@@ -97,20 +97,25 @@ def training_rows(labelled: DataFrame, per_language: int, languages: int | None,
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     least = hashed.select("lang", "h").distinct().withColumn("r", rank).filter(F.col("r") <= per_language)
     least = least.groupBy("lang").agg(F.max("h").alias("last"))  # as many rows as languages
-    excerpt = F.when(F.length("text") <= longest, F.col("text")).otherwise(F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, longest))
-    chosen = hashed.join(F.broadcast(least), "lang").filter("h <= last").select("lang", "h", excerpt.alias("text")).dropDuplicates(["lang", "h"])
-    taken = sorted(chosen.collect(), key=lambda r: (r["h"], r["lang"]))
-    return [(r["lang"], r["text"].encode()) for r in taken]
+    chosen = hashed.join(F.broadcast(least), "lang").filter("h <= last").dropDuplicates(["lang", "h"]).select("lang", "h", "text")
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [codes(t.as_py().encode()).tobytes() for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["lang", "h", "grams"])
+
+    taken = sorted(chosen.mapInArrow(grams, "lang string, h long, grams binary").collect(), key=lambda r: (r["h"], r["lang"]))
+    return [(r["lang"], np.frombuffer(r["grams"], np.uint32)) for r in taken]
 
 
 def _has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def identify(docs: DataFrame, labelled: DataFrame, per_language: int = 300, languages: int | None = None, longest: int = 20_000) -> DataFrame:
+def identify(docs: DataFrame, labelled: DataFrame, per_language: int = 300, languages: int | None = None) -> DataFrame:
     """``docs`` with lang_pred and score (0 to 1: the language's share of the positive regression values), which come
     last, whatever their names (see above)."""
-    model = fit(training_rows(labelled, per_language, languages, longest))
+    model = fit(training_rows(labelled, per_language, languages))
     held = docs.sparkSession.sparkContext.broadcast(model)
     names, added = docs.columns, [free("lang_pred", docs), free("score", docs)]
     schema = StructType([*docs.schema.fields, StructField(added[0], StringType()), StructField(added[1], DoubleType())])

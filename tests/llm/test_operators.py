@@ -340,13 +340,14 @@ def test_language(spark, none):
 
 
 def test_language_of_skewed_texts(spark):
-    from kilotrace.llm.langid import training_rows
+    from kilotrace.llm.langid import codes, training_rows
 
-    rows = [(f"eins zwei {i}", "de") for i in range(50)] + [("kopie", "de")] * 5000
+    rows = [(f"eins zwei {i * 7919}", "de") for i in range(50)] + [("kopie", "de")] * 5000
     rows += [("1" * 30000 + "très long " * 3000, "fr")] + [(f"word {i}", f"x{i}") for i in range(130)]
-    got = training_rows(spark.createDataFrame(rows, "text string, lang string"), 40, None, 20_000)
-    assert len({t for lang, t in got if lang == "de"}) == 40 and len(got) == 40 + 1 + 130
-    assert [t.decode() for lang, t in got if lang == "fr"] == [("très long " * 3000)[:20_000]]
+    got = training_rows(spark.createDataFrame(rows, "text string, lang string"), 40, None)
+    assert len({g.tobytes() for lang, g in got if lang == "de"}) == 40 and len(got) == 40 + 1 + 130
+    long = codes(("1" * 30000 + "très long " * 3000).encode())  # all of it, the end included
+    assert [g.tolist() for lang, g in got if lang == "fr"] == [long.tolist()]
 
 
 def base_of(rows, held):

@@ -157,7 +157,7 @@ def test_language_against_a_dense_kernel():
     kinds = {"en": ["the", "of", "and", "thing"], "fr": ["le", "eux", "tion", "eau"], "de": ["der", "ung", "schen", "ich"]}
     make = lambda lang: " ".join(r.choice(kinds[lang]) + r.choice(kinds[lang]) for _ in range(r.randrange(2, 9))).encode()
     rows = [(lang, make(lang)) for lang in kinds for _ in range(12)]
-    model = fit(rows, landmarks=10_000, ridge=1e-2)
+    model = fit([(lang, codes(raw)) for lang, raw in rows], landmarks=10_000, ridge=1e-2)
     grams = [set(codes(raw).tolist()) for _, raw in rows]
     kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
     k = np.array([[kernel(a, b) for b in grams] for a in grams])
@@ -172,7 +172,7 @@ def test_language_against_a_dense_kernel():
 def test_language_ties_go_by_order():
     from kilotrace.llm.langid import codes, fit
 
-    model = fit([("b", b"same text"), ("a", b"same text")])
+    model = fit([("b", codes(b"same text")), ("a", codes(b"same text"))])
     assert model.languages[int(model.scores([codes(b"same text")]).round(6).argmax())] == "a"
 
 
