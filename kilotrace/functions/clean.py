@@ -33,8 +33,8 @@ def strip(c: Column) -> Column:
 
 
 def some(c: Column) -> Column:
-    """The text, or null where it is empty."""
-    return F.when(c != "", c)
+    """Null for an empty text. (nullif works out its argument once, a condition on it twice.)"""
+    return F.nullif(c, F.lit(""))
 
 
 def squeeze(c: Column) -> Column:
@@ -64,7 +64,7 @@ def plate(c: Column) -> tuple[Column, Column]:
     date = r"\d{2}/\d{2}/\d{4}"
     up = F.upper(c)
     bare = F.regexp_replace(F.regexp_replace(up, date, ""), "[^A-Z0-9]", "")
-    return F.when(bare.rlike(r"^[A-Z0-9]{6}\z"), bare), some(F.regexp_extract(up, date, 0))
+    return some(F.regexp_extract(bare, r"^[A-Z0-9]{6}\z", 0)), some(F.regexp_extract(up, date, 0))
 
 
 def blank(c: Column) -> Column:
