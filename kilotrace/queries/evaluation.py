@@ -233,6 +233,20 @@ def model_grid(spark, sf_dir):
     return _grid(spark, sf_dir, train, queries)
 
 
+@query("model_grid_lof", f"""WITH vec AS ({VECTOR}), s AS ({SCALE}), tr AS (SELECT * FROM s WHERE anio < {PILOT}), qu AS (SELECT * FROM s WHERE anio >= {PILOT}),
+  nt AS (SELECT * FROM ({NEAR.format(q='x', t='y')} FROM tr x JOIN tr y ON x.id <> y.id) WHERE r <= 35), nq AS (SELECT * FROM ({NEAR.format(q='x', t='y')} FROM qu x, tr y) WHERE r <= 35),
+  kd AS (SELECT id AS near, d AS kd, r AS k FROM nt WHERE r IN (10, 20, 35)), lt AS (SELECT k, id AS near, 1 / (avg(greatest(d, kd)) + 1e-10) AS l FROM nt JOIN kd USING (near) WHERE r <= k GROUP BY k, id),
+  lq AS (SELECT k, id, 1 / (avg(greatest(d, kd)) + 1e-10) AS l FROM nq JOIN kd USING (near) WHERE r <= k GROUP BY k, id),
+  sc AS (SELECT lt.k, nq.id, avg(lt.l) / max(lq.l) AS x FROM nq JOIN lt ON nq.near = lt.near AND nq.r <= lt.k JOIN lq ON lq.id = nq.id AND lq.k = lt.k GROUP BY lt.k, nq.id),
+  lab AS (SELECT concat_ws('|', placa_norm, CAST(anio AS string), CAST(mes AS string)) AS id, anio, etiqueta FROM ({LABELLED})),
+  best AS (SELECT k, anio = {PILOT} AS piloto, etiqueta, row_number() OVER (PARTITION BY k, anio = {PILOT} ORDER BY x DESC, id) AS n FROM sc JOIN lab USING (id))
+  SELECT k AS n_neighbors, c.contamination, avg(etiqueta) FILTER (piloto) AS precision_piloto, avg(etiqueta) FILTER (NOT piloto) AS precision_estabilidad FROM best, (SELECT unnest([0.02::DOUBLE, 0.05::DOUBLE]) AS contamination) c WHERE n <= 20 GROUP BY ALL""")
+def model_grid_lof(spark, sf_dir):
+    """The grid's points without chance, which SQL can work out too."""
+    train, queries, _ = _sets(spark, sf_dir)
+    return _grid(spark, sf_dir, train, queries).filter("modelo = 'lof'").select("n_neighbors", "contamination", "precision_piloto", "precision_estabilidad")
+
+
 @query("model_scores")
 def model_scores(spark, sf_dir):
     """Every unit-month with all features, scored by the best point of the grid."""
