@@ -17,6 +17,8 @@ RANGES, FEW = 512, 2_000
 
 def _steps(x: Column, low: float, high: float, curved: bool) -> Column:
     """A range's number, which never falls as x rises: of equal widths or, ``curved``, ever wider from the low end."""
+    if math.isinf(high - low):  # too far apart for a difference: all halved
+        x, low, high = x * 0.5, low / 2, high / 2
     if curved:
         far = math.log1p(1e15)
         place = F.log1p((x - low) / F.lit((high - low) / 1e15 or 5e-324)) / F.lit(far)
@@ -29,7 +31,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> d
     """The quantiles of each column at ``shares``, interpolated between neighbours as ``percentile`` does; None where a
     column has no value. Nulls are left out, and so are NaN and infinities.
 
-    A job a round over the columns still open; what comes to the driver are RANGES sums for each wanted rank, or FEW
+    ``df`` is read once a round, so it should be a written table. A job a round over the columns still open; what comes to the driver are RANGES sums for each wanted rank, or FEW
     values at the end. A round that leaves most rows in one range is followed by one whose ranges are curved.
     """
     value = {c: F.when(~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c).cast("double")) < float("inf")), F.col(c).cast("double")) for c in columns}

@@ -9,6 +9,7 @@ from kilotrace.operators.gold import group_values
 from kilotrace.operators.ordering import running_sum
 from kilotrace.operators.quantiles import exact_quantiles
 from kilotrace.operators.signals import Z_LIMIT, role_volume
+from kilotrace.sources.lake import once
 
 
 def finite(c: str) -> Column:
@@ -25,7 +26,7 @@ def robust_z(df: DataFrame, value: str, by: list[str], name: str = "z", least: f
         df = group_values(df.withColumn("_off", F.abs(F.col("_x") - F.col("_mid"))), by, F.median("_off").alias("_mad"))
     else:
         number = lambda x: F.lit(x).cast("double")
-        df = df.withColumn("_x", finite(value))
+        df = once(df.withColumn("_x", finite(value)), "puntajes")  # read once a round
         df = df.withColumn("_mid", number(exact_quantiles(df, ["_x"], [0.5])["_x"][0]))
         df = df.withColumn("_off", F.abs(F.col("_x") - F.col("_mid")))
         df = df.withColumn("_mad", number(exact_quantiles(df, ["_off"], [0.5])["_off"][0]))

@@ -12,17 +12,19 @@ def test_exact_quantiles(spark, monkeypatch):
     n = 5000
     table = {
         "even": r.normal(size=n), "hot": np.where(r.random(n) < 0.6, 3.0, r.normal(size=n)), "wide": np.exp(r.normal(size=n) * 60), "signed": r.normal(size=n) * 10.0 ** r.integers(-200, 200, n),
-        "one": np.full(n, 7.5), "whole": r.integers(0, 4, n).astype(float), "tiny": r.integers(0, 3, n) * 5e-324,
+        "one": np.full(n, 7.5), "whole": r.integers(0, 4, n).astype(float), "tiny": r.integers(0, 3, n) * 5e-324, "far": r.normal(size=n) * 10.0 ** r.integers(0, 308, n),
     }
     rows = [tuple(float(v[i]) for v in table.values()) for i in range(n)]
-    rows += [(None,) * 7, (float("nan"),) * 7, (float("inf"),) * 7, (float("-inf"),) * 7]
+    rows += [(None,) * 8, (float("nan"),) * 8, (float("inf"),) * 8, (float("-inf"),) * 8]
     df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in table)).withColumn("none", F.lit(None).cast("double")).cache()
     shares = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
     for few in (2000, 3):
         monkeypatch.setattr(Q, "FEW", few)
         got = Q.exact_quantiles(df, [*table, "none"], shares)
         for c, v in table.items():
-            assert np.allclose(got[c], np.quantile(v, shares), rtol=1e-12, atol=0), c
+            low, high = np.quantile(v, shares, method="lower"), np.quantile(v, shares, method="higher")
+            at = np.array(shares) * (n - 1)
+            assert np.allclose(got[c], np.where(low == high, low, (np.ceil(at) - at) * low + (at - np.floor(at)) * high), rtol=1e-12, atol=0), c
         assert got["none"] == [None] * 6
     spark_own = df.filter("even = even and abs(even) < 1e308").agg(F.percentile("even", F.array(*map(F.lit, shares)))).first()[0]
     assert spark_own == got["even"]
