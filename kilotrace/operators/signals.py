@@ -20,6 +20,8 @@ RULES = {
     "S2": ("factura", "alto", "F06,F07"), "S3": ("factura", "medio", "F08,F06"), "S6": ("factura", "alto", "F04,F06,PU-02"),
     "S7": ("unidad_mes", "medio", "F26,F17,F20"), "S9": ("unidad_mes", "medio", "F17,F20,F07"), "S11": ("dia", "alto", "F36"),
 }
+#: A rule that the catalogue names and that no summary counts yet.
+PENDING = {"S12": ("factura", "alto", "F01,F02,F03,F04,F06")}
 HYPOTHESES = {"S1": "H1", "S4": "H1", "S5": "H1", "S7": "H1", "S8": "H1", "S10": "H4"}
 PRICE_TOLERANCE, LOW_PRICE, RATE_TOLERANCE, STOCK_TOLERANCE, Z_LIMIT = 0.05, 0.10, 0.01, 1e-6, 3.5
 
@@ -81,7 +83,7 @@ def _json(c: Column) -> Column:
 
 def emit(df: DataFrame, signal: str, reason: Column, score: Column | None = None, kind: Column | None = None, value: Column | None = None) -> DataFrame:
     """The newer alert contract; the identifier hashes the JSON list of the alert's keys."""
-    resolution, grade, sources = RULES[signal]
+    resolution, grade, sources = (RULES | PENDING)[signal]
     has = lambda c, t="string": (F.col(c) if c in df.columns else F.lit(None)).cast(t)
     date = F.col("fecha") if "fecha" in df.columns else F.make_date("anio", "mes", F.lit(1))
     kg = has("kg", "double") if "kg" in df.columns else has("kg_base_rol", "double")
@@ -133,6 +135,19 @@ def s6(purchases: DataFrame, rates: DataFrame, window: Column, tolerance: float
     return emit(c, "S6", F.lit("tipo_cambio_difiere_del_oficial"), F.col("_off"))
 
 
+def s12(treasury: DataFrame, logistics: DataFrame, window: Column, tolerance: float = 1e-6) -> DataFrame:
+    """Invoices that treasury or logistics lacks, or whose kilos differ. Both sides are summed by invoice first, so an
+    invoice in several rows is one; rows without an invoice number have nothing to be compared by and are left out."""
+    side = lambda df, k: df.filter("factura_id IS NOT NULL").groupBy("factura_id").agg(F.sum("kg").alias(f"kg_{k}"), F.min("fecha").alias(f"fecha_{k}"), F.min("unidad_id").alias(f"unidad_{k}"), F.min("codigo_scop").alias(f"scop_{k}"))
+    both = side(treasury, "t").join(side(logistics, "l"), "factura_id", "full_outer")
+    first = lambda name: F.coalesce(f"{name}_l", f"{name}_t")
+    both = both.withColumns({"fecha": first("fecha"), "unidad_id": first("unidad"), "codigo_scop": first("scop"), "kg": first("kg")}).filter(window)
+    off = F.abs(F.coalesce(F.col("kg_t"), F.lit(0.0)) - F.coalesce(F.col("kg_l"), F.lit(0.0)))
+    why = F.when(F.col("fecha_t").isNull(), "factura_solo_en_logistica").when(F.col("fecha_l").isNull(), "factura_solo_en_tesoreria").when(off > tolerance, "kg_distinto")
+    score = F.when(F.col("_why") == "kg_distinto", off / F.greatest(F.abs("kg_t"), F.abs("kg_l"))).otherwise(1.0)
+    return emit(both.withColumn("_why", why).filter("_why IS NOT NULL"), "S12", F.col("_why"), score)
+
+
 def role_volume() -> Column:
     return F.when(F.col("rol") == "reparto", F.col("kg_vendidos")).otherwise(F.col("kg_transportados"))
 

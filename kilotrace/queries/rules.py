@@ -95,7 +95,7 @@ YEAR = f"anio = {P}"
 
 
 def emit_sql(signal: str, source: str, reason: str, score: str = "1e0", kind: str = "'regla'", kg: str = "kg", bill: bool = True, unit: bool = True, value: str = "CAST(NULL AS DOUBLE)", date: str = "fecha", role: bool = False) -> str:
-    res, grade, sources = S.RULES[signal]
+    res, grade, sources = (S.RULES | S.PENDING)[signal]
     unit_key = "concat('\"', unidad_id, '\"')" if unit else "'null'"
     bill_key = "concat('\"', factura_id, '\"')" if bill else "'null'"
     return f"""SELECT substr(sha256(concat('["{signal}", "', tipo_, '", "{res}", "', CAST({date} AS string), ' 00:00:00", ', {unit_key}, ', ', {bill_key}, ', "', motivo_, '"]')), 1, 24) AS id_alerta,
@@ -183,6 +183,21 @@ def s11_calculated_closing(spark, sf_dir):
     return rounded(v6(spark, sf_dir, "S11"), SHOWN)
 
 
+ORDER_OF = "CAST(substr(factura_id, 1, length(factura_id) - 2) AS bigint)"
+TREASURY = f"SELECT factura_id, fecha, unidad_id, codigo_scop, kg + CASE WHEN {ORDER_OF} % 7 = 0 THEN 5 ELSE 0 END AS kg FROM compras6 WHERE {ORDER_OF} % 11 <> 0"
+LOGISTICS = f"SELECT factura_id, fecha, unidad_id, codigo_scop, kg FROM compras6 WHERE {ORDER_OF} % 13 <> 0"
+S12 = emit_sql("S12", f"""(SELECT * FROM (SELECT coalesce(l.factura_id, t.factura_id) AS factura_id, coalesce(l.fecha, t.fecha) AS fecha, coalesce(l.unidad_id, t.unidad_id) AS unidad_id, coalesce(l.codigo_scop, t.codigo_scop) AS codigo_scop, coalesce(l.kg, t.kg) AS kg, t.kg AS kt, l.kg AS kl
+      FROM ({TREASURY}) t FULL JOIN ({LOGISTICS}) l ON t.factura_id = l.factura_id) WHERE {LATE}) WHERE kt IS NULL OR kl IS NULL OR kt <> kl""",
+    "CASE WHEN kt IS NULL THEN 'factura_solo_en_logistica' WHEN kl IS NULL THEN 'factura_solo_en_tesoreria' ELSE 'kg_distinto' END", "CASE WHEN kt <> kl THEN abs(kt - kl) / greatest(kt, kl) ELSE 1.0 END")
+
+
+@query("s12_treasury_logistics", S12)
+def s12_treasury_logistics(spark, sf_dir):
+    from kilotrace.sources.domain import sql
+
+    return rounded(S.s12(sql(spark, sf_dir, TREASURY), sql(spark, sf_dir, LOGISTICS), F.expr(LATE)), SHOWN)
+
+
 V6_ALL = " UNION ALL ".join(V6.values())
 
 
