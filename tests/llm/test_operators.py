@@ -579,6 +579,24 @@ def test_license_with_a_paragraph_inside(spark):
     assert sorted(got) == [(k, 20, 20 + n + k, n) for k in (0, 6, 12, n // 2)] + [(1000, i * n, (i + 1) * n, n) for i in range(3)]
 
 
+def test_licenses_in_stretches_of_a_batch(spark, monkeypatch):
+    """Texts of all scripts, many to a batch, which is taken in stretches of few."""
+    from pyspark import cloudpickle
+
+    from kilotrace.llm import licenses as T
+    from kilotrace.llm.templates import TEMPLATES
+
+    r, letters = random.Random(63), "abc äöéß漢字 привет\u0085\u00a0😀\n"
+    rows = [(i, "".join(r.choice(letters) for _ in range(r.randrange(400))) + (" " + TEMPLATES["MIT-text"] if i % 9 == 0 else "")) for i in range(900)]
+    monkeypatch.setattr(T, "CHUNK", 3000)
+    cloudpickle.register_pickle_by_value(T)  # the tasks see the smaller stretches too
+    try:
+        got = T.scan(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), spark.createDataFrame([("m", TEMPLATES["MIT-text"])], "license string, text string")).collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(T)
+    assert sorted(x.doc_id for x in got) == list(range(0, 900, 9))
+
+
 def test_many_copies_of_a_license_take_little(spark):
     """Two thousand copies in one text, and as many halves that come to nothing."""
     import time
