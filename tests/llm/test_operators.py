@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -486,6 +487,17 @@ def test_passages_against_every_pair(spark):
     assert sum(len(w - want.get(i, set())) for i, w in got.items()) <= 0.02 * total
 
 
+def test_passages_leave_no_shuffle_files(spark, docs):
+    """Each step's shuffle files go as its table is written, and the session's setting is as it was."""
+    from kilotrace.llm.common import TIDY
+    from kilotrace.llm.passages import repeated_passages
+
+    shuffles = lambda: {p for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for p in Path(d).rglob("shuffle_*.data")}
+    before, was = shuffles(), spark.conf.get(TIDY)
+    repeated_passages(docs)
+    assert not shuffles() - before and spark.conf.get(TIDY) == was
+
+
 def test_passages_split_where_a_run_fails():
     from kilotrace.llm.passages import alike_spans
 
