@@ -657,6 +657,24 @@ def test_pipeline(spark, docs, texts, tmp_path):
     assert packed == left
 
 
+def test_pipeline_leaves_no_copies_of_texts(spark, docs, tmp_path):
+    """Near-copies of rows with ids of their own write no texts; a stage's own tables go once its result is written."""
+    import corpus_pipeline
+    from kilotrace.sources.lake import shared_dir
+
+    folders = lambda: set(Path(shared_dir(spark).removeprefix("file://")).glob("*-*"))
+    before = folders()
+    left = corpus_pipeline.near_copies(spark, docs, "")
+    tables = {x.parent for d in folders() - before for x in d.rglob("*.parquet")}
+    assert tables and not any("text" in spark.read.parquet(str(t)).columns for t in tables)
+    twice = corpus_pipeline.near_copies(spark, docs.union(docs.filter("doc_id = 0")), "")  # numbered and written
+    assert sorted(map(str, left.collect())) == sorted(map(str, twice.collect())) and left.count() < docs.count()
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    before = folders()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count()
+    assert {x.name.split("-")[0] for x in folders() - before if any(x.rglob("*.parquet"))} == {"pipeline", "packing"}
+
+
 def test_near_copies_keep_one_row(spark, docs):
     import corpus_pipeline
 
