@@ -640,6 +640,27 @@ def test_sentencepiece(spark, docs, texts, none):
     assert encode(none, path).count() == 0
 
 
+def test_units_spelt_together():
+    """All units of a block are cut and looked up at once; the ids are those of each unit's pieces."""
+    import public_tokenizers as P
+    import pyarrow as pa
+
+    from kilotrace.llm import sentencepiece as S
+
+    pieces, r = S.load(P.path("piece_bpe_32k.model")), random.Random(5)
+    units = ["the", "\nand", " x", "\n", "\u6f22\u5b57", "\U0001f600a", "e\u0301", "a" * 62, "b" * 61, "word" * 40, *{"".join(r.choices("abet\u00e9\u6f22\U0001f600", k=r.randint(1, 12))) for _ in range(300)}]
+    masks, want = [], []
+    for u in units:
+        w = S.spelt_out(u)
+        cut = [0, *sorted(r.sample(range(1, len(w)), r.randint(0, len(w) - 1))), len(w)]
+        masks.append(0 if len(w) > S.LONGEST or r.random() < 0.2 else sum(1 << i for i in cut))
+        parts = [w[a:b] for a, b in zip(cut, cut[1:], strict=False)] if masks[-1] else list(w)
+        want.append(pieces.merged(w) if len(w) > S.LONGEST else [i for p in parts for i in pieces.spelt(p)])
+    starts, sizes, flat = S._spelt(pa.array(units), np.array(masks, np.int64), pieces)
+    assert [flat[a : a + n].tolist() for a, n in zip(starts, sizes, strict=True)] == want
+    assert len(S._spelt(pa.array([], pa.string()), np.zeros(0, np.int64), pieces)[0]) == 0
+
+
 def test_pipeline(spark, docs, texts, tmp_path):
     import corpus_pipeline
 
