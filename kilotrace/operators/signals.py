@@ -198,10 +198,10 @@ def summary_v6(alerts: DataFrame) -> DataFrame:
     return names.join(counts, "senal", "left").fillna(0, ["alertas"])
 
 
-def check_alerts(alerts: DataFrame, contract: list[str]) -> DataFrame:
-    """The contract's columns of alerts whose identifiers are unique; anything else is an error."""
+def check_alerts(alerts: DataFrame, contract: list[str], key: list[str] | None = None) -> DataFrame:
+    """The contract's columns of alerts whose identifiers (or else ``key``) are unique; anything else is an error."""
     if missing := set(contract) - set(alerts.columns):
         raise ValueError(f"columns missing: {sorted(missing)}")
-    if alerts.groupBy("id_alerta").count().filter("count > 1").limit(1).count():
+    if alerts.groupBy(*(key or ["id_alerta"])).count().filter("count > 1").limit(1).count():
         raise ValueError("repeated alert identifiers")
     return alerts.select(*contract)

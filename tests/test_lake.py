@@ -59,6 +59,21 @@ def test_export_shows_nothing_that_fails(spark, tmp_path):
         assert r.current()["path"] == good
 
 
+def test_signals_that_share_an_identifier(spark, tmp_path):
+    """Two signals' alerts of one identifier both count, as in the SQL; the identifier has one score."""
+    from kilotrace.queries.files import exported, outputs, write_alerts
+
+    path = f"file://{tmp_path}/salida"
+    lines = spark.createDataFrame([("a", "S10", 0.2), ("a", "S5", 1.5), ("a", "S5", 1.2), ("b", "S5", 1.1)], "id_alerta string, senal string, puntaje double")
+    write_alerts(lines, path)
+    lines.select("id_alerta").distinct().write.option("header", True).csv(f"{path}/expediente_ciego")
+    assert all(check() for _, check in exported(spark, path, lines))
+    assert rows_of(spark.read.parquet(f"{path}/puntajes").select("id_alerta", "puntaje")) == [("a", 1.5), ("b", 1.1)]
+    assert {(x.salida, x.senal): x.filas for x in outputs(spark, path).collect()} == {
+        ("alertas", "S10"): 1, ("alertas", "S5"): 2, ("resumen", "S10"): 1, ("resumen", "S5"): 2, ("expediente_ciego", None): 2, ("puntajes", None): 2,
+    }
+
+
 def test_compaction_of_a_larger_table(spark, tmp_path):
     """Files of more sales than 64 files of the wanted size hold are still fewer than the small ones they come of."""
     from kilotrace.queries.files import compact_files
