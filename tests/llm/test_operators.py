@@ -454,6 +454,31 @@ def test_passages_behind_decoys(spark):
     assert all((x.start, x.end) == (40, 100) for x in got)
 
 
+def test_passages_behind_many_decoys(spark):
+    """Every stretch of 40 words of the passage stands in many earlier documents, in unlike surroundings: whatever
+    windows and contexts the passage's documents share, several of those documents have them first."""
+    from kilotrace.llm.passages import repeated_passages
+
+    r = random.Random(25)
+    passage, rows = prose(r, 60).split(), []
+    for i in range(16 * 21):
+        rows.append((i, prose(r, 40) + " " + " ".join(passage[i % 21 : i % 21 + 40]) + " " + prose(r, 40), None, None, None))
+    rows += [(5000 + i, prose(r, 40) + " " + " ".join(passage) + " " + prose(r, 40), None, None, None) for i in range(3)]
+    got = [x for x in repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect() if x.doc_id >= 5000 and (x.start, x.end) == (40, 100)]
+    assert {x.doc_id for x in got} == {5001, 5002} and all(5000 <= x.of_doc_id < x.doc_id for x in got)
+
+
+def test_contexts_of_passages():
+    """Wherever a centre stands in the run of words that begins a passage, one of its contexts lies in that run."""
+    from kilotrace.llm.passages import contexts
+
+    for shingle, least, similarity, whole in ((5, 50, 0.8, 21), (5, 50, 0.9, 41), (3, 50, 0.8, 11), (5, 50, 0.5, 9), (5, 50, 1.0, 50), (5, 12, 0.8, 12)):
+        found = contexts(shingle, least, similarity)
+        for c in range(whole - shingle + 1):
+            assert any(c + steps[0] >= 0 and c + steps[-1] + shingle <= whole for steps in found)
+        assert all({w + i for w in steps for i in range(shingle)} == set(range(steps[0], steps[-1] + shingle)) for steps in found)
+
+
 def test_passages_against_every_pair(spark):
     """Texts of shared and edited paragraphs against a comparison of all pairs, word by word."""
     from kilotrace.llm.passages import alike_spans, repeated_passages
