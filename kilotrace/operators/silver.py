@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,7 +116,7 @@ def invoices(raw: DataFrame, salt: str) -> DataFrame:
         date.alias("fecha_factura"), how.alias("estado_fecha"), upper("serie").alias("serie"), upper("numero").alias("numero"), upper("tipo").alias("tipo"),
         kinds["e"].alias("kg_glp_e"), kinds["g"].alias("kg_glp_g"), total.alias("kg"), plate.alias("placa_norm"), centre.alias("centro_costo"), plain("guia").alias("guia"),
         number("monto_usd").alias("monto_usd"), rate.alias("tipo_cambio"), C.rate_valid(rate).alias("tc_valido"), number("monto_pagado").alias("monto_pagado"), number("precio_unitario").alias("precio_unitario"),
-        number("total").alias("total"), upper("estado").alias("estado"), C.pseudonym(_has(raw, "conductor"), salt).alias("conductor_hash"), *[c for c in ("hoja", "fila") if c in raw.columns],
+        number("total").alias("total"), upper("estado").alias("estado"), C.pseudonym(_has(raw, "conductor"), salt).alias("conductor_hash"), *_placed(raw),
     )
 
 
@@ -131,8 +134,8 @@ def _number(raw: DataFrame, c: str, kind: str = "double"):
 
 
 def _placed(raw: DataFrame) -> list[str]:
-    """Where a row stands in its source, if the reader has said so."""
-    return [c for c in ("hoja", "fila") if c in raw.columns]
+    """Where a row stands in its source, if the reader has said so, and how many rows it is for."""
+    return [c for c in ("hoja", "fila", "veces") if c in raw.columns]
 
 
 def orders(raw: DataFrame) -> DataFrame:
@@ -213,39 +216,65 @@ def contracted(name: str, df: DataFrame, source: str) -> DataFrame:
 
 # what control reports say of the newer tables
 
-def _share(cond):
-    """The share of all rows that meet a condition; 0 where there are none."""
-    return F.coalesce(F.bround(F.avg(F.coalesce(cond, F.lit(False)).cast("int")), 4), F.lit(0.0))
-
-
-def _count(cond):
-    return F.count_if(F.coalesce(cond, F.lit(False)))
-
-
-def measures(name: str, df: DataFrame) -> DataFrame:
-    """(tabla, metrica, valor) of one of the newer tables, in one aggregate."""
-    c, plate = F.col, F.col("placa_norm").isNotNull() if "placa_norm" in df.columns else None
+def measures(name: str, df: DataFrame, only: list[str] | None = None) -> DataFrame:
+    """(tabla, metrica, valor) of one of the newer tables, or ``only`` some, in one aggregate. A row with ``veces`` is
+    for so many rows."""
+    c, n, plate = F.col, F.col("veces") if "veces" in df.columns else F.lit(1), F.col("placa_norm").isNotNull() if "placa_norm" in df.columns else None
     lpg = c("es_glp") if "es_glp" in df.columns else None
+    count = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
+    known = lambda name: count(c(name).isNotNull())
+    #: the share of all rows (or of ``those``) that meet a condition; 0 where there are none
+    share = lambda cond, those=F.lit(True): F.coalesce(F.bround(count(cond) / F.nullif(count(those), F.lit(0)), 4), F.lit(0.0))
     wanted = {
         "compras_glp": lambda: {
-            "placa_valida": _share(plate), "scop_presente": _share(c("nro_scop").isNotNull()), "scop_11_digitos": _share(F.length("nro_scop") == 11), "scop_repetidos": F.count("nro_scop") - F.count_distinct("nro_scop"),
-            "fechas_invertidas": _count(c("estado_fecha") == "invertida"), "fechas_que_discrepan": _count(c("estado_fecha") == "discrepa"), "tc_registrados": F.count("tipo_cambio"),
-            "tc_fuera_de_rango": _count(c("tipo_cambio").isNotNull() & ~F.coalesce(c("tc_valido"), F.lit(False))), "kg_positivo": _share(c("kg") > 0),
+            "placa_valida": share(plate), "scop_presente": share(c("nro_scop").isNotNull()), "scop_11_digitos": share(F.length("nro_scop") == 11), "scop_repetidos": known("nro_scop") - F.count_distinct("nro_scop"),
+            "fechas_invertidas": count(c("estado_fecha") == "invertida"), "fechas_que_discrepan": count(c("estado_fecha") == "discrepa"), "tc_registrados": known("tipo_cambio"),
+            "tc_fuera_de_rango": count(c("tipo_cambio").isNotNull() & ~F.coalesce(c("tc_valido"), F.lit(False))), "kg_positivo": share(c("kg") > 0),
         },
         "scop": lambda: {
-            "ordenes_con_ambas_placas": _count(c("placa_cargada").isNotNull() & c("placa_facturada").isNotNull()), "ordenes_con_placa_divergente": _count(c("flag_placa_divergente")), "fecha_valida": _share(c("fecha").isNotNull()),
+            "ordenes_con_ambas_placas": count(c("placa_cargada").isNotNull() & c("placa_facturada").isNotNull()), "ordenes_con_placa_divergente": count(c("flag_placa_divergente")), "fecha_valida": share(c("fecha").isNotNull()),
         },
         "unidades": lambda: {
-            "placa_valida": _share(plate), "con_capacidad": F.count("capacidad_glp_kg"), "traslada_gas_si": _count(c("traslada_gas")), "traslada_gas_si_con_placa_valida": _count(c("traslada_gas") & plate),
-            "placas_distintas": F.count_distinct("placa_norm"), "traslada_gas_declarado": F.count("traslada_gas"),
+            "placa_valida": share(plate), "con_capacidad": known("capacidad_glp_kg"), "traslada_gas_si": count(c("traslada_gas")), "traslada_gas_si_con_placa_valida": count(c("traslada_gas") & plate),
+            "placas_distintas": F.count_distinct("placa_norm"), "traslada_gas_declarado": known("traslada_gas"),
         },
         "ventas_unidad_mes": lambda: {
-            "mes_reconocido": _share(c("mes").isNotNull()), "filas_con_placa": _share(plate), "kg_con_placa_valida": F.coalesce(F.bround(F.sum(F.when(plate, c("kg"))) / F.nullif(F.sum("kg"), F.lit(0.0)), 4), F.lit(0.0)),
+            "mes_reconocido": share(c("mes").isNotNull()), "filas_con_placa": share(plate), "kg_con_placa_valida": F.coalesce(F.bround(F.sum(F.when(plate, c("kg") * n)) / F.nullif(F.sum(c("kg") * n), F.lit(0.0)), 4), F.lit(0.0)),
         },
         "ventas_detalle": lambda: {
-            "fecha_valida": _share(c("fecha").isNotNull()), "lineas_glp": _count(lpg), "lineas_no_glp": _count(~lpg), "lineas_glp_convertibles_a_kg": F.coalesce(F.bround(F.avg(F.when(lpg, c("kg").isNotNull().cast("int"))), 4), F.lit(0.0)),
-            "kg_registrado": _count(c("kg_origen") == "registrado"), "kg_derivado": _count(c("kg_origen") == "derivado"), "filas_con_placa": _share(plate),
+            "fecha_valida": share(c("fecha").isNotNull()), "lineas_glp": count(lpg), "lineas_no_glp": count(~lpg), "lineas_glp_convertibles_a_kg": share(lpg & c("kg").isNotNull(), lpg),
+            "kg_registrado": count(c("kg_origen") == "registrado"), "kg_derivado": count(c("kg_origen") == "derivado"), "filas_con_placa": share(plate),
         },
     }[name]()
+    wanted = {k: v for k, v in wanted.items() if only is None or k in only}
     sums = df.agg(*[v.cast("double").alias(k) for k, v in wanted.items()])
     return sums.select(F.lit(name).alias("tabla"), F.explode(F.array(*[F.struct(F.lit(k).alias("metrica"), F.col(k).alias("valor")) for k in wanted])).alias("m")).select("tabla", "m.*")
+
+
+#: The cells that measures depend on, and those measures. Whether kilos are a number shows in a cell's shape, whichever
+#: digits it has.
+CELLS = {
+    "compras_glp": [
+        (["placa"], ["placa_valida"]), (["nro_scop"], ["scop_presente", "scop_11_digitos", "scop_repetidos"]), (["_anio", "_mes", "fecha_factura"], ["fechas_invertidas", "fechas_que_discrepan"]),
+        (["tipo_cambio"], ["tc_registrados", "tc_fuera_de_rango"]), (["kg_glp_e", "kg_glp_g"], ["kg_positivo"]),
+    ],
+    "scop": [(["placa_cargada", "placa_facturada"], ["ordenes_con_ambas_placas", "ordenes_con_placa_divergente"]), (["fecha"], ["fecha_valida"])],
+    "unidades": [(["placa", "capacidad_glp_kg", "traslada_gas"], ["placa_valida", "con_capacidad", "traslada_gas_si", "traslada_gas_si_con_placa_valida", "placas_distintas", "traslada_gas_declarado"])],
+    "ventas_unidad_mes": [(["mes_texto"], ["mes_reconocido"]), (["proyecto", "kg"], ["filas_con_placa", "kg_con_placa_valida"])],
+    "ventas_detalle": [
+        (["fecha"], ["fecha_valida"]), (["proyecto"], ["filas_con_placa"]),
+        (["articulo", "unidad_medida", "cantidad", "translate(kg, '123456789', '000000000') AS kg"], ["lineas_glp", "lineas_no_glp", "lineas_glp_convertibles_a_kg", "kg_registrado", "kg_derivado"]),
+    ],
+}
+
+
+def cell_measures(name: str, raw: DataFrame, made: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The measures of what ``made`` makes of ``raw``. Rows are first counted by the cells that a measure depends on,
+    so a cell that any number of rows have is cleaned once."""
+    parts = []
+    for cells, only in CELLS[name]:
+        few = raw.selectExpr(*cells)
+        few = few.groupBy(*few.columns).agg(F.count("*").alias("veces"))
+        few = few.withColumns({c: F.lit(None).cast(kind) for c, kind in raw.dtypes if c not in few.columns})
+        parts.append(measures(name, made(few), only))
+    return reduce(DataFrame.unionByName, parts)

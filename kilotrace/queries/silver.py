@@ -181,6 +181,8 @@ MEASURES = " UNION ALL ".join([
 
 @query("silver_quality_metrics", MEASURES)
 def silver_quality_metrics(spark, sf_dir):
-    raw = lambda text: sql(spark, sf_dir, text)
-    tables = {"compras_glp": V.invoices(raw(RAW_INVOICE), "sal"), "scop": V.orders(raw(RAW_ORDER)), "unidades": V.units(raw(RAW_UNIT)), "ventas_unidad_mes": V.unit_months(raw(RAW_MONTHS), "sal"), "ventas_detalle": V.sale_details(raw(RAW_DETAIL), "sal")}
-    return reduce(DataFrame.unionByName, [V.measures(n, df) for n, df in tables.items()])
+    tables = {
+        "compras_glp": (RAW_INVOICE, lambda raw: V.invoices(raw, "sal")), "scop": (RAW_ORDER, V.orders), "unidades": (RAW_UNIT, V.units),
+        "ventas_unidad_mes": (RAW_MONTHS, lambda raw: V.unit_months(raw, "sal")), "ventas_detalle": (RAW_DETAIL, lambda raw: V.sale_details(raw, "sal")),
+    }
+    return reduce(DataFrame.unionByName, [V.cell_measures(n, sql(spark, sf_dir, text), made) for n, (text, made) in tables.items()])

@@ -147,3 +147,20 @@ def test_input_conditions(spark):
         Q.validated(df, ["kg"], [], ["unidad_id"], [])
     good = Q.validated(df.limit(1), ["unidad_id", "anio", "mes", "rol"], ["habilitada", "capacidad"], ["unidad_id", "anio", "mes"], ["unidad_id"], **{**options, "dates": ()})
     assert good.columns == ["unidad_id", "anio", "mes", "rol", "habilitada"] and good.count() == 1
+
+
+def test_measures_clean_each_cell_once(spark):
+    """Measures of rows counted by their cells are those of the rows, and a cell that many rows have is cleaned once."""
+    from kilotrace.operators import silver as V
+
+    kilos, units = ["5 000 kg", "1,250.5", "12,5", "1,250", "-3", "0", "FALSE", "x", "", None, "9" * 400, "7."], ["kg", "galones", "UNIDAD", "caja", None]
+    details = [(f"{i % 31 + 1}/02/2020", ("T1A-001 camion", "planta sur", None)[i % 3], ("GLP 10 KG", "arroz 5 kg", "glp granel", None)[i % 4], units[i % 5], kilos[i % 7], kilos[i * 5 % 12]) for i in range(3000)]
+    raw = spark.createDataFrame(details, "fecha string, proyecto string, articulo string, unidad_medida string, cantidad string, kg string").withColumns({"cliente_codigo": F.lit("c"), "vendedor": F.lit("v")})
+    months = spark.createDataFrame([(2020, ("Enero", "set", "13", None)[i % 4], ("T1A-001", "planta", None)[i % 3], kilos[i % 12] if i % 12 != 10 else "4") for i in range(3000)], "_anio int, mes_texto string, proyecto string, kg string").withColumn("vendedor", F.lit("v"))
+    for name, table, made, most in (("ventas_detalle", raw, lambda t: V.sale_details(t, "s"), 420), ("ventas_unidad_mes", months, lambda t: V.unit_months(t, "s"), 40)):
+        seen = []
+        got = V.cell_measures(name, table, lambda t, made=made, seen=seen: seen.append(t.count()) or made(t))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, V.measures(name, made(table)).collect()))
+        assert max(seen) <= most < table.count()
+    none = V.cell_measures("ventas_unidad_mes", months.limit(0), lambda t: V.unit_months(t, "s"))
+    assert {x.valor for x in none.collect()} == {0.0}
